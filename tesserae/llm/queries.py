@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .minhash_dedup import op1
 from .substring_dedup import op3
 from .suffix_dedup import op10
 
@@ -14,6 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_minhash_dedup": op1,
         "op3_substring_dedup": op3,
         "op10_suffix_dedup": op10,
     }
