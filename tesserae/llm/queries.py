@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe_automaton import op7
 from .minhash_dedup import op1
 from .substring_dedup import op3
 from .suffix_dedup import op10
+from .token_counts import op6
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +19,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_minhash_dedup": op1,
         "op3_substring_dedup": op3,
+        "op6_token_counts": op6,
+        "op7_bpe_automaton": op7,
         "op10_suffix_dedup": op10,
     }
 
