@@ -25,7 +25,8 @@ from . import textscan as ts
 from .runtime import durable, shuffle_partitions
 
 U = np.uint64
-CHUNK = 1 << 21
+CHUNK = 1 << 20  # postings held by a mapper
+PARTS = 2  # partitions of postings for each shuffle partition; they are unpacked in memory
 SPAN = np.dtype([("at", "<u4"), ("n", "u1")])
 ASK = np.dtype([("g", "<u8"), ("at", "<u4"), ("n", "<u2")])
 COVER, RUN, HOT = 0, 1, 2
@@ -154,6 +155,7 @@ def settle(blobs: list[bytes], hot_runs: int) -> Iterator[pa.RecordBatch]:
     if not blobs:
         return
     doc, fp, g, run, at, count = _unpack(blobs)
+    blobs.clear()
     order = np.lexsort((doc, run, g))
     doc, fp, g, run, at, count = (x[order] for x in (doc, fp, g, run, at, count))
     new_g = np.concatenate([[True], g[1:] != g[:-1]])
@@ -206,7 +208,7 @@ def repeated_spans(docs: DataFrame, doc_id: Column, text: Column, post_level1, p
     the second level.  Rows without an id take no part and get no spans.  Both levels read ``docs`` dealt by the same
     keys, so that Spark moves the texts once.
     """
-    n = shuffle_partitions(docs.sparkSession)
+    n = PARTS * shuffle_partitions(docs.sparkSession)
     keyed = docs.withColumns({"__doc": doc_id.cast("long"), "__text": text, "__fp": F.hash(text)})
     level1 = keyed.where("__doc is not null and __text is not null").select("__doc", "__fp", "__text").mapInArrow(post_level1(n), POSTED)
     answers = durable(deal(level1, n, settler(hot_runs)))
