@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_automaton import op7
+from .maxscore import OP4_SQL, op4
 from .minhash_dedup import op1
 from .substring_dedup import op3
 from .suffix_dedup import op10
@@ -19,6 +20,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_minhash_dedup": op1,
         "op3_substring_dedup": op3,
+        "op4_maxscore": op4,
         "op6_token_counts": op6,
         "op7_bpe_automaton": op7,
         "op10_suffix_dedup": op10,
@@ -26,4 +28,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_maxscore": OP4_SQL}
