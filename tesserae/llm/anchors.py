@@ -25,7 +25,7 @@ from . import textscan as ts
 from .runtime import durable, shuffle_partitions
 
 U = np.uint64
-CHUNK = 1 << 20  # postings held by a mapper
+CHUNK = 1 << 19  # postings held by a mapper
 PARTS = 2  # partitions of postings for each shuffle partition; they are unpacked in memory
 SPAN = np.dtype([("at", "<u4"), ("n", "u1")])
 ASK = np.dtype([("g", "<u8"), ("at", "<u4"), ("n", "<u2")])

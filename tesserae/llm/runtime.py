@@ -10,12 +10,18 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Arrow batches go by bytes, not only by rows: texts can be long.  An own setting of the session stays.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 _PACKAGE = Path(__file__).resolve().parents[1]
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Give the executors this package, once per Spark context (they may not see the driver's path)."""
+    """Give the executors this package, once per Spark context (they may not see the driver's path); bound Arrow batches."""
     sc = spark.sparkContext
+    set_already = spark.conf.getAll
+    for key, value in ARROW_BATCH.items():
+        if key not in set_already:
+            spark.conf.set(key, value)
     if getattr(sc, "_tesserae_shipped", False):
         return
     buffer = io.BytesIO()
