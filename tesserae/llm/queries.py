@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_automaton import op7
+from .html_extract import op2
 from .maxscore import OP4_SQL, op4
 from .minhash_dedup import op1
 from .substring_dedup import op3
@@ -19,6 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_minhash_dedup": op1,
+        "op2_html_extract": op2,
         "op3_substring_dedup": op3,
         "op4_maxscore": op4,
         "op6_token_counts": op6,
