@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_automaton import op7
 from .html_extract import op2
+from .license_scan import op5
 from .maxscore import OP4_SQL, op4
 from .minhash_dedup import op1
 from .substring_dedup import op3
@@ -23,6 +24,7 @@ def queries() -> dict[str, Query]:
         "op2_html_extract": op2,
         "op3_substring_dedup": op3,
         "op4_maxscore": op4,
+        "op5_license_scan": op5,
         "op6_token_counts": op6,
         "op7_bpe_automaton": op7,
         "op10_suffix_dedup": op10,
