@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_automaton import op7
 from .html_extract import op2
+from .kn_quality import op9
 from .license_scan import op5
 from .maxscore import OP4_SQL, op4
 from .minhash_dedup import op1
@@ -27,6 +28,7 @@ def queries() -> dict[str, Query]:
         "op5_license_scan": op5,
         "op6_token_counts": op6,
         "op7_bpe_automaton": op7,
+        "op9_kn_quality": op9,
         "op10_suffix_dedup": op10,
     }
 
