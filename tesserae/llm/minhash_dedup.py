@@ -8,9 +8,11 @@ wanted similarity collide in at least ``MATCHES`` of the coordinates (all but ab
 there - and *skips* - values that nobody shares and representatives with too few shared values never enter a merge, and
 of a merged list only pairs not yet known to be linked are looked at.
 
-A list is merged against pivots, the most central members first: once for one pivot, then for more and more while a list
-still joins unlinked parts.  So a list of near copies costs its length, not its square, and every pair of the list is
-either compared or already linked.  Pairs above the match threshold are confirmed on the full sets.
+A list is merged against its most central member first, which links most near copies at the cost of the list's length.
+The other members are compared among themselves only in lists that still join unlinked parts: signatures in packed blocks,
+which write down few pairs; where near pairs would be many, the families of such lists are compared on their full sets
+inside the blocks, and only links that join parts come out.  So every pair that meets in a list is either compared or
+already linked, and no group's pairs become rows.  Pairs above the match threshold are confirmed on the full sets.
 
 Defined cases: texts without words (or null) have size 0 and are linked with nothing; texts shorter than a shingle are
 one shingle; rows with a null id are returned with their size, a null component and ``kept``; rows that share an id are
@@ -33,7 +35,8 @@ U = np.uint64
 SHINGLE, THRESHOLD = 5, 75  # words; percent
 COORDINATES, MATCHES = 64, 32
 PREFIX = COORDINATES - MATCHES + 1
-PIVOTS = (1, 8, 64, 512)  # per list and round; the last is kept for further rounds
+BLOCK, DENSE_BLOCK = 1024, 256  # members compared at once: signatures, full sets
+NEAR_EACH, NEAR_MORE = 32, 1000  # near pairs of a block that are written down, by member and beside; beyond: full sets in place
 
 
 def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -143,27 +146,34 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, shingle: int =
     several_texts = sets.groupBy("doc").agg(F.count_distinct("set1", "set2").alias("n")).where("n > 1").select("doc")
     alias_links = sets.join(several_texts, "doc").join(classes.select("set1", "set2", "rep"), ["set1", "set2"]).select(F.col("doc").alias("a"), F.col("rep").alias("b")).where("a <> b")
     links = durable(alias_links.distinct())
+    verify = lambda pairs: durable(_texts(pairs, full).mapInArrow(_confirm(threshold, shingle), "a long, b long"))
+
+    # 1. every list against its most central member
+    hubs = merged.groupBy("token").agg(F.min(F.struct(-F.col("central"), "rep")).alias("x"), F.count("*").alias("size")).where("size > 1").select("token", F.col("x.rep").alias("hub"), "size")
+    lists = durable(merged.select("token", "rep").join(hubs, "token"))
+    pairs = lists.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    near = pairs.join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b").where(_collisions("sa", "sb") >= MATCHES).select("a", "b")
+    links = durable(links.unionByName(verify(near)))
     labels = components(links)
-    # centrality first, then the smaller id
-    lists = merged.withColumn("order", F.struct(-F.col("central"), F.col("rep")))
-    done, k = 0, 0
-    while True:
-        label = F.coalesce("component", "rep").alias("component")
-        now = lists.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "token", "order", label)
-        open_lists = now.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where(f"lo < hi and size > {done}").select("token")
-        take = PIVOTS[min(k, len(PIVOTS) - 1)]
-        state = durable(now.join(open_lists, "token")) if k else now.join(open_lists, "token")
-        if k and state.isEmpty():
-            break
-        pivots = _pivots(state, done, take)
-        pairs = state.alias("m").join(pivots.alias("p"), "token").where("m.component <> p.component and m.order > p.order").select(F.col("p.rep").alias("a"), F.col("m.rep").alias("b")).distinct()
-        near = pairs.join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b").where(_collisions("sa", "sb") >= MATCHES).select("a", "b")
-        confirmed = near.join(full.select(F.col("rep").alias("b"), F.col("body").alias("tb")), "b").join(full.select(F.col("rep").alias("a"), F.col("body").alias("ta")), "a").select("a", "b", "ta", "tb").mapInArrow(_confirm(threshold, shingle), "a long, b long")
-        new = durable(confirmed)
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            labels = components(links)
-        done, k = done + take, k + 1
+
+    # 2. the other members of a list among themselves, where they are not linked yet
+    now = lists.where("rep <> hub and size > 2").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "size", F.coalesce("component", "rep").alias("component"))
+    still = now.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
+    rest = durable(now.join(still, "token"))
+    packed = _in_blocks(rest.join(sigs, "rep"), "token", BLOCK, F.struct("rep", "component", "sig"))
+    found = durable(packed.mapInArrow(_near_pairs, "token long, a long, b long"))
+    links = links.unionByName(verify(found.where("a is not null").select("a", "b").distinct()))
+
+    # 3. lists with too many near pairs to write down: their families, in blocks, on the full sets
+    dense = rest.join(found.where("a is null").select("token").distinct(), "token").select("token", "rep", "component")
+    if not dense.isEmpty():
+        first = dense.groupBy("token").agg(F.min("rep").alias("a"))
+        family = components(dense.join(first, "token").select("a", F.col("rep").alias("b")).where("a <> b").distinct())
+        family = family.select(F.col("component").alias("token"), F.col("node").alias("rep")).join(dense.select("rep", "component").distinct(), "rep")
+        sizes = family.groupBy("token").agg(F.count("*").alias("size"))
+        packed = _in_blocks(family.join(sizes, "token").join(full, "rep"), "token", DENSE_BLOCK, F.struct("rep", "component", "body"))
+        links = links.unionByName(durable(packed.mapInArrow(_link_block(threshold, shingle), "a long, b long")))
+    labels = components(durable(links.distinct()))
 
     of_class = classes.select("set1", "set2", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("set1", "set2", F.coalesce("component", "rep").alias("component_id"))
     out = signed.select("doc", "n", "set1", "set2").join(of_class, ["set1", "set2"], "left")
@@ -171,17 +181,78 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, shingle: int =
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
 
 
-def _pivots(state: DataFrame, done: int, take: int) -> DataFrame:
-    """The ``take`` most central members of every list after the first ``done``."""
-    best = state.groupBy("token")
-    if done == 0 and take == 1:
-        return best.agg(F.min(F.struct("order", "rep", "component")).alias("x")).select("token", "x.rep", "x.order", "x.component")
-    # salted: the best of each slice, then the best of those
-    n = done + take
-    slim = state.select("token", F.pmod(F.hash("rep"), F.lit(64)).alias("slice"), F.struct("order", "rep", "component").alias("x"))
-    first = F.slice(F.sort_array(F.collect_list("x")), 1, n)
-    part = slim.groupBy("token", "slice").agg(first.alias("xs"))
-    return part.select("token", F.explode("xs").alias("x")).groupBy("token").agg(first.alias("xs")).select("token", F.explode(F.slice("xs", done + 1, take)).alias("x")).select("token", "x.rep", "x.order", "x.component")
+def _texts(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    return pairs.join(full.select(F.col("rep").alias("b"), F.col("body").alias("tb")), "b").join(full.select(F.col("rep").alias("a"), F.col("body").alias("ta")), "a").select("a", "b", "ta", "tb")
+
+
+def _in_blocks(rows: DataFrame, key: str, block: int, packed) -> DataFrame:
+    """One row for each pair of blocks of a key's rows (``size`` of them): key, whether it is one block, and both packed."""
+    n = F.ceil(F.col("size") / block).cast("int")
+    mine = F.pmod(F.xxhash64("rep"), n).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("__n") - 1))
+    dealt = rows.withColumns({"__n": n, "__mine": mine}).withColumn("__other", other)
+    i, j = F.least("__mine", "__other"), F.greatest("__mine", "__other")
+    return dealt.groupBy(key, i.alias("i"), j.alias("j")).agg(F.collect_list(packed).alias("members")).select(key, "members")
+
+
+def _near_pairs(it):
+    """Pairs of different components that collide often enough; a row without a pair where there are too many."""
+    schema = pa.schema([("token", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+    for batch in it:
+        out = []
+        for token, members in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            m = members.values
+            rep, part = (m.field(k).to_numpy() for k in (0, 1))
+            if (part == part[0]).all():
+                continue
+            sig = np.frombuffer(b"".join(m.field(2).to_pylist()), np.uint32).reshape(-1, COORDINATES)
+            most, mine = NEAR_EACH * len(rep) + NEAR_MORE, []
+            for i in range(len(rep) - 1):
+                hit = np.flatnonzero(part[i + 1 :] != part[i]) + i + 1
+                hit = hit[(sig[hit] == sig[i]).sum(axis=1) >= MATCHES]
+                mine += [(token, min(int(rep[i]), int(r)), max(int(rep[i]), int(r))) for r in rep[hit]]
+                if len(mine) > most:
+                    mine = [(token, None, None)]
+                    break
+            out += mine
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(3)], schema=schema)
+
+
+def _link_block(threshold: int, size: int):
+    """Links between members of different components that join parts not yet joined in the block."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(it):
+        for batch in it:
+            out = []
+            for members in batch.column(1):
+                m = members.values
+                rep, part = (m.field(k).to_pylist() for k in (0, 1))
+                sets = [shingle_set(t, size) for t in m.field(2).to_pylist()]
+                length = np.array([len(x) for x in sets])
+                keys, column = np.unique(np.concatenate(sets), return_inverse=True)
+                row = np.repeat(np.arange(len(sets)), length)
+                order = np.argsort(column, kind="stable")
+                holders = row[order]
+                begin = np.searchsorted(column[order], np.arange(len(keys) + 1))
+                first = np.concatenate([[0], np.cumsum(length)])
+                parent = {p: p for p in part}
+
+                def root(p, parent=parent):
+                    while parent[p] != p:
+                        parent[p] = p = parent[parent[p]]
+                    return p
+
+                for i in range(len(sets)):
+                    mine = column[first[i] : first[i + 1]]
+                    both = np.bincount(np.concatenate([holders[begin[c] : begin[c + 1]] for c in mine]), minlength=len(sets))
+                    for j in np.flatnonzero(100 * both >= threshold * (length + length[i] - both)).tolist():
+                        if j > i and (x := root(part[i])) != (y := root(part[j])):
+                            parent[max(x, y)] = min(x, y)
+                            out.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(2)], schema=schema)
+
+    return run
 
 
 def _same_set(size: int):
