@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_automaton import op7
+from .decontaminate import op8
 from .html_extract import op2
 from .kn_quality import op9
 from .license_scan import op5
@@ -28,6 +29,7 @@ def queries() -> dict[str, Query]:
         "op5_license_scan": op5,
         "op6_token_counts": op6,
         "op7_bpe_automaton": op7,
+        "op8_decontaminate": op8,
         "op9_kn_quality": op9,
         "op10_suffix_dedup": op10,
     }

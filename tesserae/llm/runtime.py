@@ -35,11 +35,17 @@ def ship_code(spark: SparkSession) -> None:
     sc._tesserae_shipped = True
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder of ``spark.checkpoint.dir``; a private folder only if the setting is absent."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a private one, set as the checkpoint folder, only if the setting is absent."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tesserae-ckpt-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tesserae-ckpt-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
