@@ -223,7 +223,7 @@ def repeated_spans(docs: DataFrame, doc_id: Column, text: Column, post_level1, p
 def covered_items(blobs: list[bytes] | None, n_items: int, length: int) -> np.ndarray:
     """Mask of the items inside a covered window."""
     depth = np.zeros(n_items + 1, dtype=np.int32)
-    for blob in blobs or ():
+    for blob in () if blobs is None else blobs:
         s = np.frombuffer(blob, SPAN)
         np.add.at(depth, s["at"], 1)
         np.add.at(depth, s["at"] + s["n"] + np.uint32(length - 1), -1)
