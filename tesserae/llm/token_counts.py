@@ -5,7 +5,8 @@ spliced at a place in the overlap that is (a) a token boundary in both and (b) p
 after another kind of character.  No pre-token of the tokenizer's pattern goes on from a character that is no white space
 into one that is, whatever stands before or after, and the special strings hold no white space, so the tokens on either
 side of such a place do not depend on the other side.  Where an overlap holds no such place it is widened (doubled, to the
-end of the text if need be).
+end of the text if need be).  Shorter texts are cut at all their stable places, and the library counts each distinct piece
+once while a worker remembers it.
 
 Defined cases: null and empty texts have no bytes and no tokens; rows with a null id are counted like all others; rows
 are returned as often as they come; an empty table gives an empty result.
@@ -14,6 +15,7 @@ are returned as often as they come; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -24,6 +26,9 @@ from .runtime import ship_code, table
 CHUNK, OVERLAP, LIMIT = 32_768, 256, 1024  # characters, characters, tokens
 #: The white space of the tokenizer's pattern.
 WHITE = frozenset("\t\n\x0b\x0c\r \x85\xa0                　")
+#: A text cut at all its stable places; the counts of the pieces add up.
+PIECE = re.compile(f"[{''.join(sorted(WHITE))}]*[^{''.join(sorted(WHITE))}]+|[{''.join(sorted(WHITE))}]+")
+KEPT_PIECES = 1 << 19  # pieces whose counts a worker keeps
 
 
 def stable(text: str, at: int) -> bool:
@@ -85,10 +90,15 @@ def token_counts(docs: DataFrame, tokenizer_json: str, limit: int = LIMIT, chunk
         t = Tokenizer.from_str(model.value)
         t.no_padding()
         t.no_truncation()
+        known: dict[str, int] = {}
         for b in it:
             texts = [x or "" for x in b.column(1).to_pylist()]
-            short = [i for i, x in enumerate(texts) if len(x) <= chunk + overlap]
-            counts = dict(zip(short, (len(e.ids) for e in t.encode_batch_fast([texts[i] for i in short], add_special_tokens=False)), strict=True))
+            pieces = {i: PIECE.findall(x) for i, x in enumerate(texts) if len(x) <= chunk + overlap}
+            if len(known) > KEPT_PIECES:
+                known.clear()
+            new = list({p for each in pieces.values() for p in each}.difference(known))
+            known.update(zip(new, (len(e.ids) for e in t.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+            counts = {i: sum(map(known.__getitem__, each)) for i, each in pieces.items()}
             for i, x in enumerate(texts):
                 if i not in counts:
                     counts[i] = count_spliced(x, lambda piece: t.encode(piece, add_special_tokens=False).offsets, chunk, overlap)
