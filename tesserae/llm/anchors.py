@@ -26,7 +26,7 @@ from .runtime import durable, shuffle_partitions
 
 U = np.uint64
 CHUNK = 1 << 19  # postings held by a mapper
-PARTS = 2  # partitions of postings for each shuffle partition; they are unpacked in memory
+PARTS = 1  # partitions of postings for each shuffle partition; they are unpacked in memory
 SPAN = np.dtype([("at", "<u4"), ("n", "u1")])
 ASK = np.dtype([("g", "<u8"), ("at", "<u4"), ("n", "<u2")])
 COVER, RUN, HOT = 0, 1, 2
@@ -112,7 +112,8 @@ class Poster:
             spans["at"], spans["n"] = at[settled], count[settled]
             yield from by_document(COVER, ids[of[settled]], fps[of[settled]], spans, self.partitions)
         keep = np.flatnonzero(~settled)
-        bucket = (((g[keep] >> U(32)) * U(self.partitions)) >> U(32)).astype(np.int32)
+        # an anchor is a least hash, so its bits are not even: mix them anew
+        bucket = (((ts.mix(g[keep] ^ ts._B) >> U(32)) * U(self.partitions)) >> U(32)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         keep, bucket = keep[order], bucket[order]
         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(keep) else []
