@@ -130,10 +130,10 @@ class Acquisition:
         """A memo of what is computed: all tasks but every seventh by key."""
         return self.plan.where(F.conv(F.substring("key", 1, 4), 16, 10).cast("int") % 7 != 0).select("key")
 
-    # --- a forest: rows of tiles, one possible anchor in each -----------------------------------------
+    # --- a forest: rows of tiles, with one anchor -----------------------------------------
     @cached_property
     def row_state(self) -> DataFrame:
-        return self.state.select("t", "name", (F.substring("name", 6, 1) == "0").alias("anchor"))
+        return self.state.select("t", "name", (F.col("name") == "000000").alias("anchor"))
 
     @cached_property
     def row_pairs(self) -> DataFrame:
@@ -151,7 +151,8 @@ class Acquisition:
     def row_nodes(self) -> DataFrame:
         """Routing steps with offsets made from the time and the tile; some are missing."""
         k, t = F.col("tile").cast("int"), F.col("t")
-        own = lambda a, b, m: F.when((t * 31 + k) % 97 != 0, (t * a + k * b) % m - m // 2)
+        lost = F.when(F.col("kind") == "pair", (t * 31 + k) % 97 == 0).otherwise(t % 401 == 400)
+        own = lambda a, b, m: F.when(~lost, (t * a + k * b) % m - m // 2)
         s = self.row_steps
         return s.select("t", F.col("tile").alias("name"), "kind", F.when(F.col("kind") == "drift", t - 1).when(F.col("kind") == "pair", t).alias("pt"), F.when(F.col("kind") == "drift", F.col("tile")).otherwise(F.col("via")).alias("pname"), own(7, 3, 5).alias("dz"), own(5, 11, 7).alias("dy"), own(3, 5, 9).alias("dx"))
 

@@ -4,35 +4,35 @@ from __future__ import annotations
 
 _BASE = """
 ev AS (SELECT *, CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 5.0) AS INTEGER) AS file_i, date_trunc('hour', ts) AS h FROM events),
-hours AS (SELECT DISTINCT file_i, h FROM ev),
+hours AS MATERIALIZED (SELECT DISTINCT file_i, h FROM ev),
 f0 AS (SELECT file_i, CAST(count(*) AS INTEGER) AS nt FROM hours GROUP BY file_i),
-files AS (SELECT file_i, nt, CAST(coalesce(sum(nt) OVER (ORDER BY file_i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS file_start,
+files AS MATERIALIZED (SELECT file_i, nt, CAST(coalesce(sum(nt) OVER (ORDER BY file_i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS file_start,
   substr(sha256('{"mtime":' || (1700000000 + file_i) || ',"path":"block_' || file_i || '.nd2","size":' || (nt * 1000) || '}'), 1, 16) AS file_key FROM f0),
 nf AS (SELECT CAST(count(*) AS INTEGER) AS n, CAST(sum(nt) AS INTEGER) AS nt FROM files),
-times AS (SELECT CAST(file_start + r.i AS INTEGER) AS t, file_i, CAST(r.i AS INTEGER) AS local_t FROM files, LATERAL (SELECT unnest(range(nt)) AS i) r),
-hour_t AS (SELECT h, CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS t FROM hours),
-pos AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS name, CAST(s_suppkey AS INTEGER) AS key, CAST(s_suppkey % 3 AS INTEGER) AS start_file, CAST(s_suppkey % 5 AS INTEGER) AS start_t,
+times AS MATERIALIZED (SELECT CAST(file_start + r.i AS INTEGER) AS t, file_i, CAST(r.i AS INTEGER) AS local_t FROM files, LATERAL (SELECT unnest(range(nt)) AS i) r),
+hour_t AS MATERIALIZED (SELECT h, CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS t FROM hours),
+pos AS MATERIALIZED (SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS name, CAST(s_suppkey AS INTEGER) AS key, CAST(s_suppkey % 3 AS INTEGER) AS start_file, CAST(s_suppkey % 5 AS INTEGER) AS start_t,
   CASE WHEN s_suppkey % 4 = 0 THEN (SELECT n FROM nf) - 1 END AS end_file,
   55.0 * (s_suppkey % 10) + (((CAST(round(s_acctbal * 100) AS BIGINT) % 7) + 7) % 7 - 3) AS x, 55.0 * (s_suppkey // 10) AS y FROM supplier),
-tiles AS (SELECT name, CAST(s.file_start + start_t AS INTEGER) AS first_t, CASE WHEN end_file IS NULL THEN (SELECT nt FROM nf) ELSE e.file_start + e.nt END AS last_t
+tiles AS MATERIALIZED (SELECT name, CAST(s.file_start + start_t AS INTEGER) AS first_t, CASE WHEN end_file IS NULL THEN (SELECT nt FROM nf) ELSE e.file_start + e.nt END AS last_t
   FROM pos JOIN files s ON s.file_i = start_file LEFT JOIN files e ON e.file_i = end_file - 1),
-refs AS (SELECT name, file_i FROM pos, files WHERE (key + file_i) % 7 = 0),
-ovr AS (SELECT DISTINCT t, CASE event_type WHEN 'error' THEN 'drop' WHEN 'click' THEN 'unanchor' WHEN 'signup' THEN 'anchor' WHEN 'purchase' THEN 'realign' END AS verb,
+refs AS MATERIALIZED (SELECT name, file_i FROM pos, files WHERE (key + file_i) % 7 = 0),
+ovr AS MATERIALIZED (SELECT DISTINCT t, CASE event_type WHEN 'error' THEN 'drop' WHEN 'click' THEN 'unanchor' WHEN 'signup' THEN 'anchor' WHEN 'purchase' THEN 'realign' END AS verb,
   lpad(CAST(user_id % (SELECT count(*) FROM supplier) AS VARCHAR), 6, '0') AS name FROM ev JOIN hour_t USING (h) WHERE event_type IN ('error', 'click', 'signup', 'purchase')),
-alive AS (SELECT t.t, name, file_i, local_t FROM tiles JOIN times t ON t.t >= first_t AND t.t < last_t
+alive AS MATERIALIZED (SELECT t.t, name, file_i, local_t FROM tiles JOIN times t ON t.t >= first_t AND t.t < last_t
   WHERE NOT EXISTS (SELECT 1 FROM ovr o WHERE o.verb = 'drop' AND o.t = t.t AND o.name = tiles.name)),
-state AS (SELECT a.t, a.name, a.file_i, a.local_t, (n.name IS NOT NULL OR (r.name IS NOT NULL AND u.name IS NULL)) AS anchor FROM alive a
+state AS MATERIALIZED (SELECT a.t, a.name, a.file_i, a.local_t, (n.name IS NOT NULL OR (r.name IS NOT NULL AND u.name IS NULL)) AS anchor FROM alive a
   LEFT JOIN refs r ON r.name = a.name AND r.file_i = a.file_i
   LEFT JOIN (SELECT * FROM ovr WHERE verb = 'unanchor') u ON u.t = a.t AND u.name = a.name
   LEFT JOIN (SELECT * FROM ovr WHERE verb = 'anchor') n ON n.t = a.t AND n.name = a.name),
 near AS (SELECT i.name AS ni, j.name AS nj, i.x - j.x AS dx, i.y - j.y AS dy FROM pos i JOIN pos j ON i.name < j.name AND abs(i.x - j.x) < 60 AND abs(i.y - j.y) < 60),
-pairs AS (SELECT CASE WHEN dy > 0 THEN ni ELSE nj END AS a, CASE WHEN dy > 0 THEN nj ELSE ni END AS b, 1 AS axis FROM near WHERE abs(dx) < 5 AND abs(dy) > 50 AND abs(dy) < 60
+pairs AS MATERIALIZED (SELECT CASE WHEN dy > 0 THEN ni ELSE nj END AS a, CASE WHEN dy > 0 THEN nj ELSE ni END AS b, 1 AS axis FROM near WHERE abs(dx) < 5 AND abs(dy) > 50 AND abs(dy) < 60
   UNION SELECT CASE WHEN dx > 0 THEN ni ELSE nj END, CASE WHEN dx > 0 THEN nj ELSE ni END, 2 FROM near WHERE abs(dy) < 5 AND abs(dx) > 50 AND abs(dx) < 60),
-pairs_at AS (SELECT x.t, a, b, axis FROM pairs JOIN alive x ON x.name = a JOIN alive y ON y.name = b AND y.t = x.t),
-vols AS (SELECT t, name, file_key AS file, CAST(name AS INTEGER) AS pos, local_t, '["' || file_key || '",' || CAST(name AS INTEGER) || ',' || local_t || ',4]' AS js FROM alive JOIN files USING (file_i)),
-tt AS (SELECT s.t, s.name, r.name IS NOT NULL AS realign, p.js AS sjs, v.js AS djs, p.file AS sf, p.pos AS sp, p.local_t AS sl, v.file AS df, v.pos AS dp, v.local_t AS dl FROM state s JOIN vols v ON v.t = s.t AND v.name = s.name JOIN vols p ON p.t = s.t - 1 AND p.name = s.name
+pairs_at AS MATERIALIZED (SELECT x.t, a, b, axis FROM pairs JOIN alive x ON x.name = a JOIN alive y ON y.name = b AND y.t = x.t),
+vols AS MATERIALIZED (SELECT t, name, file_key AS file, CAST(name AS INTEGER) AS pos, local_t, '["' || file_key || '",' || CAST(name AS INTEGER) || ',' || local_t || ',4]' AS js FROM alive JOIN files USING (file_i)),
+tt AS MATERIALIZED (SELECT s.t, s.name, r.name IS NOT NULL AS realign, p.js AS sjs, v.js AS djs, p.file AS sf, p.pos AS sp, p.local_t AS sl, v.file AS df, v.pos AS dp, v.local_t AS dl FROM state s JOIN vols v ON v.t = s.t AND v.name = s.name JOIN vols p ON p.t = s.t - 1 AND p.name = s.name
   LEFT JOIN (SELECT * FROM ovr WHERE verb = 'realign') r ON r.t = s.t AND r.name = s.name WHERE s.anchor AND s.t >= 1),
-tasks AS (
+tasks AS MATERIALIZED (
   SELECT t, 'time' AS kind, 0 AS kind_rank, name AS a, NULL AS b, 0 AS axis, realign, sf, sp, sl, df, dp, dl,
     substr(sha256('["time",' || sjs || ',' || djs || ',' || CASE WHEN realign THEN '[[1,3],[null,null],[null,null]]' ELSE '[[0,4],[null,null],[1,3]]' END || ',"float32"]'), 1, 16) AS key,
     'time ' || name || ' ' || (t - 1) || '->' || t || CASE WHEN realign THEN ' (realign)' ELSE '' END AS what FROM tt
@@ -40,33 +40,33 @@ tasks AS (
   SELECT p.t, 'pair', 1, a, b, axis, false, s.file, s.pos, s.local_t, d.file, d.pos, d.local_t,
     substr(sha256('["pair",' || s.js || ',' || d.js || ',' || axis || ',550,' || CASE WHEN axis = 2 THEN '[[0,4],[null,null],[null,null]]' ELSE '[[0,4],[null,null],[1,3]]' END || ',"float32"]'), 1, 16),
     'pair ' || a || '|' || b || ' axis=' || axis || ' t=' || p.t FROM pairs_at p JOIN vols s ON s.t = p.t AND s.name = a JOIN vols d ON d.t = p.t AND d.name = b),
-done AS (SELECT key FROM tasks WHERE CAST('0x' || substr(key, 1, 4) AS INTEGER) % 7 <> 0)
+done AS MATERIALIZED (SELECT key FROM tasks WHERE CAST('0x' || substr(key, 1, 4) AS INTEGER) % 7 <> 0)
 """
 
 _ROWS = (
     _BASE
     + """,
-rs AS (SELECT t, name, substr(name, 6, 1) = '0' AS anchor FROM state),
-rp AS (SELECT t, a, b FROM pairs_at WHERE axis = 2),
-edge AS (SELECT t, a AS x, b AS y FROM rp UNION SELECT t, b, a FROM rp),
+rs AS MATERIALIZED (SELECT t, name, name = '000000' AS anchor FROM state),
+rp AS MATERIALIZED (SELECT t, a, b FROM pairs_at WHERE axis = 2),
+edge AS MATERIALIZED (SELECT t, a AS x, b AS y FROM rp UNION SELECT t, b, a FROM rp),
 part AS (SELECT t, name, name AS label FROM rs UNION SELECT p.t, e.y, p.label FROM part p JOIN edge e ON e.t = p.t AND e.x = p.name),
-comp AS (SELECT t, name, min(label) AS component FROM part GROUP BY t, name),
+comp AS MATERIALIZED (SELECT t, name, min(label) AS component FROM part GROUP BY t, name),
 first_tile AS (SELECT t, min(name) AS lo, min(name) FILTER (WHERE anchor) AS lead FROM rs GROUP BY t),
 drifting AS (SELECT s.t, s.name FROM rs s JOIN rs p ON p.t = s.t - 1 AND p.name = s.name WHERE s.anchor AND s.t > 0),
-seed AS (SELECT t, name, 'drift' AS kind FROM drifting
+seed AS MATERIALIZED (SELECT t, name, 'drift' AS kind FROM drifting
   UNION ALL SELECT t, coalesce(lead, lo), 'origin' FROM first_tile WHERE t = 0
   UNION ALL SELECT t, lo, 'origin' FROM first_tile WHERE t > 0 AND t NOT IN (SELECT t FROM drifting)),
 step AS (SELECT t, name AS tile, kind, CAST(NULL AS VARCHAR) AS via, 0 AS axis FROM seed
   UNION SELECT s.t, e.y, 'pair', s.tile, 2 FROM step s JOIN edge e ON e.t = s.t AND e.x = s.tile AND e.y IS DISTINCT FROM s.via),
-node AS (SELECT t, tile AS name, kind, CASE kind WHEN 'drift' THEN t - 1 WHEN 'pair' THEN t END AS pt, CASE kind WHEN 'drift' THEN tile ELSE via END AS pname,
-  CASE WHEN (t * 31 + CAST(tile AS INTEGER)) % 97 <> 0 THEN (t * 7 + CAST(tile AS INTEGER) * 3) % 5 - 2 END AS dz,
-  CASE WHEN (t * 31 + CAST(tile AS INTEGER)) % 97 <> 0 THEN (t * 5 + CAST(tile AS INTEGER) * 11) % 7 - 3 END AS dy,
-  CASE WHEN (t * 31 + CAST(tile AS INTEGER)) % 97 <> 0 THEN (t * 3 + CAST(tile AS INTEGER) * 5) % 9 - 4 END AS dx FROM step),
+node AS MATERIALIZED (SELECT t, tile AS name, kind, CASE kind WHEN 'drift' THEN t - 1 WHEN 'pair' THEN t END AS pt, CASE kind WHEN 'drift' THEN tile ELSE via END AS pname,
+  CASE WHEN NOT (CASE WHEN kind = 'pair' THEN (t * 31 + CAST(tile AS INTEGER)) % 97 = 0 ELSE t % 401 = 400 END) THEN (t * 7 + CAST(tile AS INTEGER) * 3) % 5 - 2 END AS dz,
+  CASE WHEN NOT (CASE WHEN kind = 'pair' THEN (t * 31 + CAST(tile AS INTEGER)) % 97 = 0 ELSE t % 401 = 400 END) THEN (t * 5 + CAST(tile AS INTEGER) * 11) % 7 - 3 END AS dy,
+  CASE WHEN NOT (CASE WHEN kind = 'pair' THEN (t * 31 + CAST(tile AS INTEGER)) % 97 = 0 ELSE t % 401 = 400 END) THEN (t * 3 + CAST(tile AS INTEGER) * 5) % 9 - 4 END AS dx FROM step),
 placed AS (SELECT t, name, 0.0::DOUBLE AS z, 0.0::DOUBLE AS y, 0.0::DOUBLE AS x FROM node WHERE kind = 'origin'
   UNION ALL SELECT n.t, n.name, p.z + n.dz, p.y + n.dy, p.x + n.dx FROM placed p JOIN node n ON n.pt = p.t AND n.pname = p.name WHERE n.dz IS NOT NULL),
 ext AS (SELECT min(z) AS z0, max(z) + 4 AS z1, min(y) AS y0, max(y) + 64 AS y1, min(x) AS x0, max(x) + 64 AS x1 FROM placed),
 geo AS (SELECT CAST(floor(z0) AS INTEGER) AS oz, CAST(floor(y0 - 8) AS INTEGER) AS oy, CAST(floor(x0 - 8) AS INTEGER) AS ox, 0 AS nt, CAST(ceil(z1 - z0) AS INTEGER) AS nz, CAST(ceil(y1 - y0 + 16) AS INTEGER) AS ny, CAST(ceil(x1 - x0 + 16) AS INTEGER) AS nx FROM ext),
-box AS (SELECT t, name, CAST(trunc(z - oz) AS INTEGER) AS z_lo, CAST(trunc(z - oz) AS INTEGER) + 4 AS z_hi, CAST(trunc(y - oy) AS INTEGER) AS y_lo, CAST(trunc(y - oy) AS INTEGER) + 64 AS y_hi,
+box AS MATERIALIZED (SELECT t, name, CAST(trunc(z - oz) AS INTEGER) AS z_lo, CAST(trunc(z - oz) AS INTEGER) + 4 AS z_hi, CAST(trunc(y - oy) AS INTEGER) AS y_lo, CAST(trunc(y - oy) AS INTEGER) + 64 AS y_hi,
   CAST(trunc(x - ox) AS INTEGER) AS x_lo, CAST(trunc(x - ox) AS INTEGER) + 64 AS x_hi FROM placed, geo),
 bb AS (SELECT t, min(z_lo) AS z_lo, max(z_hi) AS z_hi, min(y_lo) AS y_lo, max(y_hi) AS y_hi, min(x_lo) AS x_lo, max(x_hi) AS x_hi FROM box GROUP BY t)
 """
