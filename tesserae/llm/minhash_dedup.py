@@ -145,8 +145,8 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, shingle: int =
 
     several_texts = sets.groupBy("doc").agg(F.count_distinct("set1", "set2").alias("n")).where("n > 1").select("doc")
     alias_links = sets.join(several_texts, "doc").join(classes.select("set1", "set2", "rep"), ["set1", "set2"]).select(F.col("doc").alias("a"), F.col("rep").alias("b")).where("a <> b")
-    links = durable(alias_links.distinct())
-    verify = lambda pairs: durable(_texts(pairs, full).mapInArrow(_confirm(threshold, shingle), "a long, b long"))
+    links = alias_links.distinct()
+    verify = lambda pairs: _texts(pairs, full).mapInArrow(_confirm(threshold, shingle), "a long, b long")
 
     # 1. every list against its most central member
     hubs = merged.groupBy("token").agg(F.min(F.struct(-F.col("central"), "rep")).alias("x"), F.count("*").alias("size")).where("size > 1").select("token", F.col("x.rep").alias("hub"), "size")
@@ -172,8 +172,8 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, shingle: int =
         family = family.select(F.col("component").alias("token"), F.col("node").alias("rep")).join(dense.select("rep", "component").distinct(), "rep")
         sizes = family.groupBy("token").agg(F.count("*").alias("size"))
         packed = _in_blocks(family.join(sizes, "token").join(full, "rep"), "token", DENSE_BLOCK, F.struct("rep", "component", "body"))
-        links = links.unionByName(durable(packed.mapInArrow(_link_block(threshold, shingle), "a long, b long")))
-    labels = components(durable(links.distinct()))
+        links = links.unionByName(packed.mapInArrow(_link_block(threshold, shingle), "a long, b long"))
+    labels = components(links)
 
     of_class = classes.select("set1", "set2", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("set1", "set2", F.coalesce("component", "rep").alias("component_id"))
     out = signed.select("doc", "n", "set1", "set2").join(of_class, ["set1", "set2"], "left")
