@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textscan as ts
-from .runtime import durable, shuffle_partitions
+from .runtime import durable, release_memory, shuffle_partitions
 
 U = np.uint64
 CHUNK = 1 << 19  # postings held by a mapper
@@ -123,7 +123,7 @@ class Poster:
             d, n = np.unique(of[k], return_counts=True)
             gk, rk = g[k], run[k]
             parts.append(bucket[a])
-            blobs.append(b"".join(x.tobytes() for x in (np.array([len(d), len(k)], dtype=np.uint32), ids[d], fps[d], n.astype(np.uint32), gk.astype(np.uint32), (gk >> U(32)).astype(np.uint16), rk.astype(np.uint32), (rk >> U(32)).astype(np.uint8), at[k], count[k])))
+            blobs.append(_pack(ids[d], fps[d], n, gk, rk, at[k], count[k]))
             if len(blobs) == 64:
                 yield _rows(parts, POST, 0, 0, pa.array(blobs, pa.binary()))
                 parts, blobs = [], []
@@ -131,11 +131,25 @@ class Poster:
             yield _rows(parts, POST, 0, 0, pa.array(blobs, pa.binary()))
 
 
+def _planes(x: np.ndarray) -> list[np.ndarray]:
+    """Lower and upper halves of 32-bit numbers apart: the upper ones, mostly zero, then compress to nothing."""
+    return [x.astype(np.uint16), (x >> 16).astype(np.uint16)]
+
+
+def _pack(ids, fps, n, g, run, at, count) -> bytes:
+    """Documents (ascending: gaps between ids) with their numbers of postings, then the postings."""
+    gaps = np.diff(ids, prepend=ids[:1])
+    wide = bool(gaps.max() >> 32)
+    head = np.array([len(ids), len(g), wide], dtype=np.uint32), ids[:1]
+    parts = [*head, *([gaps] if wide else _planes(gaps)), fps, *_planes(n), g.astype(np.uint32), (g >> U(32)).astype(np.uint16), run.astype(np.uint32), (run >> U(32)).astype(np.uint8), *_planes(at), count]
+    return b"".join(x.tobytes() for x in parts)
+
+
 def _unpack(blobs: list[bytes]):
     cols = [[] for _ in range(6)]
     for blob in blobs:
-        nd, n = np.frombuffer(blob, np.uint32, 2)
-        o = 8
+        nd, n, wide = np.frombuffer(blob, np.uint32, 3)
+        o = 12
 
         def take(t, k, blob=blob):
             nonlocal o
@@ -143,10 +157,16 @@ def _unpack(blobs: list[bytes]):
             o += out.nbytes
             return out
 
-        ids, fps, rep = take(np.int64, nd), take(np.int32, nd), take(np.uint32, nd)
+        def planes(k, take=take):
+            low = take(np.uint16, k).astype(np.uint32)
+            return low | (take(np.uint16, k).astype(np.uint32) << 16)
+
+        first = take(np.int64, 1)
+        ids = first + np.cumsum(take(np.int64, nd) if wide else planes(nd).astype(np.int64))
+        fps, rep = take(np.int32, nd), planes(nd)
         g = take(np.uint32, n).astype(np.uint64) | (take(np.uint16, n).astype(np.uint64) << U(32))
         run = take(np.uint32, n).astype(np.uint64) | (take(np.uint8, n).astype(np.uint64) << U(32))
-        for c, x in zip(cols, (np.repeat(ids, rep), np.repeat(fps, rep), g, run, take(np.uint32, n), take(np.uint8, n)), strict=True):
+        for c, x in zip(cols, (np.repeat(ids, rep), np.repeat(fps, rep), g, run, planes(n), take(np.uint8, n)), strict=True):
             c.append(x)
     return [np.concatenate(c) for c in cols]
 
@@ -197,6 +217,7 @@ def settler(hot_runs: int):
         held: dict[int, list[bytes]] = {}
         yield from sort_kinds(it, held)
         yield from settle(held.get(POST, []), hot_runs)
+        release_memory()
 
     return reduce
 
@@ -237,4 +258,6 @@ def batches(it: Iterator[pa.RecordBatch], poster: Poster, one_row) -> Iterator[p
             one_row(*row)
             if poster.full():
                 yield from poster.flush()
+    release_memory()
     yield from poster.flush()
+    release_memory()
