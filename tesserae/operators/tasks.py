@@ -112,7 +112,7 @@ def status(tasks: DataFrame, done: DataFrame) -> DataFrame:
 
 def show(tasks: DataFrame, offsets: DataFrame, t: int) -> DataFrame:
     """Tasks of one timepoint with their offsets, nulls where there is none yet."""
-    return tasks.where(F.col("t") == t).join(offsets, "key", "left").select("what", "dz", "dy", "dx")
+    return tasks.where(F.col("t") == t).join(offsets.select("key", "dz", "dy", "dx"), "key", "left").select("what", "dz", "dy", "dx")
 
 
 def last_wins(log: DataFrame, key: str, order: list[str]) -> DataFrame:
