@@ -128,9 +128,9 @@ def test_decontamination(spark):
 
 
 def test_slots_must_correspond(spark):
-    bench = spark.createDataFrame([(1, "so she gave the same sum of 5 and again of 5 and once more of 5 then")], "item_id long, text string")
-    same = "so she gave the same sum of 8 and again of 8 and once more of 8 then"
-    df = spark.createDataFrame([(1, same), (2, same.replace("again of 8", "again of 9"))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "sum of 5 and then of 5 and once of 5 and last of 5 so")], "item_id long, text string")
+    same = "sum of 8 and then of 8 and once of 8 and last of 8 so"
+    df = spark.createDataFrame([(1, same), (2, same.replace("then of 8", "then of 9").replace("last of 8", "last of 9"))], "doc_id long, text string")
     assert {r.doc_id: r.contaminated for r in decontaminate.judge(df, bench).collect()} == {1: True, 2: False}
 
 
