@@ -11,8 +11,9 @@ from .decontaminate import op8
 from .html_extract import op2
 from .kn_quality import op9
 from .license_scan import op5
-from .maxscore import OP4_SQL, op4
+from .maxscore import op4
 from .minhash_dedup import op1
+from .oracles import ALL
 from .substring_dedup import op3
 from .suffix_dedup import op10
 from .token_counts import op6
@@ -36,4 +37,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_maxscore": OP4_SQL}
+    return dict(ALL)
