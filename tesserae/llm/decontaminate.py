@@ -87,7 +87,8 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     capital = (first >= 65) & (first <= 90) | (first == 0xC3) & (second >= 0x80) & (second <= 0x9E)
     before, earlier = raw[np.maximum(starts - 1, 0)], raw[np.maximum(starts - 2, 0)]
     inner = (starts >= 2) & (before == 0x20) & ~_ends_sentence()[earlier]
-    is_name = capital & inner & ~is_num
+    upper = (second >= 65) & (second <= 90)  # words in capitals throughout are no names
+    is_name = capital & ~upper & inner & ~is_num
     is_unit = _in(units, h) & np.concatenate([[False], is_num[:-1]]) & ~is_num
     out = np.where(is_num, num, np.where(is_name, name, np.where(is_unit, unit, h)))
     slots = np.where(is_num | is_name | is_unit, h | U(1), U(0))
