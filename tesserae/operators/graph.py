@@ -22,6 +22,12 @@ def topologies(state: DataFrame, pairs_at: DataFrame) -> DataFrame:
 
 
 def _distinct(tops: DataFrame) -> DataFrame:
+    # topologies are few and large: an own partition for each, so that they are not put together by their bytes
+    n = int(tops.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _grouped(tops).repartition(n, "topology")
+
+
+def _grouped(tops: DataFrame) -> DataFrame:
     return tops.groupBy("topology").agg(*[F.first(c).alias(c) for c in ("names", "anchors", "seeds", "pairs")])
 
 
