@@ -38,6 +38,8 @@ POST, FRAGMENT = 10, 11
 def anchors_of(values: np.ndarray, parts: np.ndarray, length: int, part: int):
     """Anchor hash, run hash, first window and number of windows of each run.  At most SEGMENT items at once."""
     width = length - part + 1
+    if not 0 < part < length or width > 255:
+        raise ValueError(f"windows of {length} with parts of {part}: a run must hold 1 to 255 windows")
     place = ts.sliding_anchor(parts, width)
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     count = np.diff(np.concatenate([first, [len(place)]]))
