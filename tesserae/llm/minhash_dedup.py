@@ -36,7 +36,7 @@ SHINGLE, THRESHOLD = 5, 75  # words; percent
 COORDINATES, MATCHES = 64, 32
 PREFIX = COORDINATES - MATCHES + 1
 BLOCK, DENSE_BLOCK = 1024, 256  # members compared at once: signatures, full sets
-NEAR_EACH, NEAR_MORE = 32, 1000  # near pairs of a block that are written down, by member and beside; beyond: full sets in place
+NEAR_EACH, NEAR_MORE = 8, 256  # near pairs of a block that are written down, by member and beside; beyond: full sets in place
 
 
 def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
