@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import coords, graph, layout, tasks
+from ..sources.ship import ship_code
 
 SPACING, ERROR, JITTER, VOXEL = 55.0, 5.0, 7, 0.1
 NZ, NY, NX = 4, 64, 64
@@ -31,6 +32,9 @@ class Acquisition:
     spark: SparkSession
     sf_dir: str
 
+    def __post_init__(self):
+        ship_code(self.spark)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 

@@ -14,6 +14,7 @@ from ..sources import config as cf
 from ..sources import headers as hd
 from ..sources import store
 from ..sources import volumes as vol
+from ..sources.ship import ship_code
 
 
 class MissingOffsets(RuntimeError):
@@ -25,6 +26,7 @@ class MissingOffsets(RuntimeError):
 
 class Project:
     def __init__(self, spark: SparkSession, path: str | Path, precision: str = "float32", read=hd.read_sidecar, cache: bool = True):
+        ship_code(spark)
         self.spark, self.precision, self.work = spark, precision, cf.Workspace.of(path)
         self.cfg = validate.validate(cf.load(path))
         here = Path(path).parent
