@@ -1,13 +1,15 @@
 """Quality classifier: interpolated modified Kneser-Ney bigrams of trusted text, scored by sharded count joins.
 
-Trusted text is what the labels call good and not toxic.  Words become ids per language: the ``VOCABULARY`` most frequent
-(language, word) pairs of trusted text have their own (a documented bound of the model; ids take 16 bits),
-the others go by their shape (lower case, capitalised, upper case, digits, symbols), and a word that repeats the one before
-it has an id that tells the length of the run (2, 4, 8 or more), so that runs are as unlikely as they are in trusted text.
-
-Bigram counts stay in ``SHARDS`` shards.  Documents are dealt into groups; the distinct bigrams of a group's documents are
-packed by shard and meet the counts of that shard there; what comes back is a sum of log-probabilities per document and
-shard, and the sums give the perplexity.  Only what is bounded by the
+Trusted text is what the labels call good and not toxic.  Words become ids per language: every (language, word) pair that
+occurs ``MIN_COUNT`` times in trusted text has its own, the others go by their shape (lower case, capitalised, upper case,
+digits, symbols) and cost P(class) * P(word | class), where the words of a class are alike: 1 / (its rarer trusted words + 1
+for those never seen).  A word that repeats the one before it has an id that tells the length of the run (2, 4, 8 or more),
+so that runs are as unlikely as they are in trusted text.
+
+Bigram counts are merged, kept and met in packed shards, by ranges of a hash.  Documents go in batches, each to one group of
+shards; the distinct bigrams of a batch are packed by shard and meet the counts of that shard there; what comes back is a
+vector of sums of log-probabilities per batch and shard, and the sums give the perplexity.  The number of shards weighs the
+copies of the counts (one a group) against those vectors.  Only what is bounded by the
 vocabulary (discounts, contexts, continuation counts) is broadcast.  A document is rejected if its perplexity is beyond
 ``MARGIN`` times the ``QUANTILE`` quantile of the trusted documents of its language, over the quarter of them that is held
 out of the counts (documents that the model has seen would set the limit too low).
@@ -24,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,15 +35,16 @@ from . import textscan as ts
 from .runtime import durable, ship_code, shuffle_partitions, table
 
 U = np.uint64
-VOCABULARY, MIN_COUNT = 4_000, 20
+MIN_COUNT = 20
 QUANTILE, MARGIN = 0.99, 2.0
 MIN_WORDS = 12  # shorter texts say too little and are kept
 BROADCAST_IDS = 2_000_000  # trusted ids that may be broadcast; more are joined by a shuffle
 PAIRS = 1 << 20
-SHARDS = 4  # of the counts; every group of documents meets each of them, so a document comes back in so many parts at most
+SHARD_PAIRS = 1 << 21  # bigrams of a shard, as far as there are partitions
 CLASSES = ("start", "repeat", "run4", "run8", "lower", "capital", "upper", "digit", "symbol", "mixed")
 REQUEST, COUNTS = an.POST, an.FRAGMENT
-PAIR = np.dtype([("key", "<u4"), ("part", "<f4")])
+PAIR = np.dtype([("key", "<u8"), ("part", "<f4")])
+NO_MEMBERS = 4  # the first classes tell all of a word; the others have members
 
 
 def _shape_values() -> np.ndarray:
@@ -84,7 +88,7 @@ def word_keys(text: str, lang: str | None):
 
 class Vocabulary:
     def __init__(self, keys: np.ndarray, langs: list[str]):
-        """``keys``: hashes of (language, word); ids of classes come first, for each language."""
+        """``keys``: hashes of (language, word), any number; ids of classes come first, for each language."""
         self.first = len(langs) * len(CLASSES)
         self.langs = {lang: k * len(CLASSES) for k, lang in enumerate(langs)}
         order = np.argsort(keys)
@@ -111,39 +115,64 @@ class Vocabulary:
 
 
 def _bigrams(ids: np.ndarray) -> np.ndarray:
-    return (ids[:-1] << 16) | ids[1:]
+    return (ids[:-1].astype(U) << U(32)) | ids[1:].astype(U)
+
+
+def _squeeze(*columns: np.ndarray) -> bytes:
+    """Columns of one blob, their bytes by significance, compressed; ``_spread`` reads them."""
+    raw = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns)
+    return np.array([len(raw)], np.int64).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _spread(blob: bytes, *columns: tuple[type, int]) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(blob[8:], int(np.frombuffer(blob, np.int64, 1)[0]), codec="zstd"), np.uint8)
+    out, o = [], 0
+    for kind, n in columns:
+        size = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(raw[o : o + size * n].reshape(size, n).T).view(kind).reshape(n))
+        o += size * n
+    return out
+
+
+def _steps(keys: np.ndarray) -> np.ndarray:
+    """Differences of ascending keys (the first from 0); their running sum gives the keys back."""
+    return np.diff(keys, prepend=U(0))
 
 
 def _word_counts(it):
-    """(language, key, n) of a partition, summed as far as it fits."""
-    held: dict[str, list[np.ndarray]] = {}
+    """(language, key, shape, n) of a partition, summed as far as it fits."""
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     size = 0
 
     def flush():
         for lang, parts in held.items():
-            key, n = np.unique(np.concatenate(parts), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key)), pa.array(key.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "key", "n"])
+            key, at, n = np.unique(np.concatenate([h for h, _ in parts]), return_index=True, return_counts=True)
+            shape = np.concatenate([x for _, x in parts])[at]  # a word's bytes tell its shape
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key)), pa.array(key.view(np.int64)), pa.array(shape, pa.int32()), pa.array(n, pa.int64())], names=["lang", "key", "shape", "n"])
         held.clear()
 
     for b in it:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            h = word_keys(text, lang)[3]
-            held.setdefault(lang or "", []).append(h)
-            size += len(h)
+            data, starts, ends, h = word_keys(text, lang)
+            if len(h):
+                held.setdefault(lang or "", []).append((h, _shapes(data, starts, ends).astype(np.int8)))
+                size += len(h)
         if size > 1 << 22:
             yield from flush()
             size = 0
     yield from flush()
 
 
-def _bigram_counts(vocabulary):
+def _bigram_counts(vocabulary, parts: int):
+    """Counts of a partition's bigrams, packed by ranges of their hash."""
+
     def run(it):
         v, held, size = vocabulary.value, [], 0
 
         def flush():
             key, n = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(key >> 16, pa.int32()), pa.array(key & 0xFFFF, pa.int32()), pa.array(n, pa.int64())], names=["v", "w", "n"])
+            yield from _by_part(key, n.astype(np.int64), np.int64, parts)
 
         for b in it:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -151,35 +180,83 @@ def _bigram_counts(vocabulary):
                     held.append(_bigrams(ids))
                     size += len(held[-1])
             if size > 1 << 22:
-                yield flush()
+                yield from flush()
                 size = 0
         if held:
-            yield flush()
+            yield from flush()
 
     return run
 
 
-def _requests(vocabulary, groups: int):
-    """The distinct bigrams of documents, packed by shard: keys, how many documents hold each, their places and counts."""
+def _by_part(key: np.ndarray, value: np.ndarray, kind: type, parts: int, groups: int = 1) -> Iterator[pa.RecordBatch]:
+    """Ascending keys and their values in one row for each part, and again for each group."""
+    part = _part(key, parts)
+    order = np.argsort(part, kind="stable")
+    cut = np.flatnonzero(np.concatenate([[True], np.diff(part[order]) != 0, [True]]))
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        mine = order[a:b]
+        blob = np.array([b - a], np.int64).tobytes() + _squeeze(_steps(key[mine]), value[mine].astype(kind))
+        yield an._rows(np.arange(groups) * parts + part[mine[0]], COUNTS, 0, 0, pa.array([blob] * groups, pa.binary()))
+
+
+def _keyed(blob: bytes, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(blob, np.int64, 1)[0])
+    step, value = _spread(blob[8:], (U, n), (kind, n))
+    return np.cumsum(step, dtype=U), value
+
+
+def _merge_counts(it):
+    """One row of summed counts for each partition."""
+    held: dict[int, list[bytes]] = {}
+    for _ in an.sort_kinds(it, held):
+        pass
+    if blobs := held.get(COUNTS):
+        keys, counts = (np.concatenate(x) for x in zip(*(_keyed(x, np.int64) for x in blobs), strict=True))
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        yield from _by_part(keys[first], np.add.reduceat(counts[order], first), np.int64, 1)
+
+
+def _unpack_counts(it):
+    for b in it:
+        for blob in b.column("blob").to_pylist():
+            key, n = _keyed(blob, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((key >> U(32)).astype(np.int32)), pa.array(key.astype(np.uint32).astype(np.int32)), pa.array(n)], names=["v", "w", "n"])
+
+
+_REPLY = "batch long, docs binary, logp binary"
+
+
+def _requests(vocabulary, groups: int, shards: int):
+    """The distinct bigrams of batches of documents, packed by shard: keys, how many documents hold each, their places and counts.
+
+    With the first of a batch's rows go the keys of its documents and their numbers of words.
+    """
 
     def run(it):
-        v, docs, held, size = vocabulary.value, [], [], 0
+        v, docs, held, size, batches = vocabulary.value, [], [], 0, 0
+        task = TaskContext.get().partitionId()
 
         def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal batches
             key = np.concatenate([k for k, _ in held])
             n = np.concatenate([c for _, c in held])
             of = np.repeat(np.arange(len(held), dtype=np.uint32), [len(k) for k, _ in held])
-            ids, fps = np.array([d for d, _ in docs], dtype=np.int64), np.array([f for _, f in docs], dtype=np.int32)
-            group = (ts.mix(ids.view(np.uint64)) % U(groups)).astype(np.int64)
-            part = group[of] * SHARDS + _part(key, SHARDS)
+            total = np.array([int(c.sum()) for _, c in held], dtype=np.int64)
+            head = np.array([d for d, _ in docs], dtype=np.int64), np.array([f for _, f in docs], dtype=np.int32), total
+            part = _part(key, shards)
             order = np.lexsort((of, key, part))
             key, n, of, part = key[order], n[order], of[order], part[order]
             cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+            group = (task + batches) % groups
             for a, b in zip(cut[:-1], cut[1:], strict=True):
-                mine, place = np.unique(of[a:b], return_inverse=True)
                 keys, times = np.unique(key[a:b], return_counts=True)
-                blob = b"".join(x.tobytes() for x in (np.array([len(mine), len(keys), b - a], np.uint32), ids[mine], fps[mine], keys.astype(np.uint32), times.astype(np.uint32), place.astype(np.uint16), np.minimum(n[a:b], 65535).astype(np.uint16)))
-                yield an._rows([part[a]], REQUEST, 0, 0, pa.array([blob], pa.binary()))
+                first = () if a else head
+                sizes = np.array([task << 32 | batches, len(held), len(keys), b - a, len(first)], np.int64)
+                blob = sizes.tobytes() + _squeeze(*first, _steps(keys), times.astype(np.uint32), of[a:b].astype(np.uint16), n[a:b].astype(np.uint16))
+                yield an._rows([group * shards + part[a]], REQUEST, 0, 0, pa.array([blob], pa.binary()))
+            batches += 1
             docs.clear()
             held.clear()
 
@@ -205,54 +282,61 @@ def _requests(vocabulary, groups: int):
 
 
 def _part(key: np.ndarray, parts: int) -> np.ndarray:
-    return (ts.mix(key.astype(np.uint64)) % U(parts)).astype(np.int64)
-
-
-def _pack_counts():
-    def run(it):
-        for b in it:
-            key = (b.column(0).to_numpy().astype(np.int64) << 16) | b.column(1).to_numpy()
-            items = np.empty(len(key), dtype=PAIR)
-            items["key"], items["part"] = key, b.column(2).to_numpy()
-            part = _part(key, SHARDS)
-            for p in np.unique(part):
-                yield an._rows([p], COUNTS, 0, 0, pa.array([items[part == p].tobytes()], pa.binary()))
-
-    return run
+    """Parts are ranges of the hash, so that one division cuts another into few pieces."""
+    return (((ts.mix(key) >> U(32)) * U(parts)) >> U(32)).astype(np.int64)
 
 
 def _score(model):
-    """Sums of log-probabilities of each document's bigrams in a shard."""
-    schema = pa.schema([("doc", pa.int64()), ("fp", pa.int32()), ("logp", pa.float64()), ("n", pa.int64())])
+    """Sums of log-probabilities of a batch's documents in a shard."""
 
     def run(it):
         held: dict[int, list[bytes]] = {}
         for _ in an.sort_kinds(it, held):
             pass
-        rest, unigram = model.value
-        pairs = np.concatenate([np.frombuffer(x, PAIR) for x in held.get(COUNTS, [])] or [np.empty(0, PAIR)])
-        pairs = pairs[np.argsort(pairs["key"])]
+        rest, unigram, member = model.value
+        pairs = np.empty(0, PAIR)
+        if blobs := held.pop(COUNTS, None):
+            keys, shares = (np.concatenate(x) for x in zip(*(_keyed(x, np.float32) for x in blobs), strict=True))
+            pairs = np.empty(len(keys), PAIR)
+            order = np.argsort(keys)
+            pairs["key"], pairs["part"] = keys[order], shares[order]
+        known = np.ascontiguousarray(pairs["key"])
         for blob in held.get(REQUEST, []):
-            nd, nk, n = np.frombuffer(blob, np.uint32, 3).tolist()
-            o = 12
-
-            def take(t, k, blob=blob):
-                nonlocal o
-                out = np.frombuffer(blob, t, k, o)
-                o += out.nbytes
-                return out
-
-            ids, fps, keys, times, place, count = take(np.int64, nd), take(np.int32, nd), take(np.uint32, nk), take(np.uint32, nk), take(np.uint16, n), take(np.uint16, n)
-            p = rest[keys >> 16] * unigram[keys & 0xFFFF]
-            if len(pairs):
-                at = np.minimum(np.searchsorted(pairs["key"], keys), len(pairs) - 1)
-                p = p + np.where(pairs["key"][at] == keys, pairs["part"][at].astype(np.float64), 0.0)
-            logp = np.repeat(np.log(p), times) * count
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(fps), pa.array(np.bincount(place, logp, nd)), pa.array(np.bincount(place, count, nd).astype(np.int64))], schema=schema)
+            batch, nd, nk, n, first = np.frombuffer(blob, np.int64, 5).tolist()
+            head = ((np.int64, nd), (np.int32, nd), (np.int64, nd))[:first]
+            *docs, step, times, place, count = _spread(blob[40:], *head, (U, nk), (np.uint32, nk), (np.uint16, n), (np.uint16, n))
+            keys = np.cumsum(step, dtype=U)
+            v, w = (keys >> U(32)).astype(np.int64), (keys & U(0xFFFFFFFF)).astype(np.int64)
+            p = rest[v] * unigram[w]
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                p = p + np.where(known[at] == keys, pairs["part"][at].astype(np.float64), 0.0)
+            logp = np.bincount(place, np.repeat(np.log(p) + member[w], times) * count, nd)
+            yield pa.RecordBatch.from_arrays([pa.array([batch], pa.int64()), pa.array([_squeeze(*docs) if first else None], pa.binary()), pa.array([logp.astype(np.float32).tobytes()], pa.binary())], names=["batch", "docs", "logp"])
 
     return run
 
 
+def _sum_batches(it):
+    """Keys, sum of log-probabilities and number of words of each document of the batches."""
+    docs, sums = {}, {}
+    for b in it:
+        for batch, head, logp in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+            logp = np.frombuffer(logp, np.float32).astype(np.float64)
+            sums[batch] = sums[batch] + logp if batch in sums else logp
+            if head is not None:
+                docs[batch] = head
+    for batch, logp in sums.items():
+        ids, fps, n = _spread(docs[batch], (np.int64, len(logp)), (np.int32, len(logp)), (np.int64, len(logp)))
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(fps), pa.array(logp), pa.array(n)], names=["doc", "fp", "logp", "n"])
+
+
+def _shards(pairs: int, documents: int, partitions: int) -> int:
+    """A group's copy of the counts takes about 6 bytes a bigram, a document's sums 4 bytes a shard: the number with the least of both."""
+    best = round((partitions * 6 * pairs / (4 * max(documents, 1))) ** 0.5)
+    return min(max(best, -(-pairs // SHARD_PAIRS), 1), partitions)
+
+
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts for counts of one, two, and three or more."""
     if not n1 or not n2:
@@ -293,41 +377,49 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """__k, __fp (keys of a row), trusted, lang, n_tokens and perplexity of every row of ``docs`` (doc_id, text, lang)."""
     spark = docs.sparkSession
     ship_code(spark)
-    groups = max(1, shuffle_partitions(spark) // SHARDS)
     rows = docs.select(*_keys(), F.col("doc_id").cast("long").alias("__id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text"))
     good = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.min((F.coalesce("quality", F.lit(0)) > 0) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good")).where("good").select("__id")
     good = durable(good)
     if good.count() <= BROADCAST_IDS:
         good = F.broadcast(good)
     trusted = rows.where("text is not null").where(~_held_out()).join(good, "__id", "left_semi").select("lang", "text")
-    counts = trusted.mapInArrow(_word_counts, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    counts = trusted.mapInArrow(_word_counts, "lang string, key long, shape int, n long").groupBy("lang", "key").agg(F.first("shape").alias("shape"), F.sum("n").alias("n"))
     counts = durable(counts)
-    # at most one class set per language; languages by text, the vocabulary by count
+    # at most one class set per language; languages by text
     langs = [r["lang"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(512).collect()]
-    words = counts.where(F.col("n") >= MIN_COUNT).orderBy(F.desc("n"), "key", "lang").limit(VOCABULARY).select("lang", "key").toPandas()
-    words = words[words["lang"].isin(langs)]
-    place = {lang: k for k, lang in enumerate(langs)}
+    place = F.array_position(F.array(*map(F.lit, langs)).cast("array<string>"), F.col("lang")) - 1  # -1 beyond them
+    words = counts.where(F.col("n") >= MIN_COUNT).select("key", place.cast("int").alias("place")).where("place >= 0").toPandas()
+    rare = counts.where(F.col("n") < MIN_COUNT).groupBy(place.cast("int").alias("place"), "shape").agg(F.count("*").alias("types")).where("place >= 0").collect()
     vocabulary = Vocabulary(words["key"].to_numpy(dtype=np.int64).view(np.uint64), langs)
-    language = np.concatenate([np.repeat(np.arange(len(langs)), len(CLASSES)), words["lang"].map(place).to_numpy(dtype=np.int64)]).astype(np.int64)
+    language = np.concatenate([np.repeat(np.arange(len(langs)), len(CLASSES)), words["place"].to_numpy(dtype=np.int64)]).astype(np.int64)
     size = len(language)
+    member = np.zeros(size)
+    for r in rare:
+        if r["shape"] >= NO_MEMBERS:
+            member[r["place"] * len(CLASSES) + r["shape"]] = -np.log(r["types"] + 1)
     shared = spark.sparkContext.broadcast(vocabulary)
-    bigrams = durable(trusted.mapInArrow(_bigram_counts(shared), "v int, w int, n long").groupBy("v", "w").agg(F.sum("n").alias("n")))
+    parts = shuffle_partitions(spark)
+    merged = trusted.mapInArrow(_bigram_counts(shared, parts), an.POSTED).repartitionById(parts, F.col("part")).mapInArrow(_merge_counts, an.POSTED)
+    merged = durable(merged)
+    bigrams = merged.mapInArrow(_unpack_counts, "v int, w int, n long")
     rest, unigram, total, d_high = _model(bigrams, size, language)
-    tables = spark.sparkContext.broadcast((rest, unigram))
+    tables = spark.sparkContext.broadcast((rest, unigram, member))
     contexts = spark.sparkContext.broadcast((total, d_high, language))
+    shards = _shards(bigrams.count(), rows.count(), parts)
+    groups = max(1, parts // shards)
 
     def shares(it):
         total, d, language = contexts.value
         for b in it:
-            v, w, n = (b.column(k).to_numpy() for k in range(3))
-            part = (n - d[language[v], np.minimum(n, 3)]) / total[v]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(part)], names=["v", "w", "p"])
-
-    packed = bigrams.mapInArrow(shares, "v int, w int, p double").mapInArrow(_pack_counts(), an.POSTED)
-    # the counts are bounded by the vocabulary, so each group of documents gets its own copy
-    packed = packed.withColumn("part", F.explode(F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: (g * SHARDS + F.col("part")).cast("int"))))
-    asked = rows.select("__k", "__fp", "lang", "text").mapInArrow(_requests(shared, groups), an.POSTED)
-    sums = packed.unionByName(asked).repartitionById(groups * SHARDS, F.col("part")).mapInArrow(_score(tables), "doc long, fp int, logp double, n long")
+            for blob in b.column("blob").to_pylist():
+                key, n = _keyed(blob, np.int64)
+                v = (key >> U(32)).astype(np.int64)
+                yield from _by_part(key, (n - d[language[v], np.minimum(n, 3)]) / total[v], np.float32, shards, groups)
+
+    packed = merged.mapInArrow(shares, an.POSTED)
+    asked = rows.select("__k", "__fp", "lang", "text").mapInArrow(_requests(shared, groups, shards), an.POSTED)
+    replies = packed.unionByName(asked).repartitionById(groups * shards, F.col("part")).mapInArrow(_score(tables), _REPLY)
+    sums = replies.repartition(parts, "batch").mapInArrow(_sum_batches, "doc long, fp int, logp double, n long")
     scored = sums.groupBy(F.col("doc").alias("__k"), F.col("fp").alias("__fp")).agg(F.sum("n").alias("n_tokens"), F.exp(-F.sum("logp") / F.sum("n")).alias("perplexity"))
     slim = rows.select("__k", "__fp", "__id", "lang").join(scored, ["__k", "__fp"], "left")
     return slim.join(good.withColumn("trusted", F.lit(True)), "__id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
