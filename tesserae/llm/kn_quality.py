@@ -4,20 +4,25 @@ Trusted text is what the labels call good and not toxic.  Words become ids per l
 occurs ``MIN_COUNT`` times in trusted text has its own, the others go by their shape (lower case, capitalised, upper case,
 digits, symbols) and cost P(class) * P(word | class), where the words of a class are alike: 1 / (its rarer trusted words + 1
 for those never seen).  A word that repeats the one before it has an id that tells the length of the run (2, 4, 8 or more),
-so that runs are as unlikely as they are in trusted text.
+so that runs are as unlikely as they are in trusted text; the members of these classes are all words of the language.
 
 Bigram counts are merged, kept and met in packed shards, by ranges of a hash.  Documents go in batches, each to one group of
 shards; the distinct bigrams of a batch are packed by shard and meet the counts of that shard there; what comes back is a
 vector of sums of log-probabilities per batch and shard, and the sums give the perplexity.  The number of shards weighs the
 copies of the counts (one a group) against those vectors.  Only what is bounded by the
-vocabulary (discounts, contexts, continuation counts) is broadcast.  A document is rejected if its perplexity is beyond
-``MARGIN`` times the ``QUANTILE`` quantile of the trusted documents of its language, over the quarter of them that is held
-out of the counts (documents that the model has seen would set the limit too low).
-
-Defined cases: documents without words (or null text) have no perplexity and are kept; so are documents of fewer than
-``MIN_WORDS`` words and in languages without trusted text; a null language is a language of its own; rows with a null id are scored by their text; rows that
-share id and text have one score; equal labels for one id count once and an id with contradicting labels is not trusted;
-an empty table gives an empty result.
+vocabulary (discounts, contexts, continuation counts) is broadcast.
+
+A document is rejected if its perplexity is beyond the ``QUANTILE`` quantile of the trusted documents of its language, over
+the quarter of them that is held out of the counts (documents that the model has seen would set the limit too low).  Global
+limits, over the held-out documents of all languages, stand in where there is none: for texts of fewer than ``MIN_WORDS``
+words that of beginnings of the same number of words; in languages without trusted text that of a model of shapes alone,
+counted over all trusted text.  Where fewer than ``MIN_HELD`` documents or beginnings of a length stand behind a limit, the
+one over all languages or lengths counts if it is greater.
+
+Defined cases: documents without words (or null text) have no perplexity and are kept, and so are all without any trusted
+text; languages beyond the 512 largest go by the model of shapes; a null language is a language of its own; rows with a null
+id are scored by their text; rows that share id and text have one score; equal labels for one id count once and an id with
+contradicting labels is not trusted; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,15 +41,14 @@ from .runtime import durable, ship_code, shuffle_partitions, table
 
 U = np.uint64
 MIN_COUNT = 20
-QUANTILE, MARGIN = 0.99, 2.0
-MIN_WORDS = 12  # shorter texts say too little and are kept
+QUANTILE = 0.99
+MIN_WORDS, MIN_HELD = 12, 100  # shorter texts and languages with fewer held-out documents go by global limits
 BROADCAST_IDS = 2_000_000  # trusted ids that may be broadcast; more are joined by a shuffle
 PAIRS = 1 << 20
 SHARD_PAIRS = 1 << 21  # bigrams of a shard, as far as there are partitions
 CLASSES = ("start", "repeat", "run4", "run8", "lower", "capital", "upper", "digit", "symbol", "mixed")
 REQUEST, COUNTS = an.POST, an.FRAGMENT
 PAIR = np.dtype([("key", "<u8"), ("part", "<f4")])
-NO_MEMBERS = 4  # the first classes tell all of a word; the others have members
 
 
 def _shape_values() -> np.ndarray:
@@ -88,21 +92,23 @@ def word_keys(text: str, lang: str | None):
 
 class Vocabulary:
     def __init__(self, keys: np.ndarray, langs: list[str]):
-        """``keys``: hashes of (language, word), any number; ids of classes come first, for each language."""
-        self.first = len(langs) * len(CLASSES)
+        """``keys``: hashes of (language, word), any number; ids of classes come first, for each language and for shapes alone."""
+        self.first = (len(langs) + 1) * len(CLASSES)
+        self.shapes = len(langs) * len(CLASSES)
         self.langs = {lang: k * len(CLASSES) for k, lang in enumerate(langs)}
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], (np.arange(len(keys)) + self.first)[order]
 
-    def encode(self, text: str, lang: str | None) -> np.ndarray | None:
-        base = self.langs.get(lang or "")
-        if base is None:
+    def encode(self, text: str, lang: str | None, shapes: bool = False) -> np.ndarray | None:
+        """``shapes``: by the model of shapes alone, as languages without trusted text are."""
+        if not self.langs:
             return None
         data, starts, ends, h = word_keys(text, lang)
         if not len(h):
             return None
+        base = self.shapes if shapes else self.langs.get(lang or "", self.shapes)
         ids = base + _shapes(data, starts, ends)
-        if len(self.keys):
+        if len(self.keys) and base != self.shapes:
             at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
             known = self.keys[at] == h
             ids[known] = self.ids[at[known]]
@@ -177,8 +183,8 @@ def _bigram_counts(vocabulary, parts: int):
         for b in it:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if (ids := v.encode(text, lang)) is not None:
-                    held.append(_bigrams(ids))
-                    size += len(held[-1])
+                    held += _bigrams(ids), _bigrams(v.encode(text, lang, True))
+                    size += 2 * len(held[-1])
             if size > 1 << 22:
                 yield from flush()
                 size = 0
@@ -226,6 +232,24 @@ def _unpack_counts(it):
 
 
 _REPLY = "batch long, docs binary, logp binary"
+OWN, HEAD, SHAPES = 0, 1, 2  # kinds of scores: of a short text or beginning, by shapes alone, or both
+MEASURE = 4  # added for what only sets limits
+
+
+def _versions(v: Vocabulary, lang: str, text: str, measure: bool, fp: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Kinds and ids to score: the document, or (``measure``) what sets the global limits."""
+    if (ids := v.encode(text, lang)) is None:
+        return
+    by_shapes = v.encode(text, lang, True)
+    if not measure:
+        yield (HEAD if len(ids) <= MIN_WORDS else OWN) + (SHAPES if ids[0] == by_shapes[0] else 0), ids
+        return
+    words = 1 + fp % (MIN_WORDS - 1)
+    if ids[0] != by_shapes[0]:
+        yield HEAD, ids[: words + 1]
+    yield HEAD + SHAPES, by_shapes[: words + 1]
+    if len(ids) > MIN_WORDS:
+        yield SHAPES, by_shapes
 
 
 def _requests(vocabulary, groups: int, shards: int):
@@ -244,7 +268,7 @@ def _requests(vocabulary, groups: int, shards: int):
             n = np.concatenate([c for _, c in held])
             of = np.repeat(np.arange(len(held), dtype=np.uint32), [len(k) for k, _ in held])
             total = np.array([int(c.sum()) for _, c in held], dtype=np.int64)
-            head = np.array([d for d, _ in docs], dtype=np.int64), np.array([f for _, f in docs], dtype=np.int32), total
+            head = *(np.array(x, dtype=t) for x, t in zip(zip(*docs, strict=True), (np.int64, np.int32, np.int8), strict=True)), total
             part = _part(key, shards)
             order = np.lexsort((of, key, part))
             key, n, of, part = key[order], n[order], of[order], part[order]
@@ -261,17 +285,16 @@ def _requests(vocabulary, groups: int, shards: int):
             held.clear()
 
         for b in it:
-            for doc, fp, lang, text in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
-                if text is None or (ids := v.encode(text, lang)) is None:
-                    continue
-                key, n = np.unique(_bigrams(ids), return_counts=True)
-                while True:  # a count field holds 65,535; larger counts take several entries
-                    docs.append((doc, fp))
-                    held.append((key, np.minimum(n, 65535)))
-                    size += len(key)
-                    key, n = key[n > 65535], n[n > 65535] - 65535
-                    if not len(key):
-                        break
+            for doc, fp, lang, text, measure in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
+                for kind, ids in _versions(v, lang, text, measure, fp) if text is not None else ():
+                    key, n = np.unique(_bigrams(ids), return_counts=True)
+                    while True:  # a count field holds 65,535; larger counts take several entries
+                        docs.append((doc, fp, kind | MEASURE * measure))
+                        held.append((key, np.minimum(n, 65535)))
+                        size += len(key)
+                        key, n = key[n > 65535], n[n > 65535] - 65535
+                        if not len(key):
+                            break
                 if size > PAIRS or len(held) > 60_000:
                     yield from flush()
                     size = 0
@@ -303,7 +326,7 @@ def _score(model):
         known = np.ascontiguousarray(pairs["key"])
         for blob in held.get(REQUEST, []):
             batch, nd, nk, n, first = np.frombuffer(blob, np.int64, 5).tolist()
-            head = ((np.int64, nd), (np.int32, nd), (np.int64, nd))[:first]
+            head = ((np.int64, nd), (np.int32, nd), (np.int8, nd), (np.int64, nd))[:first]
             *docs, step, times, place, count = _spread(blob[40:], *head, (U, nk), (np.uint32, nk), (np.uint16, n), (np.uint16, n))
             keys = np.cumsum(step, dtype=U)
             v, w = (keys >> U(32)).astype(np.int64), (keys & U(0xFFFFFFFF)).astype(np.int64)
@@ -327,8 +350,8 @@ def _sum_batches(it):
             if head is not None:
                 docs[batch] = head
     for batch, logp in sums.items():
-        ids, fps, n = _spread(docs[batch], (np.int64, len(logp)), (np.int32, len(logp)), (np.int64, len(logp)))
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(fps), pa.array(logp), pa.array(n)], names=["doc", "fp", "logp", "n"])
+        ids, fps, kinds, n = _spread(docs[batch], *((t, len(logp)) for t in (np.int64, np.int32, np.int8, np.int64)))
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(fps), pa.array(kinds.astype(np.int32)), pa.array(logp), pa.array(n)], names=["doc", "fp", "kind", "logp", "n"])
 
 
 def _shards(pairs: int, documents: int, partitions: int) -> int:
@@ -374,7 +397,9 @@ def _model(bigrams: DataFrame, size: int, language: np.ndarray):
 
 
 def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """__k, __fp (keys of a row), trusted, lang, n_tokens and perplexity of every row of ``docs`` (doc_id, text, lang)."""
+    """__k, __fp (keys of a row), trusted, lang, kind, n_tokens and perplexity of every row of ``docs`` (doc_id, text, lang);
+    kind, n_tokens and perplexity of what sets the global limits.
+    """
     spark = docs.sparkSession
     ship_code(spark)
     rows = docs.select(*_keys(), F.col("doc_id").cast("long").alias("__id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text"))
@@ -382,7 +407,9 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     good = durable(good)
     if good.count() <= BROADCAST_IDS:
         good = F.broadcast(good)
-    trusted = rows.where("text is not null").where(~_held_out()).join(good, "__id", "left_semi").select("lang", "text")
+    of_trust = rows.where("text is not null").join(good, "__id", "left_semi")
+    trusted = of_trust.where(~_held_out()).select("lang", "text")
+    measured = of_trust.where(_held_out()).select("__k", "__fp", "lang", "text", F.lit(True).alias("measure"))
     counts = trusted.mapInArrow(_word_counts, "lang string, key long, shape int, n long").groupBy("lang", "key").agg(F.first("shape").alias("shape"), F.sum("n").alias("n"))
     counts = durable(counts)
     # at most one class set per language; languages by text
@@ -391,12 +418,15 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     words = counts.where(F.col("n") >= MIN_COUNT).select("key", place.cast("int").alias("place")).where("place >= 0").toPandas()
     rare = counts.where(F.col("n") < MIN_COUNT).groupBy(place.cast("int").alias("place"), "shape").agg(F.count("*").alias("types")).where("place >= 0").collect()
     vocabulary = Vocabulary(words["key"].to_numpy(dtype=np.int64).view(np.uint64), langs)
-    language = np.concatenate([np.repeat(np.arange(len(langs)), len(CLASSES)), words["place"].to_numpy(dtype=np.int64)]).astype(np.int64)
+    language = np.concatenate([np.repeat(np.arange(len(langs) + 1), len(CLASSES)), words["place"].to_numpy(dtype=np.int64)]).astype(np.int64)
     size = len(language)
     member = np.zeros(size)
     for r in rare:
-        if r["shape"] >= NO_MEMBERS:
-            member[r["place"] * len(CLASSES) + r["shape"]] = -np.log(r["types"] + 1)
+        member[r["place"] * len(CLASSES) + r["shape"]] = r["types"]
+    for k in range(len(langs)):
+        first = k * len(CLASSES)
+        member[first + 1 : first + 4] = member[first + 4 : first + len(CLASSES)].sum() + (language[(len(langs) + 1) * len(CLASSES) :] == k).sum()
+    member = -np.log(member + 1)
     shared = spark.sparkContext.broadcast(vocabulary)
     parts = shuffle_partitions(spark)
     merged = trusted.mapInArrow(_bigram_counts(shared, parts), an.POSTED).repartitionById(parts, F.col("part")).mapInArrow(_merge_counts, an.POSTED)
@@ -417,12 +447,14 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 yield from _by_part(key, (n - d[language[v], np.minimum(n, 3)]) / total[v], np.float32, shards, groups)
 
     packed = merged.mapInArrow(shares, an.POSTED)
-    asked = rows.select("__k", "__fp", "lang", "text").mapInArrow(_requests(shared, groups, shards), an.POSTED)
+    asked = rows.select("__k", "__fp", "lang", "text", F.lit(False).alias("measure")).unionByName(measured).mapInArrow(_requests(shared, groups, shards), an.POSTED)
     replies = packed.unionByName(asked).repartitionById(groups * shards, F.col("part")).mapInArrow(_score(tables), _REPLY)
-    sums = replies.repartition(parts, "batch").mapInArrow(_sum_batches, "doc long, fp int, logp double, n long")
-    scored = sums.groupBy(F.col("doc").alias("__k"), F.col("fp").alias("__fp")).agg(F.sum("n").alias("n_tokens"), F.exp(-F.sum("logp") / F.sum("n")).alias("perplexity"))
-    slim = rows.select("__k", "__fp", "__id", "lang").join(scored, ["__k", "__fp"], "left")
-    return slim.join(good.withColumn("trusted", F.lit(True)), "__id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+    sums = replies.repartition(parts, "batch").mapInArrow(_sum_batches, "doc long, fp int, kind int, logp double, n long")
+    scored = sums.groupBy(F.col("doc").alias("__k"), F.col("fp").alias("__fp"), F.when(F.col("kind") >= MEASURE, F.col("kind")).alias("limit_of")).agg(F.max("kind").alias("kind"), F.sum("n").alias("n_tokens"), F.exp(-F.sum("logp") / F.sum("n")).alias("perplexity"))
+    scored = durable(scored)
+    slim = rows.select("__k", "__fp", "__id", "lang").join(scored.where("limit_of is null").drop("limit_of"), ["__k", "__fp"], "left")
+    slim = slim.join(good.withColumn("trusted", F.lit(True)), "__id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+    return slim, scored.where("limit_of is not null").select((F.col("kind") - MEASURE).alias("kind"), "n_tokens", "perplexity")
 
 
 def _held_out():
@@ -434,12 +466,19 @@ def _keys():
     return [F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("__k"), F.hash("text").alias("__fp")]
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """doc_id, lang, n_tokens, perplexity, threshold, kept (and the row keys __k, __fp)."""
-    scores = durable(perplexities(docs, labels))
-    limits = scores.where(f"trusted and n_tokens >= {MIN_WORDS}").where(_held_out()).groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 100_000) * margin).alias("threshold"))
-    out = scores.join(F.broadcast(limits), "lang", "left")  # a row per language with trusted text, 512 at most
-    kept = F.coalesce((F.col("perplexity") <= F.col("threshold")) | (F.col("n_tokens") < MIN_WORDS), F.lit(True))
+    scores, measured = perplexities(docs, labels)
+    scores = durable(scores)
+    held = scores.where(_held_out()).where(F.col("trusted") & (F.col("kind") == OWN))
+    level = F.when(F.col("kind") == OWN, F.col("lang")).when(F.col("kind") != SHAPES, F.col("n_tokens").cast("string")).otherwise("").alias("level")
+    limit = F.percentile_approx("perplexity", quantile, 100_000)
+    limits = held.select("kind", "n_tokens", "perplexity", "lang").unionByName(measured.withColumn("lang", F.lit(""))).select("kind", level, "perplexity")
+    every = limits.groupBy("kind").agg(limit.alias("every"))
+    limits = limits.groupBy("kind", "level").agg(limit.alias("own"), F.count("*").alias("held"))  # a row per language or length, 535 at most
+    out = scores.withColumn("level", level).join(F.broadcast(limits), ["kind", "level"], "left").join(F.broadcast(every), "kind", "left")
+    out = out.withColumn("threshold", F.when(F.col("held") >= MIN_HELD, F.col("own")).otherwise(F.greatest("own", "every")))
+    kept = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return out.select(F.col("__id").alias("doc_id"), "lang", F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), "perplexity", "threshold", kept.alias("kept"), "__k", "__fp")
 
 

@@ -30,3 +30,17 @@ def test_unknown_words_are_no_cheaper_than_known_ones(spark):
         [" ".join(rng.choices(known, k=80)), " ".join("".join(rng.choices("opqrst", k=8)) for _ in range(80))],
     )
     assert unseen > 3 * max(same, *trusted)
+
+
+def test_limits_have_no_multiplier_and_short_or_foreign_texts_have_limits(spark):
+    rng = random.Random(5)
+    vocab = ["".join(rng.choices("abcdefg", k=rng.randint(2, 6))) for _ in range(120)]
+    good = lambda n: " ".join(rng.choices(vocab, k=n))
+    bad = lambda n: " ".join(rng.choice(vocab).upper() + "&&&" for _ in range(n))
+    rows = [(i, good(rng.randint(15, 60)), "en") for i in range(500)]
+    rows += [(600, good(8), "en"), (601, bad(8), "en"), (602, good(30), "xx"), (603, bad(30), "xx"), (604, good(5), "xx"), (605, bad(8), "xx")]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(500)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in kn_quality.classify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), labels).collect()}
+    assert got[0].threshold <= max(got[i].perplexity for i in range(500))
+    assert sum(not got[i].kept for i in range(500)) <= 10
+    assert [got[i].kept for i in range(600, 606)] == [True, False, True, False, True, False]
