@@ -4,8 +4,8 @@ The words of all templates are put in one global order, rarest first by the numb
 over the whole table.  A block contains a template if it holds at least ``THRESHOLD`` percent of the template's distinct
 words; then it holds one of the template's ``n - need + 1`` rarest (prefix filter), has at least ``need`` distinct words
 (length filter), and, met at its i-th rarest word, can still reach ``need`` with the words from there on (positional
-filter).  What passes is counted exactly.  Blocks are lines; longer lines go in windows of ``BLOCK`` words that overlap by
-half, so that every run of ``BLOCK / 2`` words lies within one.
+filter).  What passes is counted exactly.  Blocks are windows of ``BLOCK`` words over the whole text, across line ends, that overlap
+by half, so that every run of ``BLOCK / 2`` words lies within one; lines (the longer ones in such windows) are blocks besides.
 
 Beside the templates' labels stand the base labels: places where the words of a phrase follow each other.
 
@@ -92,6 +92,7 @@ class Matcher:
             self.templates.append((held, need, label))
             for i, word in enumerate(held[: len(held) - need + 1]):
                 self.posted.setdefault(word, []).append((len(self.templates) - 1, i))
+        self.least = min(need for _, need, _ in self.templates)
         # templates that contain each other at the threshold: in one block only the better of them gives its label
         share = lambda a, b: len({*a} & {*b}) / len(a)
         held = [t for t, _, _ in self.templates]
@@ -141,17 +142,25 @@ class Matcher:
                 raw = np.frombuffer(data, np.uint8)
                 ends = np.append(np.flatnonzero(raw == 10), len(data))
                 line = np.searchsorted(ends, starts)
-                for one in np.unique(line[rare]).tolist():
-                    a, b = int(np.searchsorted(line, one)), int(np.searchsorted(line, one, side="right"))
-                    for s in [a] if b - a <= BLOCK else range(a, b - BLOCK // 2, BLOCK // 2):
-                        e = min(b, s + BLOCK)
-                        inner = slice(s, e)
-                        if not (mine[inner] & self.prefix[rank[inner]]).any():
-                            continue
-                        held = np.unique(rank[inner][mine[inner]]).tolist()
-                        for label, share in self.block(held, len(np.unique(h[inner]))):
-                            labels.add(label)
-                            score = max(score, share)
+                blocks = set()
+                ranges = [(int(np.searchsorted(line, k)), int(np.searchsorted(line, k, side="right"))) for k in np.unique(line[rare]).tolist()]
+                for a, b in [(0, n), *ranges]:
+                    if b - a <= BLOCK:
+                        blocks.add((a, b))
+                        continue
+                    at = (rare[(rare >= a) & (rare < b)] - a) // (BLOCK // 2)  # a place lies in two windows
+                    last = -(-(b - a - BLOCK // 2) // (BLOCK // 2)) - 1
+                    for k in np.unique(np.minimum(np.concatenate([at, np.maximum(at - 1, 0)]), last)).tolist():
+                        s = a + k * (BLOCK // 2)
+                        blocks.add((s, min(b, s + BLOCK)))
+                for s, e in sorted(blocks):
+                    inner = slice(s, e)
+                    held = np.unique(rank[inner][mine[inner]]).tolist()
+                    if len(held) < self.least:
+                        continue
+                    for label, share in self.block(held, len(np.unique(h[inner]))):
+                        labels.add(label)
+                        score = max(score, share)
         if places:
             score = 1.0
         every = np.concatenate(places) if places else ()
