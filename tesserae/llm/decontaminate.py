@@ -7,17 +7,22 @@ two places) neighbouring hits make a run; a run counts if its slots are consiste
 for one value of the document's throughout - and if it covers ``COVER`` tokens or ``SHARE`` percent of the item, whichever
 is less.  So a question with other numbers and names is caught, and one whose slots do not correspond is not.
 
+Windows are joined once more by all of their words, with equal values in the slots and any number of words proper, so that
+verbatim leaks of items that are mostly numbers, names and units are found too.  In scripts without spaces each character is
+a token, and an item that is mostly so written must be there as a whole.
+
 Documents are screened first against a bit set of the benchmark's keys, of fixed size; what passes is joined exactly.  The
 benchmark's windows are broadcast only up to ``BROADCAST_WINDOWS`` and dealt by a shuffle beyond.
 
 Defined cases: null or empty texts match nothing; items with fewer than ``WINDOW`` template tokens match as a whole, with
-fewer than ``LITERALS`` words never; rows with a null id are judged by their text; rows that share id and text are judged
+fewer than ``LITERALS`` words only with equal values, and with fewer than ``SHORTEST`` tokens (a word or two) never; rows with a null id are judged by their text; rows that share id and text are judged
 as one; an item id that occurs twice stands for both texts; an empty benchmark leaves all documents clean; an empty table
 gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
 from functools import cache
 
 import numpy as np
@@ -29,7 +34,9 @@ from . import textscan as ts
 from .runtime import durable, ship_code, table
 
 U = np.uint64
-WINDOW, LITERALS, COVER, SHARE = 8, 5, 12, 60
+WINDOW, LITERALS, COVER, SHARE, SHORTEST = 8, 5, 12, 60, 3
+#: Scripts without spaces: Thai, Lao, Burmese, Khmer, Han, kana and their signs.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff]")
 BITS, BROADCAST_WINDOWS, SCREEN_KEYS = 26, 100_000, 4_000_000
 #: Units of measure and currency, in lower case.
 UNITS = (
@@ -69,12 +76,21 @@ def _in(sorted_keys: np.ndarray, h: np.ndarray) -> np.ndarray:
     return sorted_keys[np.minimum(np.searchsorted(sorted_keys, h), len(sorted_keys) - 1)] == h
 
 
-def template(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+def spaced(text: str) -> tuple[bytes, int]:
+    """UTF-8 with spaces around the characters of scripts without them, and the number of those characters."""
+    data = text.encode()
+    if not len(data) or text.isascii() or np.frombuffer(data, np.uint8).max() < 0xE0:
+        return data, 0
+    text, n = _UNSPACED.subn(r" \g<0> ", text)
+    return (text.encode() if n else data), n
+
+
+def template(text: str | bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Template tokens, and the values of slots (0 at words proper)."""
     none = np.zeros(0, dtype=np.uint64)
     if not text:
         return none, none
-    data = text.encode()
+    data = spaced(text)[0] if isinstance(text, str) else text
     starts, ends, h = ts.words(data, "alnum", True)
     if not len(h):
         return none, none
@@ -111,6 +127,12 @@ def _windows(tokens: np.ndarray, slots: np.ndarray, length: int) -> tuple[np.nda
     return at, ts.mix(keys[at] + U(length))
 
 
+def _verbatim(tokens: np.ndarray, slots: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and keys of all windows, by the values of the slots and the words proper alike."""
+    keys = ts.windows(np.where(slots != 0, slots, tokens | U(1)), length)
+    return np.arange(len(keys)), ts.mix(keys + U(length) + (U(1) << U(32)))
+
+
 _WIN = "key long, k long, fp int, at int, length int, slots array<long>, size int"
 _WIN_ARROW = pa.schema([("key", pa.int64()), ("k", pa.int64()), ("fp", pa.int32()), ("at", pa.int32()), ("length", pa.int32()), ("slots", pa.list_(pa.int64())), ("size", pa.int32())])
 
@@ -123,15 +145,17 @@ def _post(lengths, screen=None):
         for b in it:
             cols = [[] for _ in range(7)]
             for k, fp, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                tokens, slots = template(text)
-                for length in lengths(len(tokens)):
-                    at, keys = _windows(tokens, slots, length)
+                data, alone = spaced(text)
+                tokens, slots = template(data)
+                size = -len(tokens) if 2 * alone > len(tokens) else len(tokens)  # negative: to be found as a whole
+                for length, sign, windows in ((x, *y) for x in lengths(len(tokens)) for y in ((1, _windows), (-1, _verbatim))):
+                    at, keys = windows(tokens, slots, length)
                     if bits is not None and len(keys):
                         low = keys >> U(64 - BITS)
                         hit = (bits[(low >> U(3)).astype(np.int64)] >> (low & U(7)).astype(np.uint8)) & 1 == 1
                         at, keys = at[hit], keys[hit]
                     for p, key in zip(at.tolist(), keys.view(np.int64).tolist(), strict=True):
-                        row = key, k, fp, p, length, slots[p : p + length].view(np.int64).tolist(), len(tokens)
+                        row = key, k, fp, p, sign * length, slots[p : p + length].view(np.int64).tolist(), size
                         for c, x in zip(cols, row, strict=True):
                             c.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _WIN_ARROW.types, strict=True)], schema=_WIN_ARROW)
@@ -147,14 +171,17 @@ def _judge(it):
         for k, fp, item, hits in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
             best = 0
             by = {}
-            for h in hits:
-                by.setdefault((h["text"], h["size"], h["length"], h["at"] - h["place"]), {})[h["place"]] = h
+            for h in sorted(hits, key=lambda h: -h["length"]):  # verbatim windows (of negative length) last: they stay
+                by.setdefault((h["text"], h["size"], abs(h["length"]), h["at"] - h["place"]), {})[h["place"]] = h
             for (_, size, length, _), row in by.items():
-                need, places = min(COVER, -(-SHARE * size // 100)), sorted(row)
+                need, places = -size if size < 0 else min(COVER, -(-SHARE * size // 100)), sorted(row)
                 run_start, last, forward, backward = None, None, {}, {}
                 for p in places:
                     h = row[p]
-                    pairs = [(x, y) for x, y in zip(h["want"], h["slots"], strict=True) if x or y]
+                    if h["length"] < 0:  # what is a slot only on one side has the same value on the other
+                        pairs = [(x or y, x or y) for x, y in zip(h["want"], h["slots"], strict=True) if x or y]
+                    else:
+                        pairs = [(x, y) for x, y in zip(h["want"], h["slots"], strict=True) if x or y]
                     fits = lambda: all(forward.get(x, y) == y and backward.get(y, x) == x for x, y in pairs)  # noqa: B023, E731
                     if last is None or p > last + 1 or not fits():
                         run_start, forward, backward = p, {}, {}
@@ -184,9 +211,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship_code(spark)
     items = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("k"), F.hash("text").alias("fp"), "text").distinct()
-    whole = lambda n: [WINDOW] if n >= WINDOW else [n] if n >= LITERALS else []
+    whole = lambda n: [WINDOW] if n >= WINDOW else [n] if n >= SHORTEST else []
     wanted = durable(items.mapInArrow(_post(whole), _WIN))
-    lengths = sorted(r[0] for r in wanted.select("length").distinct().collect())  # WINDOW - LITERALS + 1 at most
+    lengths = sorted({abs(r[0]) for r in wanted.select("length").distinct().collect()})  # WINDOW - SHORTEST + 1 at most
     n = wanted.count()
     screen = None
     if n <= SCREEN_KEYS:
