@@ -2,7 +2,7 @@
 
 Every document has ``COORDINATES`` MinHash values of its set of word shingles.  Documents with equal sets form a class
 and are represented by one of them.  Each representative is posted under its coordinate-value pairs; two sets of the
-wanted similarity collide in at least ``MATCHES`` of the coordinates (all but about one pair in a million at exactly
+wanted similarity collide in at least ``MATCHES`` of the coordinates (all but 4.6 pairs in a million at exactly
 0.75).  Collisions are counted with two savings: a *prefix* - pairs are ordered by global frequency, and only the
 ``COORDINATES - MATCHES + 1`` rarest of a representative are merged, since two lists with so many collisions meet
 there - and *skips* - values that nobody shares and representatives with too few shared values never enter a merge, and
