@@ -9,8 +9,10 @@ that the gains still to come leave competitive.  The best k of all shards are me
 
 Shards hold about ``SHARD`` vectors and queries travel in blocks of ``BLOCK``; every block meets every shard once.
 
-Defined cases: vectors that are null, or hold null or non-finite components, take no part, nor do components beyond
-2**27 after scaling (their products would not fit a long); rows with a null id take no part; of rows that share an id
+Vectors with components beyond 2**27 after scaling (their products may not fit a long) are scored by Python integers, against
+all others; scores are ranked exactly and returned as the nearest long.
+
+Defined cases: vectors that are null, or hold null or non-finite components, take no part; rows with a null id take no part; of rows that share an id
 the least vector counts; shorter vectors are filled up with zeros; equal scores go to the smaller id; with fewer than k
 other vectors all are returned; an empty table gives an empty result.
 """
@@ -34,9 +36,9 @@ def _pack(group: pa.Table) -> pa.Table:
     vectors = group.column("v").combine_chunks().to_pylist()
     dims = max(map(len, vectors), default=0)
     ids = np.array(group.column("id").to_pylist(), dtype=np.int64)
-    x = np.zeros((len(vectors), dims), dtype=np.int32)
+    x = np.zeros((len(vectors), dims), dtype=np.float64)
     for i, v in enumerate(vectors):
-        x[i, : len(v)] = v
+        x[i, : len(v)] = np.floor(SCALE * np.array(v, dtype=np.float64))
     order = np.argsort(ids, kind="stable")
     return pa.Table.from_pylist([{"at": group.column("at")[0].as_py(), "ids": ids[order].tobytes(), "dims": dims, "values": x[order].tobytes()}], schema=_PACKED)
 
@@ -84,22 +86,44 @@ class Shard:
         return best_at, best
 
 
+def _usual(x: np.ndarray) -> np.ndarray:
+    return (np.abs(x) <= LARGEST).all(axis=1)
+
+
+def _whole(x: np.ndarray) -> np.ndarray:
+    """The same whole numbers as Python integers."""
+    return np.array([[int(y) for y in row] for row in x.tolist()], dtype=object).reshape(x.shape)
+
+
 def _search(k: int):
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("exact", pa.binary())])
 
     def run(it):
         for batch in it:
             for ids, dims, values, qids, qdims, qvalues in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 width = max(dims, qdims)
-                wide = lambda raw, n, d: np.pad(np.frombuffer(raw, np.int32).reshape(n, d), ((0, 0), (0, width - d)))  # noqa: B023, E731
+                wide = lambda raw, n, d: np.pad(np.frombuffer(raw, np.float64).reshape(n, d), ((0, 0), (0, width - d)))  # noqa: B023, E731
                 ids, qids = np.frombuffer(ids, np.int64), np.frombuffer(qids, np.int64)
-                shard = Shard(ids, wide(values, len(ids), dims))
+                values, queries = wide(values, len(ids), dims), wide(qvalues, len(qids), qdims)
+                usual, plain = _usual(values), _usual(queries)
+                shard = Shard(ids[usual], values[usual].astype(np.int32)) if usual.any() else None
+                large = np.flatnonzero(~usual)
+                exact = {False: _whole(values) if not plain.all() else None, True: _whole(values[large])}
                 out = []
-                for own, q in zip(qids.tolist(), wide(qvalues, len(qids), qdims), strict=True):
-                    at, score = shard.top(own, q, k)
-                    out.append((np.full(len(at), own), ids[at], score))
-                cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
+                for own, q, easy in zip(qids.tolist(), queries, plain.tolist(), strict=True):
+                    best = []
+                    if easy and shard is not None:
+                        at, score = shard.top(own, q.astype(np.int32), k)
+                        best = list(zip((-score).tolist(), shard.ids[at].tolist(), strict=True))
+                    rest = large if easy else np.arange(len(ids))
+                    if len(rest):
+                        scores = exact[easy] @ _whole(q[None])[0]
+                        best += [(-x, i) for x, i in zip(scores.tolist(), ids[rest].tolist(), strict=True) if i != own]
+                    out += [(own, i, -x) for x, i in sorted(best)[:k]]
+                cols = [list(c) for c in zip(*out, strict=True)] or [[], [], []]
+                order = [(x + (1 << 383)).to_bytes(48, "big") for x in cols[2]]  # sorts as the whole numbers do
+                near = [min(max(x, -(1 << 63)), (1 << 63) - 1) for x in cols[2]]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (cols[0], cols[1], near)), pa.array(order, pa.binary())], schema=schema)
 
     return run
 
@@ -108,8 +132,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score for the rows of ``vectors`` (vec_id, embedding) where ``is_query`` (of ``id``) holds."""
     spark = vectors.sparkSession
     ship_code(spark)
-    usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(F.floor(F.lit(float(SCALE)) * x.cast("double"))) <= LARGEST))
-    scaled = F.transform("embedding", lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")).cast("int"))
+    infinite = float("inf")
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (x.cast("double") < infinite) & (x.cast("double") > -infinite)
+    usable = F.forall("embedding", finite)
+    scaled = F.transform("embedding", lambda x: x.cast("double"))  # SCALE and floor come later: a long may not hold them
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(usable).groupBy(F.col("vec_id").cast("long").alias("id")).agg(F.min("embedding").alias("embedding")).select("id", scaled.alias("v"))
     rows = durable(rows)
     n, m = rows.count(), rows.where(is_query).count()
@@ -118,8 +144,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     asked = pack(rows.where(is_query), blocks).select(F.col("at").alias("block"), F.col("ids").alias("qids"), F.col("dims").alias("qdims"), F.col("values").alias("qvalues"))
     held = pack(rows, shards).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     met = held.join(asked, "block").repartition(max(1, shards * blocks), F.col("at"), F.col("block"))
-    found = met.select("ids", "dims", "values", "qids", "qdims", "qvalues").mapInArrow(_search(k), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = met.select("ids", "dims", "values", "qids", "qdims", "qvalues").mapInArrow(_search(k), "query_id long, vec_id long, score long, exact binary")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("exact"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
