@@ -1,0 +1,9 @@
+from pathlib import Path
+
+from tesserae.llm import suffix_dedup
+
+
+def test_what_replaces_the_factor_arrays_is_stated():
+    readme = " ".join((Path(__file__).parents[2] / "README.md").read_text().split())
+    assert "longest-previous-factor arrays, which would only be asked for factors of 50 bytes, are replaced" in readme
+    assert "by longest-previous-factor arrays" not in suffix_dedup.__doc__
