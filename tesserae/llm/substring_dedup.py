@@ -70,7 +70,7 @@ def _level2(length: int):
                 count = s["n"].astype(np.int64)
                 at = np.repeat(s["at"].astype(np.int64), count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 one = np.ones(len(at), dtype=np.int64)
-                poster.add(doc, fp, whole[at], whole[at], at, one)
+                poster.add(doc, fp, whole[at], ts.second_hash(parts, part, length)[at], at, one)
 
             yield from an.batches(it, poster, row)
 

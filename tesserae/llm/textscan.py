@@ -104,6 +104,14 @@ def byte_windows(data: np.ndarray, length: int) -> np.ndarray:
     return mix((total[length:] - total[:-length]) * _powers(size, True)[:n])
 
 
+def second_hash(parts: np.ndarray, part: int, length: int) -> np.ndarray:
+    """Hashes of windows of ``length`` items by those of their first and last ``part`` items, joined the other way round."""
+    if not part < length <= 2 * part:
+        raise ValueError("the parts must cover the window")
+    n = len(parts) - (length - part)
+    return join_windows(parts[length - part :], parts[:n]) if n > 0 else np.zeros(0, dtype=np.uint64)
+
+
 def sliding_anchor(h: np.ndarray, width: int) -> np.ndarray:
     """For every run of ``width`` hashes, the leftmost place of the least (on the upper 44 bits)."""
     low = U((1 << 20) - 1)
