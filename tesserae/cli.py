@@ -56,7 +56,7 @@ def cmd_graph(a, spark):
     routings = p.routings(*_window(a, p))
     blocks = tp.report(routings, a.tile)
     if a.only_ambiguous:
-        blocks = [b for b in blocks if b[0].endswith("[AMBIGUOUS]")]
+        blocks = [b for b in blocks if b[0].endswith("ambiguous")]
     text = "\n\n".join("\n".join(b) for b in blocks)
     if a.out:
         Path(a.out).write_text(text + "\n")
@@ -86,7 +86,7 @@ def cmd_offsets(a, spark):
         n = tasks.pending(tasks.between(p.plan, t0, t1), p.offsets()).count()
         print(f"{n if a.limit is None else min(n, a.limit)} tasks would run")
         return
-    print(f"{p.compute(t0, t1, a.limit)} tasks run")
+    print(f"{p.compute(t0, t1, a.limit, a.slice, a.attempts)} tasks run")
 
 
 def cmd_blend(a, spark):
@@ -101,7 +101,9 @@ def cmd_blend(a, spark):
         print(f"{p.coordinates(t0, t1).select('t').distinct().count()} timepoints can be placed")
         return
     pad = tuple(a.pad) if len(a.pad) == 3 else (0, a.pad[0], a.pad[0])
-    print(f"{p.blend(output, t0, t1, a.dtype, pad, tuple(a.chunk), a.skeleton, a.force)} timepoints written")
+    print(f"{p.blend(output, t0, t1, a.dtype, pad, tuple(a.chunk), a.skeleton, a.force, a.at_once, a.attempts, not a.no_log)} timepoints written")
+    for r in p.timings if a.timings else ():
+        print(f"t={tp.spans(r['t'])}: {r['seconds']:.2f} s, driver at {r['driver_mb']:.0f} MB")
 
 
 def _volume(p: Project, name: str, t: int):
@@ -116,7 +118,8 @@ def cmd_inspect(a, spark):
     if a.pair:
         rows = [r for r in rows if {r.a, r.b} == set(a.pair)]
     if not rows:
-        raise Abort([f"no such pair at t={a.at}"])
+        known = p.pairs_at.where(F.col("t") == a.at).select("a", "b").distinct().orderBy("a", "b").collect()
+        raise Abort([f"no such pair at t={a.at}; there are " + (", ".join(f"{r.a}|{r.b}" for r in known) or "none")])
     for r in rows:
         if r.dz is None:
             raise MissingOffsets([r.what])
@@ -168,13 +171,17 @@ def parser() -> argparse.ArgumentParser:
     command("show", cmd_show).add_argument("--at", type=int, required=True)
     c = command("offsets", cmd_offsets, True)
     c.add_argument("--limit", type=int)
+    c.add_argument("--slice", type=int, default=64, help="timepoints that are appended to the log together")
+    c.add_argument("--attempts", type=int, default=4)
     flag(c, "--dry-run")
     c = command("blend", cmd_blend, True)
     c.add_argument("--output")
     c.add_argument("--dtype", default="uint16")
     c.add_argument("--pad", nargs="+", type=int, default=[0])
     c.add_argument("--chunk", nargs=3, type=int, default=[32, 512, 512])
-    flag(c, "--skeleton", "--recreate", "--force", "--dry-run")
+    c.add_argument("--at-once", type=int, default=1, help="timepoints that are written and marked together")
+    c.add_argument("--attempts", type=int, default=4)
+    flag(c, "--skeleton", "--recreate", "--force", "--dry-run", "--no-log", "--timings")
     c = command("inspect", cmd_inspect)
     c.add_argument("--at", type=int, required=True)
     c.add_argument("--pair", nargs=2)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels as k
-from .coords import ZYX, bbox, chunk_hits
+from ..sources.volumes import read_region
+from .coords import ZYX
 
 
 def ramp(n):
@@ -41,11 +42,26 @@ def weighted_average(samples: DataFrame, keys: list[str]) -> DataFrame:
     return samples.groupBy(*keys).agg((F.sum(F.col("w") * F.col("v")) / (F.lit(k.EPS) + F.sum("w"))).alias("value"))
 
 
-def compose_chunks(boxed: DataFrame, volumes: DataFrame, edges: DataFrame, geometry: dict, chunk: tuple[int, int, int], dtype: str) -> DataFrame:
+def weighted(voxels: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
+    """t, z, y, x on the canvas, v and w for ``voxels(t, name, z_lo, y_lo, x_lo, z, y, x, v, edges)``: the weight of a voxel is
+    the product of its weights along y and x, where the last edge on it counts."""
+
+    def along(axis: int, at: str):
+        fade = lambda e: F.when(e["lower"], F.lit(shape[axis] - 1) - F.col(at)).otherwise(F.col(at))
+        own = lambda e: F.lit(k.RAMP[0]) + fade(e) * (F.lit(k.RAMP[1] - k.RAMP[0]) / F.greatest(e["length"] - 1, F.lit(1)))
+        return F.aggregate("edges", F.lit(1.0), lambda w, e: F.when((e["axis"] == axis) & (fade(e) < e["length"]), own(e)).otherwise(w))
+
+    # weights first: beside new columns of the same names, those of the tile would be taken for the canvas' ones
+    weighed = voxels.withColumn("w", along(1, "y") * along(2, "x"))
+    return weighed.select("t", *[(F.col(f"{c}_lo") + F.col(c)).cast("int").alias(c) for c in ZYX], "v", "w")
+
+
+def compose_chunks(boxed: DataFrame, volumes: DataFrame, edges: DataFrame, geometry: dict, chunk: tuple[int, int, int], dtype: str, shape: tuple[int, int, int], read=read_region) -> DataFrame:
     """t, cz, cy, cx, shape, data of every chunk that a tile overlaps.
 
-    A chunk gathers the tiles that overlap it (few, by geometry) and is composed on its own; ``volumes(t, name, shape,
-    data binary, stored)`` with ``stored`` the dtype of the bytes.
+    A chunk gathers references of the tiles that overlap it (few, by geometry), reads of each volume the part inside it
+    alone, and is composed on its own: no voxel is shuffled.  ``volumes(t, name, path, pos, local_t)``; ``shape``: the
+    tiles' size; ``read(path, pos, local_t, region)``.
     """
     size = [geometry["shape"][i + 1] for i in range(3)]
     out = boxed
@@ -59,11 +75,14 @@ def compose_chunks(boxed: DataFrame, volumes: DataFrame, edges: DataFrame, geome
         region = [(i * n, min((i + 1) * n, m)) for i, n, m in zip(at, chunk, size, strict=True)]
         vols, boxes, weights = {}, {}, {}
         for r in pdf.itertuples():
-            shape = tuple(r.shape)
-            vols[r.name] = np.frombuffer(r.data, dtype=r.stored).reshape(shape)
-            boxes[r.name] = tuple((getattr(r, f"{c}_lo")) for c in ZYX), tuple(getattr(r, f"{c}_hi") for c in ZYX)
+            lo = [int(getattr(r, f"{c}_lo")) for c in ZYX]
+            inner = [(max(a - o, 0), min(b - o, n)) for (a, b), o, n in zip(region, lo, shape, strict=True)]
+            if any(a >= b for a, b in inner):
+                continue
+            vols[r.name] = read(r.path, int(r.pos), int(r.local_t), inner)
+            boxes[r.name] = tuple(o + a for o, (a, _) in zip(lo, inner, strict=True)), tuple(o + b for o, (_, b) in zip(lo, inner, strict=True))
             mine = [] if r.edges is None else [(e["axis"], e["lower"], e["length"]) for e in r.edges]
-            weights[r.name] = k.blend_weights(mine, shape[1], shape[2])
+            weights[r.name] = k.blend_weights(mine, shape[1], shape[2])[tuple(slice(*x) for x in inner[1:])]
         data = k.compose(vols, boxes, weights, region, dtype)
         return pd.DataFrame({"t": [int(pdf["t"].iloc[0])], "cz": at[0], "cy": at[1], "cx": at[2], "shape": [list(data.shape)], "data": [data.tobytes()]})
 
@@ -74,5 +93,3 @@ def write_chunks(chunks: DataFrame, path: str) -> None:
     """Overwrites the timepoints at hand and no others, so that chunks a moved tile has left go too."""
     chunks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("t").parquet(path)
 
-
-__all__ = ["bbox", "chunk_hits", "compose_chunks", "edge_lengths", "ramp", "weight_lines", "weighted_average", "write_chunks"]

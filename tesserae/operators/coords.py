@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ZYX = ("z", "y", "x")
 
 
-def _durable(df: DataFrame) -> DataFrame:
-    """Cuts the lineage in the shared checkpoint folder; a private one only where none is set."""
-    import tempfile
-
+def durable(df: DataFrame) -> DataFrame:
+    """Cuts the lineage in the shared checkpoint folder, which a cluster has to name; a private one serves a local master alone."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder that all of them see")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp())
     return df.checkpoint(eager=True)
 
 
@@ -28,14 +31,14 @@ def path_sum(nodes: DataFrame) -> DataFrame:
     own = {c: F.when(F.col("pt").isNull(), F.lit(0.0)).otherwise(F.col(f"d{c}").cast("double")) for c in ZYX}
     # a chain is open while it has a parent; it is dead once a link lacks its offset or its parent
     open_ = nodes.select("t", "name", "pt", "pname", *[e.alias(c) for c, e in own.items()], (F.col("pt").isNotNull() & F.col("dz").isNull()).alias("dead"))
-    open_ = _durable(open_)
+    open_ = durable(open_)
     while True:
         up = open_.select(F.col("t").alias("pt"), F.col("name").alias("pname"), F.col("pt").alias("gt"), F.col("pname").alias("gname"), *[F.col(c).alias(f"p{c}") for c in ZYX], F.col("dead").alias("pdead"), F.lit(True).alias("there"))
         joined = open_.join(up, ["pt", "pname"], "left")
         stop = F.col("pt").isNull() | F.col("dead")
         lost = ~stop & F.col("there").isNull()
         new = joined.select("t", "name", F.when(stop | lost, None).otherwise(F.col("gt")).alias("pt"), F.when(stop | lost, None).otherwise(F.col("gname")).alias("pname"), *[F.when(stop | lost, F.col(c)).otherwise(F.col(c) + F.coalesce(F.col(f"p{c}"), F.lit(0.0))).alias(c) for c in ZYX], (F.col("dead") | lost | F.coalesce("pdead", F.lit(False)) & ~stop).alias("dead"))
-        open_ = _durable(new)
+        open_ = durable(new)
         if open_.where("pt is not null and not dead").isEmpty():
             return open_.select("t", "name", *[F.when(~F.col("dead"), F.col(c)).alias(c) for c in ZYX], (~F.col("dead")).alias("placed"))
 

@@ -1,8 +1,9 @@
-"""Phase correlation of volumes held as flat arrays, in Arrow batches."""
+"""Phase correlation: of volumes held as flat arrays, and of stored ones by reference."""
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,28 +32,73 @@ def offsets(tasks: DataFrame, shape: tuple[int, int, int], precision: str = "flo
     return tasks.select("key", "src", "dst", "axis", "shift_px").mapInArrow(run, _OFFSET)
 
 
-def run_plan(tasks: DataFrame, volumes: DataFrame, done: DataFrame, shape, sink, precision: str = "float32", slice_t: int = 64, limit: int | None = None) -> int:
-    """Computes what is pending and appends it, in slices of timepoints, so that a crash loses one slice at most.
+def strips(images: DataFrame, shape: tuple[int, int, int], axis: int, shift: int) -> DataFrame:
+    """vec_id, side, z, y, x, v of both strips of each image (vec_id, img), as a parent and as a child of a neighbour."""
 
-    ``volumes(file, pos, local_t, data)``; ``sink(df)`` appends; returns the number of tasks run.
+    def run(it):
+        for pdf in it:
+            for key, img in zip(pdf["vec_id"], pdf["img"], strict=True):
+                for side in ("parent", "child"):
+                    part = k.trim(np.asarray(img, dtype=np.float64).reshape(shape), axis, side, shift)
+                    z, y, x = np.unravel_index(np.arange(part.size), part.shape)
+                    yield pd.DataFrame({"vec_id": key, "side": side, "z": z, "y": y, "x": x, "v": part.ravel()})
+
+    return images.mapInPandas(run, "vec_id long, side string, z int, y int, x int, v double")
+
+
+_FOUND = "key string, kind string, what string, dz int, dy int, dx int"
+
+
+class _Recent:
+    """The last few results of a function, by its arguments."""
+
+    def __init__(self, make, keep: int):
+        self.make, self.keep, self.held = make, keep, {}
+
+    def __call__(self, *args):
+        if args in self.held:
+            self.held[args] = self.held.pop(args)
+        else:
+            while len(self.held) >= self.keep:
+                del self.held[next(iter(self.held))]
+            self.held[args] = self.make(*args)
+        return self.held[args]
+
+
+def correlate_stored(tasks: DataFrame, paths: dict[str, str], nz: int, crop, realign_crop, shift_px: int, precision: str = "float32", span: int = 32, keep: int = 4) -> DataFrame:
+    """key, kind, what, dz, dy, dx of tasks by reference: voxels are read where they are needed and never shuffled.
+
+    Tasks are dealt by tile and ``span`` local timepoints and worked on in the order of time, so the volume and the spectrum
+    of one step serve the next one; ``keep`` of each are held.  ``paths``: the file of each file key.
     """
-    from .tasks import ORDER, pending
-
-    todo = pending(tasks, done)
-    if limit is not None:
-        todo = todo.orderBy(*ORDER).limit(limit)
-    todo = todo.persist()
-    try:
-        n = todo.count()
-        if n:
-            lo, hi = todo.agg(F.min("t"), F.max("t")).first()
-            vol = lambda p: volumes.select(*[F.col(c).alias(f"{p}_{c}") for c in ("file", "pos", "local_t")], F.col("data").alias(p))
-            for a in range(lo, hi + 1, slice_t):
-                part = todo.where((F.col("t") >= a) & (F.col("t") < a + slice_t))
-                keys = lambda p: [f"{p}_{c}" for c in ("file", "pos", "local_t")]
-                joined = part.join(vol("src"), keys("src")).join(vol("dst"), keys("dst")).dropDuplicates(["key"])
-                found = offsets(joined, shape, precision)
-                sink(part.select("key", "kind", "what").dropDuplicates(["key"]).join(found, "key"))
-        return n
-    finally:
-        todo.unpersist()
+    from ..sources.config import free_axis
+    from ..sources.volumes import read_volume
+
+    def run(it):
+        volume = _Recent(lambda file, pos, t: read_volume(paths[file], pos, t, nz), keep)
+
+        def strip(file, pos, t, region, axis, side):
+            cut = volume(file, pos, t)[tuple(slice(*s) for s in region)]
+            return k.trim(cut, axis or None, side, shift_px)
+
+        spectrum = _Recent(lambda *ref: (k.spectrum(part := strip(*ref), precision), part.shape), keep)
+        for pdf in it:
+            out = []
+            for r in pdf.itertuples():
+                if r.kind not in ("pair", "time"):
+                    raise TypeError(f"unknown task {r.kind!r}")
+                region = free_axis(crop, r.axis) if r.kind == "pair" else realign_crop if r.realign else crop
+                sides = ("parent", "child") if r.kind == "pair" else ("", "")
+                (f0, shape), (f1, other) = (spectrum(*ref, region, r.axis, side) for ref, side in zip(((r.src_file, r.src_pos, r.src_local_t), (r.dst_file, r.dst_pos, r.dst_local_t)), sides, strict=True))
+                if shape != other:
+                    raise ValueError(f"{r.what}: sizes differ: {shape} and {other}")
+                off = list(k.peak(k.correlation(f0, f1, shape)))
+                if r.kind == "pair":
+                    off[r.axis] += shift_px
+                out.append((r.key, r.kind, r.what, *off))
+            yield pd.DataFrame(out, columns=["key", "kind", "what", "dz", "dy", "dx"])
+
+    where = [F.col("src_file"), F.col("src_pos"), F.floor(F.col("src_local_t") / span)]
+    dealt = tasks.repartition(*where).sortWithinPartitions("src_file", "src_pos", "src_local_t", "kind_rank", "axis", "b")
+    refs = [f"{p}_{c}" for p in ("src", "dst") for c in ("file", "pos", "local_t")]
+    return dealt.select("key", "kind", "what", "axis", "realign", *refs).mapInPandas(run, _FOUND)

@@ -111,6 +111,24 @@ def topology_runs(signed: DataFrame) -> DataFrame:
     return isles.groupBy("run").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.count("*").alias("n_t")).drop("run")
 
 
+def routes(tops: DataFrame, placed: DataFrame) -> DataFrame:
+    """t, name, seed, n_steps of every placed tile: where its route begins, and how many steps it has."""
+
+    def run(it):
+        for pdf in it:
+            rows = []
+            for x in pdf.itertuples():
+                way: dict[str, tuple[str, int]] = {}
+                for s in x.steps:  # a tile comes after the one it hangs on
+                    seed, n = way[s["via"]] if s["via"] is not None else (s["tile"], 0)
+                    way[s["tile"]] = seed, n + 1
+                rows += [(x.topology, tile, *found) for tile, found in way.items()]
+            yield pd.DataFrame(rows, columns=["topology", "name", "seed", "n_steps"])
+
+    found = placed.select("topology", "steps").mapInPandas(run, "topology string, name string, seed string, n_steps int")
+    return tops.select("t", "topology").join(found, "topology").select("t", "name", "seed", "n_steps")
+
+
 def skeleton(tops: DataFrame, placed: DataFrame) -> DataFrame:
     """t, name of the fewest tiles that fix every anchor: this and the next timepoint's anchors, closed under their routes."""
 

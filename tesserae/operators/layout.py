@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import coords
+
 
 def with_file_start(files: DataFrame) -> DataFrame:
     """``files(file_i, nt, ...)`` with the exclusive prefix sum of ``nt``; the table has a row per file."""
@@ -31,13 +33,28 @@ def locate(files: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def lifetimes(positions: DataFrame, files: DataFrame) -> DataFrame:
-    """name, first_t, last_t for ``positions(name, start_file, start_t, end_file)``; a null end means the last file's end."""
-    starts = F.broadcast(with_file_start(files).select("file_i", "file_start", "nt"))  # a row per file
+    """name, first_t, last_t for ``positions(name, start_file, start_t, end_file)``; a null end means the last file's end.
+
+    A start or an end outside the files raises.
+    """
+    starts = with_file_start(files).select("file_i", "file_start", "nt")
     s, e = starts.alias("s"), starts.alias("e")
-    total = files.agg(F.sum("nt").cast("int").alias("nt_all"))
-    joined = positions.join(s, F.col("start_file") == F.col("s.file_i")).join(e, F.col("end_file") - 1 == F.col("e.file_i"), "left").join(F.broadcast(total))
-    last = F.when(F.col("end_file").isNull(), F.col("nt_all")).otherwise(F.col("e.file_start") + F.col("e.nt"))
-    return joined.select("name", (F.col("s.file_start") + F.col("start_t")).cast("int").alias("first_t"), last.cast("int").alias("last_t"))
+    total = files.agg(F.coalesce(F.sum("nt"), F.lit(0)).cast("int").alias("nt_all"))  # one row
+    joined = positions.join(s, F.col("start_file") == F.col("s.file_i"), "left").join(e, F.col("end_file") - 1 == F.col("e.file_i"), "left").join(F.broadcast(total))
+    outside = lambda what: F.raise_error(F.concat(F.col("name"), F.lit(f": {what} lies outside the files"))).cast("int")
+    last = F.when(F.col("end_file").isNull(), F.col("nt_all")).when(F.col("e.file_start").isNull(), outside("end")).otherwise(F.col("e.file_start") + F.col("e.nt"))
+    first = F.when(F.col("s.file_start").isNull(), outside("start")).otherwise(F.col("s.file_start") + F.col("start_t"))
+    return joined.select("name", first.cast("int").alias("first_t"), last.cast("int").alias("last_t"))
+
+
+def ranked(rows: DataFrame, by: str, rank: str) -> DataFrame:
+    """``rows`` with the place of each in the order of ``by``, from 0: sorted by ranges, counted by range, numbered within."""
+    ranges = coords.durable(rows.repartitionByRange(by).withColumn("__range", F.spark_partition_id()))
+    sizes = ranges.groupBy("__range").agg(F.count("*").alias("n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    starts = sizes.select("__range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(by))
+    return ranges.withColumn("__at", within).join(starts, "__range").select(*rows.columns, (F.col("first") + F.col("__at") - 1).cast("long").alias(rank))
 
 
 def alive_spans(tiles: DataFrame) -> DataFrame:
@@ -52,7 +69,7 @@ def tile_state(tiles: DataFrame, times: DataFrame, references: DataFrame, overri
     anchored; a dropped tile is never an anchor.  ``references(name, file_i)``, ``overrides(t, verb, name)``.
     """
     verb = lambda v: overrides.where(F.col("verb") == v).select("t", "name").distinct()
-    alive = alive_spans(tiles).join(verb("drop"), ["t", "name"], "left_anti").join(F.broadcast(times.select("t", "file_i")), "t")
+    alive = alive_spans(tiles).join(verb("drop"), ["t", "name"], "left_anti").join(times.select("t", "file_i"), "t")
     flags = [references.select("file_i", "name").distinct().withColumn("ref", F.lit(True)), verb("unanchor").withColumn("off", F.lit(True)), verb("anchor").withColumn("on", F.lit(True))]
     state = alive.join(flags[0], ["file_i", "name"], "left").join(flags[1], ["t", "name"], "left").join(flags[2], ["t", "name"], "left")
     anchor = F.col("on").isNotNull() | (F.col("ref").isNotNull() & F.col("off").isNull())

@@ -13,9 +13,24 @@ def digest(text: Column) -> Column:
     return F.substring(F.sha2(text, 256), 1, 16)
 
 
+def json_string(text: Column) -> Column:
+    """Text as a JSON string in ASCII: quotes, backslashes and control characters escaped, all others by their UTF-16 codes."""
+    unit = lambda code: F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(code)), 4, "0"))
+
+    def one(c: Column) -> Column:
+        code = F.ascii(c)  # the code point
+        named = F.create_map(*[F.lit(x) for pair in (('"', '\\"'), ("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f")) for x in pair])
+        high = code - 0x10000
+        wide = F.concat(unit(F.lit(0xD800) + F.floor(high / 1024)), unit(F.lit(0xDC00) + F.pmod(high, F.lit(1024))))
+        return F.coalesce(F.try_element_at(named, c), F.when((code >= 32) & (code < 127), c).when(code < 0x10000, unit(code)).otherwise(wide))
+
+    plain = text.rlike(r'^[ !#-\[\]-~]*$')
+    return F.concat(F.lit('"'), F.when(plain, text).otherwise(F.array_join(F.transform(F.split(text, ""), one), "")), F.lit('"'))
+
+
 def file_key(path: Column, size: Column, mtime: Column) -> Column:
-    """Digest of a file's identity; plain ASCII paths, keys sorted."""
-    return digest(F.concat(F.lit('{"mtime":'), mtime.cast("string"), F.lit(',"path":"'), path, F.lit('","size":'), size.cast("string"), F.lit("}")))
+    """Digest of a file's identity, keys sorted."""
+    return digest(F.concat(F.lit('{"mtime":'), mtime.cast("string"), F.lit(',"path":'), json_string(path), F.lit(',"size":'), size.cast("string"), F.lit("}")))
 
 
 def _bound(b: Bound) -> str:
@@ -41,8 +56,8 @@ def _volume(prefix: str) -> Column:
 
 def volumes(state: DataFrame, times: DataFrame, tile_file: DataFrame, keys: DataFrame, nz: int) -> DataFrame:
     """t, name with the volume that shows the tile there: file key, position, local time, planes."""
-    at = state.select("t", "name", "file_i").join(F.broadcast(times.select("t", "local_t")), "t")
-    out = at.join(tile_file, ["name", "file_i"]).join(F.broadcast(keys.select("file_i", "file_key")), "file_i")
+    at = state.select("t", "name", "file_i").join(times.select("t", "local_t"), "t")
+    out = at.join(tile_file, ["name", "file_i"]).join(keys.select("file_i", "file_key"), "file_i")
     return out.select("t", "name", F.col("file_key").alias("file"), F.col("pos_i").alias("pos"), "local_t", F.lit(nz).alias("nz"))
 
 

@@ -75,12 +75,15 @@ class Acquisition:
 
     @cached_property
     def tile_file(self) -> DataFrame:
-        alive = (F.col("file_i") >= F.col("start_file")) & (F.col("file_i") < F.coalesce("end_file", F.lit(self.n_files)))
-        return self.positions.join(F.broadcast(self.files.select("file_i")), alive).select("name", "file_i", F.col("key").alias("pos_i"))
+        end = F.coalesce("end_file", F.lit(self.n_files)).cast("int")
+        alive = self.positions.where(F.col("start_file") < end).withColumn("file_i", F.explode(F.sequence(F.col("start_file").cast("int"), end - 1)))
+        return alive.select("name", "file_i", F.col("key").alias("pos_i"))
 
     @cached_property
     def references(self) -> DataFrame:
-        return self.positions.crossJoin(F.broadcast(self.files.select("file_i"))).where(F.pmod(F.col("key") + F.col("file_i"), F.lit(7)) == 0).select("name", "file_i")
+        first = F.pmod(-F.col("key"), F.lit(7)).cast("int")  # every seventh file from there on
+        some = self.positions.select("name", first.alias("first")).where(F.col("first") < self.n_files)
+        return some.select("name", F.explode(F.sequence("first", F.lit(self.n_files - 1), F.lit(7))).alias("file_i"))
 
     @cached_property
     def overrides(self) -> DataFrame:
@@ -127,7 +130,8 @@ class Acquisition:
 
     @cached_property
     def plan(self) -> DataFrame:
-        return tasks.plan(self.time_tasks, self.pair_tasks)
+        """Written once, as the memo below is made from it."""
+        return coords.durable(tasks.plan(self.time_tasks, self.pair_tasks))
 
     @cached_property
     def done(self) -> DataFrame:
@@ -158,7 +162,7 @@ class Acquisition:
         lost = F.when(F.col("kind") == "pair", (t * 31 + k) % 97 == 0).otherwise(t % 401 == 400)
         own = lambda a, b, m: F.when(~lost, (t * a + k * b) % m - m // 2)
         s = self.row_steps
-        return s.select("t", F.col("tile").alias("name"), "kind", F.when(F.col("kind") == "drift", t - 1).when(F.col("kind") == "pair", t).alias("pt"), F.when(F.col("kind") == "drift", F.col("tile")).otherwise(F.col("via")).alias("pname"), own(7, 3, 5).alias("dz"), own(5, 11, 7).alias("dy"), own(3, 5, 9).alias("dx"))
+        return coords.durable(s.select("t", F.col("tile").alias("name"), "kind", F.when(F.col("kind") == "drift", t - 1).when(F.col("kind") == "pair", t).alias("pt"), F.when(F.col("kind") == "drift", F.col("tile")).otherwise(F.col("via")).alias("pname"), own(7, 3, 5).alias("dz"), own(5, 11, 7).alias("dy"), own(3, 5, 9).alias("dx")))
 
     @cached_property
     def placed(self) -> DataFrame:

@@ -125,11 +125,11 @@ ALL: dict[str, str] = {
     "plan_time_tasks": _base("SELECT t, a AS name, realign, key, what FROM tasks WHERE kind = 'time'"),
     "plan_pair_tasks": _base("SELECT t, a, b, axis, key, what FROM tasks WHERE kind = 'pair'"),
     "plan_between": _base("SELECT t, kind, count(*) AS n FROM tasks WHERE t >= 100 AND t < 200 GROUP BY t, kind"),
-    "plan_order_limit": _base("SELECT t, kind, what FROM tasks WHERE key NOT IN (SELECT key FROM done) ORDER BY t, kind_rank, a, b, axis LIMIT 500"),
+    "plan_order_limit": _base("SELECT t, kind, what FROM tasks ANTI JOIN done USING (key) ORDER BY t, kind_rank, a, b, axis LIMIT 500"),
     "volume_uses": _base("SELECT file, pos, local_t, count(*) AS uses FROM (SELECT sf AS file, sp AS pos, sl AS local_t FROM tasks UNION ALL SELECT df, dp, dl FROM tasks) GROUP BY ALL"),
     "spectrum_uses": _base("SELECT file, pos, local_t, axis, realign, side, count(*) AS uses FROM (SELECT sf AS file, sp AS pos, sl AS local_t, axis, realign, CASE kind WHEN 'pair' THEN 'parent' ELSE '' END AS side FROM tasks UNION ALL SELECT df, dp, dl, axis, realign, CASE kind WHEN 'pair' THEN 'child' ELSE '' END FROM tasks) GROUP BY ALL"),
     "content_keys": _base("SELECT file_i, file_key FROM files"),
-    "pending_tasks": _base("SELECT key, t, kind FROM tasks WHERE key NOT IN (SELECT key FROM done)"),
+    "pending_tasks": _base("SELECT key, t, kind FROM tasks ANTI JOIN done USING (key)"),
     "status_summary": _base("SELECT kind, count(*) AS n_tasks, count(d.key) AS n_cached, count(*) - count(d.key) AS n_pending, round(100.0::DOUBLE * count(d.key) / count(*), 1) AS percent, min(t) FILTER (WHERE d.key IS NULL) AS next_t FROM tasks LEFT JOIN (SELECT DISTINCT key FROM done) d USING (key) GROUP BY kind"),
     "memo_last_wins": "SELECT l_orderkey AS key, l_partkey % 5 - 2 AS dz, l_suppkey % 21 - 10 AS dy, CAST(l_linenumber % 21 - 10 AS BIGINT) AS dx FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1",
     "memo_compact_count": "SELECT count(*) AS n_lines, count(DISTINCT l_orderkey) AS n_keys, count(*) - count(DISTINCT l_orderkey) AS n_superseded FROM lineitem",
@@ -152,6 +152,24 @@ route AS (SELECT w.t, s.tile, s.via FROM wanted w JOIN step s ON s.t = w.t AND s
 SELECT DISTINCT t, tile AS name FROM route UNION SELECT t, min(name) FROM seed WHERE t NOT IN (SELECT t FROM route) GROUP BY t"""),
     "coordinates_path_sum": _rows("SELECT t, name, z, y, x FROM placed"),
     "coordinates_missing": _rows("SELECT n.t, n.name, n.kind FROM node n JOIN placed p ON p.t = n.pt AND p.name = n.pname WHERE n.dz IS NULL AND (n.kind = 'drift' OR n.t >= 100)"),
+    "coordinates_restricted": _rows(""", wanted AS (SELECT t, name FROM rs WHERE anchor UNION SELECT t - 1, name FROM rs WHERE anchor AND t - 1 IN (SELECT t FROM rs)),
+route AS (SELECT w.t, s.tile, s.via FROM wanted w JOIN step s ON s.t = w.t AND s.tile = w.name UNION SELECT r.t, s.tile, s.via FROM route r JOIN step s ON s.t = r.t AND s.tile = r.via),
+skel AS (SELECT DISTINCT t, tile AS name FROM route UNION SELECT t, min(name) FROM seed WHERE t NOT IN (SELECT t FROM route) GROUP BY t)
+SELECT t, name, z, y, x FROM placed SEMI JOIN skel USING (t, name)"""),
+    "pair_offset_signs": _rows(""", signed AS (SELECT s.t, s.tile AS name, s.via AS pname, 1 AS sign, p.a FROM step s JOIN rp p ON p.t = s.t AND p.b = s.tile AND p.a = s.via UNION ALL SELECT s.t, s.tile, s.via, -1, p.a FROM step s JOIN rp p ON p.t = s.t AND p.a = s.tile AND p.b = s.via)
+SELECT t, name, pname, sign * ((t * 3 + CAST(a AS INTEGER)) % 5 - 2) AS dz, sign * ((t * 5 + CAST(a AS INTEGER)) % 7 - 3) AS dy, sign * ((t * 7 + CAST(a AS INTEGER)) % 9 - 4) AS dx FROM signed"""),
+    "routes": _rows(", way AS (SELECT t, tile, tile AS seed, 1 AS n FROM step WHERE via IS NULL UNION ALL SELECT s.t, s.tile, w.seed, w.n + 1 FROM way w JOIN step s ON s.t = w.t AND s.via = w.tile) SELECT t, tile AS name, seed, n AS n_steps FROM way"),
+    "blend_unfinished": _rows("SELECT DISTINCT t FROM placed WHERE t % 3 = 0 OR t % 5 = 0"),
+    "blend_chunks": """WITH e AS (SELECT vec_id // 2 AS t, vec_id % 2 AS s, list_transform(embedding, lambda v: CAST(floor(abs(v::DOUBLE) * 1000) AS INTEGER)) AS v FROM embeddings),
+g AS (SELECT unnest(range(4)) AS z), h AS (SELECT unnest(range(4)) AS y), i AS (SELECT unnest(range(6)) AS x),
+p AS (SELECT DISTINCT t FROM e),
+c AS (SELECT p.t, z, y, x, CAST(a.v[z * 16 + y * 4 + x + 1] AS FLOAT) AS va, CAST(b.v[z * 16 + y * 4 + x - 1] AS FLOAT) AS vb,
+  CAST(CASE WHEN a.t IS NULL OR x > 3 THEN 0 WHEN x = 3 THEN 0.01 WHEN x = 2 THEN 0.99 ELSE 1 END AS FLOAT) AS wa, CAST(CASE WHEN b.t IS NULL OR x < 2 THEN 0 WHEN x = 2 THEN 0.01 WHEN x = 3 THEN 0.99 ELSE 1 END AS FLOAT) AS wb
+  FROM p CROSS JOIN g CROSS JOIN h CROSS JOIN i LEFT JOIN e a ON a.t = p.t AND a.s = 0 LEFT JOIN e b ON b.t = p.t AND b.s = 1),
+o AS (SELECT t, z, x, CASE WHEN wa + wb = 0 THEN 0 ELSE trunc((CASE WHEN wa = 0 THEN CAST(0 AS FLOAT) ELSE va * wa END + CASE WHEN wb = 0 THEN CAST(0 AS FLOAT) ELSE vb * wb END) / (wa + wb + CAST(1e-12 AS FLOAT))) END AS v,
+  x // 3 AS cx FROM c),
+k AS (SELECT t, bool_or(s = 0) AS one, bool_or(s = 1) AS two FROM e GROUP BY t)
+SELECT t, CAST(z // 2 AS INTEGER) AS cz, CAST(cx AS INTEGER) AS cx, CAST(count(*) AS INTEGER) AS n_voxels, CAST(sum(v) AS BIGINT) AS total FROM o JOIN k USING (t) WHERE one OR cx = 1 OR two GROUP BY ALL""",
     "extent": _rows("SELECT z0 AS z_lo, z1 AS z_hi, y0 AS y_lo, y1 AS y_hi, x0 AS x_lo, x1 AS x_hi FROM ext"),
     "canvas_required_pad": _rows("SELECT * FROM geo"),
     "tile_boxes": _rows("SELECT * FROM box"),

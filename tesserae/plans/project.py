@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import resource
+import time
 from functools import cached_property
 from pathlib import Path
 
@@ -13,14 +15,13 @@ from ..operators import canvas, coords, correlate, graph, layout, tasks, validat
 from ..sources import config as cf
 from ..sources import headers as hd
 from ..sources import store
-from ..sources import volumes as vol
 from ..sources.ship import ship_code
 
 
 class MissingOffsets(RuntimeError):
     def __init__(self, what: list[str], hint: str = ""):
-        more = f"\n  ... and {len(what) - 10} more" if len(what) > 10 else ""
-        super().__init__(f"{len(what)} offset(s) missing:\n" + "\n".join(f"  - {w}" for w in what[:10]) + more + (f"\n{hint}" if hint else ""))
+        shown = "; ".join(what[:10]) + ("; ..." if len(what) > 10 else "")
+        super().__init__(f"not computed yet ({len(what)}): {shown}. {hint}".rstrip(". "))
         self.what = what
 
 
@@ -123,29 +124,22 @@ class Project:
         return store.read_offsets(self.spark, self.work.offsets)
 
     # --- work ----------------------------------------------------------------------------------------------
-    def compute(self, t0: int = 0, t1: int | None = None, limit: int | None = None) -> int:
-        """Correlates what is pending in [t0, t1) and appends to the log; returns how many tasks ran."""
-        vol.register(self.spark)
+    def compute(self, t0: int = 0, t1: int | None = None, limit: int | None = None, slice_t: int = 64, attempts: int = 4) -> int:
+        """Correlates what is pending in [t0, t1) and appends to the log, in slices of timepoints, so that a crash loses one
+        slice at most; returns how many tasks ran."""
         todo = tasks.between(self.plan, t0, self.nt if t1 is None else t1)
-        stacks = self.spark.read.format("volumes").option("path", ",".join(h.path for h in self.headers)).option("nz", str(self.nz)).load()
-        named = self.spark.createDataFrame([(h.path, k) for h, k in zip(self.headers, self.keys, strict=True)], "file string, file_key string")
-        data = stacks.join(F.broadcast(named), "file").select(F.col("file_key").alias("file"), "pos", "local_t", F.struct("shape", "stored", "data").alias("data"))
-        cfg, nz, precision, shift = self.cfg, self.nz, self.precision, self.shift
-
-        def cropped(rows: DataFrame) -> DataFrame:
-            return _correlate(rows, cf.clamp_z(cfg.slices, nz), cf.clamp_z(cfg.realignment_slices, nz), shift, precision)
-
+        paths = {k: h.path for h, k in zip(self.headers, self.keys, strict=True)}
         waiting = tasks.pending(todo, self.offsets())
         if limit is not None:
             waiting = waiting.orderBy(*tasks.ORDER).limit(limit)
         waiting = waiting.dropDuplicates(["key"]).persist()
         try:
-            n = waiting.count()
-            for a in range(t0, self.nt if t1 is None else t1, 16) if n else ():
-                part = waiting.where((F.col("t") >= a) & (F.col("t") < a + 16))
-                side = lambda p: data.select(*[F.col(c).alias(f"{p}_{c}") for c in ("file", "pos", "local_t")], F.col("data").alias(p))
-                on = lambda p: [f"{p}_{c}" for c in ("file", "pos", "local_t")]
-                store.append_offsets(cropped(part.join(side("src"), on("src")).join(side("dst"), on("dst"))), self.work.offsets)
+            slices = [r["s"] for r in waiting.select(F.floor(F.col("t") / slice_t).alias("s")).distinct().orderBy("s").collect()]
+            n = 0
+            for s in slices:  # nothing is read for slices without tasks
+                part = waiting.where(F.floor(F.col("t") / slice_t) == s)
+                found = correlate.correlate_stored(part, paths, self.nz, *(cf.clamp_z(x, self.nz) for x in (self.cfg.slices, self.cfg.realignment_slices)), self.shift, self.precision)
+                n += store.patiently(lambda found=found: store.append_offsets(found, self.work.offsets), attempts)
             return n
         finally:
             waiting.unpersist()
@@ -162,10 +156,15 @@ class Project:
             raise MissingOffsets(lost, f"compute the offsets of {t0}..{t1} first (drifts also need every step from t=0)")
         return placed.where((F.col("t") >= t0) & F.col("placed"))
 
-    def blend(self, output: str | Path | None = None, t0: int = 0, t1: int | None = None, dtype: str = "uint16", pad=(0, 0, 0), chunk=(32, 512, 512), skeleton: bool = False, force: bool = False) -> int:
-        """Writes the chunks of timepoints that are not written with their present coordinates; returns their number."""
-        vol.register(self.spark)
+    def blend(self, output: str | Path | None = None, t0: int = 0, t1: int | None = None, dtype: str = "uint16", pad=(0, 0, 0), chunk=(32, 512, 512), skeleton: bool = False, force: bool = False, at_once: int = 1, attempts: int = 4, log: bool = True) -> int:
+        """Writes the chunks of timepoints that are not written with their present coordinates; returns their number.
+
+        ``at_once`` timepoints are written and then marked in the log, so a crash costs no more than those; ``attempts`` for
+        each.  Without ``log`` all timepoints are written and none is marked.  ``timings`` has a row for each write.
+        """
         output = Path(output) if output else self.work.canvas
+        marks = f"{output}.log.jsonl"
+        self.timings: list[dict] = []
         placed = self.coordinates(t0, t1)
         if skeleton:
             placed = coords.restrict(placed, graph.skeleton(self.tops, self.placements))
@@ -179,55 +178,25 @@ class Project:
             geometry, new = store.resolve_geometry(output, want, bad)
             if new:
                 store.save_geometry(output, geometry)
-            log = store.read_blend_log(self.spark, f"{output}.log.jsonl")
             keys = store.blend_keys(placed, geometry["origin"], dtype)
-            todo = keys if force else store.unfinished(keys, log)
-            todo = [(r["t"], r["key"]) for r in todo.collect()]  # a row per timepoint
-            if not todo:
-                return 0
-            here = placed.where(F.col("t").isin([t for t, _ in todo]))
-            boxed = coords.boxes(here, row(geometry), self.shape)
+            todo = keys if force or not log else store.unfinished(keys, store.read_blend_log(self.spark, marks))
+            todo = sorted((r["t"], r["key"]) for r in todo.collect())  # a row per timepoint
             refs = tasks.volumes(self.state, self.times, self.tile_file, self.files, self.nz)
-            stacks = self.spark.read.format("volumes").option("path", ",".join(h.path for h in self.headers)).option("nz", str(self.nz)).load()
             named = self.spark.createDataFrame([(h.path, k) for h, k in zip(self.headers, self.keys, strict=True)], "path string, file string")
-            stacks = stacks.withColumnRenamed("file", "path").join(F.broadcast(named), "path")
-            volumes = refs.select("t", "name", "file", "pos", "local_t").join(stacks, ["file", "pos", "local_t"]).select("t", "name", "shape", "stored", "data")
-            edges = canvas.edge_lengths(here, self.pairs_at, self.shape)
-            canvas.write_chunks(canvas.compose_chunks(boxed, volumes, edges, geometry, chunk, dtype), str(output))
-            boxes = {r["t"]: [[r[f"{c}_lo"], r[f"{c}_hi"]] for c in coords.ZYX] for r in coords.bbox(boxed).collect()}
-            store.mark(f"{output}.log.jsonl", [(t, k, boxes.get(t)) for t, k in todo])
+            volumes = refs.join(named, "file").select("t", "name", "path", "pos", "local_t").persist()
+            for k in range(0, len(todo), at_once):
+                some, began = todo[k : k + at_once], time.monotonic()
+                at = F.col("t").isin([t for t, _ in some])
+                here = placed.where(at)
+                boxed = coords.boxes(here, row(geometry), self.shape)
+                edges = canvas.edge_lengths(here, self.pairs_at.where(at), self.shape)
+                chunks = canvas.compose_chunks(boxed, volumes.where(at), edges, geometry, chunk, dtype, self.shape)
+                store.patiently(lambda chunks=chunks: canvas.write_chunks(chunks, str(output)), attempts)
+                boxes = {r["t"]: [[r[f"{c}_lo"], r[f"{c}_hi"]] for c in coords.ZYX] for r in coords.bbox(boxed).collect()}
+                if log:
+                    store.mark(marks, [(t, key, boxes.get(t)) for t, key in some])
+                self.timings.append({"t": [t for t, _ in some], "seconds": time.monotonic() - began, "driver_mb": resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024})
+            volumes.unpersist()
             return len(todo)
         finally:
             placed.unpersist()
-
-
-def _correlate(rows: DataFrame, crop, realign_crop, shift: int, precision: str) -> DataFrame:
-    """key, kind, what and the offset of task rows that carry both volumes."""
-    import numpy as np
-    import pandas as pd
-
-    from ..functions import kernels as k
-
-    def cut(v, slices):
-        a = np.frombuffer(v["data"], dtype=v["stored"]).reshape([int(n) for n in v["shape"]])
-        return a[tuple(slice(*s) for s in slices)]
-
-    def run(it):
-        for pdf in it:
-            out = []
-            for r in pdf.itertuples():
-                if r.kind == "pair":
-                    free = cf.free_axis(crop, r.axis)
-                    off = k.pair_offset(cut(r.src, free), cut(r.dst, free), r.axis, shift, precision)
-                elif r.kind == "time":
-                    s = realign_crop if r.realign else crop
-                    off = k.translation(cut(r.src, s), cut(r.dst, s), precision)
-                else:
-                    raise TypeError(f"unknown task {r.kind!r}")
-                out.append((r.key, r.kind, r.what, *off))
-            yield pd.DataFrame(out, columns=["key", "kind", "what", "dz", "dy", "dx"])
-
-    return rows.select("key", "kind", "what", "axis", "realign", "src", "dst").mapInPandas(run, "key string, kind string, what string, dz int, dy int, dx int")
-
-
-__all__ = ["MissingOffsets", "Project", "correlate"]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import canvas, coords, correlate, drift, graph, layout, tasks, validate
+from ..sources import store
 from .acquisition import ERROR, SHAPE, SPACING, Acquisition
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,7 +40,7 @@ def tile_lifetime(a):
 
 @query
 def tile_index(a):
-    return a.tiles.select("name", (F.row_number().over(Window.orderBy("name")) - 1).cast("long").alias("i"))  # a row per tile of the configuration
+    return layout.ranked(a.tiles.select("name"), "name", "i")
 
 
 @query
@@ -156,8 +157,15 @@ def memo_compact_count(a):
     return log.agg(F.count("*").alias("n_lines"), F.count_distinct("key").alias("n_keys")).withColumn("n_superseded", F.col("n_lines") - F.col("n_keys"))
 
 
+def _vectors(a):
+    """Vectors as volumes of ``VOLUME``; one of another size raises."""
+    n = VOLUME[0] * VOLUME[1] * VOLUME[2]
+    misfit = F.raise_error(F.concat(F.lit(f"no volume of {n} voxels: vector "), F.col("vec_id").cast("string")))
+    return a.table("embeddings").select("vec_id", F.when(F.size("embedding") == n, F.col("embedding")).otherwise(misfit).alias("embedding"))
+
+
 def _vector_tasks(a, axis: int, shift: int):
-    e = a.table("embeddings").where("size(embedding) = 64").select("vec_id", "embedding")
+    e = _vectors(a)
     nxt = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("dst"))
     return e.join(nxt, "vec_id").select(F.col("vec_id").cast("string").alias("key"), F.col("embedding").alias("src"), "dst", F.lit(axis).alias("axis"), F.lit(shift).alias("shift_px"))
 
@@ -177,15 +185,12 @@ def phase_correlation_pair_shift(a):
 
 
 def _voxels(a):
-    return a.table("embeddings").where("size(embedding) = 64").select("vec_id", F.posexplode("embedding").alias("i", "v")).select("vec_id", F.floor(F.col("i") / 16).cast("int").alias("z"), (F.floor(F.col("i") / 4) % 4).cast("int").alias("y"), (F.col("i") % 4).alias("x"), F.col("v").cast("double").alias("v"))
+    return _vectors(a).select("vec_id", F.posexplode("embedding").alias("i", "v")).select("vec_id", F.floor(F.col("i") / 16).cast("int").alias("z"), (F.floor(F.col("i") / 4) % 4).cast("int").alias("y"), (F.col("i") % 4).alias("x"), F.col("v").cast("double").alias("v"))
 
 
 @query
 def overlap_trim(a):
-    v = _voxels(a)
-    parent = v.where("x >= 1").select("vec_id", F.lit("parent").alias("side"), "z", "y", (F.col("x") - 1).alias("x"), "v")
-    child = v.where("x < 3").select("vec_id", F.lit("child").alias("side"), "z", "y", "x", "v")
-    return parent.union(child)
+    return correlate.strips(_vectors(a).select("vec_id", F.col("embedding").alias("img")), VOLUME, 2, 1)
 
 
 @query
@@ -321,13 +326,73 @@ def blend_weights_1d(a):
 @query
 def blend_weighted_average(a):
     """Neighbouring vectors overlap by two planes; ramps weigh both."""
-    v = _voxels(a)
-    x = (F.col("vec_id") % 2) * 2 + F.col("x")
-    w = F.when(F.col("vec_id") % 2 == 0, F.when(F.col("x") >= 2, F.when(F.col("x") == 2, 0.99).otherwise(0.01)).otherwise(1.0)).otherwise(F.when(F.col("x") < 2, F.when(F.col("x") == 0, 0.01).otherwise(0.99)).otherwise(1.0))
-    s = v.select(F.floor(F.col("vec_id") / 2).alias("tile_pair"), "z", "y", x.cast("int").alias("x"), "v", w.alias("w"))
+    s = canvas.weighted(_pair_of_vectors(a), VOLUME).withColumnRenamed("t", "tile_pair")
     return canvas.weighted_average(s, ["tile_pair", "z", "y", "x"]).withColumn("value", F.round("value", 6))
 
 
+def _pair_of_vectors(a):
+    """t (a pair), name, box, voxel and edges: the second vector lies two planes along x; both fade over that length."""
+    v = _voxels(a)
+    second = F.col("vec_id") % 2 == 1
+    edge = F.array(F.struct(F.lit(2).alias("axis"), (~second).alias("lower"), F.lit(2).alias("length")))
+    return v.select(F.floor(F.col("vec_id") / 2).alias("t"), F.col("vec_id").cast("string").alias("name"), F.lit(0).alias("z_lo"), F.lit(0).alias("y_lo"), F.when(second, 2).otherwise(0).alias("x_lo"), "z", "y", "x", "v", edge.alias("edges"))
+
+
+@query
+def blend_chunks(a):
+    """Sum and count of composed voxels by chunk of two planes, as the canvas holds them."""
+    two = _vectors(a).select(F.floor(F.col("vec_id") / 2).cast("int").alias("t"), F.col("vec_id").cast("string").alias("name"), (F.col("vec_id") % 2).cast("int").alias("second"), F.transform("embedding", lambda v: F.floor(F.abs(v.cast("double")) * 1000).cast("int")).alias("voxels"))
+    lo = {"z": F.lit(0), "y": F.lit(0), "x": F.col("second") * 2}
+    boxed = two.select("t", "name", *[e for c, n in zip(coords.ZYX, VOLUME, strict=True) for e in (lo[c].alias(f"{c}_lo"), (lo[c] + n).alias(f"{c}_hi"))])
+    edges = two.select("t", "name", F.lit(2).alias("axis"), (F.col("second") == 0).alias("lower"), F.lit(2).alias("length"), F.lit("a").alias("a"), F.lit("b").alias("b"))
+    volumes = two.select("t", "name", F.concat_ws(",", F.col("voxels").cast("array<string>")).alias("path"), F.lit(0).alias("pos"), F.lit(0).alias("local_t"))
+    chunks = canvas.compose_chunks(boxed, volumes, edges, {"shape": [0, 4, 4, 6]}, (2, 4, 3), "uint16", VOLUME, _from_text)
+    return chunks.mapInPandas(_chunk_sums, "t long, cz int, cx int, n_voxels int, total long")
+
+
+def _chunk_sums(it):
+    import numpy as np
+
+    for pdf in it:
+        voxels = [np.frombuffer(d, np.uint16) for d in pdf["data"]]
+        yield pdf[["t", "cz", "cx"]].assign(n_voxels=[len(v) for v in voxels], total=[int(v.sum(dtype=np.int64)) for v in voxels])
+
+
+def _from_text(path, pos, local_t, region):
+    import numpy as np
+
+    return np.array(path.split(","), dtype=np.uint16).reshape(VOLUME)[tuple(slice(*r) for r in region)]
+
+
+@query
+def pair_offset_signs(a):
+    """Offsets as a routing uses them: along a pair as they are, against it negated."""
+    steps = a.row_steps.where("kind = 'pair'")
+    own = lambda m, k: F.pmod(F.col("t") * m + F.col("key"), F.lit(k)) - k // 2
+    known = a.row_pairs.withColumn("key", F.col("a").cast("int")).select("t", F.lit("pair").alias("kind"), "a", "b", "axis", own(3, 5).cast("int").alias("dz"), own(5, 7).cast("int").alias("dy"), own(7, 9).cast("int").alias("dx"))
+    return coords.nodes_of(steps, known).select("t", "name", "pname", "dz", "dy", "dx")
+
+
+@query
+def coordinates_restricted(a):
+    """Coordinates of the skeleton's tiles alone."""
+    return coords.restrict(a.placed, graph.skeleton(a.row_tops, graph.placements(a.row_tops))).where("placed").select("t", "name", "z", "y", "x")
+
+
+@query
+def routes(a):
+    """Number of steps from the seed and the seed of each placed tile."""
+    return graph.routes(a.row_tops, graph.placements(a.row_tops))
+
+
+@query
+def blend_unfinished(a):
+    """Timepoints whose stored key is not that of their present coordinates: every third one was written before a move."""
+    keys = a.placed.where("placed").groupBy("t").agg(F.sum(F.col("x") * 3 + F.col("y")).cast("long").alias("k")).select("t", F.col("k").cast("string").alias("key"))
+    log = keys.select("t", F.when(F.col("t") % 3 == 0, F.concat("key", F.lit("'"))).otherwise(F.col("key")).alias("key")).where("t % 5 <> 0")
+    return store.unfinished(keys, log).select("t")
+
+
 def _series(a):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     return a.table("events").select("user_id", "event_id", "ts", (F.col("value") - F.lag("value").over(w)).alias("step")).where("step is not null")

@@ -24,11 +24,12 @@ class Header:
     voxel_x_um: float
 
     def position_of(self, names) -> int | None:
-        """Index of the one position called by any of the names."""
-        hits = [i for i, n in enumerate(self.position_names) if n in set(names)]
-        if len(hits) > 1:
-            raise ValueError(f"{self.path}: {sorted(names)} match {len(hits)} positions")
-        return hits[0] if hits else None
+        """Place of the position that goes by one of the names, None if there is none; two of them are an error."""
+        wanted = dict.fromkeys(names)
+        places = {p: k for k, p in enumerate(self.position_names) if p in wanted}
+        if sum(p in wanted for p in self.position_names) > 1:
+            raise ValueError(f"{self.path}: the names {', '.join(wanted)} stand for several positions: {', '.join(places)}")
+        return next(iter(places.values()), None)
 
 
 @dataclass(frozen=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 import warnings
 from pathlib import Path
 
@@ -41,18 +42,40 @@ def read_offsets(spark: SparkSession, path: str | Path) -> DataFrame:
 
 def append_offsets(found: DataFrame, path: str | Path) -> int:
     """Appends result rows (key, kind, what, dz, dy, dx) of one slice, a line each; returns their number."""
-    file = Path(path)
+    lines = ({"key": r["key"], "kind": r["kind"], "task": {"kind": r["kind"], "what": r["what"]}, "offset": {c: r[c] for c in ("dz", "dy", "dx")}} for r in found.toLocalIterator())
+    return _append(Path(path), lines)
+
+
+def _append(file: Path, lines) -> int:
+    """Adds JSON lines; of the log itself only the last byte is looked at, as a torn line must not take the next one with it."""
     file.parent.mkdir(parents=True, exist_ok=True)
     n = 0
-    with file.open("a") as out:
-        if out.tell() and not file.read_bytes().endswith(b"\n"):
-            out.write("\n")  # a torn line must not take the next one with it
-        for r in found.toLocalIterator():
-            out.write(json.dumps({"key": r["key"], "kind": r["kind"], "task": {"kind": r["kind"], "what": r["what"]}, "offset": {c: r[c] for c in ("dz", "dy", "dx")}}) + "\n")
+    with file.open("a+b") as out:
+        if out.tell():
+            out.seek(-1, os.SEEK_END)
+            if out.read(1) != b"\n":
+                out.write(b"\n")
+        for line in lines:
+            out.write(json.dumps(line).encode() + b"\n")
             n += 1
     return n
 
 
+def patiently(work, attempts: int = 4, wait: float = 2.0):
+    """Runs ``work`` again after an error, up to ``attempts`` times, with pauses that double; the last error is raised."""
+    for left in reversed(range(max(attempts, 1))):
+        try:
+            return work()
+        except (CanvasMismatch, KeyboardInterrupt):
+            raise
+        except Exception as e:  # storage fails in many ways
+            if not left:
+                raise
+            warnings.warn(f"{type(e).__name__}: {str(e)[:200]}; once more in {wait:g} s", RuntimeWarning, stacklevel=2)
+            time.sleep(wait)
+            wait *= 2
+
+
 def compact(spark: SparkSession, path: str | Path) -> tuple[int, int]:
     """Rewrites the log without superseded lines, by a replaced file; lines before and after."""
     file = Path(path)
@@ -73,11 +96,7 @@ def read_blend_log(spark: SparkSession, path: str | Path) -> DataFrame:
 
 def mark(path: str | Path, rows) -> None:
     """Appends (t, key, bbox) of timepoints whose chunks are all written."""
-    file = Path(path)
-    file.parent.mkdir(parents=True, exist_ok=True)
-    with file.open("a") as out:
-        for t, key, bbox in rows:
-            out.write(json.dumps({"t": t, "key": key, "bbox": bbox}) + "\n")
+    _append(Path(path), ({"t": t, "key": key, "bbox": bbox} for t, key, bbox in rows))
 
 
 def blend_keys(placed: DataFrame, origin, dtype: str) -> DataFrame:
@@ -119,15 +138,13 @@ def load_geometry(output: str | Path) -> dict | None:
 
 
 def resolve_geometry(output: str | Path, needed: dict, misfits: list[str]) -> tuple[dict, bool]:
-    """The frame to use and whether it is new; a stored frame stays, and what does not fit it is an error."""
+    """The frame to use and whether it is new; a stored frame stays, and all that does not fit it is one error."""
     held = load_geometry(output)
-    if held is None:
-        return needed, True
-    if held["dtype"] != needed["dtype"]:
-        raise CanvasMismatch(f"the canvas holds {held['dtype']}, not {needed['dtype']}")
-    if held["shape"][0] != needed["shape"][0]:
-        raise CanvasMismatch(f"the canvas has {held['shape'][0]} timepoints, not {needed['shape'][0]}")
-    if misfits:
-        more = f"\n  ... and {len(misfits) - 5} more" if len(misfits) > 5 else ""
-        raise CanvasMismatch(f"{len(misfits)} tile(s) no longer fit the canvas:\n" + "\n".join(f"  - {m}" for m in misfits[:5]) + more)
-    return held, False
+    asked = {"number type": needed["dtype"], "number of timepoints": needed["shape"][0]}
+    has = asked if held is None else {"number type": held["dtype"], "number of timepoints": held["shape"][0]}
+    faults = [f"{what} {has[what]} is stored, {want} is wanted" for what, want in asked.items() if has[what] != want]
+    if held is not None and misfits:
+        faults.append(f"{len(misfits)} boxes lie outside, the first are " + ", ".join(misfits[:5]))
+    if faults:
+        raise CanvasMismatch(f"{output}: its frame was fixed when it was made: " + "; ".join(faults))
+    return held or needed, held is None

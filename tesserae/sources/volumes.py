@@ -29,6 +29,15 @@ def read_volume(path: str, pos: int, t: int, nz: int | None = None) -> np.ndarra
     return np.array(frames[first : first + depth])
 
 
+def read_region(path: str, pos: int, t: int, region) -> np.ndarray:
+    """The part of a volume inside ``region`` ((lo, hi) per axis): only its pages are read."""
+    h = json.loads(Path(f"{path}.json").read_text())
+    frames = np.memmap(path, dtype=h.get("dtype", "uint16"), mode="r").reshape(-1, h["ny"], h["nx"])
+    first = (t * len(h["position_names"]) + pos) * h["nz"]
+    (z0, z1), *lateral = region
+    return np.array(frames[(slice(first + z0, first + z1), *(slice(*x) for x in lateral))])
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.paths = [p for p in options["path"].split(",") if p]

@@ -33,41 +33,41 @@ def test_valid():
 @pytest.mark.parametrize(
     "old, new, part",
     [
-        ("[a.raw, b.raw]", "[a.raw, a.raw]", "duplicates"),
-        ("grid_spacing_error: 5", "grid_spacing_error: 0", "must be > 0"),
-        ("grid_spacing_error: 5", "grid_spacing_error: 30", "windows overlap"),
-        ("tile_b: {start: [0, 0]}", "tile_b: {start: [4, 0]}", "out of range"),
-        ("tile_b: {start: [0, 0]}", "tile_b: {start: [0, -1]}", "negative timepoint"),
-        ("tile_b: {start: [0, 0]}", "tile_b: {start: [1, 0], end: 1}", "never alive"),
-        ("tile_b: {start: [0, 0]}", "tile_b: {start: [0, 0], aliases: [tile_b]}", "own name"),
-        ("tile_b: {start: [0, 0]}", "tile_b: {start: [0, 0], aliases: [tile_a]}", "also a position name"),
-        ("reference_in_files: [0, 1]", "reference_in_files: [0]", "no reference position"),
-        ("reference_in_files: [0, 1]", "reference_in_files: [0, 1, 1]", "duplicates"),
-        ("tile_b: {start: [0, 0]}", "tile_b: {start: [0, 9]}", "beyond file"),
+        ("[a.raw, b.raw]", "[a.raw, a.raw]", "file-twice"),
+        ("grid_spacing_error: 5", "grid_spacing_error: 0", "tolerance:"),
+        ("grid_spacing_error: 5", "grid_spacing_error: 30", "tolerance-wide"),
+        ("tile_b: {start: [0, 0]}", "tile_b: {start: [4, 0]}", "start-file"),
+        ("tile_b: {start: [0, 0]}", "tile_b: {start: [0, -1]}", "start-negative"),
+        ("tile_b: {start: [0, 0]}", "tile_b: {start: [1, 0], end: 1}", "lifeless"),
+        ("tile_b: {start: [0, 0]}", "tile_b: {start: [0, 0], aliases: [tile_b]}", "alias-self"),
+        ("tile_b: {start: [0, 0]}", "tile_b: {start: [0, 0], aliases: [tile_a]}", "alias-taken"),
+        ("reference_in_files: [0, 1]", "reference_in_files: [0]", "file-unreferenced"),
+        ("reference_in_files: [0, 1]", "reference_in_files: [0, 1, 1]", "reference-twice"),
+        ("tile_b: {start: [0, 0]}", "tile_b: {start: [0, 9]}", "start-late"),
     ],
 )
 def test_one_mutation_one_problem(old, new, part):
-    assert any(part in x for x in check(parse(BASE.replace(old, new)), [5, 5]))
+    assert any(x.startswith(part) for x in check(parse(BASE.replace(old, new)), [5, 5]))
 
 
 @pytest.mark.parametrize(
     "block, part",
     [
-        ("{at: [], drop: [tile_b]}", "empty"),
-        ("{at: -1, drop: [tile_b]}", "negative"),
-        ("{at: 1}", "does nothing"),
-        ("{at: 1, drop: [nobody]}", "unknown"),
-        ("{at: 1, drop: [tile_b], realign: [tile_b]}", "dropped and used"),
-        ("{at: 1, unanchor: [tile_a], anchor: [tile_a]}", "pick one"),
-        ("{at: 1, unanchor: [tile_b], drop: [tile_b]}", "does nothing"),
-        ("{at: 0, realign: [tile_a]}", "no predecessor"),
-        ("{at: 1, drop: [tile_a]}", "without naming"),
-        ("{at: 99, drop: [tile_b]}", "beyond timeline"),
-        ("{at: 2, realign: [tile_a]}", "realignment_slices is not set"),
+        ("{at: [], drop: [tile_b]}", "block-times"),
+        ("{at: -1, drop: [tile_b]}", "time-negative"),
+        ("{at: 1}", "block-idle"),
+        ("{at: 1, drop: [nobody]}", "use-unknown"),
+        ("{at: 1, drop: [tile_b], realign: [tile_b]}", "use-dropped"),
+        ("{at: 1, unanchor: [tile_a], anchor: [tile_a]}", "use-both"),
+        ("{at: 1, unanchor: [tile_b], drop: [tile_b]}", "use-needless"),
+        ("{at: 0, realign: [tile_a]}", "realign-first"),
+        ("{at: 1, drop: [tile_a]}", "block-bare"),
+        ("{at: 99, drop: [tile_b]}", "time-late"),
+        ("{at: 2, realign: [tile_a]}", "realign-region"),
     ],
 )
 def test_override_rules(block, part):
-    assert any(part in x for x in check(parse(BASE + f"overrides:\n  - {block}\n"), [5, 5]))
+    assert any(x.startswith(part) for x in check(parse(BASE + f"overrides:\n  - {block}\n"), [5, 5]))
 
 
 def test_all_problems_are_collected():
@@ -79,5 +79,30 @@ def test_all_problems_are_collected():
 
 def test_graph_rules():
     out = check_graph(3, {0: ["a", "b"], 1: ["a"]}, {0: {"a"}, 1: {"a", "b"}}, {})
-    assert any("no tiles alive at timepoints 2" in x for x in out) and any("no anchor at t=0" in x for x in out)
+    assert out == ["empty: all tiles are gone at t = 2", "unanchored: no anchor holds the part b at t = 0"]
     assert Workspace.of("/x/run.yaml").offsets.as_posix() == "/x/run/offsets.jsonl"
+
+
+def test_every_rule_has_a_breach():
+    """Rules of one configuration that is wrong in many ways, by their codes."""
+    text = """
+files: [a.raw, a.raw]
+grid_spacing: 8
+grid_spacing_error: 5
+positions:
+  p: {start: [0, -1], end: 9, aliases: [p, q], reference_in_files: [0, 0, 5]}
+  q: {start: [1, 7], end: 1, reference_in_files: [0]}
+slices: {z: [0, 3]}
+realignment_slices: {z: [0, 3]}
+overrides:
+  - {at: [0, 3, -2], drop: [p, q], unanchor: [p], realign: [q, r]}
+  - {at: [3, 2, 44], anchor: [q], unanchor: [q]}
+  - {at: []}
+"""
+    codes = {x.split(":")[0] for x in check(parse(text), [2, 2], True, "/nowhere")}
+    assert codes == {
+        "tolerance-wide", "realign-same", "file-twice", "file-missing", "file-unreferenced", "start-negative", "start-late", "end-file", "lifeless", "alias-self", "alias-taken", "reference-file", "reference-lifeless", "reference-twice",
+        "block-times", "block-idle", "block-bare", "time-negative", "time-shared", "time-late", "realign-first", "use-unknown", "use-dropped", "use-both", "use-needless", "call-lifeless", "call-early",
+    }
+    assert [x.split(":")[0] for x in check(parse("files: []\npositions: {}\ngrid_spacing: 5\ngrid_spacing_error: 0\n"), [1])] == ["no-files", "no-positions", "tolerance", "lengths"]
+    assert any(x.startswith("call-early") for x in check(parse(BASE.replace("tile_b: {start: [0, 0]}", "tile_b: {start: [0, 3]}") + "overrides:\n  - {at: 1, drop: [tile_b]}\n"), [5, 5]))

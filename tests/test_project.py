@@ -73,7 +73,7 @@ def test_commands(spark, scene, capsys):
     run = lambda *a: cli.main([a[0], str(scene), *a[1:]], spark)
     assert run("validate", "--deep") == 0 and run("timeline", "--at", "5") == 0
     assert "left*" in capsys.readouterr().out
-    assert run("graph", "--strict") == 0 and "x→ right" in capsys.readouterr().out
+    assert run("graph", "--strict") == 0 and ". right: x neighbour of left" in capsys.readouterr().out
     assert run("offsets", "--dry-run") == 0 and "15 tasks" in capsys.readouterr().out
     assert run("drift", "--tile", "left") == 1
     assert run("offsets", "--between", "0", "4") == 0
@@ -126,3 +126,64 @@ def test_geometry_is_strict(tmp_path):
     store.geometry_path(tmp_path / "c").write_text("{}")
     with pytest.raises(store.CanvasMismatch):
         store.load_geometry(tmp_path / "c")
+
+
+def test_a_crash_costs_one_timepoint(spark, scene, monkeypatch):
+    from tesserae.operators import canvas
+
+    p = Project(spark, scene)
+    p.compute()
+    real, calls = canvas.write_chunks, []
+
+    def breaks(chunks, path):
+        calls.append(path)
+        if len(calls) == 4:
+            raise OSError("full")
+        real(chunks, path)
+
+    monkeypatch.setattr(canvas, "write_chunks", breaks)
+    with pytest.raises(OSError):
+        p.blend(chunk=(4, 16, 16), attempts=1)
+    assert store.read_blend_log(spark, f"{p.work.canvas}.log.jsonl").count() == 3
+    assert p.blend(chunk=(4, 16, 16)) == 5 and len(p.timings) == 5 and p.blend(chunk=(4, 16, 16)) == 0
+
+
+def test_patience(monkeypatch):
+    waits, left = [], [OSError("a"), OSError("b")]
+    monkeypatch.setattr(store.time, "sleep", waits.append)
+
+    def work():
+        if left:
+            raise left.pop()
+        return 7
+
+    with pytest.warns(RuntimeWarning):
+        assert store.patiently(work, 3, 2.0) == 7
+    assert waits == [2.0, 4.0]
+    left.append(store.CanvasMismatch("never again"))
+    with pytest.raises(store.CanvasMismatch):
+        store.patiently(work)
+    left.append(OSError("c"))
+    with pytest.raises(OSError):
+        store.patiently(work, 1)
+
+
+def test_a_position_outside_the_files_raises(spark):
+    from tesserae.operators import layout
+
+    files = spark.createDataFrame([(0, 3), (1, 2)], "file_i int, nt int")
+    at = lambda start, end: layout.lifetimes(spark.createDataFrame([("x", start, 1, end)], "name string, start_file int, start_t int, end_file int"), files).collect()
+    assert [tuple(r) for r in at(1, None)] == [("x", 4, 5)] and [tuple(r) for r in at(0, 1)] == [("x", 1, 3)]
+    for bad in ((2, None), (0, 4)):
+        with pytest.raises(Exception, match="outside the files"):
+            at(*bad)
+
+
+@pytest.mark.parametrize("path", ["a b.nd2", 'q"u\\o.nd2', "é/ü\n.raw", "😀.raw", "\x01\t\x7f"])
+def test_file_keys_are_those_of_the_json_text(spark, path):
+    from pyspark.sql import functions as F
+
+    from tesserae.operators import tasks
+
+    row = spark.createDataFrame([(path,)], "path string").select(tasks.file_key(F.col("path"), F.lit(5), F.lit(6))).first()
+    assert row[0] == headers.Stamp(path, 5, 6).key
