@@ -1,32 +1,40 @@
 """Byte-pair encoding and decoding by a tokenization automaton.
 
-The automaton reads tokens; it accepts exactly the token sequences that the merges give.  It starts as one state with an
+*Token automaton.*  It reads tokens and accepts exactly the sequences that the merges give.  It starts as one state with an
 arc for every byte, and every merge, in order of rank, puts in one gadget: for ``u v -> uv`` the target of the ``u`` arcs
 becomes a copy without its ``v`` arc (``u`` before ``v`` would have been merged), and an arc ``uv`` leads from where ``u``
-started to where ``v`` led *at that moment*.  So the target of an arc depends on its label alone, and is stored as what
-was taken from it, on top of the state it was copied from with the rank of the copy.  A token may follow another if its
-arc was never taken, nor the arcs of its left parts before they were merged on.  Answers fill a transition table.
+started to where ``v`` led *at that moment*.  So the target of an arc depends on its label alone; a state is stored as the
+state it was copied from, the rank of the copy, and the arcs that were taken from it, in arrays.
 
-Every prefix of a word has one accepted token sequence, hence one state, so a word is encoded by one walk over its bytes;
-decoding emits the labels of the arcs.
+*Byte automaton.*  Read byte by byte, an arc is a path through the trie of the labels.  A set of places on such paths, each
+with the state its arc leaves from, is a state of the deterministic automaton.  Every prefix of a word has exactly one
+accepted token sequence, so a state names one last token.  Its transitions are a row of the table (an array by bytes, or,
+beyond the first ``DENSE`` states, what of it is there); they are compiled when a word first needs them, and at ``STATES``
+rows the table is begun anew.
+
+A word is encoded by one walk through the table, a transition for each byte, and read off from its end: the last token of
+the whole word, then that of the prefix before it, and so on.  Decoding emits the labels of the arcs.  Words pre-split come
+from the pieces of a text between stable places (see ``token_counts``), and the results of pieces and words met before are kept.
 
 Defined cases: null and empty texts have no tokens; rows with a null id are encoded like all others; rows are returned as
-often as they come; an empty table gives an empty result.
+often as they come; other columns of the input, whatever their names, are not returned; an empty table gives an empty result;
+a file with another normalizer, pre-tokenizer or kind of model raises.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .runtime import ship_code, table
-from .token_counts import WHITE, default_tokenizer
+from .token_counts import PIECE, WHITE, byte_level, default_tokenizer
 
-START = -1
-KEPT_WORDS = 1 << 18
+STATES, DENSE = 1 << 18, 1 << 12  # rows of the transition table; the first ones, met most, are arrays
+KEPT_BYTES, LONGEST_KEPT = 128 << 20, 512  # memory, about, of kept pieces and of kept words; characters of one
 
 
 def _space_class() -> str:
@@ -49,66 +57,133 @@ def byte_characters() -> dict[str, int]:
     return out
 
 
-class Automaton:
-    def __init__(self, vocab: dict[bytes, int], merges: list[tuple[bytes, bytes]]):
-        self.label = {i: b for b, i in vocab.items()}
-        self.vocab = vocab
-        self.taken: dict[int, dict[int, int]] = {}  # state -> arc -> rank of the gadget that took it away
-        self.copied: dict[int, tuple[int, int]] = {}  # state -> the state it came from, and when
-        self.grown: dict[int, tuple[int, int]] = {}  # arc -> its left part, and when the two parts were merged
-        for rank, (u, v) in enumerate(merges):
-            left, right, both = vocab[u], vocab[v], vocab[u + v]
-            self.copied[both], self.grown[both] = (right, rank), (left, rank)
-            self.taken.setdefault(left, {})[right] = rank
-        self.longest = max(map(len, vocab), default=0)
-        self.table: dict[int, bool] = {}
-
-    def _arc(self, state: int, token: int) -> bool:
-        """Whether the arc is there: looks at the parts of the token, and at the states that the state was copied from."""
-        part, until = token, len(self.label) + 1
+class TokenAutomaton:
+    """States by the token whose arc leads there (0 is the start, token ``t`` leads to ``t + 1``)."""
+
+    def __init__(self, size: int):
+        self.copied, self.copied_at = array("i", [0]) * (size + 1), array("i", [-1]) * (size + 1)
+        self.left, self.grown_at = array("i", [-1]) * size, array("i", [-1]) * size
+        self.taken: list[dict[int, int] | None] = [None] * (size + 1)  # state -> arc -> rank of the gadget that took it away
+        self.rank = 0
+
+    def merge(self, u: int, v: int, both: int) -> None:
+        """One gadget: the target of ``u`` loses its ``v`` arc; the new arc leads to a copy of what ``v`` led to."""
+        if self.taken[u + 1] is None:
+            self.taken[u + 1] = {}
+        self.taken[u + 1][v] = self.rank
+        self.copied[both + 1], self.copied_at[both + 1] = v + 1, self.rank
+        self.left[both], self.grown_at[both] = u, self.rank
+        self.rank += 1
+
+    def arc(self, state: int, token: int) -> bool:
+        """Whether the arc is there: no gadget took it, nor the arc of a left part of it before that was merged on, from the
+        state or from those it was copied from, before the copy."""
+        if state == 0:
+            return True
+        part, until = token, self.rank
         while True:
-            at, before = state, len(self.label) + 1
+            at, before = state, self.rank
             while True:
-                rank = self.taken.get(at, {}).get(part)
-                if rank is not None and rank < before and rank <= until:
+                taken = self.taken[at]
+                if taken is not None and (rank := taken.get(part, before)) < before and rank <= until:
                     return False
-                if at not in self.copied:
+                if self.copied_at[at] < 0:
                     break
-                at, before = self.copied[at]
-            if part not in self.grown:
+                at, before = self.copied[at], self.copied_at[at]
+            if self.left[part] < 0:
                 return True
-            part, until = self.grown[part]
+            part, until = self.left[part], self.grown_at[part]
+
+
+class _Sparse(dict):
+    """A row of few transitions."""
+
+    def __missing__(self, byte: int) -> int:
+        return -1
 
-    def follows(self, state: int, token: int) -> bool:
-        key = state << 20 | token
-        found = self.table.get(key)
-        if found is None:
-            if len(self.table) >= 1 << 21:
-                self.table.clear()
-            found = self.table[key] = self._arc(state, token)
-        return found
+
+class Automaton:
+    """The deterministic byte automaton of a vocabulary and its merges."""
+
+    def __init__(self, vocab: dict[bytes, int], merges: list[tuple[bytes, bytes]], states: int = STATES):
+        if set(range(256)) - {b[0] for b in vocab if len(b) == 1}:
+            raise ValueError("a byte-level vocabulary has a token for every byte")
+        size = max(vocab.values(), default=-1) + 1
+        self.label: dict[int, bytes] = {i: b for b, i in vocab.items()}
+        self.tokens = TokenAutomaton(size)
+        for u, v in merges:
+            self.tokens.merge(vocab[u], vocab[v], vocab[u + v])
+        made = {v for m in merges for v in (m[0] + m[1],)}
+        # labels as a trie: child of (node, byte), token that ends at a node, whether a node has children
+        self.child: dict[int, int] = {}
+        self.token, self.inner = array("i", [-1]), array("b", [0])
+        for b, i in vocab.items():
+            if len(b) > 1 and b not in made:
+                continue  # no merge leads there, so no arc has this label
+            node = 0
+            for x in b:
+                key = node << 8 | x
+                if key not in self.child:
+                    self.child[key] = len(self.token)
+                    self.inner[node] = 1
+                    self.token.append(-1)
+                    self.inner.append(0)
+                node = self.child[key]
+            self.token[node] = i
+        self.size = array("i", [0]) * size
+        for i, b in self.label.items():
+            self.size[i] = len(b)
+        self.states = max(states, 2)
+        self._begin()
+
+    def _begin(self) -> None:
+        self.rows: list[array | _Sparse] = [array("i", [-1]) * 256]
+        self.last = array("i", [-1])  # last token of the sequence that leads to a state
+        self.paths: list[tuple[int, ...]] = [(0,)]  # state an arc leaves from, place in the trie (32 bits); without the last one
+        self.known: dict[tuple[int, ...], int] = {}
+
+    def _compile(self, state: int, byte: int) -> int:
+        """The transition of a state by a byte."""
+        on, last, arc, child, token, inner = [], -1, self.tokens.arc, self.child, self.token, self.inner
+        for path in self.paths[state]:
+            node = child.get((path & 0xFFFFFFFF) << 8 | byte)
+            if node is not None:
+                q = path >> 32
+                if inner[node]:
+                    on.append(q << 32 | node)
+                if last < 0 and (t := token[node]) >= 0 and arc(q, t):
+                    last = t  # one at most: every prefix has one accepted sequence
+        on.append(last + 1 << 32)  # the longest path first, a new one last
+        key = tuple(on)
+        to = self.known.get(key)
+        if to is None:
+            if len(self.rows) >= self.states:  # begun anew in the middle of a word: the walk goes on from the new state
+                self._begin()
+                state = None
+            to = self.known[key] = len(self.rows)
+            self.rows.append(array("i", [-1]) * 256 if to < DENSE else _Sparse())
+            self.last.append(last)
+            self.paths.append(key)
+        if state is not None:
+            self.rows[state][byte] = to
+        return to
 
     def encode_word(self, word: bytes) -> list[int]:
-        if (whole := self.vocab.get(word)) is not None:
-            return [whole]
-        # Each place is reached by one sequence only, so a place without a way on is never tried again.
-        n, i, s, path, dead = len(word), 0, START, [], set()
-        j = min(n, self.longest)
-        vocab, follows = self.vocab, self.follows
-        while i < n:
-            while j > i:
-                if j not in dead and (t := vocab.get(word[i:j])) is not None and (s == START or follows(s, t)):
-                    break
-                j -= 1
-            if j > i:
-                path.append((i, j, t))
-                i, s, j = j, t, min(n, j + self.longest)
-            else:
-                dead.add(i)
-                i, j, _ = path.pop()
-                j -= 1
-                s = path[-1][2] if path else START
-        return [t for _, _, t in path]
+        rows, last, state, ends = self.rows, self.last, 0, array("i")
+        for x in word:
+            to = rows[state][x]
+            if to < 0:
+                to = self._compile(state, x)
+                rows, last = self.rows, self.last
+            state = to
+            ends.append(last[state])
+        out, at, size = [], len(word), self.size
+        while at:
+            t = ends[at - 1]
+            out.append(t)
+            at -= size[t]
+        out.reverse()
+        return out
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.label[i] for i in ids])
@@ -117,6 +192,8 @@ class Automaton:
 def load(tokenizer_json: str) -> tuple[Automaton, dict[str, int]]:
     """The automaton of a byte-level BPE file (its content), and its special strings."""
     spec = json.loads(tokenizer_json)
+    if not byte_level(spec):
+        raise ValueError("byte-level BPE without a normalizer and with its own splitting rule is needed")
     to_byte = byte_characters()
     raw = lambda s: bytes(to_byte[c] for c in s)
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -126,7 +203,7 @@ def load(tokenizer_json: str) -> tuple[Automaton, dict[str, int]]:
 
 
 class Encoder:
-    """Splits texts into special strings and words, and keeps the encodings of the words met last."""
+    """Cuts texts into pieces, special strings and words, and keeps the encodings of the pieces met last."""
 
     def __init__(self, tokenizer_json: str):
         import regex
@@ -135,31 +212,43 @@ class Encoder:
         self.split = regex.compile(split_pattern()).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.known: dict[str, tuple[int, bytes, bytes]] = {}
+        self.words: dict[str, list[int]] = {}
+        self.kept = self.kept_words = 0
         for s, i in self.special.items():
             self.automaton.label[i] = s.encode()
 
-    def _word(self, word: str) -> tuple[int, bytes, bytes]:
+    def _piece(self, piece: str) -> tuple[int, bytes, bytes]:
         """Number of tokens, their ids in decimal, and the labels that decoding emits."""
-        ids = self.automaton.encode_word(word.encode())
-        out = len(ids), b",".join(b"%d" % i for i in ids), self.automaton.decode(ids)
-        if len(self.known) >= KEPT_WORDS:
-            self.known.clear()
-        self.known[word] = out
-        return out
-
-    def pieces(self, text: str) -> list[tuple[int, bytes, bytes]]:
-        known, word = self.known, self._word
-        if self.cut is None or not any(s in text for s in self.special):
-            return [known.get(w) or word(w) for w in self.split(text)]
-        out = []
-        for k, part in enumerate(self.cut.split(text)):
+        ids, words = [], self.words
+        for k, part in enumerate(self.cut.split(piece) if self.cut else (piece,)):
             if k % 2:
-                i = self.special[part]
-                out.append((1, b"%d" % i, self.automaton.label[i]))
+                ids.append(self.special[part])
             else:
-                out += [known.get(w) or word(w) for w in self.split(part)]
+                for w in self.split(part):
+                    ids += words.get(w) or self._word(w)
+        out = len(ids), ",".join(map(str, ids)).encode(), self.automaton.decode(ids)
+        if len(piece) <= LONGEST_KEPT:
+            if self.kept > KEPT_BYTES:
+                self.known.clear()
+                self.kept = 0
+            self.known[piece] = out
+            self.kept += 250 + 5 * len(piece)
         return out
 
+    def _word(self, word: str) -> list[int]:
+        ids = self.automaton.encode_word(word.encode())
+        if len(word) <= LONGEST_KEPT:
+            if self.kept_words > KEPT_BYTES:
+                self.words.clear()
+                self.kept_words = 0
+            self.words[word] = ids
+            self.kept_words += 250 + 5 * len(word)
+        return ids
+
+    def pieces(self, text: str) -> list[tuple[int, bytes, bytes]]:
+        known, piece = self.known, self._piece
+        return [known.get(p) or piece(p) for p in PIECE.findall(text)]
+
     def encode(self, text: str) -> list[int]:
         return [int(i) for _, ids, _ in self.pieces(text) for i in ids.split(b",")]
 
