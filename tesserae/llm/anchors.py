@@ -1,4 +1,4 @@
-"""Repeated windows across documents in two levels, without one shuffled row per window.
+"""Repeated windows across documents, level by level, without one shuffled row per window.
 
 A window of ``length`` items holds ``length - part + 1`` windows of ``part`` items; the leftmost least hash among
 them is its anchor.  Equal windows have equal anchors, so it is enough to post the anchors (about one in fourteen
@@ -22,11 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textscan as ts
-from .runtime import durable, release_memory, shuffle_partitions
+from .runtime import durable, partitions_for, release_memory
 
 U = np.uint64
 CHUNK = 1 << 19  # postings held by a mapper
-PARTS = 1  # partitions of postings for each shuffle partition; they are unpacked in memory
+PART_BYTES = 64 << 20  # of the input for each partition of postings, which is unpacked in memory
 SPAN = np.dtype([("at", "<u4"), ("n", "u1")])
 ASK = np.dtype([("g", "<u8"), ("at", "<u4"), ("n", "<u2")])
 COVER, RUN, HOT = 0, 1, 2
@@ -85,8 +85,9 @@ def by_document(kind: int, doc: np.ndarray, fp: np.ndarray, items: np.ndarray, p
 class Poster:
     """Collects the postings of a chunk of documents and packs them by partition."""
 
-    def __init__(self, partitions: int):
-        self.partitions, self.held, self.docs, self.raw = partitions, 0, [], []
+    def __init__(self, partitions: int, meet: bool = False):
+        """``meet``: anchors alone, without runs; then the run of a posting tells whether it was met again in its chunk."""
+        self.partitions, self.meet, self.held, self.docs = partitions, meet, 0, []
 
     def add(self, doc: int, fp: int, g: np.ndarray, run: np.ndarray, at: np.ndarray, count: np.ndarray) -> None:
         self.docs.append((doc, fp, g, run, at.astype(np.uint32), count.astype(np.uint8)))
@@ -108,6 +109,9 @@ class Poster:
         start = np.maximum.accumulate(np.where(np.concatenate([[True], both[1:] != both[:-1]]), np.arange(len(order)), 0))
         settled = np.zeros(len(order), dtype=bool)
         settled[order] = ids[of[order]] > ids[of[order[start]]]
+        if self.meet:
+            run = np.zeros(len(run), dtype=np.uint64)
+            run[order[start[settled[order]]]] = 1
         del both, start, order
         if settled.any():
             spans = np.empty(int(settled.sum()), dtype=SPAN)
@@ -198,6 +202,24 @@ def settle(blobs: list[bytes], hot_runs: int) -> Iterator[pa.RecordBatch]:
         yield from by_document(kind, doc[ask], fp[ask], items)
 
 
+def meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of all anchors that stand in several documents, the first of them included."""
+    held: dict[int, list[bytes]] = {}
+    yield from sort_kinds(it, held)
+    if blobs := held.pop(POST, None):
+        doc, fp, g, met, at, count = _unpack(blobs)
+        blobs.clear()
+        order = np.argsort(g, kind="stable")
+        new = np.concatenate([[True], g[order][1:] != g[order][:-1]])
+        first, of = np.flatnonzero(new), np.cumsum(new) - 1
+        several = (np.minimum.reduceat(doc[order], first) < np.maximum.reduceat(doc[order], first)) | (np.maximum.reduceat(met[order], first) > 0)
+        keep = order[several[of]]
+        spans = np.empty(len(keep), dtype=SPAN)
+        spans["at"], spans["n"] = at[keep], count[keep]
+        yield from by_document(COVER, doc[keep], fp[keep], spans)
+    release_memory()
+
+
 def deal(posted: DataFrame, partitions: int, reducer: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """Every packed row to its partition, and the reducer over each partition."""
     return posted.repartitionById(partitions, F.col("part")).mapInArrow(reducer, POSTED)
@@ -224,19 +246,30 @@ def settler(hot_runs: int):
     return reduce
 
 
-def repeated_spans(docs: DataFrame, doc_id: Column, text: Column, post_level1, post_level2, reduce_level2, hot_runs: int) -> DataFrame:
+def repeated_spans(docs: DataFrame, doc_id: Column, text: Column, post_level1, post_level2, reduce_level2, hot_runs: int, levels_before=()) -> DataFrame:
     """``docs`` as ``__doc``, ``__text``, ``__fp`` and its other columns, with ``__spans``: packed (first item, number)
     of the windows that also start in a document with a smaller id.
 
     ``post_level1(partitions)`` and ``post_level2(partitions)`` give the Arrow mappers, ``reduce_level2`` the reducer of
-    the second level.  Rows without an id take no part and get no spans.  Both levels read ``docs`` dealt by the same
-    keys, so that Spark moves the texts once.
+    the second level.  Rows without an id take no part and get no spans.  The second level and the answer read ``docs``
+    dealt by the same keys, so that Spark moves the texts once.
+
+    ``levels_before``: mappers of shorter windows, each given what is left of the one before (packed windows, null: none; the
+    first: all); with them, ``post_level1`` too is given what is left.  Once nothing is left, no text is read again.
     """
-    n = PARTS * shuffle_partitions(docs.sparkSession)
+    if taken := {c for c in docs.columns if c.lower() in ("__doc", "__text", "__fp", "__spans", "__asks", "__left")}:
+        raise ValueError(f"columns of these names are in use here: {sorted(taken)}")
+    n = partitions_for(docs, PART_BYTES)
     keyed = docs.withColumns({"__doc": doc_id.cast("long"), "__text": text, "__fp": F.hash(text)})
-    level1 = keyed.where("__doc is not null and __text is not null").select("__doc", "__fp", "__text").mapInArrow(post_level1(n), POSTED)
-    answers = durable(deal(level1, n, settler(hot_runs)))
     grouped = lambda df, *what: df.groupBy(F.col("doc").alias("__doc"), F.col("fp").alias("__fp")).agg(*what)
+    texts = keyed.where("__doc is not null and __text is not null").select("__doc", "__fp", "__text")
+    rows = texts
+    for post in levels_before:
+        left = durable(deal(rows.mapInArrow(post(n), POSTED), n, meet))
+        if left.isEmpty():
+            return keyed.withColumn("__spans", F.lit(None).cast("array<binary>"))
+        rows = texts.join(grouped(left, F.collect_list("blob").alias("__left")), ["__doc", "__fp"]).select("__doc", "__fp", "__text", "__left")
+    answers = durable(deal(rows.mapInArrow(post_level1(n), POSTED), n, settler(hot_runs)))
     asked = grouped(answers.where(F.col("kind") != COVER), F.collect_list(F.struct("kind", "blob")).alias("__asks"))
     wanted = keyed.join(asked, ["__doc", "__fp"], "left").select("__doc", "__fp", F.when(F.col("__asks").isNotNull(), F.col("__text")).alias("__text"), "__asks")
     found = deal(wanted.mapInArrow(post_level2(n), POSTED), n, reduce_level2)
@@ -244,6 +277,17 @@ def repeated_spans(docs: DataFrame, doc_id: Column, text: Column, post_level1, p
     return keyed.join(spans, ["__doc", "__fp"], "left")
 
 
+def windows_left(blobs: list[bytes], n_windows: int) -> np.ndarray:
+    """Mask of the windows in packed spans."""
+    return covered_items(blobs, n_windows, 1)
+
+
+def stretches(mask: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First place and end of each run of places that are set."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8)))
+    yield from zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True)
+
+
 def covered_items(blobs: list[bytes] | None, n_items: int, length: int) -> np.ndarray:
     """Mask of the items inside a covered window."""
     depth = np.zeros(n_items + 1, dtype=np.int32)

@@ -3,45 +3,43 @@
 from __future__ import annotations
 
 import contextlib
-import io
-import os
 import tempfile
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources import ship
+
 #: Arrow batches go by bytes, not only by rows: texts can be long.  An own setting of the session stays.
 ARROW_BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
-_PACKAGE = Path(__file__).resolve().parents[1]
+MOST_PARTITIONS = 1 << 17
+UNKNOWN = 1 << 60  # sizes that Spark states for what is no file
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Give the executors this package, once per Spark context (they may not see the driver's path); bound Arrow batches."""
-    sc = spark.sparkContext
+    """Give the executors this package, and bound Arrow batches."""
     set_already = spark.conf.getAll
     for key, value in ARROW_BATCH.items():
         if key not in set_already:
             spark.conf.set(key, value)
-    if getattr(sc, "_tesserae_shipped", False):
-        return
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
-        for p in sorted(_PACKAGE.rglob("*.py")):
-            z.write(p, Path(_PACKAGE.name) / p.relative_to(_PACKAGE))
-    folder = tempfile.mkdtemp()
-    path = os.path.join(folder, "tesserae_code.zip")
-    Path(path).write_bytes(buffer.getvalue())
-    sc.addPyFile(path)
-    sc._tesserae_shipped = True
+    ship.ship_code(spark)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a private one, set as the checkpoint folder, only if the setting is absent."""
+    """The folder of ``spark.checkpoint.dir``; a private one, set as the checkpoint folder, only with a local master."""
     sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tesserae-ckpt-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+        if named is None and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder that all of them see")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tesserae-ckpt-"))
+    return named or sc.getCheckpointDir()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any file system that Spark knows."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -65,5 +63,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def partitions_for(df: DataFrame, size: int) -> int:
+    """Shuffle partitions of a frame: as set, or one for each ``size`` bytes of the files it reads, if those are more."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    read = sum(x for x in sizes if x < UNKNOWN)
+    return max(shuffle_partitions(df.sparkSession), min(-(-read // size), MOST_PARTITIONS))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

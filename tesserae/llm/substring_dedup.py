@@ -1,13 +1,16 @@
 """Substring deduplication by level-wise doubling of repeated word windows.
 
-Level one finds the windows of ``min_words / 2`` words that stand in several documents (through their anchors, see
-``anchors``); only those are extended to twice that length, ``min_words``, where the extended windows are compared in
-turn.  A word goes if a window of ``min_words`` words that covers it also starts in a document with a smaller id.
+Window lengths double from ``SHORTEST`` words at most up to ``min_words`` (13, 25, 50).  The first level looks for windows of
+13 words that stand in several documents; only windows of 25 whose 13-word anchor does are left for the next level, and
+only windows of 50 all of whose windows of 25 are left come to the last one; once no candidate is left, nothing more is
+read.  The last level compares the windows of ``min_words`` words that are left, by the runs that share an anchor where whole
+runs are equal (see ``anchors``) and one by one otherwise, on 88 independent bits of hashes.  A word goes if a window of
+``min_words`` words that covers it also starts in a document with a smaller id.
 
 Defined cases: null texts have no words, and nothing is removed from them; texts with fewer words than the window keep
 all; rows with a null id take no part (nothing is removed, and they are no one's earlier copy); rows that share an id
 are one document, none is the other's earlier copy; an empty table gives an empty result.  Other columns stay as they
-are.
+are; names that begin with two underscores and are used here (see ``anchors``) raise.
 """
 
 from __future__ import annotations
@@ -24,24 +27,62 @@ from . import anchors as an
 from . import textscan as ts
 from .runtime import ship_code, table
 
-MIN_WORDS = 50
+MIN_WORDS, SHORTEST = 50, 16
 HOT_RUNS = 1 << 30  # the second level deals single windows by their own hash, so no anchor is too common for it
 
 
-def _level1(length: int):
-    part = length // 2
+def lengths(min_words: int, shortest: int = SHORTEST) -> list[int]:
+    """Window lengths, each twice the one before (or one less), up to ``min_words``; the first is at most ``shortest``."""
+    out = [min_words]
+    while out[0] > max(shortest, 2):
+        out.insert(0, -(-out[0] // 2))
+    return out
+
+
+def _extend(part: int, length: int, first: bool):
+    """Posts the anchors, windows of ``part`` words, of the windows of ``length`` words that the level before has left."""
 
+    def make(partitions: int):
+        def post(it):
+            poster = an.Poster(partitions, meet=True)
+
+            def row(doc, fp, text, left=None):
+                for a, b, h in _candidates(text, part, length, None if first else left):
+                    g, _, at, count = an.anchors_of(h, ts.windows(h, part), length, part)
+                    poster.add(doc, fp, g, np.zeros(len(g), dtype=np.uint64), at + a, count)
+
+            yield from an.batches(it, poster, row)
+
+        return post
+
+    return make
+
+
+def _candidates(text: str, part: int, length: int, left):
+    """First window, end and word hashes of each stretch of windows of ``length`` words all of whose parts are left."""
+    _, _, h = ts.words(text.encode())
+    n = len(h) - length + 1
+    if n <= 0:
+        return
+    if left is None:
+        whole = [(0, n)]
+    else:
+        alive = np.concatenate([[0], np.cumsum(~an.windows_left(left, len(h) - part + 1))])
+        inner = length - part + 1
+        whole = an.stretches(alive[inner:] == alive[:-inner])
+    for x, y in whole:
+        for a, b in an.segments(y - x):
+            yield x + a, x + b, h[x + a : x + b + length - 1]
+
+
+def _level1(length: int, part: int, first: bool):
     def make(partitions: int):
         def post(it):
             poster = an.Poster(partitions)
 
-            def row(doc, fp, text):
-                _, _, h = ts.words(text.encode())
-                if len(h) < length:
-                    return
-                parts = ts.windows(h, part)
-                for a, b in an.segments(len(h) - length + 1):
-                    g, run, at, count = an.anchors_of(h[a : b + length - 1], parts[a : b + length - part], length, part)
+            def row(doc, fp, text, left=None):
+                for a, b, h in _candidates(text, part, length, None if first else left):
+                    g, run, at, count = an.anchors_of(h, ts.windows(h, part), length, part)
                     poster.add(doc, fp, g, run, at + a, count)
 
             yield from an.batches(it, poster, row)
@@ -64,8 +105,6 @@ def _level2(length: int):
                 _, _, h = ts.words(text.encode())
                 parts = ts.windows(h, part)
                 whole = ts.join_windows(parts[: len(h) - length + 1], parts[part : part + len(h) - length + 1])
-                if length % 2:
-                    raise ValueError("min_words must be even")
                 s = np.concatenate([np.frombuffer(a["blob"], an.ASK) for a in asks])
                 count = s["n"].astype(np.int64)
                 at = np.repeat(s["at"].astype(np.int64), count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -80,8 +119,12 @@ def _level2(length: int):
 
 
 def with_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    if min_words < 4 or min_words % 2:
+        raise ValueError("min_words must be even, and 4 at least")
     ship_code(docs.sparkSession)
-    return an.repeated_spans(docs, F.col("doc_id"), F.col("text"), _level1(min_words), _level2(min_words), an.settler(HOT_RUNS), HOT_RUNS)
+    chain = lengths(min_words)
+    before = [_extend(a, b, k == 0) for k, (a, b) in enumerate(zip(chain[:-2], chain[1:-1], strict=True))]
+    return an.repeated_spans(docs, F.col("doc_id"), F.col("text"), _level1(min_words, min_words // 2, not before), _level2(min_words), an.settler(HOT_RUNS), HOT_RUNS, before)
 
 
 def _cut(text: str, blobs, length: int) -> tuple[list[str], int, int]:

@@ -164,12 +164,6 @@ def test_remove_keeps_other_columns_and_untouched_texts(docs):
             assert hashlib.sha256(" ".join(WORD.findall(out[d].text)).encode()).hexdigest() == want[d][3]
 
 
-def test_longest_previous_factors():
-    data = b"abababcabababab"
-    want = [max((k for j in range(i) for k in range(len(data) - i + 1) if data[j : j + k] == data[i : i + k]), default=0) for i in range(len(data))]
-    assert suffix_dedup.longest_previous_factor(data) == want and suffix_dedup.longest_previous_factor(b"") == []
-
-
 def test_a_very_long_text_without_spaces(spark):
     df = spark.createDataFrame([(1, "ab" * 600_000), (2, "ab" * 40)], "doc_id long, text string")
     assert {r.doc_id: r.n_removed for r in suffix_dedup.digest(df).collect()} == {1: 0, 2: 80}
