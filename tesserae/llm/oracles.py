@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .license_scan import OP5_SQL
 from .maxscore import OP4_SQL
 
 _WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
@@ -43,4 +44,4 @@ SELECT w.doc_id, len(x) // 2 AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_
 FROM w LEFT JOIN cut USING (doc_id)
 """
 
-ALL = {"op1_minhash_dedup": OP1_SQL, "op3_substring_dedup": OP3_SQL, "op4_maxscore": OP4_SQL, "op10_suffix_dedup": OP10_SQL}
+ALL = {"op1_minhash_dedup": OP1_SQL, "op3_substring_dedup": OP3_SQL, "op4_maxscore": OP4_SQL, "op5_license_scan": OP5_SQL, "op10_suffix_dedup": OP10_SQL}
