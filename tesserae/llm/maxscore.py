@@ -7,12 +7,15 @@ whose gains together do not lift a vector from the lower bound over the threshol
 essential ones are traversed for a block of the shard; the others are probed, largest gain first, for those vectors alone
 that the gains still to come leave competitive.  The best k of all shards are merged by a limited window.
 
-Shards hold about ``SHARD`` vectors and queries travel in blocks of ``BLOCK``; every block meets every shard once.
+Shards hold about ``SHARD`` vectors and stay where they are; queries, the smaller side, travel to them in blocks of ``BLOCK``.
+With several shards each block meets one of them first, and the k-th best score there is the threshold with which the block
+goes to all shards, so that most vectors elsewhere fall behind at once.  The query set is stated; copies of it are all that
+grows with the number of shards.
 
 Vectors with components beyond 2**27 after scaling (their products may not fit a long) are scored by Python integers, against
 all others; scores are ranked exactly and returned as the nearest long.
 
-Defined cases: vectors that are null, or hold null or non-finite components, take no part; rows with a null id take no part; of rows that share an id
+Defined cases: vectors that are null, or hold null or non-finite components, take no part; other columns, whatever their names, are not read; rows with a null id take no part; of rows that share an id
 the least vector counts; shorter vectors are filled up with zeros; equal scores go to the smaller id; with fewer than k
 other vectors all are returned; an empty table gives an empty result.
 """
@@ -24,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .runtime import durable, ship_code, table
+from .runtime import durable, ship_code, shuffle_partitions, table
 
-K, SCALE, SHARD, BLOCK, PIECE = 10, 1024, 4096, 512, 1024
+K, SCALE, SHARD, BLOCK, PIECE = 10, 1024, 16_384, 512, 1024
+NO_FLOOR = -(1 << 63)
 LARGEST = 1 << 27
-_PACKED = pa.schema([("at", pa.int32()), ("ids", pa.binary()), ("dims", pa.int32()), ("values", pa.binary())])
-_PACKED_SQL = "at int, ids binary, dims int, values binary"
+_PACKED = pa.schema([("at", pa.int32()), ("ids", pa.binary()), ("dims", pa.int32()), ("values", pa.binary()), ("floors", pa.binary())])
+_PACKED_SQL = "at int, ids binary, dims int, values binary, floors binary"
 
 
 def _pack(group: pa.Table) -> pa.Table:
@@ -40,7 +44,8 @@ def _pack(group: pa.Table) -> pa.Table:
     for i, v in enumerate(vectors):
         x[i, : len(v)] = np.floor(SCALE * np.array(v, dtype=np.float64))
     order = np.argsort(ids, kind="stable")
-    return pa.Table.from_pylist([{"at": group.column("at")[0].as_py(), "ids": ids[order].tobytes(), "dims": dims, "values": x[order].tobytes()}], schema=_PACKED)
+    floors = np.array(group.column("floor").to_pylist(), dtype=np.int64)[order]
+    return pa.Table.from_pylist([{"at": group.column("at")[0].as_py(), "ids": ids[order].tobytes(), "dims": dims, "values": x[order].tobytes(), "floors": floors.tobytes()}], schema=_PACKED)
 
 
 class Shard:
@@ -50,8 +55,8 @@ class Shard:
         self.lists = np.ascontiguousarray(values.T).astype(np.int64)
         self.low, self.high = (self.lists.min(axis=1), self.lists.max(axis=1)) if len(ids) else (np.zeros(0), np.zeros(0))
 
-    def top(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of the k best vectors, ties to the smaller id."""
+    def top(self, own: int, q: np.ndarray, k: int, at_least: int = NO_FLOOR) -> tuple[np.ndarray, np.ndarray]:
+        """Places and scores of the k best vectors with a score of ``at_least``, ties to the smaller id."""
         q = q.astype(np.int64)
         ends = np.stack([q * self.low, q * self.high])
         floor, gain = ends.min(axis=0), ends.max(axis=0) - ends.min(axis=0)
@@ -59,7 +64,9 @@ class Shard:
         rest = np.concatenate([np.cumsum(gain[dims][::-1])[::-1], [0]])  # gains from the i-th dimension on
         base = int(floor.sum())
         best_at, best = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        threshold = None
+        threshold = None if at_least == NO_FLOOR else at_least - 1  # scores are whole numbers: a larger one is needed
+        if threshold is not None and base + int(rest[0]) <= threshold:
+            return best_at, best  # no vector of the shard can get there
         for a in range(0, len(self.ids), PIECE):
             b = min(a + PIECE, len(self.ids))
             here = np.arange(a, b)
@@ -82,7 +89,7 @@ class Shard:
             order = np.lexsort((best_at, -best))[:k]  # places ascend with ids
             best_at, best = best_at[order], best[order]
             if len(best) == k:
-                threshold = int(best[-1])  # later places lose ties: a larger score is needed
+                threshold = max(int(best[-1]), at_least - 1)  # later places lose ties: a larger score is needed
         return best_at, best
 
 
@@ -95,12 +102,19 @@ def _whole(x: np.ndarray) -> np.ndarray:
     return np.array([[int(y) for y in row] for row in x.tolist()], dtype=object).reshape(x.shape)
 
 
+def _sortable(x: int) -> bytes:
+    """Bytes that sort as whole numbers of any size do: sign, length, magnitude."""
+    size = (abs(x).bit_length() + 7) // 8
+    key = size.to_bytes(2, "big") + abs(x).to_bytes(size, "big")
+    return b"\x01" + key if x >= 0 else b"\x00" + bytes(255 - b for b in key)
+
+
 def _search(k: int):
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("exact", pa.binary())])
 
     def run(it):
         for batch in it:
-            for ids, dims, values, qids, qdims, qvalues in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            for ids, dims, values, qids, qdims, qvalues, floors in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
                 width = max(dims, qdims)
                 wide = lambda raw, n, d: np.pad(np.frombuffer(raw, np.float64).reshape(n, d), ((0, 0), (0, width - d)))  # noqa: B023, E731
                 ids, qids = np.frombuffer(ids, np.int64), np.frombuffer(qids, np.int64)
@@ -110,10 +124,10 @@ def _search(k: int):
                 large = np.flatnonzero(~usual)
                 exact = {False: _whole(values) if not plain.all() else None, True: _whole(values[large])}
                 out = []
-                for own, q, easy in zip(qids.tolist(), queries, plain.tolist(), strict=True):
+                for own, q, easy, floor in zip(qids.tolist(), queries, plain.tolist(), np.frombuffer(floors, np.int64).tolist(), strict=True):
                     best = []
                     if easy and shard is not None:
-                        at, score = shard.top(own, q.astype(np.int32), k)
+                        at, score = shard.top(own, q.astype(np.int32), k, floor)
                         best = list(zip((-score).tolist(), shard.ids[at].tolist(), strict=True))
                     rest = large if easy else np.arange(len(ids))
                     if len(rest):
@@ -121,7 +135,7 @@ def _search(k: int):
                         best += [(-x, i) for x, i in zip(scores.tolist(), ids[rest].tolist(), strict=True) if i != own]
                     out += [(own, i, -x) for x, i in sorted(best)[:k]]
                 cols = [list(c) for c in zip(*out, strict=True)] or [[], [], []]
-                order = [(x + (1 << 383)).to_bytes(48, "big") for x in cols[2]]  # sorts as the whole numbers do
+                order = [_sortable(x) for x in cols[2]]
                 near = [min(max(x, -(1 << 63)), (1 << 63) - 1) for x in cols[2]]
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (cols[0], cols[1], near)), pa.array(order, pa.binary())], schema=schema)
 
@@ -141,11 +155,24 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     n, m = rows.count(), rows.where(is_query).count()
     shards, blocks = max(1, -(-n // SHARD)), max(1, -(-m // BLOCK))
     pack = lambda df, parts: df.withColumn("at", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).groupBy("at").applyInArrow(_pack, _PACKED_SQL)
-    asked = pack(rows.where(is_query), blocks).select(F.col("at").alias("block"), F.col("ids").alias("qids"), F.col("dims").alias("qdims"), F.col("values").alias("qvalues"))
-    held = pack(rows, shards).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    met = held.join(asked, "block").repartition(max(1, shards * blocks), F.col("at"), F.col("block"))
-    found = met.select("ids", "dims", "values", "qids", "qdims", "qvalues").mapInArrow(_search(k), "query_id long, vec_id long, score long, exact binary")
+    held = pack(rows.withColumn("floor", F.lit(NO_FLOOR)), shards).drop("floors")
+    if shards > 1:
+        held = durable(held)  # met twice
+
+    def search(queries: DataFrame, to) -> DataFrame:
+        """Hits of packed queries in the shards ``to`` of each block."""
+        asked = pack(queries, blocks).select("at", F.col("ids").alias("qids"), F.col("dims").alias("qdims"), F.col("values").alias("qvalues"), "floors")
+        sent = asked.withColumn("at", to)
+        met = held.join(sent, "at").repartition(max(shards, shuffle_partitions(spark)), F.col("at"), F.col("qids"))
+        return met.select("ids", "dims", "values", "qids", "qdims", "qvalues", "floors").mapInArrow(_search(k), "query_id long, vec_id long, score long, exact binary")
+
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("exact"), "vec_id"))
+    queries = rows.where(is_query).withColumn("floor", F.lit(NO_FLOOR))
+    if shards > 1:
+        first = search(queries, F.pmod(F.col("at"), F.lit(shards)))
+        kth = first.withColumn("rank", rank).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
+        queries = queries.join(kth, "id", "left").select("id", "v", F.coalesce("kth", F.lit(NO_FLOOR)).alias("floor"))
+    found = search(queries, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
