@@ -16,7 +16,11 @@ already linked, and no group's pairs become rows.  Pairs above the match thresho
 
 Defined cases: texts without words (or null) have size 0 and are linked with nothing; texts shorter than a shingle are
 one shingle; rows with a null id are returned with their size, a null component and ``kept``; rows that share an id are
-one document; an empty table gives an empty result.
+one document (also those without words among them: their component is the id's); other columns, whatever their names, are
+not read; an empty table gives an empty result.
+
+Hot keys: counts and hubs are aggregates with a map-side part; the joins on a token or a hub have one row on one side, so
+that adaptive execution splits the other side where a key is hot.
 """
 
 from __future__ import annotations
@@ -143,7 +147,8 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, shingle: int =
         # a repeated id may have other texts: keep the one of the class
         classes.select(F.col("rep").alias("doc"), "set1", "set2"), "doc").mapInArrow(_same_set(shingle), "rep long, body string").dropDuplicates(["rep"]))
 
-    several_texts = sets.groupBy("doc").agg(F.count_distinct("set1", "set2").alias("n")).where("n > 1").select("doc")
+    # ids whose rows differ, rows without words included; a set's sum of hashes is none of 0 rows
+    several_texts = durable(signed.where("doc is not null").groupBy("doc").agg(F.count_distinct(F.coalesce("set1", F.lit(0)), F.coalesce("set2", F.lit(0))).alias("n")).where("n > 1").select("doc"))
     alias_links = sets.join(several_texts, "doc").join(classes.select("set1", "set2", "rep"), ["set1", "set2"]).select(F.col("doc").alias("a"), F.col("rep").alias("b")).where("a <> b")
     links = alias_links.distinct()
     verify = lambda pairs: _texts(pairs, full).mapInArrow(_confirm(threshold, shingle), "a long, b long")
@@ -177,7 +182,9 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, shingle: int =
 
     of_class = classes.select("set1", "set2", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("set1", "set2", F.coalesce("component", "rep").alias("component_id"))
     out = signed.select("doc", "n", "set1", "set2").join(of_class, ["set1", "set2"], "left")
-    component = F.when(F.col("doc").isNotNull(), F.coalesce("component_id", "doc"))
+    shared = several_texts.join(labels.withColumnRenamed("node", "doc"), "doc").select("doc", F.col("component").alias("of_doc"))
+    out = out.join(shared, "doc", "left")
+    component = F.when(F.col("doc").isNotNull(), F.coalesce("of_doc", "component_id", "doc"))
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
 
 
