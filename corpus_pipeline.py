@@ -1,4 +1,9 @@
-"""A corpus pipeline over the documents table: quality, near copies, repeated passages, benchmark leaks, tokens."""
+"""A corpus pipeline over the documents table: quality, near copies, repeated passages, benchmark leaks, tokens.
+
+Defined cases, in all stages: documents with a null or empty text stay, and have no tokens; so do rows with a null id, which
+are judged by their text; rows that share an id are one document; other columns, whatever their names, pass through all
+stages but the last; an empty table, and empty tables of labels or benchmark items, give what their stages say of them.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tesserae.llm import bpe_automaton, decontaminate, kn_quality, minhash_dedup, substring_dedup
-from tesserae.llm.runtime import shared_folder, table
+from tesserae.llm.runtime import remove_folder, shared_folder, table
 from tesserae.llm.token_counts import default_tokenizer
 
 
@@ -54,4 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(path := f"{folder}/{k}")
         docs = spark.read.parquet(path)
+        if k:
+            remove_folder(spark, f"{folder}/{k - 1}")  # only the last stage's rows are returned
     return docs
