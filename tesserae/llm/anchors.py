@@ -202,21 +202,45 @@ def settle(blobs: list[bytes], hot_runs: int) -> Iterator[pa.RecordBatch]:
         yield from by_document(kind, doc[ask], fp[ask], items)
 
 
-def meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows of all anchors that stand in several documents, the first of them included."""
+def meeter(partitions: int):
+    """The windows of all anchors that stand in several documents, the first of them included: a row for each partition of
+    the documents, to be gathered there."""
+
+    def reduce(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        yield from sort_kinds(it, held)
+        if blobs := held.pop(POST, None):
+            doc, fp, g, met, at, count = _unpack(blobs)
+            blobs.clear()
+            order = np.argsort(g, kind="stable")
+            new = np.concatenate([[True], g[order][1:] != g[order][:-1]])
+            first, of = np.flatnonzero(new), np.cumsum(new) - 1
+            several = (np.minimum.reduceat(doc[order], first) < np.maximum.reduceat(doc[order], first)) | (np.maximum.reduceat(met[order], first) > 0)
+            keep = order[several[of]]
+            to = doc[keep] % partitions
+            order = np.lexsort((fp[keep], doc[keep], to))
+            keep, to = keep[order], to[order]
+            cut = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1], [True]])) if len(keep) else []
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                k = keep[a:b]
+                start = np.flatnonzero(np.concatenate([[True], (doc[k][1:] != doc[k][:-1]) | (fp[k][1:] != fp[k][:-1])]))
+                nothing = np.zeros(b - a, dtype=np.uint64)
+                blob = _pack(doc[k][start], fp[k][start], np.diff(np.concatenate([start, [b - a]])), nothing, nothing, at[k], count[k])
+                yield _rows([to[a]], POST, 0, 0, pa.array([blob], pa.binary()))
+        release_memory()
+
+    return reduce
+
+
+def gather(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each document of what was sent to its partition."""
     held: dict[int, list[bytes]] = {}
     yield from sort_kinds(it, held)
     if blobs := held.pop(POST, None):
-        doc, fp, g, met, at, count = _unpack(blobs)
-        blobs.clear()
-        order = np.argsort(g, kind="stable")
-        new = np.concatenate([[True], g[order][1:] != g[order][:-1]])
-        first, of = np.flatnonzero(new), np.cumsum(new) - 1
-        several = (np.minimum.reduceat(doc[order], first) < np.maximum.reduceat(doc[order], first)) | (np.maximum.reduceat(met[order], first) > 0)
-        keep = order[several[of]]
-        spans = np.empty(len(keep), dtype=SPAN)
-        spans["at"], spans["n"] = at[keep], count[keep]
-        yield from by_document(COVER, doc[keep], fp[keep], spans)
+        doc, fp, _, _, at, count = _unpack(blobs)
+        spans = np.empty(len(doc), dtype=SPAN)
+        spans["at"], spans["n"] = at, count
+        yield from by_document(COVER, doc, fp, spans)
     release_memory()
 
 
@@ -265,7 +289,7 @@ def repeated_spans(docs: DataFrame, doc_id: Column, text: Column, post_level1, p
     texts = keyed.where("__doc is not null and __text is not null").select("__doc", "__fp", "__text")
     rows = texts
     for post in levels_before:
-        left = durable(deal(rows.mapInArrow(post(n), POSTED), n, meet))
+        left = durable(deal(deal(rows.mapInArrow(post(n), POSTED), n, meeter(n)), n, gather))
         if left.isEmpty():
             return keyed.withColumn("__spans", F.lit(None).cast("array<binary>"))
         rows = texts.join(grouped(left, F.collect_list("blob").alias("__left")), ["__doc", "__fp"]).select("__doc", "__fp", "__text", "__left")
