@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts become template tokens: words in lower case, with numbers, names (capitalised inside a sentence) and units replaced
-by typed placeholders; numbers that follow each other are one.  Windows of ``WINDOW`` template tokens with at least
+by typed placeholders; numbers that follow each other are one, and so are names.  Windows of ``WINDOW`` template tokens with at least
 ``LITERALS`` words proper are hashed and joined with those of the benchmark.  Along a diagonal (equal distance between the
 two places) neighbouring hits make a run; a run counts if its slots are consistent - each value of the item's slots stands
 for one value of the document's throughout - and if it covers ``COVER`` tokens or ``SHARE`` percent of the item, whichever
@@ -16,8 +16,8 @@ benchmark's windows are broadcast only up to ``BROADCAST_WINDOWS`` and dealt by
 
 Defined cases: null or empty texts match nothing; items with fewer than ``WINDOW`` template tokens match as a whole, with
 fewer than ``LITERALS`` words only with equal values, and with fewer than ``SHORTEST`` tokens (a word or two) never; rows with a null id are judged by their text; rows that share id and text are judged
-as one; an item id that occurs twice stands for both texts; an empty benchmark leaves all documents clean; an empty table
-gives an empty result.
+as one; an item id that occurs twice stands for both texts; an empty benchmark leaves all documents clean; other
+columns, whatever their names, pass through ``drop_leaks`` and are not returned by ``judge``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,10 +42,17 @@ BITS, BROADCAST_WINDOWS, SCREEN_KEYS = 26, 100_000, 4_000_000
 UNITS = (
     "mm cm m km inch inches foot feet yard yards mile miles g kg mg lb lbs ounce ounces ton tons tonne tonnes l ml liter liters litre litres gallon "
     "gallons s sec second seconds minute minutes hour hours day days week weeks month months year years percent degree degrees celsius fahrenheit "
-    "kelvin joule joules watt watts volt volts hz khz mhz ghz mph kmh dollar dollars euro euros pound pounds cent cents usd eur gbp"
+    "kelvin joule joules watt watts volt volts hz khz mhz ghz mph kmh dollar dollars euro euros pound pounds cent cents usd eur gbp "
+    "sekunden minuten stunde stunden tag tage wochen monate jahr jahre kilometer gramm kilogramm prozent grad secondes heure heures jour jours semaines "
+    "mois an ans année années mètre mètres kilomètres grammes pourcent degrés segundos minuto minutos hora horas día días semanas meses año años metro "
+    "metros kilómetros gramos grados"
 ).split()
 #: Number words.
-NUMBERS = "zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split()
+NUMBERS = (
+    "zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million "
+    "zwei drei vier fünf sechs sieben acht neun zehn elf zwölf zwanzig hundert tausend deux trois quatre cinq sept huit dix onze douze vingt mille "
+    "dos tres cuatro cinco seis siete ocho nueve diez doce veinte cien mil"
+).split()
 
 
 def _hash(word: str) -> np.uint64:
@@ -100,7 +107,7 @@ def template(text: str | bytes | None) -> tuple[np.ndarray, np.ndarray]:
     is_num = (digits[ends] > digits[starts]) | _in(numbers, h)
     first = raw[starts]
     second = raw[np.minimum(starts + 1, len(raw) - 1)]
-    capital = (first >= 65) & (first <= 90) | (first == 0xC3) & (second >= 0x80) & (second <= 0x9E)
+    capital = (first >= 65) & (first <= 90) | (first == 0xC3) & (second >= 0x80) & (second <= 0x9E) | (first == 0xCE) & (second >= 0x91) & (second <= 0xA9) | (first == 0xD0) & (second >= 0x80) & (second <= 0xAF)
     before, earlier = raw[np.maximum(starts - 1, 0)], raw[np.maximum(starts - 2, 0)]
     inner = (starts >= 2) & (before == 0x20) & ~_ends_sentence()[earlier]
     upper = (second >= 65) & (second <= 90)  # words in capitals throughout are no names
@@ -108,8 +115,9 @@ def template(text: str | bytes | None) -> tuple[np.ndarray, np.ndarray]:
     is_unit = _in(units, h) & np.concatenate([[False], is_num[:-1]]) & ~is_num
     out = np.where(is_num, num, np.where(is_name, name, np.where(is_unit, unit, h)))
     slots = np.where(is_num | is_name | is_unit, h | U(1), U(0))
-    keep = ~(is_num & np.concatenate([[False], is_num[:-1]]))
-    if not keep.all():  # one number from several: its value is that of all parts
+    after = lambda kind: kind & np.concatenate([[False], kind[:-1]])
+    keep = ~(after(is_num) | after(is_name))
+    if not keep.all():  # one number or name from several: its value is that of all parts
         group = np.cumsum(keep) - 1
         mixed = np.add.reduceat(ts.mix(slots + np.arange(len(slots), dtype=np.uint64) - np.flatnonzero(keep)[group].astype(np.uint64)), np.flatnonzero(keep)) | U(1)
         single = np.bincount(group) == 1
