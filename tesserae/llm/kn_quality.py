@@ -234,6 +234,7 @@ def _unpack_counts(it):
 _REPLY = "batch long, docs binary, logp binary"
 OWN, HEAD, SHAPES = 0, 1, 2  # kinds of scores: of a short text or beginning, by shapes alone, or both
 MEASURE = 4  # added for what only sets limits
+MORE = 8  # added to all entries of a document but its first
 
 
 def _versions(v: Vocabulary, lang: str, text: str, measure: bool, fp: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -288,8 +289,10 @@ def _requests(vocabulary, groups: int, shards: int):
             for doc, fp, lang, text, measure in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
                 for kind, ids in _versions(v, lang, text, measure, fp) if text is not None else ():
                     key, n = np.unique(_bigrams(ids), return_counts=True)
+                    kind |= MEASURE * measure
                     while True:  # a count field holds 65,535; larger counts take several entries
-                        docs.append((doc, fp, kind | MEASURE * measure))
+                        docs.append((doc, fp, kind))
+                        kind |= MORE
                         held.append((key, np.minimum(n, 65535)))
                         size += len(key)
                         key, n = key[n > 65535], n[n > 65535] - 65535
@@ -450,7 +453,10 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     asked = rows.select("__k", "__fp", "lang", "text", F.lit(False).alias("measure")).unionByName(measured).mapInArrow(_requests(shared, groups, shards), an.POSTED)
     replies = packed.unionByName(asked).repartitionById(groups * shards, F.col("part")).mapInArrow(_score(tables), _REPLY)
     sums = replies.repartition(parts, "batch").mapInArrow(_sum_batches, "doc long, fp int, kind int, logp double, n long")
-    scored = sums.groupBy(F.col("doc").alias("__k"), F.col("fp").alias("__fp"), F.when(F.col("kind") >= MEASURE, F.col("kind")).alias("limit_of")).agg(F.max("kind").alias("kind"), F.sum("n").alias("n_tokens"), F.exp(-F.sum("logp") / F.sum("n")).alias("perplexity"))
+    sums = sums.withColumns({"first": (F.col("kind") < MORE).cast("long"), "kind": F.col("kind").bitwiseAND(MORE - 1)})
+    # repeated rows have their sums in common: one of them has the sum over their number
+    tokens = (F.sum("n") / F.sum("first")).cast("long").alias("n_tokens")
+    scored = sums.groupBy(F.col("doc").alias("__k"), F.col("fp").alias("__fp"), F.when(F.col("kind") >= MEASURE, F.col("kind")).alias("limit_of")).agg(F.max("kind").alias("kind"), tokens, F.exp(-F.sum("logp") / F.sum("n")).alias("perplexity"))
     scored = durable(scored)
     slim = rows.select("__k", "__fp", "__id", "lang").join(scored.where("limit_of is null").drop("limit_of"), ["__k", "__fp"], "left")
     slim = slim.join(good.withColumn("trusted", F.lit(True)), "__id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
