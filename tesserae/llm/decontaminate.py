@@ -7,16 +7,16 @@ two places) neighbouring hits make a run; a run counts if its slots are consiste
 for one value of the document's throughout - and if it covers ``COVER`` tokens or ``SHARE`` percent of the item, whichever
 is less.  So a question with other numbers and names is caught, and one whose slots do not correspond is not.
 
-Windows are joined once more by all of their words, with equal values in the slots and any number of words proper, so that
-verbatim leaks of items that are mostly numbers, names and units are found too.  In scripts without spaces each character is
+Windows of words as they stand, without slots and merged tokens, are joined beside them with the same cover and any number of
+words proper, so that verbatim leaks of items that are mostly numbers, names and units are found too.  In scripts without spaces each character is
 a token, and an item that is mostly so written must be there as a whole.
 
 Documents are screened first against a bit set of the benchmark's keys, of fixed size; what passes is joined exactly.  The
 benchmark's windows are broadcast only up to ``BROADCAST_WINDOWS`` and dealt by a shuffle beyond.
 
-Defined cases: null or empty texts match nothing; items with fewer than ``WINDOW`` template tokens match as a whole, with
-fewer than ``LITERALS`` words only with equal values, and with fewer than ``SHORTEST`` tokens (a word or two) never; rows with a null id are judged by their text; rows that share id and text are judged
-as one; an item id that occurs twice stands for both texts; an empty benchmark leaves all documents clean; other
+Defined cases: null or empty texts match nothing; items with fewer than ``WINDOW`` tokens match as a whole, with
+fewer than ``LITERALS`` words proper only verbatim, and with fewer than ``SHORTEST`` words never; rows with a null id are
+judged by their text; rows that share id and text are judged as one; an item id that occurs twice stands for both texts; an empty benchmark leaves all documents clean; other
 columns, whatever their names, pass through ``drop_leaks`` and are not returned by ``judge``; an empty table gives an empty result.
 """
 
@@ -92,15 +92,15 @@ def spaced(text: str) -> tuple[bytes, int]:
     return (text.encode() if n else data), n
 
 
-def template(text: str | bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """Template tokens, and the values of slots (0 at words proper)."""
+def template(text: str | bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Template tokens, the values of slots (0 at words proper), and the words as they stand."""
     none = np.zeros(0, dtype=np.uint64)
     if not text:
-        return none, none
+        return none, none, none
     data = spaced(text)[0] if isinstance(text, str) else text
     starts, ends, h = ts.words(data, "alnum", True)
     if not len(h):
-        return none, none
+        return none, none, none
     raw = np.frombuffer(data, np.uint8)
     units, numbers, (num, name, unit) = _fixed()
     digits = np.concatenate([[0], np.cumsum(_digit_sum()[raw])])
@@ -122,7 +122,7 @@ def template(text: str | bytes | None) -> tuple[np.ndarray, np.ndarray]:
         mixed = np.add.reduceat(ts.mix(slots + np.arange(len(slots), dtype=np.uint64) - np.flatnonzero(keep)[group].astype(np.uint64)), np.flatnonzero(keep)) | U(1)
         single = np.bincount(group) == 1
         out, slots = out[keep], np.where(single, slots[keep], mixed)
-    return out, slots
+    return out, slots, h
 
 
 def _windows(tokens: np.ndarray, slots: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,9 +135,9 @@ def _windows(tokens: np.ndarray, slots: np.ndarray, length: int) -> tuple[np.nda
     return at, ts.mix(keys[at] + U(length))
 
 
-def _verbatim(tokens: np.ndarray, slots: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and keys of all windows, by the values of the slots and the words proper alike."""
-    keys = ts.windows(np.where(slots != 0, slots, tokens | U(1)), length)
+def _verbatim(words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and keys of all windows of words as they stand: what is a slot, and what is merged, depends on the words before."""
+    keys = ts.windows(words, length)
     return np.arange(len(keys)), ts.mix(keys + U(length) + (U(1) << U(32)))
 
 
@@ -154,16 +154,17 @@ def _post(lengths, screen=None):
             cols = [[] for _ in range(7)]
             for k, fp, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 data, alone = spaced(text)
-                tokens, slots = template(data)
-                size = -len(tokens) if 2 * alone > len(tokens) else len(tokens)  # negative: to be found as a whole
-                for length, sign, windows in ((x, *y) for x in lengths(len(tokens)) for y in ((1, _windows), (-1, _verbatim))):
-                    at, keys = windows(tokens, slots, length)
+                tokens, slots, words = template(data)
+                whole = -1 if 2 * alone > len(words) else 1  # negative sizes: to be found as a whole
+                posts = [(x, len(tokens), slots, *_windows(tokens, slots, x)) for x in lengths(len(tokens))]
+                posts += [(-x, len(words), slots[:0], *_verbatim(words, x)) for x in lengths(len(words))]
+                for length, size, slots, at, keys in posts:
                     if bits is not None and len(keys):
                         low = keys >> U(64 - BITS)
                         hit = (bits[(low >> U(3)).astype(np.int64)] >> (low & U(7)).astype(np.uint8)) & 1 == 1
                         at, keys = at[hit], keys[hit]
                     for p, key in zip(at.tolist(), keys.view(np.int64).tolist(), strict=True):
-                        row = key, k, fp, p, sign * length, slots[p : p + length].view(np.int64).tolist(), size
+                        row = key, k, fp, p, length, slots[p : p + max(length, 0)].view(np.int64).tolist(), whole * size
                         for c, x in zip(cols, row, strict=True):
                             c.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _WIN_ARROW.types, strict=True)], schema=_WIN_ARROW)
@@ -179,17 +180,15 @@ def _judge(it):
         for k, fp, item, hits in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
             best = 0
             by = {}
-            for h in sorted(hits, key=lambda h: -h["length"]):  # verbatim windows (of negative length) last: they stay
-                by.setdefault((h["text"], h["size"], abs(h["length"]), h["at"] - h["place"]), {})[h["place"]] = h
+            for h in hits:
+                by.setdefault((h["text"], h["size"], h["length"], h["at"] - h["place"]), {})[h["place"]] = h
             for (_, size, length, _), row in by.items():
+                length = abs(length)
                 need, places = -size if size < 0 else min(COVER, -(-SHARE * size // 100)), sorted(row)
                 run_start, last, forward, backward = None, None, {}, {}
                 for p in places:
                     h = row[p]
-                    if h["length"] < 0:  # what is a slot only on one side has the same value on the other
-                        pairs = [(x or y, x or y) for x, y in zip(h["want"], h["slots"], strict=True) if x or y]
-                    else:
-                        pairs = [(x, y) for x, y in zip(h["want"], h["slots"], strict=True) if x or y]
+                    pairs = [(x, y) for x, y in zip(h["want"], h["slots"], strict=True) if x or y]  # none in verbatim windows
                     fits = lambda: all(forward.get(x, y) == y and backward.get(y, x) == x for x, y in pairs)  # noqa: B023, E731
                     if last is None or p > last + 1 or not fits():
                         run_start, forward, backward = p, {}, {}
