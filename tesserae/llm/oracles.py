@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .exact_dedup import OP11_SQL
+from .impact_search import OP12_SQL
 from .license_scan import OP5_SQL
 from .maxscore import OP4_SQL
 
@@ -44,4 +46,4 @@ SELECT w.doc_id, len(x) // 2 AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_
 FROM w LEFT JOIN cut USING (doc_id)
 """
 
-ALL = {"op1_minhash_dedup": OP1_SQL, "op3_substring_dedup": OP3_SQL, "op4_maxscore": OP4_SQL, "op5_license_scan": OP5_SQL, "op10_suffix_dedup": OP10_SQL}
+ALL = {"op1_minhash_dedup": OP1_SQL, "op3_substring_dedup": OP3_SQL, "op4_maxscore": OP4_SQL, "op5_license_scan": OP5_SQL, "op10_suffix_dedup": OP10_SQL, "op11_exact_dedup": OP11_SQL, "op12_impact_search": OP12_SQL}

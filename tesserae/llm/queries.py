@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_automaton import op7
 from .decontaminate import op8
+from .exact_dedup import op11
 from .html_extract import op2
+from .impact_search import op12
 from .kn_quality import op9
 from .license_scan import op5
 from .maxscore import op4
@@ -33,6 +35,8 @@ def queries() -> dict[str, Query]:
         "op8_decontaminate": op8,
         "op9_kn_quality": op9,
         "op10_suffix_dedup": op10,
+        "op11_exact_dedup": op11,
+        "op12_impact_search": op12,
     }
 
 

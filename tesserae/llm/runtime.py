@@ -59,6 +59,14 @@ def release_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name like ``name`` that no column of the frame has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
