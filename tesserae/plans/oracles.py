@@ -95,7 +95,8 @@ p AS (SELECT vec_id, s, row_number() OVER (PARTITION BY vec_id ORDER BY round(v,
 SELECT vec_id, CAST((s // {4 * nx} + 2) % 4 - 2 AS INTEGER) AS dz, CAST(((s // {nx}) % 4 + 2) % 4 - 2 AS INTEGER) AS dy, CAST((s % {nx} + {nx // 2}) % {nx} - {nx // 2} + {add} AS INTEGER) AS dx FROM p WHERE rn = 1"""
 
 
-def _base(select: str) -> str:
+def base(select: str) -> str:
+    """A query over the virtual acquisition."""
     return f"WITH {_BASE} {select}"
 
 
@@ -108,29 +109,29 @@ _ISLES = "isles AS (SELECT {key}, min(t) AS a, max(t) AS b FROM (SELECT {key}, t
 _SERIES = "ser AS (SELECT * FROM (SELECT user_id, event_id, ts, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step FROM events) WHERE step IS NOT NULL)"
 
 ALL: dict[str, str] = {
-    "timeline_prefix_sum": _base("SELECT file_i, nt, file_start FROM files"),
-    "locate_asof": _base("SELECT p.t, f.file_i, CAST(p.t - f.file_start AS INTEGER) AS local_t FROM (SELECT DISTINCT CAST(o_orderkey % (SELECT nt FROM nf) AS INTEGER) AS t FROM orders) p ASOF JOIN files f ON p.t >= f.file_start"),
-    "tile_lifetime": _base("SELECT name, first_t, CAST(last_t AS INTEGER) AS last_t FROM tiles"),
-    "tile_index": _base("SELECT name, row_number() OVER (ORDER BY name) - 1 AS i FROM tiles"),
-    "alive_mask": _base("SELECT t, name FROM alive"),
-    "anchor_mask_overrides": _base("SELECT t, name, file_i FROM state WHERE anchor"),
-    "override_lookup": _base("SELECT t, verb, string_agg(name, ',' ORDER BY name) AS names FROM ovr GROUP BY t, verb"),
-    "frame_index": _base("SELECT t, name, file, pos, local_t FROM vols"),
-    "neighbour_pairs": _base("SELECT * FROM pairs"),
-    "neighbour_pairs_flipped": _base("SELECT b AS a, a AS b, axis FROM pairs"),
-    "pair_alive": _base("SELECT * FROM pairs_at"),
-    "layout_stats": _base("SELECT CAST(sum(nt) AS INTEGER) AS nt, CAST(min(4 + file_i) AS INTEGER) AS nz, 64 AS ny, 64 AS nx FROM files"),
-    "default_shift": _base("SELECT file_i, 550 AS shift_px FROM files"),
-    "timeline_report": _base("SELECT f.file_i, f.file_start AS first_t, CAST(f.file_start + f.nt AS INTEGER) AS end_t, f.nt, count(s.name) AS n_alive, count(s.name) FILTER (WHERE s.anchor) AS n_anchors FROM files f LEFT JOIN state s ON s.t = f.file_start GROUP BY ALL"),
-    "plan_time_tasks": _base("SELECT t, a AS name, realign, key, what FROM tasks WHERE kind = 'time'"),
-    "plan_pair_tasks": _base("SELECT t, a, b, axis, key, what FROM tasks WHERE kind = 'pair'"),
-    "plan_between": _base("SELECT t, kind, count(*) AS n FROM tasks WHERE t >= 100 AND t < 200 GROUP BY t, kind"),
-    "plan_order_limit": _base("SELECT t, kind, what FROM tasks ANTI JOIN done USING (key) ORDER BY t, kind_rank, a, b, axis LIMIT 500"),
-    "volume_uses": _base("SELECT file, pos, local_t, count(*) AS uses FROM (SELECT sf AS file, sp AS pos, sl AS local_t FROM tasks UNION ALL SELECT df, dp, dl FROM tasks) GROUP BY ALL"),
-    "spectrum_uses": _base("SELECT file, pos, local_t, axis, realign, side, count(*) AS uses FROM (SELECT sf AS file, sp AS pos, sl AS local_t, axis, realign, CASE kind WHEN 'pair' THEN 'parent' ELSE '' END AS side FROM tasks UNION ALL SELECT df, dp, dl, axis, realign, CASE kind WHEN 'pair' THEN 'child' ELSE '' END FROM tasks) GROUP BY ALL"),
-    "content_keys": _base("SELECT file_i, file_key FROM files"),
-    "pending_tasks": _base("SELECT key, t, kind FROM tasks ANTI JOIN done USING (key)"),
-    "status_summary": _base("SELECT kind, count(*) AS n_tasks, count(d.key) AS n_cached, count(*) - count(d.key) AS n_pending, round(100.0::DOUBLE * count(d.key) / count(*), 1) AS percent, min(t) FILTER (WHERE d.key IS NULL) AS next_t FROM tasks LEFT JOIN (SELECT DISTINCT key FROM done) d USING (key) GROUP BY kind"),
+    "timeline_prefix_sum": base("SELECT file_i, nt, file_start FROM files"),
+    "locate_asof": base("SELECT p.t, f.file_i, CAST(p.t - f.file_start AS INTEGER) AS local_t FROM (SELECT DISTINCT CAST(o_orderkey % (SELECT nt FROM nf) AS INTEGER) AS t FROM orders) p ASOF JOIN files f ON p.t >= f.file_start"),
+    "tile_lifetime": base("SELECT name, first_t, CAST(last_t AS INTEGER) AS last_t FROM tiles"),
+    "tile_index": base("SELECT name, row_number() OVER (ORDER BY name) - 1 AS i FROM tiles"),
+    "alive_mask": base("SELECT t, name FROM alive"),
+    "anchor_mask_overrides": base("SELECT t, name, file_i FROM state WHERE anchor"),
+    "override_lookup": base("SELECT t, verb, string_agg(name, ',' ORDER BY name) AS names FROM ovr GROUP BY t, verb"),
+    "frame_index": base("SELECT t, name, file, pos, local_t FROM vols"),
+    "neighbour_pairs": base("SELECT * FROM pairs"),
+    "neighbour_pairs_flipped": base("SELECT b AS a, a AS b, axis FROM pairs"),
+    "pair_alive": base("SELECT * FROM pairs_at"),
+    "layout_stats": base("SELECT CAST(sum(nt) AS INTEGER) AS nt, CAST(min(4 + file_i) AS INTEGER) AS nz, 64 AS ny, 64 AS nx FROM files"),
+    "default_shift": base("SELECT file_i, 550 AS shift_px FROM files"),
+    "timeline_report": base("SELECT f.file_i, f.file_start AS first_t, CAST(f.file_start + f.nt AS INTEGER) AS end_t, f.nt, count(s.name) AS n_alive, count(s.name) FILTER (WHERE s.anchor) AS n_anchors FROM files f LEFT JOIN state s ON s.t = f.file_start GROUP BY ALL"),
+    "plan_time_tasks": base("SELECT t, a AS name, realign, key, what FROM tasks WHERE kind = 'time'"),
+    "plan_pair_tasks": base("SELECT t, a, b, axis, key, what FROM tasks WHERE kind = 'pair'"),
+    "plan_between": base("SELECT t, kind, count(*) AS n FROM tasks WHERE t >= 100 AND t < 200 GROUP BY t, kind"),
+    "plan_order_limit": base("SELECT t, kind, what FROM tasks ANTI JOIN done USING (key) ORDER BY t, kind_rank, a, b, axis LIMIT 500"),
+    "volume_uses": base("SELECT file, pos, local_t, count(*) AS uses FROM (SELECT sf AS file, sp AS pos, sl AS local_t FROM tasks UNION ALL SELECT df, dp, dl FROM tasks) GROUP BY ALL"),
+    "spectrum_uses": base("SELECT file, pos, local_t, axis, realign, side, count(*) AS uses FROM (SELECT sf AS file, sp AS pos, sl AS local_t, axis, realign, CASE kind WHEN 'pair' THEN 'parent' ELSE '' END AS side FROM tasks UNION ALL SELECT df, dp, dl, axis, realign, CASE kind WHEN 'pair' THEN 'child' ELSE '' END FROM tasks) GROUP BY ALL"),
+    "content_keys": base("SELECT file_i, file_key FROM files"),
+    "pending_tasks": base("SELECT key, t, kind FROM tasks LEFT JOIN (SELECT DISTINCT key AS k FROM done) d ON d.k = key WHERE k IS NULL"),
+    "status_summary": base("SELECT kind, count(*) AS n_tasks, count(d.key) AS n_cached, count(*) - count(d.key) AS n_pending, round(100.0::DOUBLE * count(d.key) / count(*), 1) AS percent, min(t) FILTER (WHERE d.key IS NULL) AS next_t FROM tasks LEFT JOIN (SELECT DISTINCT key FROM done) d USING (key) GROUP BY kind"),
     "memo_last_wins": "SELECT l_orderkey AS key, l_partkey % 5 - 2 AS dz, l_suppkey % 21 - 10 AS dy, CAST(l_linenumber % 21 - 10 AS BIGINT) AS dx FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1",
     "memo_compact_count": "SELECT count(*) AS n_lines, count(DISTINCT l_orderkey) AS n_keys, count(*) - count(DISTINCT l_orderkey) AS n_superseded FROM lineitem",
     "phase_correlation_time": _correlation(4, "SELECT vec_id, z, y, x, v FROM vox WHERE vec_id + 1 IN (SELECT vec_id FROM e)", "SELECT vec_id - 1 AS vec_id, z, y, x, v FROM vox WHERE vec_id - 1 IN (SELECT vec_id FROM e)", 0),
@@ -146,7 +147,7 @@ SELECT t, component, string_agg(name, ',' ORDER BY name) AS anchors FROM comp JO
     "unanchored_components": _rows(", bare AS (SELECT c.t, string_agg(c.name, ',' ORDER BY c.name) AS tiles FROM comp c JOIN rs USING (t, name) GROUP BY c.t, component HAVING NOT bool_or(anchor)), " + _ISLES.format(key="tiles", src="bare")),
     "placement_steps": _rows("SELECT t, tile, kind, via, axis FROM step"),
     "topology_runs": _rows(", sig AS (SELECT t, coalesce(string_agg(name, ',' ORDER BY name) FILTER (WHERE anchor), '') AS s FROM rs GROUP BY t), ch AS (SELECT t, CASE WHEN lag(s) OVER (ORDER BY t) = s AND lag(t) OVER (ORDER BY t) = t - 1 THEN 0 ELSE 1 END AS new FROM sig), run AS (SELECT t, sum(new) OVER (ORDER BY t) AS r FROM ch) SELECT min(t) AS first_t, max(t) AS last_t, count(*) AS n_t FROM run GROUP BY r"),
-    "range_format": _base(", dropped AS (SELECT name, t FROM ovr WHERE verb = 'drop'), " + _ISLES.format(key="name", src="dropped")),
+    "range_format": base(", dropped AS (SELECT name, t FROM ovr WHERE verb = 'drop'), " + _ISLES.format(key="name", src="dropped")),
     "skeleton_tiles": _rows(""", wanted AS (SELECT t, name FROM rs WHERE anchor UNION SELECT t - 1, name FROM rs WHERE anchor AND t - 1 IN (SELECT t FROM rs)),
 route AS (SELECT w.t, s.tile, s.via FROM wanted w JOIN step s ON s.t = w.t AND s.tile = w.name UNION SELECT r.t, s.tile, s.via FROM route r JOIN step s ON s.t = r.t AND s.tile = r.via)
 SELECT DISTINCT t, tile AS name FROM route UNION SELECT t, min(name) FROM seed WHERE t NOT IN (SELECT t FROM route) GROUP BY t"""),
@@ -185,7 +186,7 @@ SELECT t, CAST(z // 2 AS INTEGER) AS cz, CAST(cx AS INTEGER) AS cx, CAST(count(*
     "drift_outliers": f"WITH {_SERIES}, m AS (SELECT user_id, median(abs(step)) AS med FROM ser GROUP BY user_id) SELECT user_id, event_id, round(abs(step), 6) AS mag, round(med, 6) AS med FROM ser JOIN m USING (user_id) WHERE abs(step) > greatest(3 * med, med + 5)",
     "cumulative_drift": f"WITH {_SERIES} SELECT user_id, event_id, round(step, 2) AS step, round(sum(step) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS cum_step FROM ser",
     "drift_magnitude": _rows("SELECT t, name, round(sqrt(dz * dz + dy * dy + dx * dx), 6) AS magnitude FROM node WHERE kind = 'drift' AND dz IS NOT NULL"),
-    "validation_problems": _base("""
+    "validation_problems": base("""
 SELECT 'start file out of range' AS rule, name AS subject FROM pos, nf WHERE start_file < 0 OR start_file >= n
 UNION ALL SELECT 'never alive', name FROM pos WHERE end_file <= start_file
 UNION ALL SELECT 'end out of range', name FROM pos, nf WHERE end_file < 1 OR end_file > n
