@@ -128,10 +128,18 @@ def chunk_hits(boxed: DataFrame, chunk: tuple[int, int, int]) -> DataFrame:
 
 
 def z_segments(boxed: DataFrame, region_z: int) -> DataFrame:
-    """t, za, zb, tiles (comma-joined, may be empty): runs of planes that the same tiles cover."""
+    """t, za, zb, tiles (comma-joined, may be empty): runs of planes that the same tiles cover.
+
+    The marks of a timepoint, planes where a box begins or ends, are numbered; a box covers the runs from the mark of its
+    beginning to that of its end, so only what is covered becomes a row.
+    """
     from pyspark.sql import Window
 
-    edges = boxed.select("t", F.explode(F.array(F.lit(0), F.lit(region_z), "z_lo", "z_hi")).alias("za")).where(F.col("za").between(0, region_z)).distinct()
-    marks = edges.withColumn("zb", F.lead("za").over(Window.partitionBy("t").orderBy("za"))).where("zb is not null")
-    cover = F.sort_array(F.collect_list(F.when((F.col("z_lo") <= F.col("za")) & (F.col("zb") <= F.col("z_hi")), F.col("name"))))
-    return marks.join(boxed, "t").groupBy("t", "za", "zb").agg(F.concat_ws(",", cover).alias("tiles"))
+    w = Window.partitionBy("t").orderBy("za")  # at most two marks for each tile of a timepoint
+    marks = boxed.select("t", F.explode(F.array(F.lit(0), F.lit(region_z), "z_lo", "z_hi")).alias("za")).where(F.col("za").between(0, region_z)).distinct()
+    runs = marks.withColumns({"run": F.row_number().over(w), "zb": F.lead("za").over(w)})
+    number = lambda c: runs.select("t", F.col("za").alias(c), F.col("run").alias(f"{c}_run"))
+    inner = boxed.select("t", "name", F.greatest("z_lo", F.lit(0)).alias("z_lo"), F.least("z_hi", F.lit(region_z)).alias("z_hi")).where("z_lo < z_hi")
+    covers = inner.join(number("z_lo"), ["t", "z_lo"]).join(number("z_hi"), ["t", "z_hi"]).select("t", "name", F.explode(F.sequence("z_lo_run", F.col("z_hi_run") - 1)).alias("run"))
+    tiles = covers.groupBy("t", "run").agg(F.concat_ws(",", F.sort_array(F.collect_list("name"))).alias("tiles"))
+    return runs.where("zb is not null").join(tiles, ["t", "run"], "left").select("t", "za", "zb", F.coalesce("tiles", F.lit("")).alias("tiles"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import scan
+
 
 def magnitude(*parts: Column) -> Column:
     total = F.lit(0.0)
@@ -15,14 +17,14 @@ def magnitude(*parts: Column) -> Column:
 
 def outliers(series: DataFrame, key: str, value: str) -> DataFrame:
     """Rows whose magnitude is beyond max(3 * median, median + 5) of their series."""
-    limits = series.groupBy(key).agg(F.median(value).alias("med")).withColumn("limit", F.greatest(3 * F.col("med"), F.col("med") + 5))
+    limits = scan.medians(series, key, value).withColumn("limit", F.greatest(3 * F.col("med"), F.col("med") + 5))
     return series.join(limits, key).where(F.col(value) > F.col("limit")).drop("limit")
 
 
 def cumulative(series: DataFrame, key: str, order: list[str], values: list[str]) -> DataFrame:
     """Running totals, rounded to two places, of each series."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return series.withColumns({f"cum_{v}": F.round(F.sum(v).over(w), 2) for v in values})
+    names = [f"cum_{v}" for v in values]
+    return scan.prefix_sums(series, key, order, values, names).withColumns({n: F.round(n, 2) for n in names})
 
 
 def max_projection(voxels: DataFrame, keep: list[str]) -> DataFrame:

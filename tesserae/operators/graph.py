@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import topology as tp
+from . import layout
 
 _PAIR = "array<struct<a:string,b:string,axis:int>>"
 
@@ -103,12 +104,14 @@ def ranges(rows: DataFrame, key: str) -> DataFrame:
 def topology_runs(signed: DataFrame) -> DataFrame:
     """first_t, last_t, n_t of each run of equal ``sig`` over consecutive timepoints.
 
-    The table has one short row per timepoint; runs need them in one order.
+    A timepoint begins a run if the one before is not there or differs, and ends one if the next does: two joins by time.
+    The n-th beginning and the n-th end belong together.
     """
-    w = Window.orderBy("t")
-    change = (F.col("sig") != F.lag("sig").over(w)) | (F.lag("t").over(w) != F.col("t") - 1)
-    isles = signed.withColumn("new", F.coalesce(change.cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(w))
-    return isles.groupBy("run").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.count("*").alias("n_t")).drop("run")
+    of = signed.select("t", "sig")
+    other = lambda by: of.select((F.col("t") + by).alias("t"), F.col("sig").alias("other"))
+    borders = lambda by: layout.ranked(of.join(other(by), "t", "left").where(~F.col("sig").eqNullSafe(F.col("other")) | F.col("other").isNull()).select("t"), "t", "run")
+    runs = borders(1).withColumnRenamed("t", "first_t").join(borders(-1).withColumnRenamed("t", "last_t"), "run")
+    return runs.select("first_t", "last_t", (F.col("last_t") - F.col("first_t") + 1).cast("long").alias("n_t"))
 
 
 def routes(tops: DataFrame, placed: DataFrame) -> DataFrame:

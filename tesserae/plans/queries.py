@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import canvas, coords, correlate, drift, graph, layout, tasks, validate
+from ..operators import canvas, coords, correlate, drift, graph, layout, scan, tasks, validate
 from ..sources import store
 from .acquisition import ERROR, SHAPE, SPACING, Acquisition
 
@@ -394,8 +394,8 @@ def blend_unfinished(a):
 
 
 def _series(a):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return a.table("events").select("user_id", "event_id", "ts", (F.col("value") - F.lag("value").over(w)).alias("step")).where("step is not null")
+    e = scan.previous(a.table("events").select("user_id", "event_id", "ts", "value"), "user_id", ["ts", "event_id"], "value", "before")
+    return e.select("user_id", "event_id", "ts", (F.col("value") - F.col("before")).alias("step")).where("step is not null")
 
 
 @query
