@@ -1,7 +1,8 @@
 """A deterministic virtual acquisition over the driver's tables, on which the operators run.
 
 files: blocks of five days of ``events``; tiles: ``supplier`` on a grid ten wide with jitter from the balance; overrides:
-event types; volumes: ``embeddings`` as 4 x 4 x 4; the offset log: ``lineitem``.
+event types; volumes: ``embeddings`` as 4 x 4 x 4; the offset log: ``lineitem``.  What many tables are made of (hours, overrides,
+masks) is written once, as plans that repeat its making grow beyond what the driver holds.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ class Acquisition:
     @cached_property
     def hours(self) -> DataFrame:
         e = self.table("events").select(F.floor(F.datediff(F.col("ts"), F.lit("2024-01-01").cast("date")) / 5).cast("int").alias("file_i"), F.date_trunc("hour", "ts").alias("h"))
-        return e.distinct()
+        return coords.durable(e.distinct())
 
     @cached_property
     def files(self) -> DataFrame:
@@ -98,11 +99,12 @@ class Acquisition:
         for k, v in VERBS.items():
             verb = F.when(F.col("event_type") == k, v) if verb is None else verb.when(F.col("event_type") == k, v)
         rows = e.select(F.date_trunc("hour", "ts").alias("h"), verb.alias("verb"), "user_id", file_i.alias("file_i")).where("verb is not null").join(F.broadcast(n))
-        return rows.join(at, "h").select(F.col("t").cast("int").alias("t"), "verb", tile_name(F.pmod(F.col("user_id"), F.col("n"))).alias("name")).distinct()
+        found = rows.join(at, "h").select(F.col("t").cast("int").alias("t"), "verb", tile_name(F.pmod(F.col("user_id"), F.col("n"))).alias("name"))
+        return coords.durable(found.distinct())
 
     @cached_property
     def state(self) -> DataFrame:
-        return layout.tile_state(self.tiles, self.times, self.references, self.overrides)
+        return coords.durable(layout.tile_state(self.tiles, self.times, self.references, self.overrides))
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -110,7 +112,7 @@ class Acquisition:
 
     @cached_property
     def pairs_at(self) -> DataFrame:
-        return layout.pair_state(self.pairs, self.state)
+        return coords.durable(layout.pair_state(self.pairs, self.state))
 
     @cached_property
     def refs(self) -> DataFrame:
