@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels as k
-from ..sources.volumes import read_region
+from ..sources.volumes import BATCH_BYTES, read_region
 from .coords import ZYX
 
+_CHUNK = ["t", "cz", "cy", "cx"]
+
 
 def ramp(n):
     """SQL form of a rising ramp of ``n`` weights from 0.01 to 0.99."""
@@ -60,7 +62,7 @@ def compose_chunks(boxed: DataFrame, volumes: DataFrame, edges: DataFrame, geome
     """t, cz, cy, cx, shape, data of every chunk that a tile overlaps.
 
     A chunk gathers references of the tiles that overlap it (few, by geometry), reads of each volume the part inside it
-    alone, and is composed on its own: no voxel is shuffled.  ``volumes(t, name, path, pos, local_t)``; ``shape``: the
+    alone, and is composed on its own: no voxel is shuffled.  A task goes through its chunks in their order.  ``volumes(t, name, path, pos, local_t)``; ``shape``: the
     tiles' size; ``read(path, pos, local_t, region)``.
     """
     size = [geometry["shape"][i + 1] for i in range(3)]
@@ -70,7 +72,7 @@ def compose_chunks(boxed: DataFrame, volumes: DataFrame, edges: DataFrame, geome
     ramps = edges.groupBy("t", "name").agg(F.sort_array(F.collect_list(F.struct("a", "b", "axis", "lower", "length"))).alias("edges"))
     joined = out.join(volumes, ["t", "name"]).join(ramps, ["t", "name"], "left")
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(pdf: pd.DataFrame) -> tuple:
         at = [int(pdf[f"c{c}"].iloc[0]) for c in ZYX]
         region = [(i * n, min((i + 1) * n, m)) for i, n, m in zip(at, chunk, size, strict=True)]
         vols, boxes, weights = {}, {}, {}
@@ -84,9 +86,35 @@ def compose_chunks(boxed: DataFrame, volumes: DataFrame, edges: DataFrame, geome
             mine = [] if r.edges is None else [(e["axis"], e["lower"], e["length"]) for e in r.edges]
             weights[r.name] = k.blend_weights(mine, shape[1], shape[2])[tuple(slice(*x) for x in inner[1:])]
         data = k.compose(vols, boxes, weights, region, dtype)
-        return pd.DataFrame({"t": [int(pdf["t"].iloc[0])], "cz": at[0], "cy": at[1], "cx": at[2], "shape": [list(data.shape)], "data": [data.tobytes()]})
-
-    return joined.groupBy("t", "cz", "cy", "cx").applyInPandas(one, "t int, cz int, cy int, cx int, shape array<int>, data binary")
+        return int(pdf["t"].iloc[0]), *at, list(data.shape), data.tobytes()
+
+    def run(it):
+        rows, size = [], 0
+        for pdf in whole_groups(it, _CHUNK):
+            rows.append(one(pdf))
+            size += len(rows[-1][-1])
+            if size >= BATCH_BYTES:
+                yield pd.DataFrame(rows, columns=[*_CHUNK, "shape", "data"])
+                rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=[*_CHUNK, "shape", "data"])
+
+    dealt = joined.repartition(*_CHUNK).sortWithinPartitions(*_CHUNK)
+    return dealt.mapInPandas(run, "t int, cz int, cy int, cx int, shape array<int>, data binary")
+
+
+def whole_groups(frames, by: list[str]):
+    """Groups of a sorted stream of frames, those too that a frame's end cuts."""
+    held = None
+    for pdf in frames:
+        pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+        if len(pdf):
+            new = (pdf[by].ne(pdf[by].shift())).any(axis=1).to_numpy()
+            first = np.flatnonzero(new)
+            yield from (pdf.iloc[a:b] for a, b in zip(first, first[1:], strict=False))
+            held = pdf.iloc[first[-1] :]
+    if held is not None:
+        yield held
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:

@@ -35,15 +35,19 @@ def offsets(tasks: DataFrame, shape: tuple[int, int, int], precision: str = "flo
 def strips(images: DataFrame, shape: tuple[int, int, int], axis: int, shift: int) -> DataFrame:
     """vec_id, side, z, y, x, v of both strips of each image (vec_id, img), as a parent and as a child of a neighbour."""
 
-    def run(it):
-        for pdf in it:
-            for key, img in zip(pdf["vec_id"], pdf["img"], strict=True):
-                for side in ("parent", "child"):
-                    part = k.trim(np.asarray(img, dtype=np.float64).reshape(shape), axis, side, shift)
-                    z, y, x = np.unravel_index(np.arange(part.size), part.shape)
-                    yield pd.DataFrame({"vec_id": key, "side": side, "z": z, "y": y, "x": x, "v": part.ravel()})
+    places = {side: np.stack(np.unravel_index(np.arange(k.trim(np.zeros(shape), axis, side, shift).size), k.trim(np.zeros(shape), axis, side, shift).shape)).astype(np.int32) for side in ("parent", "child")}
 
-    return images.mapInPandas(run, "vec_id long, side string, z int, y int, x int, v double")
+    def run(it):
+        for b in it:
+            keys = b.column("vec_id").to_numpy(zero_copy_only=False)
+            img = np.array(b.column("img").to_pylist(), dtype=np.float64).reshape(-1, *shape)
+            for side, at in places.items() if len(keys) else ():
+                part = k.trim(img, axis + 1, side, shift).reshape(len(keys), -1)
+                n = part.shape[1]
+                cols = [np.repeat(keys, n), np.full(part.size, side), *(np.tile(x, len(keys)) for x in at), part.ravel()]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["vec_id", "side", "z", "y", "x", "v"])
+
+    return images.select(F.col("vec_id").cast("long").alias("vec_id"), "img").mapInArrow(run, "vec_id long, side string, z int, y int, x int, v double")
 
 
 _FOUND = "key string, kind string, what string, dz int, dy int, dx int"

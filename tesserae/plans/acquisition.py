@@ -7,6 +7,7 @@ masks) is written once, as plans that repeat its making grow beyond what the dri
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -14,11 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import coords, graph, layout, tasks
+from ..sources import volumes
+from ..sources.shared import shared_folder
 from ..sources.ship import ship_code
 
 SPACING, ERROR, JITTER, VOXEL = 55.0, 5.0, 7, 0.1
 NZ, NY, NX = 4, 64, 64
 SHAPE = (NZ, NY, NX)
+VOLUME = (4, 4, 4)
 CROP = ((0, 4), (None, None), (1, 3))
 REALIGN = ((1, 3), (None, None), (None, None))
 VERBS = {"error": "drop", "click": "unanchor", "signup": "anchor", "purchase": "realign"}
@@ -140,6 +144,19 @@ class Acquisition:
         """A memo of what is computed: all tasks but every seventh by key."""
         return self.plan.where(F.conv(F.substring("key", 1, 4), 16, 10).cast("int") % 7 != 0).select("key")
 
+    @cached_property
+    def stacks(self) -> str:
+        """A folder of stacks made from the vectors that are volumes of ``VOLUME``: of each 64 in the order of ids, eight
+        timepoints of eight positions; values in thousandths without their signs."""
+        folder = f"{shared_folder(self.spark)}/stacks-{uuid.uuid4().hex}"
+        v = F.col("vec_id")
+        voxel = lambda x: F.lpad(F.hex((F.floor(F.abs(x.cast("double")) * 1000) % 65536).cast("int")), 4, "0")
+        data = F.unhex(F.array_join(F.transform("embedding", lambda x: F.concat(F.substring(voxel(x), 3, 2), F.substring(voxel(x), 1, 2))), ""))  # low byte first
+        rows = self.table("embeddings").where(F.size("embedding") == VOLUME[0] * VOLUME[1] * VOLUME[2])
+        named = rows.select(F.concat(F.lit("block_"), F.floor(v / 64).cast("string")).alias("file"), (v % 8).alias("pos"), (F.floor(v / 8) % 8).alias("local_t"), data.alias("data"))
+        volumes.write_stacks(named, folder, 8, VOLUME).count()
+        return folder
+
     # --- a forest: rows of tiles, with one anchor -----------------------------------------
     @cached_property
     def row_state(self) -> DataFrame:

@@ -171,6 +171,9 @@ o AS (SELECT t, z, x, CASE WHEN wa + wb = 0 THEN 0 ELSE trunc((CASE WHEN wa = 0
   x // 3 AS cx FROM c),
 k AS (SELECT t, bool_or(s = 0) AS one, bool_or(s = 1) AS two FROM e GROUP BY t)
 SELECT t, CAST(z // 2 AS INTEGER) AS cz, CAST(cx AS INTEGER) AS cx, CAST(count(*) AS INTEGER) AS n_voxels, CAST(sum(v) AS BIGINT) AS total FROM o JOIN k USING (t) WHERE one OR cx = 1 OR two GROUP BY ALL""",
+    "stored_volume_steps": """WITH e AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(floor(abs(v::DOUBLE) * 1000) AS BIGINT) % 65536) AS v FROM embeddings WHERE len(embedding) = 64)
+SELECT 'block_' || n.vec_id // 64 AS file, CAST(n.vec_id % 8 AS INTEGER) AS pos, CAST(n.vec_id // 8 % 8 AS INTEGER) AS local_t, CAST(list_sum(n.v) AS BIGINT) AS total,
+  CAST(list_sum(list_transform(range(1, 65), lambda i: abs(n.v[i] - o.v[i]))) AS BIGINT) AS change FROM e n JOIN e o ON o.vec_id = n.vec_id - 8 AND n.vec_id // 64 = o.vec_id // 64""",
     "extent": _rows("SELECT z0 AS z_lo, z1 AS z_hi, y0 AS y_lo, y1 AS y_hi, x0 AS x_lo, x1 AS x_hi FROM ext"),
     "canvas_required_pad": _rows("SELECT * FROM geo"),
     "tile_boxes": _rows("SELECT * FROM box"),

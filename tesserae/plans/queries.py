@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import canvas, coords, correlate, drift, graph, layout, scan, tasks, validate
-from ..sources import store
-from .acquisition import ERROR, SHAPE, SPACING, Acquisition
+from ..sources import store, volumes
+from .acquisition import ERROR, SHAPE, SPACING, VOLUME, Acquisition
 
 Query = Callable[[SparkSession, str], DataFrame]
 CHUNK = (4, 32, 32)
-VOLUME = (4, 4, 4)
 ALL: dict[str, Query] = {}
 
 
@@ -338,15 +337,37 @@ def _pair_of_vectors(a):
     return v.select(F.floor(F.col("vec_id") / 2).alias("t"), F.col("vec_id").cast("string").alias("name"), F.lit(0).alias("z_lo"), F.lit(0).alias("y_lo"), F.when(second, 2).otherwise(0).alias("x_lo"), "z", "y", "x", "v", edge.alias("edges"))
 
 
+@query
+def stored_volume_steps(a):
+    """Sum of a stored volume and of its changes against the one before at its position; the scan of the later ones begins at
+    local time 1, and nothing earlier is read for it."""
+    volumes.register(a.spark)
+    scan = lambda: a.spark.read.format("volumes").load(a.stacks)
+    before = scan().select("file", "pos", (F.col("local_t") + 1).alias("local_t"), F.col("data").alias("old"))
+    both = scan().where("local_t >= 1").select("file", "pos", "local_t", "data").join(before, ["file", "pos", "local_t"])
+    found = both.mapInArrow(_changes, "file string, pos int, local_t int, total long, change long")
+    return found.withColumn("file", F.element_at(F.split("file", "/"), -1))
+
+
+def _changes(it):
+    import numpy as np
+    import pyarrow as pa
+
+    for b in it:
+        new, old = ([np.frombuffer(d, np.uint16).astype(np.int64) for d in b.column(c).to_pylist()] for c in ("data", "old"))
+        own = [pa.array([int(x.sum()) for x in new], pa.int64()), pa.array([int(np.abs(x - y).sum()) for x, y in zip(new, old, strict=True)], pa.int64())]
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("file", "pos", "local_t")), *own], names=["file", "pos", "local_t", "total", "change"])
+
+
 @query
 def blend_chunks(a):
-    """Sum and count of composed voxels by chunk of two planes, as the canvas holds them."""
-    two = _vectors(a).select(F.floor(F.col("vec_id") / 2).cast("int").alias("t"), F.col("vec_id").cast("string").alias("name"), (F.col("vec_id") % 2).cast("int").alias("second"), F.transform("embedding", lambda v: F.floor(F.abs(v.cast("double")) * 1000).cast("int")).alias("voxels"))
+    """Sum and count of composed voxels by chunk of two planes, as the canvas holds them; voxels come from stored stacks."""
+    v = F.col("vec_id")
+    two = _vectors(a).select(F.floor(v / 2).cast("int").alias("t"), v.cast("string").alias("name"), (v % 2).cast("int").alias("second"), F.concat(F.lit(f"{a.stacks}/block_"), F.floor(v / 64).cast("string")).alias("path"), (v % 8).cast("int").alias("pos"), (F.floor(v / 8) % 8).cast("int").alias("local_t"))
     lo = {"z": F.lit(0), "y": F.lit(0), "x": F.col("second") * 2}
     boxed = two.select("t", "name", *[e for c, n in zip(coords.ZYX, VOLUME, strict=True) for e in (lo[c].alias(f"{c}_lo"), (lo[c] + n).alias(f"{c}_hi"))])
     edges = two.select("t", "name", F.lit(2).alias("axis"), (F.col("second") == 0).alias("lower"), F.lit(2).alias("length"), F.lit("a").alias("a"), F.lit("b").alias("b"))
-    volumes = two.select("t", "name", F.concat_ws(",", F.col("voxels").cast("array<string>")).alias("path"), F.lit(0).alias("pos"), F.lit(0).alias("local_t"))
-    chunks = canvas.compose_chunks(boxed, volumes, edges, {"shape": [0, 4, 4, 6]}, (2, 4, 3), "uint16", VOLUME, _from_text)
+    chunks = canvas.compose_chunks(boxed, two.select("t", "name", "path", "pos", "local_t"), edges, {"shape": [0, 4, 4, 6]}, (2, 4, 3), "uint16", VOLUME)
     return chunks.mapInPandas(_chunk_sums, "t long, cz int, cx int, n_voxels int, total long")
 
 
@@ -358,12 +379,6 @@ def _chunk_sums(it):
         yield pdf[["t", "cz", "cx"]].assign(n_voxels=[len(v) for v in voxels], total=[int(v.sum(dtype=np.int64)) for v in voxels])
 
 
-def _from_text(path, pos, local_t, region):
-    import numpy as np
-
-    return np.array(path.split(","), dtype=np.uint16).reshape(VOLUME)[tuple(slice(*r) for r in region)]
-
-
 @query
 def pair_offset_signs(a):
     """Offsets as a routing uses them: along a pair as they are, against it negated."""
