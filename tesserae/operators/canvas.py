@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kernels as k
+from ..sources import files
 from ..sources.volumes import BATCH_BYTES, read_region
 from .coords import ZYX
 
 _CHUNK = ["t", "cz", "cy", "cx"]
+_COMPOSED = [*_CHUNK, "shape", "data", "read_s", "compose_s"]
 
 
 def ramp(n):
@@ -58,21 +62,29 @@ def weighted(voxels: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
     return weighed.select("t", *[(F.col(f"{c}_lo") + F.col(c)).cast("int").alias(c) for c in ZYX], "v", "w")
 
 
+def chunk_refs(boxed: DataFrame, chunk: tuple[int, int, int]) -> DataFrame:
+    """``boxed`` with a row for each chunk (cz, cy, cx) that a box overlaps."""
+    out = boxed
+    for c, n in zip(ZYX, chunk, strict=True):
+        out = out.withColumn(f"c{c}", F.explode(F.sequence(F.floor(F.greatest(F.col(f"{c}_lo"), F.lit(0)) / n).cast("int"), F.floor((F.col(f"{c}_hi") - 1) / n).cast("int"))))
+    return out
+
+
 def compose_chunks(boxed: DataFrame, volumes: DataFrame, edges: DataFrame, geometry: dict, chunk: tuple[int, int, int], dtype: str, shape: tuple[int, int, int], read=read_region) -> DataFrame:
-    """t, cz, cy, cx, shape, data of every chunk that a tile overlaps.
+    """t, cz, cy, cx, shape, data of every chunk that a tile overlaps, and the seconds it took to read and to compose it.
 
     A chunk gathers references of the tiles that overlap it (few, by geometry), reads of each volume the part inside it
-    alone, and is composed on its own: no voxel is shuffled.  A task goes through its chunks in their order.  ``volumes(t, name, path, pos, local_t)``; ``shape``: the
+    alone, and is composed on its own: no voxel is shuffled.  Tasks are ranges of timepoints and chunks and go through them
+    in their order.  ``boxed``: boxes, or rows of ``chunk_refs``; ``volumes(t, name, path, pos, local_t)``; ``shape``: the
     tiles' size; ``read(path, pos, local_t, region)``.
     """
     size = [geometry["shape"][i + 1] for i in range(3)]
-    out = boxed
-    for c, n in zip(ZYX, chunk, strict=True):
-        out = out.withColumn(f"c{c}", F.explode(F.sequence(F.floor(F.greatest(F.col(f"{c}_lo"), F.lit(0)) / n).cast("int"), F.floor((F.col(f"{c}_hi") - 1) / n).cast("int"))))
+    out = boxed if "cz" in boxed.columns else chunk_refs(boxed, chunk)
     ramps = edges.groupBy("t", "name").agg(F.sort_array(F.collect_list(F.struct("a", "b", "axis", "lower", "length"))).alias("edges"))
     joined = out.join(volumes, ["t", "name"]).join(ramps, ["t", "name"], "left")
 
     def one(pdf: pd.DataFrame) -> tuple:
+        began = time.perf_counter()
         at = [int(pdf[f"c{c}"].iloc[0]) for c in ZYX]
         region = [(i * n, min((i + 1) * n, m)) for i, n, m in zip(at, chunk, size, strict=True)]
         vols, boxes, weights = {}, {}, {}
@@ -85,22 +97,23 @@ def compose_chunks(boxed: DataFrame, volumes: DataFrame, edges: DataFrame, geome
             boxes[r.name] = tuple(o + a for o, (a, _) in zip(lo, inner, strict=True)), tuple(o + b for o, (_, b) in zip(lo, inner, strict=True))
             mine = [] if r.edges is None else [(e["axis"], e["lower"], e["length"]) for e in r.edges]
             weights[r.name] = k.blend_weights(mine, shape[1], shape[2])[tuple(slice(*x) for x in inner[1:])]
+        known = time.perf_counter()
         data = k.compose(vols, boxes, weights, region, dtype)
-        return int(pdf["t"].iloc[0]), *at, list(data.shape), data.tobytes()
+        return int(pdf["t"].iloc[0]), *at, list(data.shape), data.tobytes(), known - began, time.perf_counter() - known
 
     def run(it):
         rows, size = [], 0
         for pdf in whole_groups(it, _CHUNK):
             rows.append(one(pdf))
-            size += len(rows[-1][-1])
+            size += len(rows[-1][5])
             if size >= BATCH_BYTES:
-                yield pd.DataFrame(rows, columns=[*_CHUNK, "shape", "data"])
+                yield pd.DataFrame(rows, columns=_COMPOSED)
                 rows, size = [], 0
         if rows:
-            yield pd.DataFrame(rows, columns=[*_CHUNK, "shape", "data"])
+            yield pd.DataFrame(rows, columns=_COMPOSED)
 
-    dealt = joined.repartition(*_CHUNK).sortWithinPartitions(*_CHUNK)
-    return dealt.mapInPandas(run, "t int, cz int, cy int, cx int, shape array<int>, data binary")
+    dealt = joined.repartitionByRange(*_CHUNK).sortWithinPartitions(*_CHUNK)
+    return dealt.mapInPandas(run, "t int, cz int, cy int, cx int, shape array<int>, data binary, read_s double, compose_s double")
 
 
 def whole_groups(frames, by: list[str]):
@@ -118,6 +131,24 @@ def whole_groups(frames, by: list[str]):
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:
-    """Overwrites the timepoints at hand and no others, so that chunks a moved tile has left go too."""
-    chunks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("t").parquet(path)
+    """Adds chunks of frames (t, frame).  A task's chunks are there as soon as it ends, and stay if the job fails later."""
+    chunks.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("t", "frame").parquet(path)
+
+
+def frame_name(key: str, chunk: tuple[int, int, int]) -> str:
+    """Chunks of other coordinates or of another grid are in another frame."""
+    return f"{key}-{'x'.join(map(str, chunk))}"
+
+
+def written(spark: SparkSession, path: str) -> DataFrame:
+    """t, frame, cz, cy, cx of the chunks that are there; data is not read."""
+    schema = "cz int, cy int, cx int, t int, frame string"
+    return (spark.read.schema(schema).parquet(path) if files.exists(path) else spark.createDataFrame([], schema)).select("t", "frame", "cz", "cy", "cx").distinct()
+
 
+def clear(path: str, keep: dict[int, str | None]) -> None:
+    """Removes all frames of these timepoints but the one that is to be kept."""
+    for t, frame in keep.items():
+        for name in files.names(f"{path}/t={t}"):
+            if name.startswith("frame=") and name != f"frame={frame}":
+                files.remove(f"{path}/t={t}/{name}")

@@ -7,7 +7,7 @@ import time
 from functools import cached_property
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import topology as tp
@@ -115,10 +115,13 @@ class Project:
         return of
 
     def graph_problems(self) -> list[str]:
-        names, anchors, pairs = {}, {}, {}
-        for r in self.tops.select("t", "names", "anchors", "pairs").toLocalIterator():
-            names[r["t"]], anchors[r["t"]], pairs[r["t"]] = list(r["names"]), set(r["anchors"]), [tuple(p) for p in r["pairs"]]
-        return validate.check_graph(self.nt, names, anchors, pairs)
+        """Timepoints without tiles, parts without an anchor, anchors without a place before: only what is found is gathered."""
+        living = self.state.select("t", "name")
+        empty = self.times.select("t").join(living, "t", "left_anti").withColumn("name", F.lit("all tiles"))
+        bare = graph.unanchored(graph.components(self.tops), self.state).select(F.regexp_replace("tiles", ",", "+").alias("name"), "ts")
+        born = self.state.where("anchor and t > 0").select("t", "name").join(living.select((F.col("t") + 1).alias("t"), "name"), ["t", "name"], "left_anti")
+        found = {"empty": graph.ranges(empty, "name"), "unanchored": bare, "newborn-anchor": graph.ranges(born, "name")}
+        return [f"{code}: {validate.GRAPH_RULES[code].format(r['name'], r['ts'])}" for code, rows in found.items() for r in rows.orderBy("name").collect()]
 
     def offsets(self) -> DataFrame:
         return store.read_offsets(self.spark, self.work.offsets)
@@ -159,8 +162,10 @@ class Project:
     def blend(self, output: str | Path | None = None, t0: int = 0, t1: int | None = None, dtype: str = "uint16", pad=(0, 0, 0), chunk=(32, 512, 512), skeleton: bool = False, force: bool = False, at_once: int = 1, attempts: int = 4, log: bool = True) -> int:
         """Writes the chunks of timepoints that are not written with their present coordinates; returns their number.
 
-        ``at_once`` timepoints are written and then marked in the log, so a crash costs no more than those; ``attempts`` for
-        each.  Without ``log`` all timepoints are written and none is marked.  ``timings`` has a row for each write.
+        One job writes ``at_once`` timepoints, 0: all of them, which are then marked in the log.  Chunks lie in the frame of
+        their timepoint's key, and a job composes only chunks that are not in their frame; so of a job that broke off, what
+        its ended tasks wrote counts.  Frames of earlier keys go after the mark.  Without ``log`` all timepoints are written
+        and none is marked.  ``timings`` has a row for each job: seconds in all, and of its tasks' reading and composing.
         """
         output = Path(output) if output else self.work.canvas
         marks = f"{output}.log.jsonl"
@@ -179,24 +184,32 @@ class Project:
             if new:
                 store.save_geometry(output, geometry)
             keys = store.blend_keys(placed, geometry["origin"], dtype)
-            todo = keys if force or not log else store.unfinished(keys, store.read_blend_log(self.spark, marks))
+            again = force or not log
+            todo = keys if again else store.unfinished(keys, store.read_blend_log(self.spark, marks))
             todo = sorted((r["t"], r["key"]) for r in todo.collect())  # a row per timepoint
+            if again and todo:  # chunks that are there don't count, nor do marks, until they are made anew
+                if log:
+                    store.mark(self.spark, marks, [(t, "", None) for t, _ in todo])
+                canvas.clear(str(output), {t: None for t, _ in todo})
             refs = tasks.volumes(self.state, self.times, self.tile_file, self.files, self.nz)
             named = self.spark.createDataFrame([(h.path, k) for h, k in zip(self.headers, self.keys, strict=True)], "path string, file string")
-            volumes = refs.join(named, "file").select("t", "name", "path", "pos", "local_t").persist()
-            for k in range(0, len(todo), at_once):
-                some, began = todo[k : k + at_once], time.monotonic()
-                at = F.col("t").isin([t for t, _ in some])
-                here = placed.where(at)
-                boxed = coords.boxes(here, row(geometry), self.shape)
-                edges = canvas.edge_lengths(here, self.pairs_at.where(at), self.shape)
-                chunks = canvas.compose_chunks(boxed, volumes.where(at), edges, geometry, chunk, dtype, self.shape)
+            volumes = coords.durable(refs.join(named, "file").select("t", "name", "path", "pos", "local_t"))
+            boxed = coords.durable(coords.boxes(placed, row(geometry), self.shape))
+            edges = coords.durable(canvas.edge_lengths(placed, self.pairs_at, self.shape))
+            step = at_once or max(1, len(todo))
+            for k in range(0, len(todo), step):
+                some, began, seen = todo[k : k + step], time.monotonic(), Observation()
+                frames = {t: canvas.frame_name(key, chunk) for t, key in some}
+                at = self.spark.createDataFrame(list(frames.items()), "t int, frame string")
+                open_ = canvas.chunk_refs(boxed, chunk).join(at, "t").join(canvas.written(self.spark, str(output)), ["t", "frame", "cz", "cy", "cx"], "left_anti").drop("frame")
+                chunks = canvas.compose_chunks(open_, volumes, edges, geometry, chunk, dtype, self.shape).join(F.broadcast(at), "t")  # a short row per timepoint of the job
+                chunks = chunks.observe(seen, F.count(F.lit(1)).alias("chunks"), F.coalesce(F.sum("read_s"), F.lit(0.0)).alias("read_s"), F.coalesce(F.sum("compose_s"), F.lit(0.0)).alias("compose_s")).drop("read_s", "compose_s")
                 store.patiently(lambda chunks=chunks: canvas.write_chunks(chunks, str(output)), attempts)
-                boxes = {r["t"]: [[r[f"{c}_lo"], r[f"{c}_hi"]] for c in coords.ZYX] for r in coords.bbox(boxed).collect()}
                 if log:
-                    store.mark(marks, [(t, key, boxes.get(t)) for t, key in some])
-                self.timings.append({"t": [t for t, _ in some], "seconds": time.monotonic() - began, "driver_mb": resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024})
-            volumes.unpersist()
+                    boxes = {r["t"]: [[r[f"{c}_lo"], r[f"{c}_hi"]] for c in coords.ZYX] for r in coords.bbox(boxed.join(at, "t", "left_semi")).collect()}
+                    store.mark(self.spark, marks, [(t, key, boxes.get(t)) for t, key in some])
+                canvas.clear(str(output), frames)
+                self.timings.append({"t": [t for t, _ in some], "seconds": time.monotonic() - began, "driver_mb": resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024, **seen.get})
             return len(todo)
         finally:
             placed.unpersist()

@@ -1,64 +1,82 @@
-"""Append-only logs of results, tolerant of torn lines, and the geometry of a canvas, which is not."""
+"""Append-only logs of results, tolerant of torn lines, and the geometry of a canvas, which is not.
+
+A log ``X`` is a file of JSON lines that other tools may have written, if there is one, and the folder ``X.parts`` that Spark's
+writer appends to: a task's lines are there as a whole or not at all, whatever breaks, and none is there twice.  Lines carry the
+time of their append, in microseconds; those of the file have none and come before all others.
+"""
 
 from __future__ import annotations
 
 import json
-import os
 import time
 import warnings
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.coords import durable
 from ..operators.tasks import last_wins
+from . import files
 
-_OFFSET = "key string, kind string, task struct<kind:string,what:string>, offset struct<dz:int,dy:int,dx:int>, _bad string"
-_BLEND = "t int, key string, bbox array<array<int>>, _bad string"
+_OFFSET = "key string, kind string, task struct<kind:string,what:string>, offset struct<dz:int,dy:int,dx:int>, at long, _bad string"
+_BLEND = "t int, key string, bbox array<array<int>>, at long, _bad string"
+OFFSETS = "key string, kind string, what string, dz int, dy int, dx int"
+BLENDS = "t int, key string, bbox array<array<int>>"
 
 
 class CanvasMismatch(RuntimeError):
     pass
 
 
-def _log(spark: SparkSession, path: str, schema: str, needed: str) -> DataFrame:
-    """Lines of a JSON log with their place; broken lines are counted and left out."""
-    raw = spark.read.schema("value string").text(path).withColumn("seq", F.struct(F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")))
-    rows = raw.withColumn("x", F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})).select("x.*", "seq", "value").where("trim(value) <> ''")
-    good = F.col("_bad").isNull() & F.expr(needed)
-    skipped = rows.where(~good | good.isNull()).count()
-    if skipped:
-        warnings.warn(f"{path}: skipped {skipped} unreadable line(s)", RuntimeWarning, stacklevel=3)
-    return rows.where(good).drop("_bad", "value")
+def _places(path) -> list[str]:
+    return [p for p in (str(path), f"{path}.parts") if files.exists(p)]
+
 
+def _log(spark: SparkSession, path, schema: str, needed: str, key: str, *columns) -> tuple[DataFrame, int] | None:
+    """The last line of each key, written down in the one pass that also counts lines and broken ones; the number of lines.
 
-def read_offsets(spark: SparkSession, path: str | Path) -> DataFrame:
+    None for a log that is not there.
+    """
+    places = _places(path)
+    if not places:
+        return None
+    raw = spark.read.schema("value string").text(places).where("trim(value) <> ''")
+    x = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    rows = raw.select(x.alias("x"), order.alias("place")).select("x.*", "place")
+    good = F.coalesce(F.col("_bad").isNull() & F.expr(needed), F.lit(False))
+    seen = Observation()
+    lines = rows.observe(seen, F.count(F.lit(1)).alias("lines"), F.count(F.when(~good, 1)).alias("skipped")).where(good)
+    last = last_wins(lines.select(*columns, F.coalesce("at", F.lit(0)).alias("at"), "place"), key, ["at", "place"]).drop("at", "place")
+    last = durable(last)
+    if seen.get["skipped"]:
+        warnings.warn(f"{path}: skipped {seen.get['skipped']} unreadable line(s)", RuntimeWarning, stacklevel=3)
+    return last, seen.get["lines"]
+
+
+def _offset_log(spark: SparkSession, path) -> tuple[DataFrame, int] | None:
+    needed = "key is not null and offset.dz is not null and offset.dy is not null and offset.dx is not null"
+    return _log(spark, path, _OFFSET, needed, "key", "key", "kind", F.col("task.what").alias("what"), "offset.*")
+
+
+def read_offsets(spark: SparkSession, path) -> DataFrame:
     """key, kind, what, dz, dy, dx; the last line of a key counts.  A missing log is empty."""
-    if not Path(path).exists():
-        return spark.createDataFrame([], "key string, kind string, what string, dz int, dy int, dx int")
-    log = _log(spark, str(path), _OFFSET, "key is not null and offset.dz is not null and offset.dy is not null and offset.dx is not null")
-    return last_wins(log.select("key", "kind", F.col("task.what").alias("what"), "offset.*", "seq"), "key", ["seq"]).drop("seq")
+    found = _offset_log(spark, path)
+    return spark.createDataFrame([], OFFSETS) if found is None else found[0]
 
 
-def append_offsets(found: DataFrame, path: str | Path) -> int:
-    """Appends result rows (key, kind, what, dz, dy, dx) of one slice, a line each; returns their number."""
-    lines = ({"key": r["key"], "kind": r["kind"], "task": {"kind": r["kind"], "what": r["what"]}, "offset": {c: r[c] for c in ("dz", "dy", "dx")}} for r in found.toLocalIterator())
-    return _append(Path(path), lines)
+def _append(lines: DataFrame, path) -> int:
+    """Adds a line for each row by Spark's writer; returns their number."""
+    seen = Observation()
+    dated = lines.withColumn("at", F.lit(time.time_ns() // 1000)).observe(seen, F.count(F.lit(1)).alias("n"))
+    dated.write.mode("append").json(f"{path}.parts")
+    return seen.get["n"]
 
 
-def _append(file: Path, lines) -> int:
-    """Adds JSON lines; of the log itself only the last byte is looked at, as a torn line must not take the next one with it."""
-    file.parent.mkdir(parents=True, exist_ok=True)
-    n = 0
-    with file.open("a+b") as out:
-        if out.tell():
-            out.seek(-1, os.SEEK_END)
-            if out.read(1) != b"\n":
-                out.write(b"\n")
-        for line in lines:
-            out.write(json.dumps(line).encode() + b"\n")
-            n += 1
-    return n
+def append_offsets(found: DataFrame, path) -> int:
+    """Appends result rows (key, kind, what, dz, dy, dx), a line each, by the tasks that made them; returns their number."""
+    return _append(found.select("key", "kind", F.struct("kind", "what").alias("task"), F.struct("dz", "dy", "dx").alias("offset")), path)
 
 
 def patiently(work, attempts: int = 4, wait: float = 2.0):
@@ -76,27 +94,35 @@ def patiently(work, attempts: int = 4, wait: float = 2.0):
             wait *= 2
 
 
-def compact(spark: SparkSession, path: str | Path) -> tuple[int, int]:
-    """Rewrites the log without superseded lines, by a replaced file; lines before and after."""
-    file = Path(path)
-    before = sum(1 for _ in file.open()) if file.exists() else 0
-    fresh = file.with_suffix(".tmp")
-    fresh.unlink(missing_ok=True)
-    after = append_offsets(read_offsets(spark, file).orderBy("key"), fresh)
-    os.replace(fresh, file)
-    return before, after
+def compact(spark: SparkSession, path) -> tuple[int, int]:
+    """Leaves the last line of each key alone; lines before and after.
+
+    They are appended before the old files go, so whatever breaks off in between, the log says the same.
+    """
+    old = [str(path)] + [f"{path}.parts/{n}" for n in files.names(f"{path}.parts")]
+    found = _offset_log(spark, path)
+    if found is None:
+        return 0, 0
+    after = append_offsets(found[0], path)
+    for p in old:
+        files.remove(p)
+    return found[1], after
 
 
-def read_blend_log(spark: SparkSession, path: str | Path) -> DataFrame:
+def read_blend_log(spark: SparkSession, path) -> DataFrame:
     """t, key, bbox of written timepoints; the last line counts."""
-    if not Path(path).exists():
-        return spark.createDataFrame([], "t int, key string, bbox array<array<int>>")
-    return last_wins(_log(spark, str(path), _BLEND, "t is not null and key is not null"), "t", ["seq"]).drop("seq")
+    found = _log(spark, path, _BLEND, "t is not null and key is not null", "t", "t", "key", "bbox")
+    return spark.createDataFrame([], BLENDS) if found is None else found[0]
 
 
-def mark(path: str | Path, rows) -> None:
-    """Appends (t, key, bbox) of timepoints whose chunks are all written."""
-    _append(Path(path), ({"t": t, "key": key, "bbox": bbox} for t, key, bbox in rows))
+def mark(spark: SparkSession, path, rows) -> None:
+    """Appends (t, key, bbox) of timepoints whose chunks are all written; an empty key takes an earlier mark back."""
+    _append(spark.createDataFrame(list(rows), BLENDS).coalesce(1), path)
+
+
+def remove_log(path) -> None:
+    for p in _places(path):
+        files.remove(p)
 
 
 def blend_keys(placed: DataFrame, origin, dtype: str) -> DataFrame:
@@ -112,23 +138,22 @@ def unfinished(keys: DataFrame, log: DataFrame) -> DataFrame:
     return keys.join(log.select("t", "key"), ["t", "key"], "left_anti")
 
 
-def geometry_path(output: str | Path) -> Path:
-    return Path(f"{output}.geometry.json")
+def geometry_path(output) -> Path | str:
+    place = f"{output}.geometry.json"
+    return place if "://" in place else Path(place)
 
 
-def save_geometry(output: str | Path, geometry: dict) -> None:
-    file = geometry_path(output)
-    file.parent.mkdir(parents=True, exist_ok=True)
-    file.write_text(json.dumps(geometry))
+def save_geometry(output, geometry: dict) -> None:
+    files.write_text(geometry_path(output), json.dumps(geometry))
 
 
-def load_geometry(output: str | Path) -> dict | None:
+def load_geometry(output) -> dict | None:
     """None if there is none; a malformed one is an error."""
     file = geometry_path(output)
-    if not file.exists():
+    if not files.exists(file):
         return None
     try:
-        g = json.loads(file.read_text())
+        g = json.loads(files.read_text(file))
         ok = len(g["origin"]) == 3 and len(g["shape"]) == 4 and isinstance(g["dtype"], str)
     except (ValueError, KeyError, TypeError) as e:
         raise CanvasMismatch(f"{file}: not a geometry ({e})") from e
@@ -137,7 +162,7 @@ def load_geometry(output: str | Path) -> dict | None:
     return g
 
 
-def resolve_geometry(output: str | Path, needed: dict, misfits: list[str]) -> tuple[dict, bool]:
+def resolve_geometry(output, needed: dict, misfits: list[str]) -> tuple[dict, bool]:
     """The frame to use and whether it is new; a stored frame stays, and all that does not fit it is one error."""
     held = load_geometry(output)
     asked = {"number type": needed["dtype"], "number of timepoints": needed["shape"][0]}

@@ -20,24 +20,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, StringStartsWith
 
+from . import files
+
 SCHEMA = "file string, pos int, local_t int, shape array<int>, stored string, data binary"
 _ARROW = {"file": pa.string(), "pos": pa.int32(), "local_t": pa.int32(), "shape": pa.list_(pa.int32()), "stored": pa.string(), "data": pa.binary()}
 BATCH_BYTES = 8 << 20
 
 
-def _at(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 def read_header(path: str) -> dict:
-    system, at = _at(f"{path}.json")
-    with system.open_input_stream(at) as f:
-        return json.loads(f.read())
+    return json.loads(files.read_text(f"{path}.json"))
 
 
 class Stack:
@@ -47,7 +42,7 @@ class Stack:
         h = read_header(path) if header is None else header
         self.positions, self.nz, self.ny, self.nx = len(h["position_names"]), h["nz"], h["ny"], h["nx"]
         self.dtype = np.dtype(h.get("dtype", "uint16"))
-        system, at = _at(path)
+        system, at = files.at(path)
         self.file = system.open_input_file(at)
 
     def __enter__(self) -> Stack:
@@ -128,13 +123,10 @@ class Reader(DataSourceReader):
 
     def _stacks(self) -> Iterator[str]:
         for path in self.paths:
-            system, at = _at(path)
-            if system.get_file_info(at).type != fs.FileType.Directory:
+            if not files.is_folder(path):
                 yield path
                 continue
-            for info in sorted(system.get_file_info(fs.FileSelector(at)), key=lambda i: i.base_name):
-                if info.base_name.endswith(".json"):
-                    yield f"{path.rstrip('/')}/{info.base_name.removesuffix('.json')}"
+            yield from (f"{path.rstrip('/')}/{n.removesuffix('.json')}" for n in files.names(path) if n.endswith(".json"))
 
     def partitions(self) -> list[Piece]:
         out, runs, room = [], [], self.size
@@ -218,7 +210,7 @@ def write_stacks(volumes: DataFrame, folder: str, positions: int, shape: tuple[i
         if bad := [k for k, d in held.items() if len(d) != size or k not in set(places)]:
             raise ValueError(f"{name}: no volume of {size} bytes at {bad[:3]}")
         header = {"nt": nt, **dict(zip(("nz", "ny", "nx"), shape, strict=True)), "dtype": dtype, "position_names": [str(p) for p in range(positions)], "absent": [k for k in places if k not in held]}
-        system, at = _at(folder)
+        system, at = files.at(folder)
         system.create_dir(at, recursive=True)
         for end, parts in (("", (held.get(k, bytes(size)) for k in places)), (".json", (json.dumps(header).encode(),))):
             own = f"{at}/.{name}{end}.{uuid.uuid4().hex}"
