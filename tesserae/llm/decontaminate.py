@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textscan as ts
-from .runtime import durable, ship_code, table
+from .runtime import durable, shielded, ship_code, table
 
 U = np.uint64
 WINDOW, LITERALS, COVER, SHARE, SHORTEST = 8, 5, 12, 60, 3
@@ -248,10 +248,11 @@ def judge(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    gone = leaks(docs, benchmark).select(F.col("k").alias("__gone_k"), F.col("fp").alias("__gone_fp")).distinct()
+    safe, back = shielded(docs, "doc_id", "text")
+    gone = leaks(safe, benchmark).select(F.col("k").alias("__gone_k"), F.col("fp").alias("__gone_fp")).distinct()
     k, fp = _keys()
-    keyed = docs.withColumns({"__key": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), "__print": F.hash("text")})
-    return keyed.join(gone, (F.col("__key") == F.col("__gone_k")) & (F.col("__print") == F.col("__gone_fp")), "left_anti").select(*docs.columns)
+    keyed = safe.withColumns({"__key": k, "__print": fp})
+    return back(keyed.join(gone, (F.col("__key") == F.col("__gone_k")) & (F.col("__print") == F.col("__gone_fp")), "left_anti"))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

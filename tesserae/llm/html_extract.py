@@ -1,7 +1,8 @@
 """Main text of web pages as the maximum-scoring contiguous run of words and tags.
 
-A page is read as a stream of words and tags in blocks.  Words of running text score above zero, words of links and of zones
-(elements whose tag and names speak for a menu, a footer, an advert...) below it, and so do tags; a linear scan finds the
+A page is read as a stream of words and tags in blocks.  Words of running text score above zero, and so do all words of an
+article or main, its lists of links too; words of other links and of zones (elements whose tag and names speak for a menu, a
+footer, an advert...) score below it, and so do tags, which weigh less inside an article; a linear scan finds the
 contiguous run of blocks with the highest sum, and its blocks, without the words of zones, are the text.  All weights are
 log-odds counted over labelled pages (``labelled_pages``: made by a rule, bounded in number by ``TRAIN_PAGES``); the sign
 of a word of running text and of a tag is the method's and stays.
@@ -55,8 +56,10 @@ ZONE_WORDS = frozenset(
 )
 CONTENT_WORDS = frozenset("article post content entry story main body text page blog news single prose".split())
 OTHER_WORDS = frozenset("has no with without is not enabled disabled hide show wrapper wrap container layout open closed".split())
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
-_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+# a quote begins a value after an equals sign alone; elsewhere it is a character like others
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:"[^"]*"|'[^']*')|=(?!\s*["']))*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_TELLING = frozenset("class id role hidden aria-hidden style".split())
 _NAMES = re.compile(r"[a-z]+")
 _NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
@@ -91,6 +94,8 @@ def _features(tag: str, attributes: str) -> tuple[tuple[str, ...], bool]:
     said, hidden = {f"tag {tag}"}, False
     for name, a, b, c in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), a or b or c
+        if name not in _TELLING:
+            continue
         if name == "style":
             hidden |= bool(_NOT_SHOWN.search(value.lower()))
         elif name in ("hidden", "aria-hidden"):
@@ -155,7 +160,7 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
             pop_to(outer[-1] if at_block(1) == "li" else outer[-2])
         if attributes.rstrip().endswith("/") and tag not in ("p", "div", "span", "a"):
             continue
-        features, hidden = _features(tag, attributes if len(attributes) < 4096 else "")
+        features, hidden = (_features if len(attributes) < 512 else _features.__wrapped__)(tag, attributes)  # long ones are not kept
         elements.append(Element(tag, stack[-1], features, hidden))
         if tag not in INLINE:
             outer.append(len(stack))
@@ -166,7 +171,8 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
 
 
 def places(elements: list[Element], evidence: dict[str, float]) -> list[str]:
-    """For each element what its words are: text, link, zone, inner (a zone inside content) or hidden."""
+    """For each element what its words are: text, link, told or cited (text and links inside an article or main), zone, inner
+    (a zone inside content) or hidden."""
     own = [sum(evidence.get(f, 0.0) for f in e.features) for e in elements]
     for e in elements:
         e.anchors = e.titles = 0
@@ -176,7 +182,7 @@ def places(elements: list[Element], evidence: dict[str, float]) -> list[str]:
         parent.anchors += e.anchors + (e.tag in ("article", "main") and own[k] >= 0)
         parent.titles += e.titles + (e.tag == "h1")
     anchors, titles = elements[0].anchors, elements[0].titles
-    out, content = ["text"], [False]
+    out, content, core = ["text"], [False], [False]
     for k, e in enumerate(elements[1:], 1):
         above, inside = out[e.parent], content[e.parent]
         wraps = anchors and e.anchors == anchors or not anchors and titles and e.titles == titles and e.tag not in LANDMARKS
@@ -188,8 +194,13 @@ def places(elements: list[Element], evidence: dict[str, float]) -> list[str]:
         elif own[k] < 0 and not wraps and not (heads and "name zone" not in e.features):
             out.append("inner" if inside else "zone")
         else:
-            out.append("link" if e.tag == "a" or above == "link" else "text")
-        content.append(inside or own[k] > 0 and out[k] in ("text", "link") and (e.tag in ("article", "main") or "name content" in e.features))
+            link = e.tag == "a" or above in ("link", "cited")
+            out.append(("cited" if link else "told") if core[e.parent] else "link" if link else "text")
+        good = own[k] > 0 and out[k] in ("text", "link", "told", "cited")
+        content.append(inside or good and (e.tag in ("article", "main") or "name content" in e.features))
+        core.append(core[e.parent] or good and e.tag in ("article", "main"))
+        if core[k] and out[k] == "text":
+            out[k] = "told"  # the article itself
     return out
 
 
@@ -201,12 +212,15 @@ def kinds(block: Block, elements: list[Element], place: list[str]) -> Counter:
             out[f"word {place[e]}"] += n
     for tag, e in block.tags:
         if place[e] not in ("inner", "hidden"):
-            out["tag zone" if place[e] == "zone" else "tag link" if tag == "a" else "tag inline" if tag in INLINE and tag != "br" else "tag text" if tag in TEXT_TAGS else "tag frame"] += 1
+            out["tag zone" if place[e] == "zone" else "tag told" if place[e] in ("told", "cited") else "tag link" if tag == "a" else "tag inline" if tag in INLINE and tag != "br" else "tag text" if tag in TEXT_TAGS else "tag frame"] += 1
     return out
 
 
+SHOWN = ("text", "link", "told", "cited")
+
+
 def block_text(block: Block, place: list[str]) -> str:
-    shown = "".join(text for text, e in block.pieces if place[e] in ("text", "link"))
+    shown = "".join(text for text, e in block.pieces if place[e] in SHOWN)
     return " ".join(html.unescape(shown).split())
 
 
@@ -236,6 +250,10 @@ def labelled_pages(count: int = TRAIN_PAGES, seed: int = SEED) -> list[tuple[str
         text = "".join(f"<p>{p}</p>" if rng.random() < 0.8 else f"<p><b>{p}<br>" for p in body)
         if rng.random() < 0.3:
             text = text.replace("</p>", "</p>" + f'<div class="{rng.choice(zones)}">{words(3, 30)}</div>', 1) if "</p>" in text else text
+        if outer in ("article", "main") and rng.random() < 0.4:  # sources, or a table of numbers
+            lines = [words(1, 3) if rng.random() < 0.5 else str(rng.randint(1, 9999)) for _ in range(rng.randint(3, 40))]
+            text += "<ul>" + "".join(f'<li><a href="/{word()}">{x}</a></li>' for x in lines) + "</ul>" if rng.random() < 0.5 else "<table>" + "".join(f"<tr><td>{x}</td></tr>" for x in lines) + "</table>"
+            body += lines
         page = "".join(frame(25) for _ in range(rng.randint(1, 4))) + f"<{outer}{name}><h1>{title}</h1>{text}</{outer}>" + "".join(frame(40) for _ in range(rng.randint(1, 4)))
         if rng.random() < 0.1:
             page = f"<form>{page}</form>"
@@ -266,8 +284,8 @@ def weights() -> tuple[dict[str, float], dict[str, float]]:
         place = places(elements, evidence)
         for b in blocks:
             (inside if block_text(b, place) in article else outside).update(kinds(b, elements, place))
-    w = {k: odds(k, inside, outside) for k in ("word text", "word link", "word zone", "tag text", "tag frame", "tag link", "tag zone", "tag inline")}
-    return evidence, {k: max(x, 0.1) if k == "word text" else min(x, -0.1) for k, x in w.items()}
+    w = {k: odds(k, inside, outside) for k in ("word text", "word link", "word told", "word cited", "word zone", "tag told", "tag text", "tag frame", "tag link", "tag zone", "tag inline")}
+    return evidence, {k: max(x, 0.1) if k in ("word text", "word told", "word cited") else min(x, -0.1) for k, x in w.items()}
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:

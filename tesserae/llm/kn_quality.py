@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from . import anchors as an
 from . import textscan as ts
-from .runtime import durable, ship_code, shuffle_partitions, table
+from .runtime import durable, shielded, ship_code, shuffle_partitions, table
 
 U = np.uint64
 MIN_COUNT = 20
@@ -490,10 +490,11 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rejected documents."""
-    gone = classify(docs, labels).where("not kept").select(F.col("__k").alias("__gone_k"), F.col("__fp").alias("__gone_fp")).distinct()
+    safe, back = shielded(docs, "doc_id", "text", "lang")
+    gone = classify(safe, labels).where("not kept").select(F.col("__k").alias("__gone_k"), F.col("__fp").alias("__gone_fp")).distinct()
     k, fp = _keys()
-    keyed = docs.withColumns({"__key": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), "__print": F.hash("text")})
-    return keyed.join(gone, (F.col("__key") == F.col("__gone_k")) & (F.col("__print") == F.col("__gone_fp")), "left_anti").select(*docs.columns)
+    keyed = safe.withColumns({"__key": k, "__print": fp})
+    return back(keyed.join(gone, (F.col("__key") == F.col("__gone_k")) & (F.col("__print") == F.col("__gone_fp")), "left_anti"))
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,8 +12,9 @@ With several shards each block meets one of them first, and the k-th best score
 goes to all shards, so that most vectors elsewhere fall behind at once.  The query set is stated; copies of it are all that
 grows with the number of shards.
 
-Vectors with components beyond 2**27 after scaling (their products may not fit a long) are scored by Python integers, against
-all others; scores are ranked exactly and returned as the nearest long.
+Sums of products have to fit a long, so the wider vectors are, the smaller their components have to be (``largest``; 2**27 at
+most after scaling); others are scored by Python integers, against all.  Scores are ranked exactly and returned as the nearest
+long.
 
 Defined cases: vectors that are null, or hold null or non-finite components, take no part; other columns, whatever their names, are not read; rows with a null id take no part; of rows that share an id
 the least vector counts; shorter vectors are filled up with zeros; equal scores go to the smaller id; with fewer than k
@@ -22,6 +23,8 @@ other vectors all are returned; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,7 +34,6 @@ from .runtime import durable, ship_code, shuffle_partitions, table
 
 K, SCALE, SHARD, BLOCK, PIECE = 10, 1024, 16_384, 512, 1024
 NO_FLOOR = -(1 << 63)
-LARGEST = 1 << 27
 _PACKED = pa.schema([("at", pa.int32()), ("ids", pa.binary()), ("dims", pa.int32()), ("values", pa.binary()), ("floors", pa.binary())])
 _PACKED_SQL = "at int, ids binary, dims int, values binary, floors binary"
 
@@ -93,8 +95,14 @@ class Shard:
         return best_at, best
 
 
+def largest(dims: int) -> int:
+    """Components with which no sum over the dimensions, of scores and of what is still to come, leaves a long: a score is
+    below dims * m * m, and gains are below twice that."""
+    return min(1 << 27, math.isqrt((1 << 61) // max(dims, 1)))
+
+
 def _usual(x: np.ndarray) -> np.ndarray:
-    return (np.abs(x) <= LARGEST).all(axis=1)
+    return (np.abs(x) <= largest(x.shape[1])).all(axis=1)
 
 
 def _whole(x: np.ndarray) -> np.ndarray:

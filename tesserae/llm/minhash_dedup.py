@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from . import textscan as ts
 from .components import components
-from .runtime import durable, ship_code, table
+from .runtime import durable, shielded, ship_code, table
 
 U = np.uint64
 SHINGLE, THRESHOLD = 5, 75  # words; percent
@@ -280,8 +280,9 @@ def _same_set(size: int):
 
 def keep_one(docs: DataFrame, threshold: int = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` without the near copies: the document with the smallest id of each component stays (and rows without id)."""
-    gone = near_duplicates(docs, threshold, shingle).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    safe, back = shielded(docs, "doc_id", "text")
+    gone = near_duplicates(safe, threshold, shingle).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    return back(safe.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti"))
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import ship
 
@@ -67,6 +69,13 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def shielded(docs: DataFrame, *read: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with its columns but those that are ``read`` under names that nothing else has, and what gives them back."""
+    names = {c: c if c in read else f"other{i}" for i, c in enumerate(docs.columns)}
+    safe = docs.toDF(*names.values())
+    return safe, lambda df: df.select(*[F.col(new).alias(old) for old, new in names.items()])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

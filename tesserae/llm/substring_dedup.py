@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from . import anchors as an
 from . import textscan as ts
-from .runtime import ship_code, table
+from .runtime import shielded, ship_code, table
 
 MIN_WORDS, SHORTEST = 50, 16
 HOT_RUNS = 1 << 30  # the second level deals single windows by their own hash, so no anchor is too common for it
@@ -157,18 +157,18 @@ def digest(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def remove(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the covered words cut out of ``text`` (texts without any stay byte for byte; in the others the kept
     words are joined by one space) and ``n_chars``, where there is such a column, counted anew."""
-    columns = docs.columns
+    safe, back = shielded(docs, "doc_id", "text", "n_chars")
 
     @F.pandas_udf(T.StringType())
     def kept(texts, spans):
         return texts.combine(spans, lambda t, s: t if s is None or t is None or (k := _cut(t, s, min_words)[0]) is None else " ".join(k))
 
-    out = with_spans(docs, min_words)
+    out = with_spans(safe, min_words)
     new = F.when(F.col("__spans").isNull(), F.col("__text")).otherwise(kept("__text", "__spans"))
     out = out.withColumn("text", new)
-    if "n_chars" in columns:
+    if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+    return back(out)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,3 +17,19 @@ def test_large_vectors_are_scored_exactly_and_infinite_ones_left_out(spark):
         want += [(a, k, b, min(max(-s, -(1 << 63)), (1 << 63) - 1)) for k, (s, b) in enumerate(best, 1)]
     got = maxscore.top_k(df, F.col("id") % 10 == 0).collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_wide_vectors_of_large_components_keep_their_order(spark):
+    """1,024 dimensions of 2**27: sums of products leave a long."""
+    rng = np.random.default_rng(4)
+    big = float(1 << 17)  # 2**27 after scaling
+    rows = [(i, [big * float(x) for x in rng.choice([-1.0, 1.0], 1024)]) for i in range(40)] + [(100, [big] * 1024), (101, [big] * 1024), (102, [big] * 1023 + [big / 2])]
+    got = maxscore.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("id") == 100).orderBy("rank").collect()
+    q = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows}
+    best = sorted((-sum(x * y for x, y in zip(q[100], q[b], strict=True)), b) for b in q if b != 100)[:10]
+    assert [r.vec_id for r in got] == [b for _, b in best] and [r.vec_id for r in got[:2]] == [101, 102]
+
+
+def test_the_bound_of_components_falls_with_the_dimensions():
+    for dims in (1, 64, 256, 1024, 1 << 20):
+        assert 3 * dims * maxscore.largest(dims) ** 2 < 1 << 63
