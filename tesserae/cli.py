@@ -85,7 +85,7 @@ def cmd_offsets(a, spark):
         n = tasks.pending(tasks.between(p.plan, t0, t1), p.offsets()).count()
         print(f"{n if a.limit is None else min(n, a.limit)} tasks would run")
         return
-    print(f"{p.compute(t0, t1, a.limit, a.slice, a.attempts)} tasks run")
+    print(f"{p.compute(t0, t1, a.limit, a.slice, a.attempts, a.concurrency, a.max_mb)} tasks run")
 
 
 def cmd_blend(a, spark):
@@ -100,7 +100,7 @@ def cmd_blend(a, spark):
         print(f"{p.coordinates(t0, t1).select('t').distinct().count()} timepoints can be placed")
         return
     pad = tuple(a.pad) if len(a.pad) == 3 else (0, a.pad[0], a.pad[0])
-    print(f"{p.blend(output, t0, t1, a.dtype, pad, tuple(a.chunk), a.skeleton, a.force, a.at_once, a.attempts, not a.no_log)} timepoints written")
+    print(f"{p.blend(output, t0, t1, a.dtype, pad, tuple(a.chunk), a.skeleton, a.force, a.at_once, a.attempts, not a.no_log, a.writers)} timepoints written")
     for r in p.timings if a.timings else ():
         print(f"t={tp.spans(r['t'])}: {r['seconds']:.2f} s; {r['chunks']} chunks, {r['read_s']:.2f} s of reading and {r['compose_s']:.2f} s of composing in tasks; driver at {r['driver_mb']:.0f} MB")
 
@@ -115,10 +115,11 @@ def cmd_inspect(a, spark):
     p = Project(spark, a.config, a.precision)
     rows = p.plan.where((F.col("kind") == "pair") & (F.col("t") == a.at)).join(p.offsets().select("key", "dz", "dy", "dx"), "key", "left").orderBy("a", "b").collect()
     if a.pair:
-        rows = [r for r in rows if {r.a, r.b} == set(a.pair)]
+        rows = [r for r in rows if {r.a, r.b} == set(a.pair if len(a.pair) > 1 else a.pair[0].split(","))]
     if not rows:
         known = p.pairs_at.where(F.col("t") == a.at).select("a", "b").distinct().orderBy("a", "b").collect()
-        raise Abort([f"no such pair at t={a.at}; there are " + (", ".join(f"{r.a}|{r.b}" for r in known) or "none")])
+        tiles = sorted({n for r in known for n in (r.a, r.b)})
+        raise Abort([f"no such pair at t={a.at}; tiles with neighbours: {', '.join(tiles) or 'none'}; pairs: " + (", ".join(f"{r.a}|{r.b}" for r in known) or "none")])
     for r in rows:
         if r.dz is None:
             raise MissingOffsets([r.what])
@@ -172,7 +173,9 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--limit", type=int)
     c.add_argument("--slice", type=int, default=64, help="timepoints that are appended to the log together")
     c.add_argument("--attempts", type=int, default=4)
-    flag(c, "--dry-run")
+    c.add_argument("--concurrency", type=int, help="tasks that work at once, at most")
+    c.add_argument("--max-mb", type=float, help="volumes and spectra that a task holds")
+    flag(c, "--dry-run", "--no-progress")
     c = command("blend", cmd_blend, True)
     c.add_argument("--output")
     c.add_argument("--dtype", default="uint16")
@@ -180,10 +183,11 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--chunk", nargs=3, type=int, default=[32, 512, 512])
     c.add_argument("--at-once", type=int, default=0, help="timepoints that a job writes, 0: all; then they are marked")
     c.add_argument("--attempts", type=int, default=4)
-    flag(c, "--skeleton", "--recreate", "--force", "--dry-run", "--no-log", "--timings")
+    c.add_argument("--writers", type=int, help="tasks that write at once, at most")
+    flag(c, "--no-progress", "--skeleton", "--recreate", "--force", "--dry-run", "--no-log", "--timings")
     c = command("inspect", cmd_inspect)
     c.add_argument("--at", type=int, required=True)
-    c.add_argument("--pair", nargs=2)
+    c.add_argument("--pair", nargs="+", metavar="TILE", help="two tiles in any order, or both with a comma between")
     c.add_argument("--out")
     flag(c, "--no-response")
     c = command("drift", cmd_drift, True)
@@ -197,7 +201,8 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     try:
-        args.run(args, spark or SparkSession.builder.appName("tesserae").getOrCreate())
+        progress = not getattr(args, "no_progress", False)
+        args.run(args, spark or SparkSession.builder.appName("tesserae").config("spark.ui.showConsoleProgress", str(progress).lower()).getOrCreate())
     except (Abort, FileNotFoundError, validate.ConfigError, store.CanvasMismatch, MissingOffsets) as e:
         print(e, file=sys.stderr)
         return 1

@@ -70,13 +70,13 @@ def chunk_refs(boxed: DataFrame, chunk: tuple[int, int, int]) -> DataFrame:
     return out
 
 
-def compose_chunks(boxed: DataFrame, volumes: DataFrame, edges: DataFrame, geometry: dict, chunk: tuple[int, int, int], dtype: str, shape: tuple[int, int, int], read=read_region) -> DataFrame:
+def compose_chunks(boxed: DataFrame, volumes: DataFrame, edges: DataFrame, geometry: dict, chunk: tuple[int, int, int], dtype: str, shape: tuple[int, int, int], read=read_region, at_most: int | None = None) -> DataFrame:
     """t, cz, cy, cx, shape, data of every chunk that a tile overlaps, and the seconds it took to read and to compose it.
 
     A chunk gathers references of the tiles that overlap it (few, by geometry), reads of each volume the part inside it
     alone, and is composed on its own: no voxel is shuffled.  Tasks are ranges of timepoints and chunks and go through them
     in their order.  ``boxed``: boxes, or rows of ``chunk_refs``; ``volumes(t, name, path, pos, local_t)``; ``shape``: the
-    tiles' size; ``read(path, pos, local_t, region)``.
+    tiles' size; ``read(path, pos, local_t, region)``; ``at_most``: so many tasks.
     """
     size = [geometry["shape"][i + 1] for i in range(3)]
     out = boxed if "cz" in boxed.columns else chunk_refs(boxed, chunk)
@@ -113,6 +113,7 @@ def compose_chunks(boxed: DataFrame, volumes: DataFrame, edges: DataFrame, geome
             yield pd.DataFrame(rows, columns=_COMPOSED)
 
     dealt = joined.repartitionByRange(*_CHUNK).sortWithinPartitions(*_CHUNK)
+    dealt = dealt.coalesce(at_most) if at_most else dealt
     return dealt.mapInPandas(run, "t int, cz int, cy int, cx int, shape array<int>, data binary, read_s double, compose_s double")
 
 

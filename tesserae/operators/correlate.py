@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels as k
+from ..sources.volumes import read_volume
+from .tasks import placed_tasks
 
 _OFFSET = "key string, dz int, dy int, dx int"
 _SCHEMA = pa.schema([("key", pa.string()), ("dz", pa.int32()), ("dy", pa.int32()), ("dx", pa.int32())])
@@ -69,17 +71,18 @@ class _Recent:
         return self.held[args]
 
 
-def correlate_stored(tasks: DataFrame, paths: dict[str, str], nz: int, crop, realign_crop, shift_px: int, precision: str = "float32", span: int = 32, keep: int = 4) -> DataFrame:
+def correlate_stored(tasks: DataFrame, paths: dict[str, str], nz: int, crop, realign_crop, shift_px: int, precision: str = "float32", span: int = 32, keep: int = 4, blocks: DataFrame | None = None, read=read_volume, at_most: int | None = None) -> DataFrame:
     """key, kind, what, dz, dy, dx of tasks by reference: voxels are read where they are needed and never shuffled.
 
-    Tasks are dealt by tile and ``span`` local timepoints and worked on in the order of time, so the volume and the spectrum
-    of one step serve the next one; ``keep`` of each are held.  ``paths``: the file of each file key.
+    With ``blocks(name, block)`` (``tasks.tile_blocks``) tasks are dealt by blocks of neighbouring tiles and ``span``
+    timepoints, else by tile; they are worked on in the order of time, so a volume and its spectra serve all tasks of their
+    block.  ``keep`` of each are held: with as many as a block's tiles, and those around it, at two timepoints, a volume is
+    read once for each block that it belongs to or borders on.  ``paths``: the file of each file key; ``at_most``: so many tasks.
     """
     from ..sources.config import free_axis
-    from ..sources.volumes import read_volume
 
     def run(it):
-        volume = _Recent(lambda file, pos, t: read_volume(paths[file], pos, t, nz), keep)
+        volume = _Recent(lambda file, pos, t: read(paths[file], pos, t, nz), keep)
 
         def strip(file, pos, t, region, axis, side):
             cut = volume(file, pos, t)[tuple(slice(*s) for s in region)]
@@ -102,7 +105,12 @@ def correlate_stored(tasks: DataFrame, paths: dict[str, str], nz: int, crop, rea
                 out.append((r.key, r.kind, r.what, *off))
             yield pd.DataFrame(out, columns=["key", "kind", "what", "dz", "dy", "dx"])
 
-    where = [F.col("src_file"), F.col("src_pos"), F.floor(F.col("src_local_t") / span)]
-    dealt = tasks.repartition(*where).sortWithinPartitions("src_file", "src_pos", "src_local_t", "kind_rank", "axis", "b")
+    if blocks is None:
+        where = [F.col("src_file"), F.col("src_pos"), F.floor(F.col("src_local_t") / span)]
+        dealt = tasks.repartition(*where).sortWithinPartitions("src_file", "src_pos", "src_local_t", "kind_rank", "axis", "b")
+    else:
+        dealt = placed_tasks(tasks, blocks, span).repartition("block", "span").sortWithinPartitions("block", "span", "t", "kind_rank", "a", "axis", "b")
+    if at_most:
+        dealt = dealt.coalesce(at_most)
     refs = [f"{p}_{c}" for p in ("src", "dst") for c in ("file", "pos", "local_t")]
     return dealt.select("key", "kind", "what", "axis", "realign", *refs).mapInPandas(run, _FOUND)

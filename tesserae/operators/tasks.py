@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import layout
+
 Bound = tuple[int | None, int | None]
 
 
@@ -118,6 +120,33 @@ def spectrum_uses(tasks: DataFrame) -> DataFrame:
     return tasks.select(F.explode(F.array(ref("src", "parent"), ref("dst", "child"))).alias("s")).groupBy("s.file", "s.pos", "s.local_t", "s.axis", "s.realign", "s.side").agg(F.count("*").alias("uses"))
 
 
+def tile_blocks(points: DataFrame, spacing: float, size: int) -> DataFrame:
+    """name, block: tiles in blocks of ``size`` along a Z-order curve over the grid of ``points(name, x_um, y_um)``, so that
+    most neighbours are in the same block."""
+    at = points.groupBy("name").agg(F.min("x_um").alias("x"), F.min("y_um").alias("y"))
+    low = at.agg(F.min("x").alias("x0"), F.min("y").alias("y0"))  # one row
+    cell = lambda c: F.floor((F.col(c) - F.col(f"{c}0")) / spacing).cast("long")
+    spread = lambda c: F.conv(F.bin(cell(c)), 4, 10).cast("long")  # noqa: E731  binary digits read in base four
+    code = F.lpad((spread("x") + 2 * spread("y")).cast("string"), 20, "0")
+    ranked = layout.ranked(at.crossJoin(F.broadcast(low)).select("name", F.concat(code, F.lit(" "), F.col("name")).alias("code")), "code", "rank")
+    return ranked.select("name", F.floor(F.col("rank") / size).cast("int").alias("block"))
+
+
+def placed_tasks(tasks: DataFrame, blocks: DataFrame, span: int) -> DataFrame:
+    """Tasks with their block and ``span`` of timepoints: a pair that two blocks share goes to the earlier one, a drift to
+    that of its later timepoint."""
+    a, b = (blocks.select(F.col("name").alias(c), F.col("block").alias(f"block_{c}")) for c in ("a", "b"))
+    both = tasks.join(a, "a").join(b, "b", "left")
+    return both.withColumns({"block": F.least("block_a", "block_b"), "span": F.floor(F.col("t") / span).cast("int")}).drop("block_a", "block_b")
+
+
+def volume_readers(placed: DataFrame) -> DataFrame:
+    """How many blocks of tasks read each volume, and how many of their tasks use it."""
+    ref = lambda p: F.struct(*[F.col(f"{p}_{c}").alias(c) for c in ("file", "pos", "local_t")])
+    per = placed.select("block", "span", F.explode(F.array(ref("src"), ref("dst"))).alias("v")).groupBy("v", "block", "span").agg(F.count("*").alias("n"))
+    return per.groupBy("v").agg(F.count("*").alias("readers"), F.sum("n").alias("uses")).select("v.*", "readers", "uses")
+
+
 def status(tasks: DataFrame, done: DataFrame) -> DataFrame:
     """Per kind: tasks, cached, pending, percent, and the first pending timepoint."""
     known = done.select("key").distinct().withColumn("hit", F.lit(1))

@@ -133,8 +133,18 @@ ALL: dict[str, str] = {
     "pending_tasks": base("SELECT key, t, kind FROM tasks LEFT JOIN (SELECT DISTINCT key AS k FROM done) d ON d.k = key WHERE k IS NULL"),
     "status_summary": base("SELECT kind, count(*) AS n_tasks, count(d.key) AS n_cached, count(*) - count(d.key) AS n_pending, round(100.0::DOUBLE * count(d.key) / count(*), 1) AS percent, min(t) FILTER (WHERE d.key IS NULL) AS next_t FROM tasks LEFT JOIN (SELECT DISTINCT key FROM done) d USING (key) GROUP BY kind"),
     "memo_last_wins": "SELECT l_orderkey AS key, l_partkey % 5 - 2 AS dz, l_suppkey % 21 - 10 AS dy, CAST(l_linenumber % 21 - 10 AS BIGINT) AS dx FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1",
+    "offset_log": "SELECT CAST(l_orderkey AS VARCHAR) AS key, 'time' AS kind, 'line ' || l_linenumber AS what, CAST(l_partkey % 5 - 2 AS INTEGER) AS dz, CAST(l_suppkey % 21 - 10 AS INTEGER) AS dy, CAST(l_linenumber % 21 - 10 AS INTEGER) AS dx FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1",
+    "blend_keys": _rows(""", w AS (SELECT t, string_agg('["' || name || '",[' || CAST(z AS INTEGER) || ',' || CAST(y AS INTEGER) || ',' || CAST(x AS INTEGER) || ']]', ',' ORDER BY name) AS c FROM placed GROUP BY t)
+SELECT t, substr(sha256('{"coords":[' || c || '],"dtype":"uint16","origin":[0,-8,-8]}'), 1, 16) AS key FROM w"""),
     "memo_compact_count": "SELECT count(*) AS n_lines, count(DISTINCT l_orderkey) AS n_keys, count(*) - count(DISTINCT l_orderkey) AS n_superseded FROM lineitem",
     "phase_correlation_time": _correlation(4, "SELECT vec_id, z, y, x, v FROM vox WHERE vec_id + 1 IN (SELECT vec_id FROM e)", "SELECT vec_id - 1 AS vec_id, z, y, x, v FROM vox WHERE vec_id - 1 IN (SELECT vec_id FROM e)", 0),
+    "task_blocks": base("""
+, low AS (SELECT min(x) AS x0, min(y) AS y0 FROM pos), cell AS (SELECT name, CAST(floor((x - x0) / 55) AS BIGINT) AS gx, CAST(floor((y - y0) / 55) AS BIGINT) AS gy FROM pos, low),
+code AS (SELECT name, CAST(sum((((gx >> i) & 1) << (2 * i)) + (((gy >> i) & 1) << (2 * i + 1))) AS BIGINT) AS c FROM cell, (SELECT unnest(range(20)) AS i) GROUP BY name),
+block AS MATERIALIZED (SELECT name, (row_number() OVER (ORDER BY c, name) - 1) // 4 AS block FROM code),
+p AS (SELECT t // 8 AS span, least(x.block, y.block) AS block, sf, sp, sl, df, dp, dl FROM tasks JOIN block x ON x.name = a LEFT JOIN block y ON y.name = b),
+v AS (SELECT block, span, sf AS file, sp AS pos, sl AS local_t FROM p UNION ALL SELECT block, span, df, dp, dl FROM p)
+SELECT file, pos, local_t, count(*) AS readers, CAST(sum(n) AS BIGINT) AS uses FROM (SELECT file, pos, local_t, block, span, count(*) AS n FROM v GROUP BY ALL) GROUP BY ALL"""),
     "phase_correlation_pair_shift": _correlation(2, "SELECT vec_id, z, y, x - 2 AS x, v FROM vox WHERE x >= 2 AND vec_id + 1 IN (SELECT vec_id FROM e)", "SELECT vec_id - 1 AS vec_id, z, y, x, v FROM vox WHERE x < 2 AND vec_id - 1 IN (SELECT vec_id FROM e)", 2),
     "overlap_trim": f"WITH {_VOXELS} SELECT vec_id, 'parent' AS side, z, y, x - 1 AS x, v FROM vox WHERE x >= 1 UNION ALL SELECT vec_id, 'child', z, y, x, v FROM vox WHERE x < 3",
     "max_projection": f"WITH {_VOXELS} SELECT vec_id, y, x, max(v) AS v FROM vox GROUP BY ALL",
@@ -202,3 +212,4 @@ UNION ALL SELECT 'unanchored and dropped', d.name || '@' || d.t FROM ovr d JOIN
 UNION ALL SELECT 'realign at the first timepoint', name || '@' || t FROM ovr WHERE verb = 'realign' AND t = 0
 UNION ALL SELECT DISTINCT 'reference removed without replacement', name || '@' || t FROM ovr WHERE verb IN ('drop', 'unanchor') AND name IN (SELECT name FROM refs) AND t NOT IN (SELECT t FROM ovr WHERE verb = 'anchor')"""),
 }
+ALL["phase_correlation_pencils"] = ALL["phase_correlation_time"]

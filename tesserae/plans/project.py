@@ -18,6 +18,11 @@ from ..sources import store
 from ..sources.ship import ship_code
 
 
+#: Tiles that a task of correlation works on together; it holds volumes of four times as many, its own and those around them at
+#: two timepoints.
+BLOCK = 4
+
+
 class MissingOffsets(RuntimeError):
     def __init__(self, what: list[str], hint: str = ""):
         shown = "; ".join(what[:10]) + ("; ..." if len(what) > 10 else "")
@@ -127,21 +132,27 @@ class Project:
         return store.read_offsets(self.spark, self.work.offsets)
 
     # --- work ----------------------------------------------------------------------------------------------
-    def compute(self, t0: int = 0, t1: int | None = None, limit: int | None = None, slice_t: int = 64, attempts: int = 4) -> int:
+    def compute(self, t0: int = 0, t1: int | None = None, limit: int | None = None, slice_t: int = 64, attempts: int = 4, at_most: int | None = None, max_mb: float | None = None) -> int:
         """Correlates what is pending in [t0, t1) and appends to the log, in slices of timepoints, so that a crash loses one
-        slice at most; returns how many tasks ran."""
+        slice at most; returns how many tasks ran.  ``at_most`` Spark tasks work at once, and each holds volumes and spectra
+        of ``max_mb`` (two of each at least)."""
+        keep = 4 * BLOCK
+        if max_mb is not None:
+            voxels = self.nz * self.ny * self.nx
+            keep = max(2, int(max_mb * 1e6 // (voxels * (2 + (8 if self.precision == "float32" else 16) / 2))))  # half a spectrum
         todo = tasks.between(self.plan, t0, self.nt if t1 is None else t1)
         paths = {k: h.path for h, k in zip(self.headers, self.keys, strict=True)}
         waiting = tasks.pending(todo, self.offsets())
         if limit is not None:
             waiting = waiting.orderBy(*tasks.ORDER).limit(limit)
         waiting = waiting.dropDuplicates(["key"]).persist()
+        blocks = coords.durable(tasks.tile_blocks(self.points, self.cfg.grid_spacing, BLOCK))
         try:
             slices = [r["s"] for r in waiting.select(F.floor(F.col("t") / slice_t).alias("s")).distinct().orderBy("s").collect()]
             n = 0
             for s in slices:  # nothing is read for slices without tasks
                 part = waiting.where(F.floor(F.col("t") / slice_t) == s)
-                found = correlate.correlate_stored(part, paths, self.nz, *(cf.clamp_z(x, self.nz) for x in (self.cfg.slices, self.cfg.realignment_slices)), self.shift, self.precision)
+                found = correlate.correlate_stored(part, paths, self.nz, *(cf.clamp_z(x, self.nz) for x in (self.cfg.slices, self.cfg.realignment_slices)), self.shift, self.precision, keep=keep, blocks=blocks, at_most=at_most)
                 n += store.patiently(lambda found=found: store.append_offsets(found, self.work.offsets), attempts)
             return n
         finally:
@@ -159,13 +170,13 @@ class Project:
             raise MissingOffsets(lost, f"compute the offsets of {t0}..{t1} first (drifts also need every step from t=0)")
         return placed.where((F.col("t") >= t0) & F.col("placed"))
 
-    def blend(self, output: str | Path | None = None, t0: int = 0, t1: int | None = None, dtype: str = "uint16", pad=(0, 0, 0), chunk=(32, 512, 512), skeleton: bool = False, force: bool = False, at_once: int = 1, attempts: int = 4, log: bool = True) -> int:
+    def blend(self, output: str | Path | None = None, t0: int = 0, t1: int | None = None, dtype: str = "uint16", pad=(0, 0, 0), chunk=(32, 512, 512), skeleton: bool = False, force: bool = False, at_once: int = 1, attempts: int = 4, log: bool = True, at_most: int | None = None) -> int:
         """Writes the chunks of timepoints that are not written with their present coordinates; returns their number.
 
         One job writes ``at_once`` timepoints, 0: all of them, which are then marked in the log.  Chunks lie in the frame of
         their timepoint's key, and a job composes only chunks that are not in their frame; so of a job that broke off, what
         its ended tasks wrote counts.  Frames of earlier keys go after the mark.  Without ``log`` all timepoints are written
-        and none is marked.  ``timings`` has a row for each job: seconds in all, and of its tasks' reading and composing.
+        and none is marked.  ``at_most`` tasks write at once.  ``timings`` has a row for each job: seconds in all, and of its tasks' reading and composing.
         """
         output = Path(output) if output else self.work.canvas
         marks = f"{output}.log.jsonl"
@@ -202,7 +213,7 @@ class Project:
                 frames = {t: canvas.frame_name(key, chunk) for t, key in some}
                 at = self.spark.createDataFrame(list(frames.items()), "t int, frame string")
                 open_ = canvas.chunk_refs(boxed, chunk).join(at, "t").join(canvas.written(self.spark, str(output)), ["t", "frame", "cz", "cy", "cx"], "left_anti").drop("frame")
-                chunks = canvas.compose_chunks(open_, volumes, edges, geometry, chunk, dtype, self.shape).join(F.broadcast(at), "t")  # a short row per timepoint of the job
+                chunks = canvas.compose_chunks(open_, volumes, edges, geometry, chunk, dtype, self.shape, **({"at_most": at_most} if at_most else {})).join(F.broadcast(at), "t")  # a short row per timepoint of the job
                 chunks = chunks.observe(seen, F.count(F.lit(1)).alias("chunks"), F.coalesce(F.sum("read_s"), F.lit(0.0)).alias("read_s"), F.coalesce(F.sum("compose_s"), F.lit(0.0)).alias("compose_s")).drop("read_s", "compose_s")
                 store.patiently(lambda chunks=chunks: canvas.write_chunks(chunks, str(output)), attempts)
                 if log:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import canvas, coords, correlate, drift, graph, layout, scan, tasks, validate
+from ..operators import canvas, coords, correlate, drift, graph, layout, pencil, scan, tasks, validate
 from ..sources import store, volumes
+from ..sources.shared import shared_folder
 from .acquisition import ERROR, SHAPE, SPACING, VOLUME, Acquisition
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,6 +158,25 @@ def memo_compact_count(a):
     return log.agg(F.count("*").alias("n_lines"), F.count_distinct("key").alias("n_keys")).withColumn("n_superseded", F.col("n_lines") - F.col("n_keys"))
 
 
+@query
+def offset_log(a):
+    """The result log after three appends, each of what is then the last row of its keys."""
+    log, seq = _log(a)
+    path = f"{shared_folder(a.spark)}/offsets-{uuid.uuid4().hex}.jsonl"
+    d = lambda c, m: (F.col(c) % m - m // 2).cast("int")
+    line = F.col("l_linenumber")
+    for some in (line < 3, (line >= 3) & (line < 5), line >= 5):
+        last = tasks.last_wins(log.where(some), "key", seq)
+        store.append_offsets(last.select(F.col("key").cast("string").alias("key"), F.lit("time").alias("kind"), F.concat(F.lit("line "), line.cast("string")).alias("what"), d("l_partkey", 5).alias("dz"), d("l_suppkey", 21).alias("dy"), d("l_linenumber", 21).alias("dx")), path)
+    return store.read_offsets(a.spark, path)
+
+
+@query
+def blend_keys(a):
+    """Digest of the frame and the coordinates of each timepoint."""
+    return store.blend_keys(a.placed, (0, -8, -8), "uint16")
+
+
 def _vectors(a):
     """Vectors as volumes of ``VOLUME``; one of another size raises."""
     n = VOLUME[0] * VOLUME[1] * VOLUME[2]
@@ -187,6 +208,23 @@ def _voxels(a):
     return _vectors(a).select("vec_id", F.posexplode("embedding").alias("i", "v")).select("vec_id", F.floor(F.col("i") / 16).cast("int").alias("z"), (F.floor(F.col("i") / 4) % 4).cast("int").alias("y"), (F.col("i") % 4).alias("x"), F.col("v").cast("double").alias("v"))
 
 
+@query
+def phase_correlation_pencils(a):
+    """The same by planes and pencils, for volumes that no worker holds."""
+    e = _vectors(a)
+    n = VOLUME[1] * VOLUME[2]
+    planes = F.transform(F.sequence(F.lit(0), F.lit(VOLUME[0] - 1)), lambda z: F.slice("embedding", z * n + 1, F.lit(n)).cast("array<double>"))
+    ids = e.select("vec_id")
+    side = lambda k: e.join(ids.select((F.col("vec_id") + (1 if k else -1)).alias("vec_id")), "vec_id", "left_semi").select((F.col("vec_id") - k).alias("key"), F.lit(k).alias("side"), F.posexplode(planes).alias("z", "voxels"))
+    return _found(pencil.offsets(side(0).union(side(1)), VOLUME, rows=2))
+
+
+@query
+def task_blocks(a):
+    """Blocks of four tiles and eight timepoints that read each volume."""
+    return tasks.volume_readers(tasks.placed_tasks(a.plan, tasks.tile_blocks(a.points, SPACING, 4), 8))
+
+
 @query
 def overlap_trim(a):
     return correlate.strips(_vectors(a).select("vec_id", F.col("embedding").alias("img")), VOLUME, 2, 1)

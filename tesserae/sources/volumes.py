@@ -3,7 +3,7 @@
 ``spark.read.format("volumes").load("folder")`` reads every stack ``X`` of a folder that has a header ``X.json``; a list of
 paths, separated by commas, names stacks or folders.  A stack holds frames in the order time, position, plane (or position,
 plane without a time axis), and its header their numbers, ``nt``, ``nz``, ``ny``, ``nx``, ``position_names``, ``dtype``, and
-``absent`` (time, position) pairs that were never taken.  Rows are ``file, pos, local_t, shape, stored, data``.
+``absent`` (time, position) pairs that were never taken; a vendor's file has its own.  Rows are ``file, pos, local_t, shape, stored, data``.
 
 Filters on file, pos and local_t (equality, membership, comparisons, beginnings of names) are worked out before anything is
 read: stacks that do not match are not opened, and of the others only the matching volumes are read, by their byte ranges.
@@ -17,6 +17,7 @@ import json
 import operator
 import uuid
 from collections.abc import Iterator
+from dataclasses import asdict
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +30,14 @@ from . import files
 SCHEMA = "file string, pos int, local_t int, shape array<int>, stored string, data binary"
 _ARROW = {"file": pa.string(), "pos": pa.int32(), "local_t": pa.int32(), "shape": pa.list_(pa.int32()), "stored": pa.string(), "data": pa.binary()}
 BATCH_BYTES = 8 << 20
+VENDOR = ".nd2"
 
 
 def read_header(path: str) -> dict:
+    if path.endswith(VENDOR) and not files.exists(f"{path}.json"):
+        from .headers import read_nd2
+
+        return asdict(read_nd2(path))
     return json.loads(files.read_text(f"{path}.json"))
 
 
@@ -70,15 +76,35 @@ class Stack:
         return np.stack(planes) if planes else np.zeros((0, y1 - y0, x1 - x0), self.dtype)
 
 
+class VendorStack(Stack):
+    """The same of a vendor's file, whose frames come through its library, if that is installed."""
+
+    def __init__(self, path: str, header: dict | None = None):
+        import nd2
+
+        self.file = nd2.ND2File(path)
+        n = self.file.sizes
+        self.positions, self.nz, self.ny, self.nx, self.dtype = n.get("P", 1), n["Z"], n["Y"], n["X"], np.dtype(self.file.dtype)
+
+    def _read(self, frame: int, row: int, n: int) -> bytes:
+        """Rows of one frame, or whole frames from it on."""
+        frames = [np.asarray(self.file.read_frame(frame + k)) for k in range(-(-(row + n) // self.ny))]
+        return np.ascontiguousarray(np.concatenate(frames)[row : row + n], dtype=self.dtype).tobytes()
+
+
+def open_stack(path: str, header: dict | None = None) -> Stack:
+    return VendorStack(path, header) if path.endswith(VENDOR) else Stack(path, header)
+
+
 def read_volume(path: str, pos: int, t: int, nz: int | None = None) -> np.ndarray:
     """``nz`` consecutive frames of a position and timepoint."""
-    with Stack(path) as s:
+    with open_stack(path) as s:
         depth = s.nz if nz is None else min(nz, s.nz)
         return np.frombuffer(s.volume(pos, t, depth), s.dtype).reshape(depth, s.ny, s.nx)
 
 
 def read_region(path: str, pos: int, t: int, region) -> np.ndarray:
-    with Stack(path) as s:
+    with open_stack(path) as s:
         return s.region(pos, t, region)
 
 
@@ -126,7 +152,8 @@ class Reader(DataSourceReader):
             if not files.is_folder(path):
                 yield path
                 continue
-            yield from (f"{path.rstrip('/')}/{n.removesuffix('.json')}" for n in files.names(path) if n.endswith(".json"))
+            found = files.names(path)
+            yield from (f"{path.rstrip('/')}/{n}" for n in found if f"{n}.json" in found or n.endswith(VENDOR))
 
     def partitions(self) -> list[Piece]:
         out, runs, room = [], [], self.size
@@ -159,7 +186,7 @@ class Reader(DataSourceReader):
                     if opened != path:
                         if stack:
                             stack.file.close()
-                        stack, opened = Stack(path, h), path
+                        stack, opened = open_stack(path, h), path
                     row["data"] = stack.volume(pos, t, depth)
                     size += len(row["data"])
                 rows.append(row)
