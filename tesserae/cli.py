@@ -105,10 +105,15 @@ def cmd_blend(a, spark):
         print(f"t={tp.spans(r['t'])}: {r['seconds']:.2f} s; {r['chunks']} chunks, {r['read_s']:.2f} s of reading and {r['compose_s']:.2f} s of composing in tasks; driver at {r['driver_mb']:.0f} MB")
 
 
-def _volume(p: Project, name: str, t: int):
+def _ref(p: Project, name: str, t: int) -> tuple[str, int, int]:
+    """Path, position and local time of a tile's volume."""
     f = max(i for i in range(len(p.nts)) if sum(p.nts[:i]) <= t)
     pos = next(x for n, i, x in p._tile_file if n == name and i == f)
-    return read_volume(p.headers[f].path, pos, t - sum(p.nts[:f]), p.nz)
+    return p.headers[f].path, pos, t - sum(p.nts[:f])
+
+
+def _volume(p: Project, name: str, t: int):
+    return read_volume(*_ref(p, name, t), p.nz)
 
 
 def cmd_inspect(a, spark):
@@ -136,8 +141,8 @@ def cmd_drift(a, spark):
     if not rows:
         raise Abort([f"'{a.tile}' never drifts in t={t0}..{t1 - 1}"])
     steps = [(r.t, (r.dz, r.dy, r.dx), r.realign) for r in rows]
-    frames = [_volume(p, a.tile, rows[0].t - 1), *(_volume(p, a.tile, r.t) for r in rows)]
-    table = inspection.drift(frames, steps, Path(a.out or p.work.root / "drift" / a.tile), a.size, a.full)
+    refs = [(t, *_ref(p, a.tile, t)) for t in (rows[0].t - 1, *(r.t for r in rows))]
+    table = inspection.drift(spark, refs, steps, p.nz, Path(a.out or p.work.root / "drift" / a.tile), a.size, a.full)
     sizes = [r["magnitude"] for r in table]
     med = statistics.median(sizes)
     far = [r for r in table if r["magnitude"] > max(3 * med, med + 5)]

@@ -26,13 +26,18 @@ def path_sum(nodes: DataFrame) -> DataFrame:
 
     A root has no parent (``pt`` null) and lies at zero; any other node lies at its parent plus its own offset.  Null
     offsets, and parents that are not there, leave a node and all below it unplaced.  Pointers double in every round, so
-    there are as many joins as the logarithm of the longest chain.
+    there are as many joins as the logarithm of the longest chain; links that run in a circle raise.
     """
     own = {c: F.when(F.col("pt").isNull(), F.lit(0.0)).otherwise(F.col(f"d{c}").cast("double")) for c in ZYX}
     # a chain is open while it has a parent; it is dead once a link lacks its offset or its parent
     open_ = nodes.select("t", "name", "pt", "pname", *[e.alias(c) for c, e in own.items()], (F.col("pt").isNotNull() & F.col("dz").isNull()).alias("dead"))
     open_ = durable(open_)
+    rounds = open_.count().bit_length() + 1
     while True:
+        if not rounds:
+            some = open_.where("pt is not null and not dead").first()
+            raise ValueError(f"the route of {some['name']} at t={some['t']} runs in a circle")
+        rounds -= 1
         up = open_.select(F.col("t").alias("pt"), F.col("name").alias("pname"), F.col("pt").alias("gt"), F.col("pname").alias("gname"), *[F.col(c).alias(f"p{c}") for c in ZYX], F.col("dead").alias("pdead"), F.lit(True).alias("there"))
         joined = open_.join(up, ["pt", "pname"], "left")
         stop = F.col("pt").isNull() | F.col("dead")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators.tasks import last_wins
+from ..sources import files
 
 SCHEMA = "key string, kind string, seq long, dz int, dy int, dx int"
 
@@ -22,12 +23,16 @@ def first_seen(rows: DataFrame) -> DataFrame:
 
 
 def keep_last(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Merges each batch into the table at ``target``.x, one version per batch; a batch that runs again writes the same."""
+    """Merges each batch into the table at ``target``/n, a version per batch; a batch that runs again writes the same.  The last
+    two versions stay, as readers may still be at the one before.  A batch rewrites the whole table: for tables beyond what
+    that is worth, a ledger by partitions (``jobs/note_ledger.py``) touches only those of its rows.
+    """
 
     def merge(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
         if n:
             batch = spark.read.parquet(f"{target}/{n - 1}").unionByName(batch)
         last_wins(batch, "key", ["seq"]).write.mode("overwrite").parquet(f"{target}/{n}")
+        files.remove(f"{target}/{n - 2}")
 
     return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
