@@ -34,6 +34,23 @@ def offsets(tasks: DataFrame, shape: tuple[int, int, int], precision: str = "flo
     return tasks.select("key", "src", "dst", "axis", "shift_px").mapInArrow(run, _OFFSET)
 
 
+_VOXEL = pa.schema([("key", pa.string()), ("z", pa.int32()), ("y", pa.int32()), ("x", pa.int32()), ("v", pa.float64())])
+
+
+def responses(tasks: DataFrame, shape: tuple[int, int, int], precision: str = "float64") -> DataFrame:
+    """key, z, y, x, v: the response surface of ``tasks(key, src, dst)``, with no displacement in the middle."""
+    n = shape[0] * shape[1] * shape[2]
+    at = [pa.array(x, pa.int32()) for x in np.unravel_index(np.arange(n), shape)]
+
+    def run(it):
+        for b in it:
+            for key, src, dst in zip(*(b.column(c).to_pylist() for c in ("key", "src", "dst")), strict=True):
+                v = k.response_surface(*(np.asarray(x, dtype=precision).reshape(shape) for x in (src, dst)), precision)
+                yield pa.RecordBatch.from_arrays([pa.array([key] * n), *at, pa.array(v.ravel().astype(float))], schema=_VOXEL)
+
+    return tasks.select("key", "src", "dst").mapInArrow(run, "key string, z int, y int, x int, v double")
+
+
 def strips(images: DataFrame, shape: tuple[int, int, int], axis: int, shift: int) -> DataFrame:
     """vec_id, side, z, y, x, v of both strips of each image (vec_id, img), as a parent and as a child of a neighbour."""
 

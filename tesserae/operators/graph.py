@@ -58,6 +58,13 @@ def steps(tops: DataFrame, placed: DataFrame) -> DataFrame:
     return tops.select("t", "topology").join(placed.select("topology", F.explode("steps").alias("s")), "topology").select("t", "s.ord", "s.tile", "s.kind", "s.via", "s.axis")
 
 
+def labelled(found: DataFrame) -> DataFrame:
+    """``found`` (rows of ``steps``) with a ``label``: how the tile gets its place."""
+    axis = F.when(F.col("axis") == 1, tp.AXIS[1]).otherwise(tp.AXIS[2])
+    pair = F.concat(axis, F.lit(" neighbour of "), F.col("via"))
+    return found.withColumn("label", F.when(F.col("kind") == tp.ORIGIN, "origin").when(F.col("kind") == tp.DRIFT, "own place at t-1").otherwise(pair))
+
+
 def flags(tops: DataFrame, placed: DataFrame) -> DataFrame:
     """t, n_steps, n_redundant, n_unplaced, n_over_anchored"""
     return tops.select("t", "topology").join(placed, "topology").select("t", *[F.size(c).cast("long").alias(f"n_{c}") for c in ("steps", "redundant", "unplaced", "over_anchored")])

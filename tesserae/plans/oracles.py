@@ -116,6 +116,9 @@ ALL: dict[str, str] = {
     "alive_mask": base("SELECT t, name FROM alive"),
     "anchor_mask_overrides": base("SELECT t, name, file_i FROM state WHERE anchor"),
     "override_lookup": base("SELECT t, verb, string_agg(name, ',' ORDER BY name) AS names FROM ovr GROUP BY t, verb"),
+    "tile_files": base("SELECT name, file_i, key AS pos_i FROM pos, files, nf WHERE file_i >= start_file AND file_i < coalesce(end_file, n)"),
+    "show_tasks": base("SELECT what, CASE WHEN d.key IS NOT NULL THEN CAST('0x' || substr(tasks.key, 5, 1) AS INTEGER) - 8 END AS dz, CASE WHEN d.key IS NOT NULL THEN CAST('0x' || substr(tasks.key, 6, 1) AS INTEGER) - 8 END AS dy, CASE WHEN d.key IS NOT NULL THEN CAST('0x' || substr(tasks.key, 7, 1) AS INTEGER) - 8 END AS dx FROM tasks LEFT JOIN (SELECT DISTINCT key FROM done) d USING (key) WHERE t = 100"),
+    "step_labels": _rows("SELECT t, tile, CASE kind WHEN 'origin' THEN 'origin' WHEN 'drift' THEN 'own place at t-1' ELSE 'x neighbour of ' || via END AS label FROM step"),
     "frame_index": base("SELECT t, name, file, pos, local_t FROM vols"),
     "neighbour_pairs": base("SELECT * FROM pairs"),
     "neighbour_pairs_flipped": base("SELECT b AS a, a AS b, axis FROM pairs"),
@@ -213,3 +216,10 @@ UNION ALL SELECT 'realign at the first timepoint', name || '@' || t FROM ovr WHE
 UNION ALL SELECT DISTINCT 'reference removed without replacement', name || '@' || t FROM ovr WHERE verb IN ('drop', 'unanchor') AND name IN (SELECT name FROM refs) AND t NOT IN (SELECT t FROM ovr WHERE verb = 'anchor')"""),
 }
 ALL["phase_correlation_pencils"] = ALL["phase_correlation_time"]
+ALL["canvas_resumed"] = ALL["blend_chunks"]
+_IN_STACKS = "SELECT vec_id{by} AS vec_id, z, y, x, floor(abs(v) * 1000) % 65536 AS v FROM vox WHERE {where} IN (SELECT vec_id FROM e)"
+ALL["stored_offsets"] = _correlation(4, _IN_STACKS.format(by="", where="vec_id % 64 < 56 AND vec_id + 8"), _IN_STACKS.format(by=" - 8", where="vec_id % 64 >= 8 AND vec_id - 8"), 0)
+# whole numbers can add up to a zero coefficient, with which the response is undefined and its first place counts
+_WITH, _, _SELECT = ALL["stored_offsets"].rpartition("\nSELECT ")
+ALL["stored_offsets"] = f"{_WITH}, o AS (SELECT {_SELECT}), z AS (SELECT DISTINCT vec_id FROM m WHERE abs(re) + abs(im) < 1e-6)\nSELECT vec_id, " + ", ".join(f"CAST(CASE WHEN vec_id IN (SELECT vec_id FROM z) THEN 0 ELSE {c} END AS INTEGER) AS {c}" for c in ("dz", "dy", "dx")) + " FROM o"
+ALL["response_surfaces"] = ALL["phase_correlation_time"].partition(",\np AS")[0] + "\nSELECT vec_id, CAST((s // 16 + 2) % 4 AS INTEGER) AS z, CAST((s // 4 + 2) % 4 AS INTEGER) AS y, CAST((s + 2) % 4 AS INTEGER) AS x, round(v / 64, 6) + 0.0 AS v FROM r"

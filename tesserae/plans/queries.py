@@ -59,6 +59,11 @@ def override_lookup(a):
     return a.overrides.groupBy("t", "verb").agg(F.concat_ws(",", F.sort_array(F.collect_set("name"))).alias("names"))
 
 
+@query
+def tile_files(a):
+    return a.tile_file
+
+
 @query
 def frame_index(a):
     return a.refs.select("t", "name", "file", "pos", "local_t")
@@ -134,6 +139,13 @@ def pending_tasks(a):
     return tasks.pending(a.plan, a.done).select("key", "t", "kind")
 
 
+@query
+def show_tasks(a):
+    """The tasks of one timepoint with their offsets, where there are any."""
+    part = lambda k: (F.conv(F.substring("key", k, 1), 16, 10).cast("int") - 8)
+    return tasks.show(a.plan, a.done.select("key", part(5).alias("dz"), part(6).alias("dy"), part(7).alias("dx")), 100)
+
+
 @query
 def status_summary(a):
     return tasks.status(a.plan, a.done)
@@ -208,6 +220,34 @@ def _voxels(a):
     return _vectors(a).select("vec_id", F.posexplode("embedding").alias("i", "v")).select("vec_id", F.floor(F.col("i") / 16).cast("int").alias("z"), (F.floor(F.col("i") / 4) % 4).cast("int").alias("y"), (F.col("i") % 4).alias("x"), F.col("v").cast("double").alias("v"))
 
 
+@query
+def response_surfaces(a):
+    found = correlate.responses(_vector_tasks(a, 0, 0), VOLUME)
+    return found.select(F.col("key").cast("long").alias("vec_id"), "z", "y", "x", (F.round("v", 6) + 0.0).alias("v"))
+
+
+class _Itself(dict):
+    """A stack's key is its path."""
+
+    def __missing__(self, key):
+        return key
+
+
+@query
+def stored_offsets(a):
+    """Drifts between stored volumes of one position, by reference: headers tell the tasks, workers read the voxels."""
+    volumes.register(a.spark)
+    later = a.spark.read.format("volumes").schema("file string, pos int, local_t int").load(a.stacks).where("local_t >= 1")
+    before = F.col("local_t") - 1
+    block = F.element_at(F.split(F.element_at(F.split("file", "/"), -1), "_"), -1).cast("long")
+    key = (block * 64 + before * 8 + F.col("pos")).cast("string")
+    there = later.union(later.select("file", "pos", before)).distinct()  # an absent volume is no reference
+    both = later.join(there.select("file", "pos", (F.col("local_t") + 1).alias("local_t")), ["file", "pos", "local_t"], "left_semi")
+    work = both.select(key.alias("key"), F.lit("time").alias("kind"), F.lit(0).alias("kind_rank"), F.concat(F.lit("time "), "file").alias("what"), F.lit(0).alias("axis"), F.lit(False).alias("realign"), F.lit("").alias("b"), *[c.alias(f"{p}_{n}") for p, t in (("src", before), ("dst", F.col("local_t"))) for n, c in (("file", F.col("file")), ("pos", F.col("pos")), ("local_t", t))])
+    full = ((None, None),) * 3
+    return _found(correlate.correlate_stored(work, _Itself(), VOLUME[0], full, full, 0, "float64"))
+
+
 @query
 def phase_correlation_pencils(a):
     """The same by planes and pencils, for volumes that no worker holds."""
@@ -261,6 +301,11 @@ def placement_steps(a):
     return a.row_steps.select("t", "tile", "kind", "via", "axis")
 
 
+@query
+def step_labels(a):
+    return graph.labelled(a.row_steps).select("t", "tile", "label")
+
+
 @query
 def placement_flags_cyclic(a):
     tops = graph.topologies(a.state, a.pairs_at)
@@ -400,13 +445,35 @@ def _changes(it):
 @query
 def blend_chunks(a):
     """Sum and count of composed voxels by chunk of two planes, as the canvas holds them; voxels come from stored stacks."""
+    boxed, volumes_, edges = _two_vectors(a)
+    return canvas.compose_chunks(boxed, volumes_, edges, *_TWO).mapInPandas(_chunk_sums, _SUMS)
+
+
+@query
+def canvas_resumed(a):
+    """The same from a canvas that was written in two goes: the second composes what is not there yet."""
+    boxed, volumes_, edges = _two_vectors(a)
+    path = f"{shared_folder(a.spark)}/canvas-{uuid.uuid4().hex}"
+    refs = canvas.chunk_refs(boxed, _TWO[1]).withColumn("frame", F.lit(canvas.frame_name("k", _TWO[1])))
+    for part in (refs.where((F.col("cz") + F.col("t")) % 3 == 0), refs):
+        open_ = part.join(canvas.written(a.spark, path), ["t", "frame", "cz", "cy", "cx"], "left_anti").drop("frame")
+        chunks = canvas.compose_chunks(open_, volumes_, edges, *_TWO).withColumn("frame", F.lit(canvas.frame_name("k", _TWO[1])))
+        canvas.write_chunks(chunks.drop("read_s", "compose_s"), path)
+    return a.spark.read.parquet(path).mapInPandas(_chunk_sums, _SUMS)
+
+
+_TWO = ({"shape": [0, 4, 4, 6]}, (2, 4, 3), "uint16", VOLUME)
+_SUMS = "t long, cz int, cx int, n_voxels int, total long"
+
+
+def _two_vectors(a):
+    """Boxes, volumes and edges of pairs of vectors: the second lies two planes along x."""
     v = F.col("vec_id")
     two = _vectors(a).select(F.floor(v / 2).cast("int").alias("t"), v.cast("string").alias("name"), (v % 2).cast("int").alias("second"), F.concat(F.lit(f"{a.stacks}/block_"), F.floor(v / 64).cast("string")).alias("path"), (v % 8).cast("int").alias("pos"), (F.floor(v / 8) % 8).cast("int").alias("local_t"))
     lo = {"z": F.lit(0), "y": F.lit(0), "x": F.col("second") * 2}
     boxed = two.select("t", "name", *[e for c, n in zip(coords.ZYX, VOLUME, strict=True) for e in (lo[c].alias(f"{c}_lo"), (lo[c] + n).alias(f"{c}_hi"))])
     edges = two.select("t", "name", F.lit(2).alias("axis"), (F.col("second") == 0).alias("lower"), F.lit(2).alias("length"), F.lit("a").alias("a"), F.lit("b").alias("b"))
-    chunks = canvas.compose_chunks(boxed, two.select("t", "name", "path", "pos", "local_t"), edges, {"shape": [0, 4, 4, 6]}, (2, 4, 3), "uint16", VOLUME)
-    return chunks.mapInPandas(_chunk_sums, "t long, cz int, cx int, n_voxels int, total long")
+    return boxed, two.select("t", "name", "path", "pos", "local_t"), edges
 
 
 def _chunk_sums(it):
