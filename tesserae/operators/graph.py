@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import topology as tp
-from . import layout
+from . import coords, layout, scan
 
 _PAIR = "array<struct<a:string,b:string,axis:int>>"
 
@@ -70,6 +70,67 @@ def flags(tops: DataFrame, placed: DataFrame) -> DataFrame:
     return tops.select("t", "topology").join(placed, "topology").select("t", *[F.size(c).cast("long").alias(f"n_{c}") for c in ("steps", "redundant", "unplaced", "over_anchored")])
 
 
+def routed(state: DataFrame, pairs_at: DataFrame, compat: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The steps and the redundant pairs that ``placements`` gives, by joins on (t, tile): for graphs that no task should hold.
+
+    steps: t, tile, kind, via, axis, sweep, a, b; redundant: t, a, b, axis.  In the order of steps seeds come first (sweep 0),
+    then by sweep and pair (a, b, axis).
+
+    Pairs are gone through in sweeps, in their order, and a pair with one placed end places the other.  So a tile that was
+    placed by pair p in sweep s passes its place on by a later pair in the same sweep and by an earlier one in the next; of all
+    its neighbours' offers a tile takes the first.  Offers never get earlier on their way, so rounds of joins, in which only
+    tiles with a better place than before offer it, end with the places that the sweeps give.
+    With ``compat`` the sweeps may have been given up before: more visits of pairs in a row without a placed tile than there are
+    pairs to be done with.  Visits, in their order, and running totals over them tell where.
+    """
+    living = state.groupBy("t").agg(F.min("name").alias("lo"), F.min(F.when(F.col("anchor"), F.col("name"))).alias("lead"))
+    drifts = state.where("anchor and t > 0").join(state.select((F.col("t") + 1).alias("t"), "name"), ["t", "name"], "left_semi").select("t", "name", F.lit(tp.DRIFT).alias("kind"))
+    first = living.where("t = 0").select("t", F.coalesce("lead", "lo").alias("name"))
+    bare = living.where("t > 0").join(drifts.select("t").distinct(), "t", "left_anti").select("t", F.col("lo").alias("name"))
+    started = drifts.unionByName(first.union(bare).withColumn("kind", F.lit(tp.ORIGIN)))
+    pair = F.struct("a", "b", "axis")
+    edges = pairs_at.select("t", "a", "b", "axis", pair.alias("p"))
+    ends = coords.durable(edges.select("t", F.col("a").alias("u"), F.col("b").alias("v"), "p").union(edges.select("t", F.col("b"), F.col("a"), "p")))
+    # a seed has its place before the first pair of the first sweep
+    no = lambda kind: F.lit(None).cast(kind)
+    none = F.lit(None).cast("struct<a:string,b:string,axis:int>")
+    known = coords.durable(started.select("t", F.col("name").alias("tile"), F.lit(1).alias("s"), none.alias("p"), no("string").alias("via"), "kind"))
+    fresh = known
+    then = F.col("s") + F.when(F.col("p").isNotNull() & (F.col("q") <= F.col("p")), 1).otherwise(0)
+    along = ends.select("t", F.col("u").alias("tile"), "v", F.col("p").alias("q"))
+    while True:
+        offers = fresh.join(along, ["t", "tile"]).groupBy("t", "v").agg(F.min(F.struct(then.alias("s"), F.col("q").alias("p"), F.col("tile").alias("via"))).alias("x"))
+        old = known.select("t", F.col("tile").alias("v"), F.struct("s", "p").alias("had"))  # no pair is less than any
+        better = offers.join(old, ["t", "v"], "left").where(F.col("had").isNull() | (F.struct("x.s", "x.p") < F.col("had")))
+        fresh = coords.durable(better.select("t", F.col("v").alias("tile"), "x.s", "x.p", "x.via", F.lit(tp.PAIR).alias("kind")))
+        if fresh.isEmpty():
+            break
+        known = coords.durable(known.join(fresh, ["t", "tile"], "left_anti").unionByName(fresh))
+    # the visit at which a pair is done with; the pairs of tiles' places are steps
+    done = known.join(along, ["t", "tile"]).groupBy("t", "q").agg(F.min(then).alias("s"))
+    tree = known.where(F.col("p").isNotNull()).select("t", F.col("p").alias("q"), F.lit(True).alias("step"))
+    done = edges.select("t", F.col("p").alias("q")).join(done, ["t", "q"], "left").join(tree, ["t", "q"], "left").select("t", "q", "s", F.col("step").isNotNull().alias("step"))
+    if compat:
+        done = coords.durable(done)
+        last = done.groupBy("t").agg(F.count("*").alias("n"), F.coalesce(F.max("s"), F.lit(0)).alias("most"))
+        visits = done.join(last, "t").select("t", "q", "n", F.explode(F.sequence(F.lit(1), F.coalesce("s", F.col("most") + 2))).alias("at"), "s", "step")
+        ends_here = F.coalesce(F.col("at") == F.col("s"), F.lit(False))
+        visits = visits.select("t", "q", "n", "at", F.lit(1).alias("one"), ends_here.cast("int").alias("ended"), (ends_here & F.col("step")).cast("int").alias("placed"))
+        order = ["at", "q"]
+        told = scan.running(visits, "t", order, {"n_ended": "ended", "n_visits": "one", "n_placed": "placed"}).withColumn("idle", F.col("n_visits") - F.col("n_placed"))
+        told = scan.running(told.withColumn("mark", F.when(F.col("placed") == 1, F.col("idle"))), "t", order, {}, {"upto": "mark"})
+        told = scan.previous(told, "t", order, "upto", "mark_before")
+        # fruitless visits before this one, since the last before it that placed a tile
+        since = F.col("idle") - (1 - F.col("placed")) - F.coalesce("mark_before", F.lit(0))
+        left = F.col("n") - (F.col("n_ended") - F.col("ended"))
+        given_up = told.where(since > left).groupBy("t").agg(F.min(F.struct("at", "q")).alias("end"))
+        kept = F.col("end").isNull() | (F.struct(F.col("s").alias("at"), "q") < F.col("end"))
+        done = done.join(given_up, "t", "left").where(kept).drop("end")
+        known = known.join(given_up, "t", "left").where(F.col("p").isNull() | F.col("end").isNull() | (F.struct(F.col("s").alias("at"), F.col("p").alias("q")) < F.col("end"))).drop("end")
+    steps_ = known.select("t", "tile", "kind", "via", F.coalesce("p.axis", F.lit(0)).alias("axis"), F.when(F.col("p").isNull(), 0).otherwise(F.col("s")).alias("sweep"), "p.a", "p.b")
+    return steps_, done.where(~F.col("step") & F.col("s").isNotNull()).select("t", "q.*")
+
+
 def components(tops: DataFrame) -> DataFrame:
     """t, name, component (its least name) of every living tile."""
 

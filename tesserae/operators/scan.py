@@ -33,11 +33,21 @@ def _carried(at: DataFrame, key: str, order: list[str], told: dict[str, Column],
     return scanned.join(before, (F.col(_RANGE) == F.col("__part")) & F.col(key).eqNullSafe(F.col("__key"))).drop("__key", "__part", _RANGE)
 
 
+def running(rows: DataFrame, key: str, order: list[str], sums: dict[str, str], tops: dict[str, str] | None = None) -> DataFrame:
+    """``rows`` with running totals and running maxima (name: value) in the order of their series, each row itself included;
+    nulls count nothing."""
+    tops = tops or {}
+    all_ = {n: (F.sum, v) for n, v in sums.items()} | {n: (F.max, v) for n, v in tops.items()}
+    told = {f"__sum_{n}": f(v) for n, (f, v) in all_.items()}
+    out = _carried(ranged(rows, key, order), key, order, told, [f(v).alias(f"__part_{n}") for n, (f, v) in all_.items()], {f"__base_{n}": f(f"__part_{n}") for n, (f, v) in all_.items()})
+    own, base = (lambda n: F.col(f"__sum_{n}")), (lambda n: F.col(f"__base_{n}"))
+    total = lambda n: F.when(own(n).isNull(), base(n)).otherwise(own(n) + F.coalesce(base(n), F.lit(0)))
+    return out.select(*rows.columns, *[total(n).alias(n) for n in sums], *[F.greatest(own(n), base(n)).alias(n) for n in tops])
+
+
 def prefix_sums(rows: DataFrame, key: str, order: list[str], values: list[str], names: list[str]) -> DataFrame:
     """``rows`` with the running total of each value, itself included, in the order of its series; nulls count nothing."""
-    n = range(len(values))
-    out = _carried(ranged(rows, key, order), key, order, {f"__sum{i}": F.sum(values[i]) for i in n}, [F.sum(values[i]).alias(f"__total{i}") for i in n], {f"__base{i}": F.sum(f"__total{i}") for i in n})
-    return out.select(*rows.columns, *[F.when(F.col(f"__sum{i}").isNull(), F.col(f"__base{i}")).otherwise(F.col(f"__sum{i}") + F.coalesce(f"__base{i}", F.lit(0))).alias(names[i]) for i in n])
+    return running(rows, key, order, dict(zip(names, values, strict=True)))
 
 
 def previous(rows: DataFrame, key: str, order: list[str], value: str, name: str) -> DataFrame:
