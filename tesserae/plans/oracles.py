@@ -104,6 +104,33 @@ def _rows(select: str) -> str:
     return f"WITH RECURSIVE {_ROWS} {select}"
 
 
+#: Routing of cyclic graphs: ``spot`` is the sweep and the pair (numbered from 1) by which a tile is placed; seeds come before the first.
+_SWEEPS = (
+    _BASE
+    + """,
+first2 AS (SELECT t, min(name) AS lo, min(name) FILTER (WHERE anchor) AS lead FROM state GROUP BY t),
+drift2 AS (SELECT s.t, s.name FROM state s JOIN state p ON p.t = s.t - 1 AND p.name = s.name WHERE s.anchor AND s.t > 0),
+seed2 AS MATERIALIZED (SELECT t, name FROM drift2 UNION ALL SELECT t, coalesce(lead, lo) FROM first2 WHERE t = 0 UNION ALL SELECT t, lo FROM first2 WHERE t > 0 AND t NOT IN (SELECT t FROM drift2)),
+pr AS MATERIALIZED (SELECT t, a, b, row_number() OVER (PARTITION BY t ORDER BY a, b, axis) AS i FROM pairs_at),
+en AS MATERIALIZED (SELECT t, a AS u, b AS v, i FROM pr UNION ALL SELECT t, b, a, i FROM pr),
+lab(t, tile, spot) USING KEY (t, tile) AS (SELECT t, name, 1000000::BIGINT FROM seed2
+  UNION SELECT c.t, c.v, c.spot FROM (SELECT l.t, e.v, min((l.spot // 1000000 + CASE WHEN e.i <= l.spot % 1000000 THEN 1 ELSE 0 END) * 1000000 + e.i) AS spot FROM lab l JOIN en e ON e.t = l.t AND e.u = l.tile GROUP BY l.t, e.v) c
+  LEFT JOIN recurring.lab r ON r.t = c.t AND r.tile = c.v WHERE r.spot IS NULL OR c.spot < r.spot),
+part2(t, name, label) USING KEY (t, name) AS (SELECT t, name, name FROM alive
+  UNION SELECT c.t, c.v, c.label FROM (SELECT p.t, e.v, min(p.label) AS label FROM part2 p JOIN en e ON e.t = p.t AND e.u = p.name GROUP BY p.t, e.v) c JOIN recurring.part2 r ON r.t = c.t AND r.name = c.v WHERE c.label < r.label),
+placed2 AS MATERIALIZED (SELECT * FROM lab),
+over2 AS (SELECT t, count(*) AS n FROM (SELECT t, label FROM part2 JOIN seed2 USING (t, name) GROUP BY t, label HAVING count(*) > 1) GROUP BY t),
+met AS (SELECT e.t, e.i, min(l.spot // 1000000 + CASE WHEN e.i <= l.spot % 1000000 THEN 1 ELSE 0 END) AS s FROM placed2 l JOIN en e ON e.t = l.t AND e.u = l.tile GROUP BY e.t, e.i),
+pd AS MATERIALIZED (SELECT pr.t, pr.i, met.s, l.tile IS NOT NULL AS tree, count(*) OVER (PARTITION BY pr.t) AS n, coalesce(max(met.s) OVER (PARTITION BY pr.t), 0) AS most
+  FROM pr LEFT JOIN met ON met.t = pr.t AND met.i = pr.i LEFT JOIN placed2 l ON l.t = pr.t AND l.spot % 1000000 = pr.i),
+visit AS (SELECT t, i, n, unnest(range(1, coalesce(s, most + 2) + 1)) AS k, s, tree FROM pd),
+told AS (SELECT t, i, k, n, coalesce(k = s AND tree, false) AS placed, coalesce(sum(CASE WHEN k = s THEN 1 ELSE 0 END) OVER b, 0) AS ended, coalesce(sum(CASE WHEN k = s AND tree THEN 0 ELSE 1 END) OVER b, 0) AS idle
+  FROM visit WINDOW b AS (PARTITION BY t ORDER BY k, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+since AS (SELECT t, i, k, n - ended AS rest, idle - coalesce(max(CASE WHEN placed THEN idle END) OVER (PARTITION BY t ORDER BY k, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS fruitless FROM told),
+stop AS (SELECT t, min(k * 1000000 + i) AS spot FROM since WHERE fruitless > rest GROUP BY t)
+"""
+)
+
 _ISLES = "isles AS (SELECT {key}, min(t) AS a, max(t) AS b FROM (SELECT {key}, t, t - row_number() OVER (PARTITION BY {key} ORDER BY t) AS g FROM (SELECT DISTINCT {key}, t FROM {src})) GROUP BY {key}, g) SELECT {key}, string_agg(CASE WHEN a = b THEN a::VARCHAR ELSE a || '-' || b END, ', ' ORDER BY a) AS ts FROM isles GROUP BY {key}"
 
 _SERIES = "ser AS (SELECT * FROM (SELECT user_id, event_id, ts, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step FROM events) WHERE step IS NOT NULL)"
@@ -159,6 +186,14 @@ seed2 AS (SELECT t, name FROM drift2 UNION ALL SELECT t, coalesce(lead, lo) FROM
 SELECT t, component, string_agg(name, ',' ORDER BY name) AS anchors FROM comp JOIN seed2 USING (t, name) GROUP BY t, component HAVING count(*) > 1"""),
     "unanchored_components": _rows(", bare AS (SELECT c.t, string_agg(c.name, ',' ORDER BY c.name) AS tiles FROM comp c JOIN rs USING (t, name) GROUP BY c.t, component HAVING NOT bool_or(anchor)), " + _ISLES.format(key="tiles", src="bare")),
     "placement_steps": _rows("SELECT t, tile, kind, via, axis FROM step"),
+    "placement_flags_cyclic": f"""WITH RECURSIVE {_SWEEPS}
+SELECT a.t, st.n AS n_steps, coalesce(re.n, 0) AS n_redundant, a.n - st.n AS n_unplaced, coalesce(o.n, 0) AS n_over_anchored FROM (SELECT t, count(*) AS n FROM alive GROUP BY t) a
+JOIN (SELECT l.t, count(*) AS n FROM placed2 l LEFT JOIN stop USING (t) WHERE stop.spot IS NULL OR l.spot < stop.spot GROUP BY l.t) st ON st.t = a.t
+LEFT JOIN (SELECT pd.t, count(*) AS n FROM pd LEFT JOIN stop USING (t) WHERE NOT tree AND s IS NOT NULL AND (stop.spot IS NULL OR s * 1000000 + i < stop.spot) GROUP BY pd.t) re ON re.t = a.t
+LEFT JOIN over2 o ON o.t = a.t""",
+    "placement_by_joins": f"""WITH RECURSIVE {_SWEEPS}
+SELECT st.t, st.n AS n_steps, st.m AS n_pairs, coalesce(re.n, 0) AS n_redundant FROM (SELECT l.t, count(*) AS n, count(*) FILTER (WHERE l.spot > 1000000) AS m FROM placed2 l LEFT JOIN stop USING (t) WHERE stop.spot IS NULL OR l.spot < stop.spot GROUP BY l.t) st
+LEFT JOIN (SELECT pd.t, count(*) AS n FROM pd LEFT JOIN stop USING (t) WHERE NOT tree AND s IS NOT NULL AND (stop.spot IS NULL OR s * 1000000 + i < stop.spot) GROUP BY pd.t) re ON re.t = st.t""",
     "topology_runs": _rows(", sig AS (SELECT t, coalesce(string_agg(name, ',' ORDER BY name) FILTER (WHERE anchor), '') AS s FROM rs GROUP BY t), ch AS (SELECT t, CASE WHEN lag(s) OVER (ORDER BY t) = s AND lag(t) OVER (ORDER BY t) = t - 1 THEN 0 ELSE 1 END AS new FROM sig), run AS (SELECT t, sum(new) OVER (ORDER BY t) AS r FROM ch) SELECT min(t) AS first_t, max(t) AS last_t, count(*) AS n_t FROM run GROUP BY r"),
     "range_format": base(", dropped AS (SELECT name, t FROM ovr WHERE verb = 'drop'), " + _ISLES.format(key="name", src="dropped")),
     "skeleton_tiles": _rows(""", wanted AS (SELECT t, name FROM rs WHERE anchor UNION SELECT t - 1, name FROM rs WHERE anchor AND t - 1 IN (SELECT t FROM rs)),

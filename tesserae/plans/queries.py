@@ -312,6 +312,14 @@ def placement_flags_cyclic(a):
     return graph.flags(tops, graph.placements(tops))
 
 
+@query
+def placement_by_joins(a):
+    """Numbers of steps and of redundant pairs at each timepoint, by rounds of joins."""
+    steps, redundant = graph.routed(a.state, a.pairs_at)
+    spare = redundant.groupBy("t").agg(F.count("*").alias("n_redundant"))
+    return steps.groupBy("t").agg(F.count("*").alias("n_steps"), F.count("via").alias("n_pairs")).join(spare, "t", "left").select("t", "n_steps", "n_pairs", F.coalesce("n_redundant", F.lit(0)).alias("n_redundant"))
+
+
 @query
 def topology_runs(a):
     signed = a.row_state.groupBy("t").agg(F.concat_ws(",", F.sort_array(F.collect_list(F.when(F.col("anchor"), F.col("name"))))).alias("sig"))
