@@ -131,6 +131,22 @@ def routed(state: DataFrame, pairs_at: DataFrame, compat: bool = True) -> tuple[
     return steps_, done.where(~F.col("step") & F.col("s").isNotNull()).select("t", "q.*")
 
 
+def skeleton_of(steps_: DataFrame, state: DataFrame) -> DataFrame:
+    """``skeleton`` of the steps of ``routed``: anchors of a timepoint and of the next climb to their seeds, a step a round."""
+    anchors = state.where("anchor").select("t", "name")
+    times = state.select("t").distinct()
+    wanted = anchors.union(anchors.select((F.col("t") - 1).alias("t"), "name").join(times, "t", "left_semi")).distinct()
+    above = coords.durable(steps_.select("t", F.col("tile").alias("name"), "via"))
+    fresh = coords.durable(above.join(wanted, ["t", "name"], "left_semi"))
+    found = fresh
+    while not fresh.isEmpty():
+        up = fresh.where("via is not null").select("t", F.col("via").alias("name")).distinct().join(found, ["t", "name"], "left_anti")
+        fresh = coords.durable(above.join(up, ["t", "name"], "left_semi"))
+        found = coords.durable(found.unionByName(fresh))
+    none = steps_.where("via is null").join(found, "t", "left_anti").groupBy("t").agg(F.min("tile").alias("name"))
+    return found.select("t", "name").unionByName(none)
+
+
 def components(tops: DataFrame) -> DataFrame:
     """t, name, component (its least name) of every living tile."""
 
