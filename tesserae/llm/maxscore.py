@@ -7,7 +7,8 @@ whose gains together do not lift a vector from the lower bound over the threshol
 essential ones are traversed for a block of the shard; the others are probed, largest gain first, for those vectors alone
 that the gains still to come leave competitive.  The best k of all shards are merged by a limited window.
 
-Shards hold about ``SHARD`` vectors and stay where they are; queries, the smaller side, travel to them in blocks of ``BLOCK``.
+Shards hold about ``SHARD`` vectors; queries, the smaller side, travel to them in blocks of ``BLOCK`` and pass one after the other
+by the shard that a task holds.  Where there are fewer shards than tasks, each is there in several copies.
 With several shards each block meets one of them first, and the k-th best score there is the threshold with which the block
 goes to all shards, so that most vectors elsewhere fall behind at once.  The query set is stated; copies of it are all that
 grows with the number of shards.
@@ -23,6 +24,7 @@ other vectors all are returned; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -117,30 +119,49 @@ def _sortable(x: int) -> bytes:
     return b"\x01" + key if x >= 0 else b"\x00" + bytes(255 - b for b in key)
 
 
+class _Held:
+    """One packed shard: its usual vectors by width, and the others as Python integers, made once for all queries it meets."""
+
+    def __init__(self, ids: bytes, dims: int, values: bytes):
+        self.ids, self.dims = np.frombuffer(ids, np.int64), dims
+        self.values = np.frombuffer(values, np.float64).reshape(len(self.ids), dims)
+        self.made: dict[int, tuple] = {}
+
+    def wide(self, width: int) -> tuple:
+        """Shard of the usual vectors, places of the others, and (lazily) exact values of all and of the others."""
+        if width not in self.made:
+            x = np.pad(self.values, ((0, 0), (0, width - self.dims)))
+            usual = _usual(x)
+            self.made = {width: (Shard(self.ids[usual], x[usual].astype(np.int32)) if usual.any() else None, np.flatnonzero(~usual), functools.cache(lambda: _whole(x)), _whole(x[~usual]))}
+        return self.made[width]
+
+
 def _search(k: int):
+    """Sorted by shard, each shard before the query blocks that it meets: one shard is held at a time."""
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("exact", pa.binary())])
 
     def run(it):
+        place, held = None, None
         for batch in it:
-            for ids, dims, values, qids, qdims, qvalues, floors in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
-                width = max(dims, qdims)
-                wide = lambda raw, n, d: np.pad(np.frombuffer(raw, np.float64).reshape(n, d), ((0, 0), (0, width - d)))  # noqa: B023, E731
-                ids, qids = np.frombuffer(ids, np.int64), np.frombuffer(qids, np.int64)
-                values, queries = wide(values, len(ids), dims), wide(qvalues, len(qids), qdims)
-                usual, plain = _usual(values), _usual(queries)
-                shard = Shard(ids[usual], values[usual].astype(np.int32)) if usual.any() else None
-                large = np.flatnonzero(~usual)
-                exact = {False: _whole(values) if not plain.all() else None, True: _whole(values[large])}
+            for at, copy, asks, ids, dims, values, floors in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+                if not asks:
+                    place, held = (at, copy), _Held(ids, dims, values)
+                    continue
+                if place != (at, copy):
+                    continue  # no vector is in this shard
+                qids, width = np.frombuffer(ids, np.int64), max(dims, held.dims)
+                queries = np.pad(np.frombuffer(values, np.float64).reshape(len(qids), dims), ((0, 0), (0, width - dims)))
+                shard, large, all_exact, large_exact = held.wide(width)
                 out = []
-                for own, q, easy, floor in zip(qids.tolist(), queries, plain.tolist(), np.frombuffer(floors, np.int64).tolist(), strict=True):
+                for own, q, easy, floor in zip(qids.tolist(), queries, _usual(queries).tolist(), np.frombuffer(floors, np.int64).tolist(), strict=True):
                     best = []
                     if easy and shard is not None:
-                        at, score = shard.top(own, q.astype(np.int32), k, floor)
-                        best = list(zip((-score).tolist(), shard.ids[at].tolist(), strict=True))
-                    rest = large if easy else np.arange(len(ids))
+                        near, score = shard.top(own, q.astype(np.int32), k, floor)
+                        best = list(zip((-score).tolist(), shard.ids[near].tolist(), strict=True))
+                    rest = large if easy else np.arange(len(held.ids))
                     if len(rest):
-                        scores = exact[easy] @ _whole(q[None])[0]
-                        best += [(-x, i) for x, i in zip(scores.tolist(), ids[rest].tolist(), strict=True) if i != own]
+                        scores = (large_exact if easy else all_exact()) @ _whole(q[None])[0]
+                        best += [(-x, i) for x, i in zip(scores.tolist(), held.ids[rest].tolist(), strict=True) if i != own]
                     out += [(own, i, -x) for x, i in sorted(best)[:k]]
                 cols = [list(c) for c in zip(*out, strict=True)] or [[], [], []]
                 order = [_sortable(x) for x in cols[2]]
@@ -163,21 +184,24 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     n, m = rows.count(), rows.where(is_query).count()
     shards, blocks = max(1, -(-n // SHARD)), max(1, -(-m // BLOCK))
     pack = lambda df, parts: df.withColumn("at", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).groupBy("at").applyInArrow(_pack, _PACKED_SQL)
-    held = pack(rows.withColumn("floor", F.lit(NO_FLOOR)), shards).drop("floors")
+    held = pack(rows.withColumn("floor", F.lit(NO_FLOOR)), shards)
     if shards > 1:
         held = durable(held)  # met twice
+    tasks = shuffle_partitions(spark)
+    copies = min(-(-tasks // shards), blocks)  # of a shard: one, once there are as many shards as tasks
 
     def search(queries: DataFrame, to) -> DataFrame:
-        """Hits of packed queries in the shards ``to`` of each block."""
-        asked = pack(queries, blocks).select("at", F.col("ids").alias("qids"), F.col("dims").alias("qdims"), F.col("values").alias("qvalues"), "floors")
-        sent = asked.withColumn("at", to)
-        met = held.join(sent, "at").repartition(max(shards, shuffle_partitions(spark)), F.col("at"), F.col("qids"))
-        return met.select("ids", "dims", "values", "qids", "qdims", "qvalues", "floors").mapInArrow(_search(k), "query_id long, vec_id long, score long, exact binary")
+        """Hits of packed queries in the shards ``to`` of each block.  A shard is sent once a copy, whatever it meets."""
+        columns = ["ids", "dims", "values", "floors"]
+        own = held.select("at", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"), F.lit(False).alias("asks"), *columns)
+        asked = pack(queries, blocks).select(to.alias("at"), F.pmod(F.xxhash64("ids"), F.lit(copies)).cast("int").alias("copy"), F.lit(True).alias("asks"), *columns)
+        met = own.unionByName(asked).repartition(max(shards, tasks), "at", "copy").sortWithinPartitions("at", "copy", "asks")
+        return met.mapInArrow(_search(k), "query_id long, vec_id long, score long, exact binary")
 
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("exact"), "vec_id"))
     queries = rows.where(is_query).withColumn("floor", F.lit(NO_FLOOR))
     if shards > 1:
-        first = search(queries, F.pmod(F.col("at"), F.lit(shards)))
+        first = search(queries, F.pmod(F.col("at"), F.lit(shards)).cast("int"))
         kth = first.withColumn("rank", rank).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
         queries = queries.join(kth, "id", "left").select("id", "v", F.coalesce("kth", F.lit(NO_FLOOR)).alias("floor"))
     found = search(queries, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))

@@ -44,3 +44,23 @@ def test_sortable():
     rng = random.Random(3)
     xs = [rng.choice((1, -1)) * rng.getrandbits(rng.randint(0, 2100)) for _ in range(500)] + [0, 255, 256, -255, -256]
     assert [x for _, x in sorted((mx._sortable(x), x) for x in xs)] == sorted(xs)
+
+
+def test_query_blocks_pass_by_a_shard_that_is_made_once(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    made, real = [], mx._Held
+    monkeypatch.setattr(mx, "_Held", lambda *a: made.append(1) or real(*a))
+    x = rng.integers(-50, 50, (30, 4)).astype(float)
+    pack = lambda at, asks, ids, v: {"at": at, "copy": 0, "asks": asks, "ids": np.array(ids, np.int64).tobytes(), "dims": v.shape[1], "values": v.tobytes(), "floors": np.full(len(ids), mx.NO_FLOOR, np.int64).tobytes()}
+    rows = [pack(2, True, [100], x[:1])]  # a shard without vectors
+    for at, part in ((3, x[:20]), (5, x[20:])):
+        rows += [pack(at, False, list(range(at * 100, at * 100 + len(part))), part)] + [pack(at, True, [1000 + i], x[i : i + 1]) for i in range(6)]
+    schema = pa.schema([("at", pa.int32()), ("copy", pa.int32()), ("asks", pa.bool_()), ("ids", pa.binary()), ("dims", pa.int32()), ("values", pa.binary()), ("floors", pa.binary())])
+    found = [r for b in mx._search(3)(iter([pa.RecordBatch.from_pylist(rows[k : k + 4], schema) for k in range(0, len(rows), 4)])) for r in b.to_pylist()]
+    assert len(made) == 2 and len(found) == 2 * 6 * 3
+    for r in found:
+        at, q = divmod(r["vec_id"], 100)
+        assert r["score"] == int(x[r["query_id"] - 1000] @ (x[:20] if at == 3 else x[20:])[q])
