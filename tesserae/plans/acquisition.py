@@ -139,23 +139,13 @@ class Acquisition:
         """Written once, as the memo below is made from it."""
         return coords.durable(tasks.plan(self.time_tasks, self.pair_tasks))
 
+    def memo(self, plan: DataFrame) -> DataFrame:
+        """Keys of the computed tasks of a plan: all but every seventh by key."""
+        return plan.where(F.conv(F.substring("key", 1, 4), 16, 10).cast("int") % 7 != 0).select("key")
+
     @cached_property
     def done(self) -> DataFrame:
-        """A memo of what is computed: all tasks but every seventh by key."""
-        return self.plan.where(F.conv(F.substring("key", 1, 4), 16, 10).cast("int") % 7 != 0).select("key")
-
-    @cached_property
-    def stacks(self) -> str:
-        """A folder of stacks made from the vectors that are volumes of ``VOLUME``: of each 64 in the order of ids, eight
-        timepoints of eight positions; values in thousandths without their signs."""
-        folder = f"{shared_folder(self.spark)}/stacks-{uuid.uuid4().hex}"
-        v = F.col("vec_id")
-        voxel = lambda x: F.lpad(F.hex((F.floor(F.abs(x.cast("double")) * 1000) % 65536).cast("int")), 4, "0")
-        data = F.unhex(F.array_join(F.transform("embedding", lambda x: F.concat(F.substring(voxel(x), 3, 2), F.substring(voxel(x), 1, 2))), ""))  # low byte first
-        rows = self.table("embeddings").where(F.size("embedding") == VOLUME[0] * VOLUME[1] * VOLUME[2])
-        named = rows.select(F.concat(F.lit("block_"), F.floor(v / 64).cast("string")).alias("file"), (v % 8).alias("pos"), (F.floor(v / 8) % 8).alias("local_t"), data.alias("data"))
-        volumes.write_stacks(named, folder, 8, VOLUME).count()
-        return folder
+        return self.memo(self.plan)
 
     # --- a forest: rows of tiles, with one anchor -----------------------------------------
     @cached_property

@@ -68,6 +68,21 @@ def test_a_report_of_some_files_leaves_the_others(spark, duck, tmp_path, caplog)
     assert rows(after.where("file_i > 0")) == [r for r in whole if r in set(rows(after.where("file_i > 0")))]
 
 
+def test_done_is_what_the_result_log_has(spark, tmp_path):
+    """The log grows between two runs; its second append has one task's result anew and two others'."""
+    from tesserae.plans.acquisition import Acquisition
+    from tesserae.sources import store
+
+    keys = [r.key for r in Acquisition(spark, str(SF)).plan.orderBy("key").limit(5).collect()]
+    results = lambda some: spark.createDataFrame([(k, "time", "w", 0, 0, 0) for k in some], store.OFFSETS)
+    config = {"tables": str(SF), "output": f"{tmp_path}/report", "log": f"{tmp_path}/log.jsonl"}
+    for some, n in ((keys[:3], 3), (keys[2:], 5)):
+        store.append_offsets(results(some), config["log"])
+        found = run_report.run(spark, config)
+        report = spark.read.parquet(config["output"]).agg({"n_done": "sum", "n_pending": "sum"}).first()
+        assert report["sum(n_done)"] == n == found["tasks"] - found["pending"] and report["sum(n_pending)"] == found["pending"]
+
+
 def test_a_configuration_is_checked():
     for bad in ({"tables": "x"}, {"tables": "x", "output": "y", "file": 1}):
         with pytest.raises(ValueError):
