@@ -34,7 +34,7 @@ from .runtime import ship_code, table
 from .token_counts import PIECE, WHITE, byte_level, default_tokenizer
 
 STATES, DENSE = 1 << 18, 1 << 12  # rows of the transition table; the first ones, met most, are arrays
-KEPT_BYTES, LONGEST_KEPT = 128 << 20, 512  # memory, about, of kept pieces and of kept words; characters of one
+KEPT_BYTES, LONGEST_KEPT = 96 << 20, 512  # memory, about, of kept pieces and of kept words; characters of one
 
 
 def _space_class() -> str:
@@ -211,28 +211,34 @@ class Encoder:
         self.automaton, self.special = load(tokenizer_json)
         self.split = regex.compile(split_pattern()).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.known: dict[str, tuple[int, bytes, bytes]] = {}
+        self.known: dict[str, bytes] = {}
+        self.odd = False  # whether the labels of some piece were not its bytes
         self.words: dict[str, list[int]] = {}
         self.kept = self.kept_words = 0
         for s, i in self.special.items():
             self.automaton.label[i] = s.encode()
 
-    def _piece(self, piece: str) -> tuple[int, bytes, bytes]:
-        """Number of tokens, their ids in decimal, and the labels that decoding emits."""
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece, in decimal with commas; its arc labels are held against its bytes."""
         ids, words = [], self.words
         for k, part in enumerate(self.cut.split(piece) if self.cut else (piece,)):
             if k % 2:
                 ids.append(self.special[part])
+                continue
+            split = self.split(part)
+            if len(split) == 1 and len(part) == len(piece):
+                ids = self.automaton.encode_word(piece.encode())  # kept as a piece, not as a word besides
             else:
-                for w in self.split(part):
+                for w in split:
                     ids += words.get(w) or self._word(w)
-        out = len(ids), ",".join(map(str, ids)).encode(), self.automaton.decode(ids)
+        self.odd |= self.automaton.decode(ids) != piece.encode()
+        out = ",".join(map(str, ids)).encode()
         if len(piece) <= LONGEST_KEPT:
             if self.kept > KEPT_BYTES:
                 self.known.clear()
                 self.kept = 0
             self.known[piece] = out
-            self.kept += 250 + 5 * len(piece)
+            self.kept += 150 + 4 * len(piece)
         return out
 
     def _word(self, word: str) -> list[int]:
@@ -245,12 +251,18 @@ class Encoder:
             self.kept_words += 250 + 5 * len(word)
         return ids
 
-    def pieces(self, text: str) -> list[tuple[int, bytes, bytes]]:
+    def pieces(self, text: str) -> list[bytes]:
         known, piece = self.known, self._piece
         return [known.get(p) or piece(p) for p in PIECE.findall(text)]
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for _, ids, _ in self.pieces(text) for i in ids.split(b",")]
+        return [int(i) for ids in self.pieces(text) for i in ids.split(b",")]
+
+    def round_trip(self, text: str) -> tuple[bytes, bytes]:
+        """Ids in decimal with commas, and the decoded text in UTF-8: the text's own bytes, if those are what the labels of all
+        its pieces are, else the labels of its ids."""
+        ids = b",".join(self.pieces(text))
+        return ids, self.decode([int(i) for i in ids.split(b",") if i]).encode() if self.odd else text.encode()
 
     def decode(self, ids: list[int]) -> str:
         return self.automaton.decode(ids).decode("utf-8", "replace")
@@ -270,10 +282,8 @@ def round_trip(docs: DataFrame, tokenizer_json: str) -> DataFrame:
         for b in it:
             out = []
             for text in b.column(1).to_pylist():
-                pieces = encoder.pieces(text or "")
-                n, ids, emitted = zip(*pieces, strict=True) if pieces else ((), (), ())
-                decoded = b"".join(emitted).decode("utf-8", "replace").encode()
-                out.append((sum(n), sha(b",".join(ids)).hexdigest(), sha(decoded).hexdigest()))
+                ids, decoded = encoder.round_trip(text or "")
+                out.append((ids.count(b",") + 1 if ids else 0, sha(ids).hexdigest(), sha(decoded).hexdigest()))
             if out:
                 yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types[1:], strict=True))], schema=schema)
 
