@@ -7,7 +7,6 @@ import sys
 import textwrap
 from pathlib import Path
 
-import numpy as np
 import pandas as pd
 import pytest
 from test_project import scene  # noqa: F401
