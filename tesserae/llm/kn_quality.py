@@ -6,10 +6,11 @@ digits, symbols) and cost P(class) * P(word | class), where the words of a class
 for those never seen).  A word that repeats the one before it has an id that tells the length of the run (2, 4, 8 or more),
 so that runs are as unlikely as they are in trusted text; the members of these classes are all words of the language.
 
-Bigram counts are merged, kept and met in packed shards, by ranges of a hash.  Documents go in batches, each to one group of
-shards; the distinct bigrams of a batch are packed by shard and meet the counts of that shard there; what comes back is a
-vector of sums of log-probabilities per batch and shard, and the sums give the perplexity.  The number of shards weighs the
-copies of the counts (one a group) against those vectors.  Only what is bounded by the
+Bigram counts are merged by ranges of a hash and sent, by ranges of the bigrams themselves, to the shards where documents
+meet them; quantiles of a sample of the bigrams cut the ranges.  Documents go in batches; the distinct bigrams of a batch are
+packed by shard and meet the counts of that shard there; what comes back is a vector of sums of log-probabilities per batch and
+shard, and the sums give the perplexity.  The number of shards goes by the bigrams a shard can hold, so that the vectors do not
+grow with the number of partitions; counts are copied, for groups of batches, only where they are few beside the input.  Only what is bounded by the
 vocabulary (discounts, contexts, continuation counts) is broadcast.
 
 A document is rejected if its perplexity is beyond the ``QUANTILE`` quantile of the trusted documents of its language, over
@@ -27,6 +28,7 @@ contradicting labels is not trusted; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,20 +37,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
 from . import anchors as an
 from . import textscan as ts
-from .runtime import durable, shielded, ship_code, shuffle_partitions, table
+from .runtime import durable, input_bytes, remove_folder, shared_folder, shielded, ship_code, shuffle_partitions, table
 
 U = np.uint64
 MIN_COUNT = 20
 QUANTILE = 0.99
 MIN_WORDS, MIN_HELD = 12, 100  # shorter texts and languages with fewer held-out documents go by global limits
 BROADCAST_IDS = 2_000_000  # trusted ids that may be broadcast; more are joined by a shuffle
-PAIRS = 1 << 20
-SHARD_PAIRS = 1 << 21  # bigrams of a shard, as far as there are partitions
+PAIRS = 1 << 22  # of a batch of documents
+SHARD_PAIRS = 1 << 22  # bigrams of a shard
+LEAST_SHARDS = 12  # as far as there are partitions
+GROUP_BYTES = 256 << 20  # of the input for each partition of requests, which are held in memory
+SAMPLE = 100_000  # bigrams that cut the ranges of the shards
 CLASSES = ("start", "repeat", "run4", "run8", "lower", "capital", "upper", "digit", "symbol", "mixed")
 REQUEST, COUNTS = an.POST, an.FRAGMENT
-PAIR = np.dtype([("key", "<u8"), ("part", "<f4")])
 
 
 def _shape_values() -> np.ndarray:
@@ -140,9 +145,18 @@ def _spread(blob: bytes, *columns: tuple[type, int]) -> list[np.ndarray]:
     return out
 
 
-def _steps(keys: np.ndarray) -> np.ndarray:
-    """Differences of ascending keys (the first from 0); their running sum gives the keys back."""
-    return np.diff(keys, prepend=U(0))
+def _steps(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending bigrams as steps: of first words, and of second words after the same first word; ``_summed`` reads them."""
+    v, w = (keys >> U(32)).astype(np.int64), (keys & U(0xFFFFFFFF)).astype(np.int64)
+    dv = np.diff(v, prepend=-1)
+    return dv.astype(np.uint32), np.where(dv > 0, w, np.diff(w, prepend=0)).astype(np.uint32)
+
+
+def _summed(dv: np.ndarray, dw: np.ndarray) -> np.ndarray:
+    start = np.flatnonzero(dv)
+    total = np.cumsum(dw, dtype=U)
+    w = total - np.repeat(total[start] - dw[start], np.diff(start, append=len(dv)))
+    return ((np.cumsum(dv, dtype=U) - U(1)) << U(32)) | w
 
 
 def _word_counts(it):
@@ -178,7 +192,7 @@ def _bigram_counts(vocabulary, parts: int):
         def flush():
             key, n = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            yield from _by_part(key, n.astype(np.int64), np.int64, parts)
+            yield from _by_part(key, n, parts)
 
         for b in it:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -194,21 +208,56 @@ def _bigram_counts(vocabulary, parts: int):
     return run
 
 
-def _by_part(key: np.ndarray, value: np.ndarray, kind: type, parts: int, groups: int = 1) -> Iterator[pa.RecordBatch]:
-    """Ascending keys and their values in one row for each part, and again for each group."""
+def _by_part(key: np.ndarray, n: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """Ascending keys and their counts in one row for each part."""
     part = _part(key, parts)
     order = np.argsort(part, kind="stable")
     cut = np.flatnonzero(np.concatenate([[True], np.diff(part[order]) != 0, [True]]))
     for a, b in zip(cut[:-1], cut[1:], strict=True):
         mine = order[a:b]
-        blob = np.array([b - a], np.int64).tobytes() + _squeeze(_steps(key[mine]), value[mine].astype(kind))
-        yield an._rows(np.arange(groups) * parts + part[mine[0]], COUNTS, 0, 0, pa.array([blob] * groups, pa.binary()))
+        yield _counted(part[mine[0]], key[mine], n[mine])
+
+
+def _counted(part: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    blob = np.array([len(key)], np.int64).tobytes() + _squeeze(*_steps(key), n.astype(np.int64))
+    return an._rows([part], COUNTS, 0, 0, pa.array([blob], pa.binary()))
+
+
+def _ranges(key: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Shard, start and end of ascending keys, for each shard that has some; ``bounds``: the least key of each shard but the first."""
+    cut = [0, *np.searchsorted(key, bounds).tolist(), len(key)]
+    return ((shard, a, b) for shard, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b)
+
 
+def _by_range(bounds: np.ndarray, groups: int):
+    """Merged counts, packed by shard, for each group of batches."""
 
-def _keyed(blob: bytes, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    def run(it):
+        for key, n in _merged(it):
+            for shard, a, b in _ranges(key, bounds):
+                for group in range(groups):
+                    yield _counted(group * (len(bounds) + 1) + shard, key[a:b], n[a:b])
+
+    return run
+
+
+def _merged(it) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for b in it:
+        yield from map(_keyed, b.column("blob").to_pylist())
+
+
+def _sampled(every: int):
+    def run(it):
+        for key, _ in _merged(it):
+            yield pa.RecordBatch.from_arrays([pa.array(key[::every].view(np.int64))], names=["key"])
+
+    return run
+
+
+def _keyed(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int(np.frombuffer(blob, np.int64, 1)[0])
-    step, value = _spread(blob[8:], (U, n), (kind, n))
-    return np.cumsum(step, dtype=U), value
+    *steps, counts = _spread(blob[8:], (np.uint32, n), (np.uint32, n), (np.int64, n))
+    return _summed(*steps), counts
 
 
 def _merge_counts(it):
@@ -217,18 +266,16 @@ def _merge_counts(it):
     for _ in an.sort_kinds(it, held):
         pass
     if blobs := held.get(COUNTS):
-        keys, counts = (np.concatenate(x) for x in zip(*(_keyed(x, np.int64) for x in blobs), strict=True))
+        keys, counts = (np.concatenate(x) for x in zip(*map(_keyed, blobs), strict=True))
         order = np.argsort(keys)
         keys = keys[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        yield from _by_part(keys[first], np.add.reduceat(counts[order], first), np.int64, 1)
+        yield _counted(0, keys[first], np.add.reduceat(counts[order], first))
 
 
 def _unpack_counts(it):
-    for b in it:
-        for blob in b.column("blob").to_pylist():
-            key, n = _keyed(blob, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array((key >> U(32)).astype(np.int32)), pa.array(key.astype(np.uint32).astype(np.int32)), pa.array(n)], names=["v", "w", "n"])
+    for key, n in _merged(it):
+        yield pa.RecordBatch.from_arrays([pa.array((key >> U(32)).astype(np.int32)), pa.array(key.astype(np.uint32).astype(np.int32)), pa.array(n)], names=["v", "w", "n"])
 
 
 _REPLY = "batch long, docs binary, logp binary"
@@ -253,7 +300,7 @@ def _versions(v: Vocabulary, lang: str, text: str, measure: bool, fp: int) -> It
         yield SHAPES, by_shapes
 
 
-def _requests(vocabulary, groups: int, shards: int):
+def _requests(vocabulary, bounds: np.ndarray, groups: int):
     """The distinct bigrams of batches of documents, packed by shard: keys, how many documents hold each, their places and counts.
 
     With the first of a batch's rows go the keys of its documents and their numbers of words.
@@ -267,20 +314,18 @@ def _requests(vocabulary, groups: int, shards: int):
             nonlocal batches
             key = np.concatenate([k for k, _ in held])
             n = np.concatenate([c for _, c in held])
-            of = np.repeat(np.arange(len(held), dtype=np.uint32), [len(k) for k, _ in held])
+            of = np.repeat(np.arange(len(held), dtype=np.uint16), [len(k) for k, _ in held])
             total = np.array([int(c.sum()) for _, c in held], dtype=np.int64)
             head = *(np.array(x, dtype=t) for x, t in zip(zip(*docs, strict=True), (np.int64, np.int32, np.int8), strict=True)), total
-            part = _part(key, shards)
-            order = np.lexsort((of, key, part))
-            key, n, of, part = key[order], n[order], of[order], part[order]
-            cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+            order = np.argsort(key, kind="stable")  # places stay in order
+            key, n, of = key[order], n[order], of[order]
             group = (task + batches) % groups
-            for a, b in zip(cut[:-1], cut[1:], strict=True):
+            for shard, a, b in _ranges(key, bounds):
                 keys, times = np.unique(key[a:b], return_counts=True)
                 first = () if a else head
                 sizes = np.array([task << 32 | batches, len(held), len(keys), b - a, len(first)], np.int64)
-                blob = sizes.tobytes() + _squeeze(*first, _steps(keys), times.astype(np.uint32), of[a:b].astype(np.uint16), n[a:b].astype(np.uint16))
-                yield an._rows([group * shards + part[a]], REQUEST, 0, 0, pa.array([blob], pa.binary()))
+                blob = sizes.tobytes() + _squeeze(*first, *_steps(keys), times.astype(np.uint32), of[a:b], n[a:b])
+                yield an._rows([group * (len(bounds) + 1) + shard], REQUEST, 0, 0, pa.array([blob], pa.binary()))
             batches += 1
             docs.clear()
             held.clear()
@@ -293,7 +338,7 @@ def _requests(vocabulary, groups: int, shards: int):
                     while True:  # a count field holds 65,535; larger counts take several entries
                         docs.append((doc, fp, kind))
                         kind |= MORE
-                        held.append((key, np.minimum(n, 65535)))
+                        held.append((key, np.minimum(n, 65535).astype(np.uint16)))
                         size += len(key)
                         key, n = key[n > 65535], n[n > 65535] - 65535
                         if not len(key):
@@ -319,26 +364,27 @@ def _score(model):
         held: dict[int, list[bytes]] = {}
         for _ in an.sort_kinds(it, held):
             pass
-        rest, unigram, member = model.value
-        pairs = np.empty(0, PAIR)
+        rest, unigram, member, total, d_high, language = model.value
+        known, shares = np.empty(0, U), np.empty(0, np.float32)
         if blobs := held.pop(COUNTS, None):
-            keys, shares = (np.concatenate(x) for x in zip(*(_keyed(x, np.float32) for x in blobs), strict=True))
-            pairs = np.empty(len(keys), PAIR)
-            order = np.argsort(keys)
-            pairs["key"], pairs["part"] = keys[order], shares[order]
-        known = np.ascontiguousarray(pairs["key"])
+            known, n = (np.concatenate(x) for x in zip(*map(_keyed, blobs), strict=True))
+            order = np.argsort(known)
+            known, n = known[order], n[order]
+            v = (known >> U(32)).astype(np.int64)
+            shares = ((n - d_high[language[v], np.minimum(n, 3)]) / total[v]).astype(np.float32)
+            del blobs, order, n, v
         for blob in held.get(REQUEST, []):
             batch, nd, nk, n, first = np.frombuffer(blob, np.int64, 5).tolist()
             head = ((np.int64, nd), (np.int32, nd), (np.int8, nd), (np.int64, nd))[:first]
-            *docs, step, times, place, count = _spread(blob[40:], *head, (U, nk), (np.uint32, nk), (np.uint16, n), (np.uint16, n))
-            keys = np.cumsum(step, dtype=U)
+            *docs, dv, dw, times, place, count = _spread(blob[40:], *head, (np.uint32, nk), (np.uint32, nk), (np.uint32, nk), (np.uint16, n), (np.uint16, n))
+            keys = _summed(dv, dw)
             v, w = (keys >> U(32)).astype(np.int64), (keys & U(0xFFFFFFFF)).astype(np.int64)
             p = rest[v] * unigram[w]
             if len(known):
                 at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                p = p + np.where(known[at] == keys, pairs["part"][at].astype(np.float64), 0.0)
+                p = p + np.where(known[at] == keys, shares[at].astype(np.float64), 0.0)
             logp = np.bincount(place, np.repeat(np.log(p) + member[w], times) * count, nd)
-            yield pa.RecordBatch.from_arrays([pa.array([batch], pa.int64()), pa.array([_squeeze(*docs) if first else None], pa.binary()), pa.array([logp.astype(np.float32).tobytes()], pa.binary())], names=["batch", "docs", "logp"])
+            yield pa.RecordBatch.from_arrays([pa.array([batch], pa.int64()), pa.array([_squeeze(*docs) if first else None], pa.binary()), pa.array([_squeeze(logp.astype(np.float32))], pa.binary())], names=["batch", "docs", "logp"])
 
     return run
 
@@ -348,7 +394,7 @@ def _sum_batches(it):
     docs, sums = {}, {}
     for b in it:
         for batch, head, logp in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-            logp = np.frombuffer(logp, np.float32).astype(np.float64)
+            logp = _spread(logp, (np.float32, int(np.frombuffer(logp, np.int64, 1)[0]) // 4))[0].astype(np.float64)
             sums[batch] = sums[batch] + logp if batch in sums else logp
             if head is not None:
                 docs[batch] = head
@@ -357,10 +403,17 @@ def _sum_batches(it):
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(fps), pa.array(kinds.astype(np.int32)), pa.array(logp), pa.array(n)], names=["doc", "fp", "kind", "logp", "n"])
 
 
-def _shards(pairs: int, documents: int, partitions: int) -> int:
-    """A group's copy of the counts takes about 6 bytes a bigram, a document's sums 4 bytes a shard: the number with the least of both."""
-    best = round((partitions * 6 * pairs / (4 * max(documents, 1))) ** 0.5)
-    return min(max(best, -(-pairs // SHARD_PAIRS), 1), partitions)
+def _shards(pairs: int, partitions: int) -> int:
+    """Each holds ``SHARD_PAIRS`` bigrams at most; every shard costs a document 4 bytes of sums before compression."""
+    return max(-(-pairs // SHARD_PAIRS), min(LEAST_SHARDS, partitions), 1)
+
+
+def _bounds(merged: DataFrame, pairs: int, shards: int) -> np.ndarray:
+    """Bigrams that cut the merged counts into shards of about the same number."""
+    if shards == 1:
+        return np.empty(0, U)
+    keys = merged.mapInArrow(_sampled(-(-pairs // SAMPLE) or 1), "key long").toPandas()["key"].to_numpy(dtype=np.int64).view(U)
+    return np.sort(keys)[len(keys) * np.arange(1, shards) // shards] if len(keys) else np.empty(0, U)
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -414,12 +467,14 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     trusted = of_trust.where(~_held_out()).select("lang", "text")
     measured = of_trust.where(_held_out()).select("__k", "__fp", "lang", "text", F.lit(True).alias("measure"))
     counts = trusted.mapInArrow(_word_counts, "lang string, key long, shape int, n long").groupBy("lang", "key").agg(F.first("shape").alias("shape"), F.sum("n").alias("n"))
-    counts = durable(counts)
+    counts = stored(counts, counted := f"{shared_folder(spark)}/words-{uuid.uuid4().hex}")
     # at most one class set per language; languages by text
     langs = [r["lang"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(512).collect()]
     place = F.array_position(F.array(*map(F.lit, langs)).cast("array<string>"), F.col("lang")) - 1  # -1 beyond them
-    words = counts.where(F.col("n") >= MIN_COUNT).select("key", place.cast("int").alias("place")).where("place >= 0").toPandas()
+    words = counts.where(F.col("n") >= MIN_COUNT).select("key", place.cast("int").alias("place"), "n").where("place >= 0").toPandas()
+    words = words.sort_values(["place", "n", "key"], ascending=[True, False, True])  # frequent words are neighbours: steps between bigrams are short
     rare = counts.where(F.col("n") < MIN_COUNT).groupBy(place.cast("int").alias("place"), "shape").agg(F.count("*").alias("types")).where("place >= 0").collect()
+    remove_folder(spark, counted)
     vocabulary = Vocabulary(words["key"].to_numpy(dtype=np.int64).view(np.uint64), langs)
     language = np.concatenate([np.repeat(np.arange(len(langs) + 1), len(CLASSES)), words["place"].to_numpy(dtype=np.int64)]).astype(np.int64)
     size = len(language)
@@ -435,22 +490,16 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     merged = trusted.mapInArrow(_bigram_counts(shared, parts), an.POSTED).repartitionById(parts, F.col("part")).mapInArrow(_merge_counts, an.POSTED)
     merged = durable(merged)
     bigrams = merged.mapInArrow(_unpack_counts, "v int, w int, n long")
-    rest, unigram, total, d_high = _model(bigrams, size, language)
-    tables = spark.sparkContext.broadcast((rest, unigram, member))
-    contexts = spark.sparkContext.broadcast((total, d_high, language))
-    shards = _shards(bigrams.count(), rows.count(), parts)
-    groups = max(1, parts // shards)
-
-    def shares(it):
-        total, d, language = contexts.value
-        for b in it:
-            for blob in b.column("blob").to_pylist():
-                key, n = _keyed(blob, np.int64)
-                v = (key >> U(32)).astype(np.int64)
-                yield from _by_part(key, (n - d[language[v], np.minimum(n, 3)]) / total[v], np.float32, shards, groups)
-
-    packed = merged.mapInArrow(shares, an.POSTED)
-    asked = rows.select("__k", "__fp", "lang", "text", F.lit(False).alias("measure")).unionByName(measured).mapInArrow(_requests(shared, groups, shards), an.POSTED)
+    pairs = bigrams.count()
+    shards = _shards(pairs, parts)
+    # partial sums of words are a row for each word and task
+    rest, unigram, total, d_high = _model(merged.coalesce(shards).mapInArrow(_unpack_counts, bigrams.schema), size, language)
+    tables = spark.sparkContext.broadcast((rest, unigram, member, total, d_high, language))
+    bounds = _bounds(merged, pairs, shards)
+    shards = len(bounds) + 1
+    groups = max(1, -(-input_bytes(rows) // (GROUP_BYTES * shards)))
+    packed = merged.mapInArrow(_by_range(bounds, groups), an.POSTED)
+    asked = rows.select("__k", "__fp", "lang", "text", F.lit(False).alias("measure")).unionByName(measured).mapInArrow(_requests(shared, bounds, groups), an.POSTED)
     replies = packed.unionByName(asked).repartitionById(groups * shards, F.col("part")).mapInArrow(_score(tables), _REPLY)
     sums = replies.repartition(parts, "batch").mapInArrow(_sum_batches, "doc long, fp int, kind int, logp double, n long")
     sums = sums.withColumns({"first": (F.col("kind") < MORE).cast("long"), "kind": F.col("kind").bitwiseAND(MORE - 1)})
