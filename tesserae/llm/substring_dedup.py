@@ -124,7 +124,7 @@ def with_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ship_code(docs.sparkSession)
     chain = lengths(min_words)
     before = [_extend(a, b, k == 0) for k, (a, b) in enumerate(zip(chain[:-2], chain[1:-1], strict=True))]
-    return an.repeated_spans(docs, F.col("doc_id"), F.col("text"), _level1(min_words, min_words // 2, not before), _level2(min_words), an.settler(HOT_RUNS), HOT_RUNS, before)
+    return an.repeated_spans(docs, F.col("doc_id"), F.col("text"), _level1(min_words, min_words // 2, not before), _level2(min_words), lambda n: an.settler(HOT_RUNS, n), HOT_RUNS, before)
 
 
 def _cut(text: str, blobs, length: int) -> tuple[list[str], int, int]:
