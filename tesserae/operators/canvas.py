@@ -112,7 +112,9 @@ def compose_chunks(boxed: DataFrame, volumes: DataFrame, edges: DataFrame, geome
         if rows:
             yield pd.DataFrame(rows, columns=_COMPOSED)
 
-    dealt = joined.repartitionByRange(*_CHUNK).sortWithinPartitions(*_CHUNK)
+    # by number: references are few bytes, and put together by those they would all be one task's work
+    n = int(joined.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = joined.repartitionByRange(n, *_CHUNK).sortWithinPartitions(*_CHUNK)
     dealt = dealt.coalesce(at_most) if at_most else dealt
     return dealt.mapInPandas(run, "t int, cz int, cy int, cx int, shape array<int>, data binary, read_s double, compose_s double")
 
@@ -131,9 +133,14 @@ def whole_groups(frames, by: list[str]):
         yield held
 
 
-def write_chunks(chunks: DataFrame, path: str) -> None:
-    """Adds chunks of frames (t, frame).  A task's chunks are there as soon as it ends, and stay if the job fails later."""
-    chunks.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("t", "frame").parquet(path)
+def write_chunks(chunks: DataFrame, path: str, span: int | None = None) -> None:
+    """Adds chunks of frames (t, frame).  A task's chunks are there as soon as it ends, and stay if the job fails later.
+
+    A timepoint has a folder of its own, which ``clear`` can remove.  With ``span`` so many timepoints share one: where they
+    have few chunks, folders and files would outweigh them.
+    """
+    dealt = chunks.withColumn("span", F.floor(F.col("t") / span)) if span else chunks
+    dealt.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("span" if span else "t", "frame").parquet(path)
 
 
 def frame_name(key: str, chunk: tuple[int, int, int]) -> str:
